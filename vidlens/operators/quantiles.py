@@ -71,49 +71,44 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     # 2. ordered ranges of distinct values; the partition id is the range index.
     vr = vc.repartitionByRange(P, *keys, "_x").withColumn("_pid", F.spark_partition_id())
 
-    # 3. rank offset of every range within its group (small: groups x P rows).
-    ptot = vr.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_pc"))
+    # 3. directory of ranges (groups x P rows): first rank and group size.
     wg = Window.partitionBy(*keys).orderBy("_pid")
-    ptot = (ptot
-            .withColumn("_start", F.coalesce(
-                F.sum("_pc").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .withColumn("_n", F.sum("_pc").over(Window.partitionBy(*keys))))
-
-    # wanted ranks (0-based) for every probability: floor and ceil of (n-1)q.
-    targets = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(q).alias("q")) for i, q in enumerate(probs)])
-    wanted = (ptot.select(*keys, "_n").distinct()
-              .select(*keys, "_n", F.explode(targets).alias("_t"))
-              .select(*keys, "_n", F.col("_t.i").alias("_i"),
-                      ((F.col("_n") - 1) * F.col("_t.q")).alias("_h"))
-              .select(*keys, "_i", "_h",
-                      F.explode(F.array(F.floor("_h").cast("long"), F.ceil("_h").cast("long"))).alias("_r"))
-              .distinct())
-    # which range holds each wanted rank
-    locate = wanted.join(ptot, keys, "inner")
-    locate = locate.where((F.col("_r") >= F.col("_start")) &
-                          (F.col("_r") < F.col("_start") + F.col("_pc")))
-    locate = locate.select(*keys, "_pid", "_start", "_i", "_h", "_r")
-
-    # 4. sort only the ranges that hold a wanted rank.
-    need = locate.select(*keys, "_pid", "_start").distinct()
+    rdir = (vr.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_pc"))
+              .withColumn("_start", F.coalesce(
+                  F.sum("_pc").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+              .withColumn("_n", F.sum("_pc").over(Window.partitionBy(*keys))))
+
+    # wanted 0-based ranks: floor and ceil of (n - 1) q for every q.
+    h = [(F.col("_n") - 1) * F.lit(q) for q in probs]
+    lo_r = [F.floor(e) for e in h]
+    hi_r = [F.ceil(e) for e in h]
+    ranks = F.array(*lo_r, *hi_r)
+
+    def holds(first, last):
+        return F.exists(ranks, lambda r: (r >= first) & (r < last))
+
+    # 4. sort only the ranges that hold a wanted rank (<= 2 len(probs) per group).
+    need = rdir.where(holds(F.col("_start"), F.col("_start") + F.col("_pc"))) \
+               .select(*keys, "_pid", "_start", "_n")
     if not by:
         need = F.broadcast(need)  # one group: at most 2 * len(probs) rows
     cand = vr.join(need, [*keys, "_pid"], "inner")
     wp = Window.partitionBy(*keys, "_pid").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     cand = (cand.withColumn("_end", F.col("_start") + F.sum("_c").over(wp))
                 .withColumn("_begin", F.col("_end") - F.col("_c")))
-    hit = cand.join(locate.drop("_start"), [*keys, "_pid"], "inner").where(
-        (F.col("_r") >= F.col("_begin")) & (F.col("_r") < F.col("_end")))
-    vals = hit.select(*keys, "_i", "_h", "_r", "_x")
-    per_q = vals.groupBy(*keys, "_i").agg(
-        F.first("_h").alias("_h"),
-        F.min_by("_x", "_r").alias("_lo"),
-        F.max_by("_x", "_r").alias("_hi"))
-    per_q = per_q.withColumn(
-        "_v", F.col("_lo") + (F.col("_h") - F.floor("_h")) * (F.col("_hi") - F.col("_lo")))
-    out = per_q.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)])
+    hit = cand.where(holds(F.col("_begin"), F.col("_end")))
+
+    def at(rank):
+        return F.max(F.when((rank >= F.col("_begin")) & (rank < F.col("_end")), F.col("_x")))
+
+    aggs = []
+    for i in range(len(probs)):
+        aggs += [at(lo_r[i]).alias(f"_lo{i}"), at(hi_r[i]).alias(f"_hi{i}"),
+                 F.first(h[i]).alias(f"_h{i}")]
+    out = hit.groupBy(*keys).agg(*aggs)
+    out = out.select(*keys, *[
+        (F.col(f"_lo{i}") + (F.col(f"_h{i}") - F.floor(f"_h{i}")) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(n)
+        for i, n in enumerate(names)])
     return out if by else out.drop("_g")
 
 

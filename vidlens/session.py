@@ -23,6 +23,7 @@ def get_spark(master: str | None = None, app: str = "vidlens",
         b = b.master(master)
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -46,7 +46,7 @@ def read_crawl_lines(spark: SparkSession, root: str) -> DataFrame:
 def read_crawl_logs(spark: SparkSession, root: str) -> DataFrame:
     """A3 input: ``(folder, value)`` with the whole text of each ``log.txt``."""
     raw = (spark.read.option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", S.LOG_FILE).option("wholetext", "true").text(root))
+           .option("pathGlobFilter", S.LOG_FILE).text(root, wholetext=True))
     return raw.select(_parent(F.col("_metadata.file_path")).alias("folder"), "value")
 
 
