@@ -69,9 +69,13 @@ def to_number(c, default=0, integer: bool = True) -> Column:
     return v.cast("bigint") if integer else v
 
 
+# ASCII whitespace removed by ``str.strip()``: space, \t, \n, \v, \f, \r.
+ASCII_WS = " \t\n\x0b\x0c\r"
+
+
 def strip_ws(c) -> Column:
     """Python ``str.strip()`` for ASCII whitespace: both ends."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    return F.btrim(_c(c), F.lit(ASCII_WS))
 
 
 def parse_int_field(c, to: str = "int") -> Column:

@@ -87,34 +87,38 @@ def quantiles(df: DataFrame, col: str = "views",
     return exact_quantiles(df, col, probs, **kw)
 
 
-def _pair_moments(df: DataFrame, pairs):
-    """One aggregate pass: Pearson r for every pair, pairwise-complete rows.
-
-    ``corr`` raises on a constant column under ANSI, so r is
-    ``try_divide(covar_pop, stddev_pop * stddev_pop)``, null when undefined.
+def pair_correlations(df: DataFrame, pairs) -> DataFrame:
+    """Pearson r for every ``(a, b)`` pair as rows ``(i, a, b, r)``.
+
+    Every input row is exploded into one ``(pair, x, y)`` row per pair and a
+    single ``groupBy(pair)`` computes ``covar_pop`` and both ``stddev_pop``.
+    The partial aggregate runs before the shuffle, so the exploded rows never
+    leave their task, and the aggregate buffer stays small enough for
+    whole-stage codegen whatever the number of pairs.  Rows where either side
+    is null or NaN are skipped per pair (pandas' pairwise-complete rule);
+    ``corr`` raises on a constant column under ANSI, so
+    ``try_divide(covar_pop, stddev_pop * stddev_pop)`` gives null instead.
     """
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
-        xm, ym = F.when(both, x), F.when(both, y)
-        aggs.append(F.try_divide(F.covar_pop(xm, ym),
-                                 F.stddev_pop(xm) * F.stddev_pop(ym)).alias(f"r{i}"))
-    return df.agg(*aggs)
+    entries = [F.struct(F.lit(i).alias("i"), F.col(a).cast("double").alias("x"),
+                        F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs)]
+    long = df.select(F.inline(F.array(*entries)))
+    long = long.where(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
+    r = long.groupBy("i").agg(F.try_divide(F.covar_pop("x", "y"),
+                                           F.stddev_pop("x") * F.stddev_pop("y")).alias("r"))
+    spark = df.sparkSession
+    names = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    # ``names`` has one row per pair (a fixed, small list): a proven bound.
+    return F.broadcast(names).join(r, "i", "left")
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str] = S.CORRELATION_COLUMNS,
                       names: Sequence[str] = S.CORRELATION_NAMES) -> DataFrame:
     """upper-triangle pairs ranked by absolute correlation, undefined dropped."""
     pairs = list(combinations(cols, 2))
-    row = _pair_moments(df, pairs)
     n1, n2, nr, na = names
-    long = row.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)])).alias("p"))
-    long = long.where(F.col("p.r").isNotNull() & ~F.isnan("p.r"))
-    return (long.select(F.col("p.a").alias(n1), F.col("p.b").alias(n2), F.col("p.r").alias(nr),
-                        F.abs("p.r").alias(na))
+    long = pair_correlations(df, pairs).where(F.col("r").isNotNull() & ~F.isnan("r"))
+    return (long.select(F.col("a").alias(n1), F.col("b").alias(n2), F.col("r").alias(nr),
+                        F.abs("r").alias(na))
             .orderBy(F.col(na).desc(), F.col(n1), F.col(n2)))
 
 
@@ -127,14 +131,12 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None,
     """
     cols = list(cols) if cols else numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    row = _pair_moments(df, pairs)
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        entries.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r")))
-        if a != b:
-            entries.append(F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), F.col(f"r{i}").alias("r")))
+    r = pair_correlations(df, pairs)
+    ab = F.struct(F.col("a").alias("x"), F.col("b").alias("y"), F.col("r").alias("r"))
+    ba = F.struct(F.col("b").alias("x"), F.col("a").alias("y"), F.col("r").alias("r"))
+    both = F.when(F.col("a") == F.col("b"), F.array(ab)).otherwise(F.array(ab, ba))
     nx, ny, nr = names
-    return row.select(F.explode(F.array(*entries)).alias("e")).select(
+    return r.select(F.explode(both).alias("e")).select(
         F.col("e.x").alias(nx), F.col("e.y").alias(ny), F.col("e.r").alias(nr))
 
 

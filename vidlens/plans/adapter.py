@@ -18,6 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Fan a scan out over every core when it has fewer splits than cores.
+
+    A Parquet file with one row group is read by one task, and all per-row
+    work before the first shuffle would run there.  On a large table the scan
+    already has thousands of splits and this is a no-op; on a small,
+    unsplittable one a round-robin repartition lets the per-row work (string
+    building, parsing, partial aggregation) use the whole cluster.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def videos(spark: SparkSession, sf_dir: str, related: bool = False) -> DataFrame:
     """lineitem as videos: the seven analysis columns plus uploader.
 
@@ -57,7 +70,7 @@ def crawl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     carries a non-integer age (rejected), line 5 ends in tabs (stripped),
     lines 1-2 carry three related ids, the rest one.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     ln = F.col("l_linenumber")
     vid = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), ln.cast("string"))
     age = F.datediff(F.lit(AGE_BASE).cast("date"), F.col("l_shipdate").cast("date"))

@@ -63,7 +63,13 @@ def parse_crawl_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     rejected and counted) or ``ok``.  ``related_ids`` is ``[]`` when a line
     has exactly nine fields.
     """
-    parts = F.split(strip_ws(F.col(value)), "\t", -1)
+    # The split array is produced by a one-row generator: predicates on the
+    # parsed fields (status filters) cannot be pushed below it, so the line
+    # is stripped and split once per row instead of once per reference.
+    split = F.split(strip_ws(F.col(value)), "\t", -1)
+    keep = [c for c in lines.columns if c != value]
+    lines = lines.select(*keep, F.inline(F.array(F.struct(split.alias("_parts")))))
+    parts = F.col("_parts")
     n = F.size(parts)
     typed = {}
     for i, name in enumerate(S.CRAWL_FIELDS):
@@ -79,7 +85,6 @@ def parse_crawl_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         c = typed[name].isNull()
         numeric_bad = c if numeric_bad is None else (numeric_bad | c)
     status = F.when(n < 9, "short").when(numeric_bad, "bad").otherwise("ok")
-    keep = [c for c in lines.columns if c != value]
     return lines.select(*keep, *[typed[k].alias(k) for k in S.CRAWL_FIELDS],
                         related.alias("related_ids"), status.alias("status"))
 
