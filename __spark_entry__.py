@@ -99,6 +99,49 @@ def q_dedup_first(spark, sf):
     return _round(clean.dedup_first(v, order=["crawl_date"]))
 
 
+def q_csv_roundtrip(spark, sf):
+    from vidlens import scratch_path
+    from vidlens.sinks import writers
+    from vidlens.sources import tables
+    path = writers.write_csv(stats.category_stats(_videos(spark, sf)), scratch_path(spark, "csv-roundtrip"))
+    back = tables.read_csv_result(spark, path, "category string, avg_views double, avg_rating double")
+    return _round(back)
+
+
+def q_json_roundtrip(spark, sf):
+    from vidlens import scratch_path
+    from vidlens.sources import tables
+    path = scratch_path(spark, "json-roundtrip")
+    adapter.videos(spark, sf, related=True).write.mode("overwrite").json(path)
+    back = tables.read_json_videos(spark, path)
+    return _round(back.select(*S.CRAWL_FIELDS, F.concat_ws(",", "related_ids").alias("related"), "crawl_date"))
+
+
+def q_parquet_roundtrip(spark, sf):
+    from vidlens import scratch_path
+    from vidlens.plans import jobs
+    stored = jobs.prepare(adapter.videos(spark, sf, related=True), scratch_path(spark, "prepared"),
+                          partition_by=["category"])
+    return _round(stored.select(*S.CRAWL_FIELDS, F.concat_ws(",", "related_ids").alias("related"), "crawl_date"))
+
+
+def q_metric_export(spark, sf):
+    from vidlens.sinks import writers
+    v = _videos(spark, sf)
+    return writers.statistics_table(stats.summary_statistics(v), stats.top_rated(v), stats.most_watched(v))
+
+
+def q_related_correlation(spark, sf):
+    from vidlens.plans import charts
+    rel = charts.related_counts(adapter.videos(spark, sf, related=True)).drop("related_ids")
+    return _round(charts.related_correlation(rel))
+
+
+def q_interactive_slice(spark, sf):
+    from vidlens.plans import jobs
+    return _round(jobs.interactive_slice(_videos(spark, sf), {"age": "0-2000", "views": "", "rating": "4.5-2"}, 1))
+
+
 def _views_histogram(spark, sf):
     return _round(distribution.log_histogram(_videos(spark, sf)))
 
@@ -132,6 +175,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "crawl_parse": q_crawl_parse,
     "crawl_load": q_crawl_load,
     "crawl_accounting": q_crawl_accounting,
+    "quantiles": lambda s, d: _round(stats.quantiles(_videos(s, d), "views", [0.01, 0.25, 0.5, 0.75, 0.99])),
+    "trend_daily_valid": lambda s, d: _round(trends.daily_trend(_videos(s, d), valid_only=True)),
+    "top_views_25": lambda s, d: _round(topn.top_views(_videos(s, d), "25")),
+    "length_density": lambda s, d: _round(distribution.length_range_density(_videos(s, d))),
+    "related_correlation": q_related_correlation,
+    "interactive_slice": q_interactive_slice,
+    "csv_roundtrip": q_csv_roundtrip,
+    "json_roundtrip": q_json_roundtrip,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "metric_export": q_metric_export,
 }
 
 
@@ -281,6 +334,45 @@ _CRAWLED = f"""with {_LINES}, {_LOGDATES},
                  uploader, age, category, length, views, rating, ratings_count, comments_count, rel) as rn
              from dated where st = 'ok')"""
 
+_RELVIDEOS = f"""rv as (
+  select concat(l_orderkey, '-', l_linenumber) as video_id, concat('u', l_suppkey) as uploader,
+         {_AGE} as age, l_returnflag as category, cast(floor(l_quantity * 75) as integer) as length,
+         cast(floor(l_extendedprice) as bigint) as views, l_discount * 50 as rating,
+         cast(floor(l_tax * 1000) as bigint) as ratings_count, cast(l_partkey % 100 as integer) as comments_count,
+         case when l_linenumber = 1 or l_linenumber = 7 then '' else concat('p', l_partkey, ',s', l_suppkey) end as related,
+         strftime(l_shipdate, '%y%m%d') as crawl_date,
+         case when l_linenumber = 1 then 0 when l_linenumber = 7 then 0 else 2 end as related_count
+  from lineitem)"""
+_RV_SELECT = ("video_id, uploader, {age} as age, category, {length} as length, views, round(rating, 6) as rating, "
+              "ratings_count, {cc} as comments_count, related, crawl_date")
+
+
+def _related_corr_sql() -> str:
+    cols = ["age", "length", "views", "rating", "ratings_count", "comments_count", "related_count"]
+    rows = []
+    for a in cols:
+        sel = ", ".join(f"round(corr({a}, {b}), 6) as {b}" for b in cols)
+        rows.append(f"select '{a}' as x, {sel} from rv")
+    return f"with {_RELVIDEOS} " + " union all ".join(rows)
+
+
+_LDENS = f"""with {_VIDEOS}, {_BAND},
+  t as (select case {_LEN_CASE} end as length_range, log10(views) as lv from band where views > 0),
+  s as (select length_range, count(*) as n, min(lv) as lo, max(lv) as hi, stddev_samp(lv) as sd
+        from t where length_range is not null group by 1),
+  s2 as (select length_range, n, lo, hi, sd * pow(cast(n as double), -0.2) as h,
+                case when hi > lo then hi - lo else 1.0 end as span,
+                case when hi > lo then (hi - lo) / 199 else 0.0 end as step from s),
+  m as (select t.length_range, least(cast(floor((lv - lo) / span * 2048) as integer), 2047) as b, count(*) as m
+        from t join s2 using (length_range) group by 1, 2),
+  k as (select m.length_range, cast(r.i as integer) as point, lo + r.i * step as x,
+               m.m * exp(-0.5 * pow(((lo + r.i * step) - (lo + (m.b + 0.5) * span / 2048)) / h, 2)) as t, n, h
+        from m join s2 using (length_range), (select range as i from range(200)) r),
+  d as (select length_range, point, x, sum(t) / (n * h * {_SQRT2PI}) as density from k
+        group by length_range, point, x, n, h)
+select length_range, point, {_r('x', 'log_x')}, {_r('pow(10.0, x)', 'x')},
+       {_r('density / max(density) over (partition by length_range)', 'density')} from d"""
+
 ORACLE: dict[str, str] = {
     "category_stats": f"with {_VIDEOS} select category, {_r('avg(views)', 'avg_views')}, "
                       f"{_r('avg(rating)', 'avg_rating')} from videos group by category",
@@ -366,6 +458,36 @@ select folder, file_name, cast(sum(lines_read) as bigint) as lines_read, cast(su
        cast(sum(short) as bigint) as short, cast(sum(bad) as bigint) as bad,
        cast(sum(ok - kept) as bigint) as duplicates, cast(sum(kept) as bigint) as kept
 from f group by rollup (folder, file_name)""",
+    "quantiles": f"with {_VIDEOS} select " + ", ".join(
+        _r(f"quantile_cont(views, {q})", "q_" + f"{q:g}".replace(".", "_")) for q in [0.01, 0.25, 0.5, 0.75, 0.99])
+        + " from videos",
+    "trend_daily_valid": f"with {_VIDEOS} select date '2008-01-01' - age as upload_date, "
+                         f"{_r('avg(views)', 'avg_views')}, {_r('avg(rating)', 'avg_rating')} from videos "
+                         f"where age is not null and age >= 0 group by 1",
+    "top_views_25": _top_sql("views", 25),
+    "length_density": _LDENS,
+    "related_correlation": _related_corr_sql(),
+    "interactive_slice": f"with {_VIDEOS}, t as (select * from videos where age between 0 and 2000 "
+                         f"and rating between 2.0 and 4.5 order by {', '.join(_VCOLS)} limit 100 offset 100) "
+                         f"select {_vsel()} from t",
+    "csv_roundtrip": f"with {_VIDEOS} select category, {_r('avg(views)', 'avg_views')}, "
+                     f"{_r('avg(rating)', 'avg_rating')} from videos group by category",
+    "json_roundtrip": f"with {_RELVIDEOS} select " + _RV_SELECT.format(age="age", length="length", cc="comments_count")
+                      + " from rv",
+    "parquet_roundtrip": f"with {_RELVIDEOS} select " + _RV_SELECT.format(
+        age="cast(age as bigint)", length="cast(length as bigint)", cc="cast(comments_count as bigint)") + " from rv",
+    "metric_export": f"""with {_VIDEOS},
+  tr as (select * from videos order by rating desc nulls last, video_id, uploader, age, category, length, views,
+         comments_count limit 1),
+  mw as (select * from videos order by views desc nulls last, video_id, uploader, age, category, length, rating,
+         comments_count limit 1)
+select 'Total Videos' as metric, cast(count(*) as varchar) as value from videos
+union all select 'Average Views', printf('%.6f', avg(views)) from videos
+union all select 'Median Views', printf('%.6f', median(views)) from videos
+union all select 'Top Rated Video', to_json({{'video_id': video_id, 'uploader': uploader, 'age': age,
+  'category': category, 'length': length, 'views': views, 'rating': rating, 'comments_count': comments_count}}) from tr
+union all select 'Most Watched Video', to_json({{'video_id': video_id, 'uploader': uploader, 'age': age,
+  'category': category, 'length': length, 'views': views, 'rating': rating, 'comments_count': comments_count}}) from mw""",
 }
 
 

@@ -56,14 +56,15 @@ def log10_positive(c) -> Column:
     return F.when(x > 0, F.log10(x.cast("double")))
 
 
-def to_number(c, default=0, integer: bool = True) -> Column:
+def to_number(c, default=0, integer: bool = True, numeric_input: bool = False) -> Column:
     """Pandas ``to_numeric(errors="coerce").fillna(d)`` then ``astype(int)``.
 
     Text or numbers are read as double (so "12.7" and "1e3" parse), NaN and
     +-inf become the default like missing values, integers truncate toward zero.
+    ``numeric_input=True`` skips the text round trip for numeric columns.
     """
     x = _c(c)
-    d = x.cast("string").try_cast("double")
+    d = x.cast("string").try_cast("double") if numeric_input is False else x.cast("double")
     bad = d.isNull() | F.isnan(d) | (F.abs(d) == F.lit(float("inf")))
     v = F.when(bad, F.lit(float(default))).otherwise(d)
     return v.cast("bigint") if integer else v

@@ -7,6 +7,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vidlens import schema as S
 from vidlens.functions.columns import delimited, to_number
@@ -20,10 +21,12 @@ def coerce_numeric(df: DataFrame, defaults: Mapping[str, float] = S.DEFAULTS,
 
     Columns absent from ``df`` are skipped.  Integer results are ``bigint``.
     """
+    types = {f.name: f.dataType for f in df.schema.fields}
     out = df
     for c, d in defaults.items():
-        if c in df.columns:
-            out = out.withColumn(c, to_number(c, d, integer=c in integer))
+        if c in types:
+            numeric = isinstance(types[c], T.NumericType)
+            out = out.withColumn(c, to_number(c, d, integer=c in integer, numeric_input=numeric))
     return out
 
 
