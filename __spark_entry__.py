@@ -439,7 +439,7 @@ select event_id, kind, cast(trunc(v) as bigint) as views, round(v, 6) as rating
     "page": f"with {_VIDEOS}, t as (select * from videos order by {', '.join(_VCOLS)} limit 100 offset 200) "
             f"select {_vsel()} from t",
     "crawl_parse": f"""with {_LINES}
-select folder, file_name, line_pos, {_CRAWL_FIELDS}, len(rel) as n_related,
+select folder, file_name, line_pos, {_CRAWL_FIELDS}, cast(len(rel) as integer) as n_related,
        array_to_string(rel, ',') as related
 from status where status = 'ok'""",
     "crawl_load": f"""{_CRAWLED}
@@ -472,7 +472,7 @@ from f group by rollup (folder, file_name)""",
                          f"select {_vsel()} from t",
     "csv_roundtrip": f"with {_VIDEOS} select category, {_r('avg(views)', 'avg_views')}, "
                      f"{_r('avg(rating)', 'avg_rating')} from videos group by category",
-    "json_roundtrip": f"with {_RELVIDEOS} select " + _RV_SELECT.format(age="age", length="length", cc="comments_count")
+    "json_roundtrip": f"with {_RELVIDEOS} select " + _RV_SELECT.format(age="age", length="length", cc="cast(comments_count as bigint)")
                       + " from rv",
     "parquet_roundtrip": f"with {_RELVIDEOS} select " + _RV_SELECT.format(
         age="cast(age as bigint)", length="cast(length as bigint)", cc="cast(comments_count as bigint)") + " from rv",
@@ -484,10 +484,10 @@ from f group by rollup (folder, file_name)""",
 select 'Total Videos' as metric, cast(count(*) as varchar) as value from videos
 union all select 'Average Views', printf('%.6f', avg(views)) from videos
 union all select 'Median Views', printf('%.6f', median(views)) from videos
-union all select 'Top Rated Video', to_json({{'video_id': video_id, 'uploader': uploader, 'age': age,
-  'category': category, 'length': length, 'views': views, 'rating': rating, 'comments_count': comments_count}}) from tr
-union all select 'Most Watched Video', to_json({{'video_id': video_id, 'uploader': uploader, 'age': age,
-  'category': category, 'length': length, 'views': views, 'rating': rating, 'comments_count': comments_count}}) from mw""",
+union all select 'Top Rated Video', cast(to_json({{'video_id': video_id, 'uploader': uploader, 'age': age,
+  'category': category, 'length': length, 'views': views, 'rating': rating, 'comments_count': comments_count}}) as varchar) from tr
+union all select 'Most Watched Video', cast(to_json({{'video_id': video_id, 'uploader': uploader, 'age': age,
+  'category': category, 'length': length, 'views': views, 'rating': rating, 'comments_count': comments_count}}) as varchar) from mw""",
 }
 
 

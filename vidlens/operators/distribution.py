@@ -58,7 +58,8 @@ def log_histogram(df: DataFrame, col: str = "views", bins: int = S.HISTOGRAM_BIN
 
 
 def log_density(df: DataFrame, col: str = "views", points: int = S.DENSITY_GRID,
-                prebins: int = 2048, by: str | None = None, peak_normalise: bool = False) -> DataFrame:
+                prebins: int = 2048, by: str | None = None, peak_normalise: bool = False,
+                max_groups: int | None = None) -> DataFrame:
     """Gaussian KDE of ``log10(col)`` on ``points`` evenly spaced points.
 
     Bandwidth is Scott's rule, ``stddev_samp * n^(-1/5)``; the grid spans
@@ -68,7 +69,9 @@ def log_density(df: DataFrame, col: str = "views", points: int = S.DENSITY_GRID,
     group whatever the table size, and no join.
 
     ``by`` computes one curve per group (F16's violins); ``peak_normalise``
-    scales each curve so its maximum is 1 (equal-width violins).
+    scales each curve so its maximum is 1 (equal-width violins).  The
+    per-group statistics (one row per group) are broadcast only under a
+    caller-proven ``max_groups``; otherwise AQE chooses the join.
     """
     keys = [by] if by else []
     src = df.where(F.col(col) > 0).select(*keys, F.log10(F.col(col).cast("double")).alias("lv"))
@@ -79,8 +82,7 @@ def log_density(df: DataFrame, col: str = "views", points: int = S.DENSITY_GRID,
         F.stddev_samp("lv").alias("sd"))
     st = st.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     if by:
-        # one row per group (bounded by the group count of ``by``)
-        binned = src.join(F.broadcast(st), keys)
+        binned = src.join(F.broadcast(st) if max_groups else st, keys)
     else:
         s = st.select(F.struct("n", "lo", "hi", "h")).scalar()
         binned = src.select("lv", s.getField("n").alias("n"), s.getField("lo").alias("lo"),
@@ -127,7 +129,8 @@ def length_range_summary(df: DataFrame, col: str = "views", length: str = "lengt
         F.count(F.lit(1)).alias("n"), F.min(col).cast("double").alias("min"),
         F.max(col).cast("double").alias("max"))
     qs = exact_quantiles(t, col, [0.25, 0.5, 0.75], by=["length_range"],
-                         names=["q1", "median", "q3"], method=method)
+                         names=["q1", "median", "q3"], method=method,
+                         max_groups=len(S.LENGTH_LABELS))
     # both sides have one row per length range (at most six)
     return (basic.join(F.broadcast(qs), "length_range")
                  .select("length_range", "range_order", "n", "min", "q1", "median", "q3", "max")
@@ -138,4 +141,5 @@ def length_range_density(df: DataFrame, col: str = "views", length: str = "lengt
                          points: int = S.DENSITY_GRID) -> DataFrame:
     """F16 shapes: per-range density of ``log10(col)``, each scaled to peak 1."""
     t = length_range_table(df, col, length)
-    return log_density(t, col, points, by="length_range", peak_normalise=True)
+    return log_density(t, col, points, by="length_range", peak_normalise=True,
+                       max_groups=len(S.LENGTH_LABELS))

@@ -34,11 +34,13 @@ def _qname(q: float) -> str:
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     by: Sequence[str] = (), names: Sequence[str] | None = None,
                     method: str = "exact", partitions: int | None = None,
-                    accuracy: int = 10000) -> DataFrame:
+                    accuracy: int = 10000, max_groups: int | None = None) -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
     Nulls and NaN are ignored (pandas skips them).  Groups with no values are
-    absent.
+    absent.  ``max_groups`` is a caller-proven bound on the number of groups;
+    with it (or without ``by``) the small range directory is broadcast,
+    otherwise AQE picks the join from measured sizes.
     """
     probs = [float(q) for q in probs]
     for q in probs:
@@ -90,8 +92,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     # 4. sort only the ranges that hold a wanted rank (<= 2 len(probs) per group).
     need = rdir.where(holds(F.col("_start"), F.col("_start") + F.col("_pc"))) \
                .select(*keys, "_pid", "_start", "_n")
-    if not by:
-        need = F.broadcast(need)  # one group: at most 2 * len(probs) rows
+    if not by or max_groups:
+        need = F.broadcast(need)  # at most groups * 2 * len(probs) rows
     cand = vr.join(need, [*keys, "_pid"], "inner")
     wp = Window.partitionBy(*keys, "_pid").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     cand = (cand.withColumn("_end", F.col("_start") + F.sum("_c").over(wp))
