@@ -60,3 +60,18 @@ def test_streaming_ingest_matches_batch(spark, tmp_dir):
     batch, _ = _load(spark, root)
     cols = ["video_id", "uploader", "age", "crawl_date"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
+
+
+def test_load_and_store_job(spark, tmp_dir):
+    from vidlens.plans import jobs
+    root = write_tree(os.path.join(tmp_dir, "crawl"))
+    res = jobs.load_and_store(spark, root, os.path.join(tmp_dir, "out"))
+    assert res["totals"]["kept"] == 5
+    assert spark.read.parquet(res["videos"]).count() == 5
+
+
+def test_cli_load(spark, tmp_dir):
+    from vidlens import cli
+    root = write_tree(os.path.join(tmp_dir, "crawl"))
+    assert cli.main(["load", root, os.path.join(tmp_dir, "out")]) == 0
+    assert cli.main(["count", os.path.join(tmp_dir, "out", "videos")]) == 0

@@ -168,3 +168,16 @@ def test_dedup_first_skewed_key(spark):
     out = clean.dedup_first(df, order=["crawl_date"])
     assert out.count() == 2001
     assert out.where("video_id = 'hot'").collect()[0]["views"] == 999
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.integers(-50, 50), min_size=1, max_size=120),
+       st.lists(st.floats(0, 1), min_size=1, max_size=4), st.integers(1, 9))
+def test_exact_quantiles_property(spark, values, probs, parts):
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = list(quantiles.exact_quantiles(df, "x", probs, partitions=parts).collect()[0])
+    want = pd.Series(values, dtype=float).quantile(probs).tolist()
+    assert np.allclose(got, want)

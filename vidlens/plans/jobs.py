@@ -21,6 +21,23 @@ from vidlens.sinks import writers
 PARTS = ("statistics", "top", "categories", "trends", "related", "charts")
 
 
+def load_and_store(spark, root: str, out_dir: str, strict: bool = False) -> dict:
+    """J1 end to end: crawl tree -> Parquet video table + accounting table.
+
+    The video table is written once (lineage cut there) and the accounting
+    rows, a handful per file, are written as one CSV.  Returns the paths and
+    the total row of the accounting.
+    """
+    from vidlens.sources import crawl
+    videos, acc = crawl.load_crawls(spark, root, strict=strict)
+    table = os.path.join(out_dir, "videos")
+    writers.write_parquet(crawl.video_table(videos), table)
+    accounting = os.path.join(out_dir, "accounting")
+    writers.write_single_csv(acc, accounting, order_by=["folder", "file_name"])
+    total = acc.where(F.col("folder").isNull()).first()
+    return {"videos": table, "accounting": accounting, "totals": total.asDict() if total else {}}
+
+
 def clean_videos(videos: DataFrame, coerce: bool = True) -> DataFrame:
     """C1 + C2: typed metrics with defaults; ``related_ids`` is kept."""
     df = clean.coerce_numeric(videos) if coerce else videos
