@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from vidlens import schema as S
 from vidlens.operators import clean, distribution, filters, stats, topn, trends
-from vidlens.plans import adapter
+from vidlens.plans import adapter, charts
 from vidlens.sources import crawl
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -142,6 +142,23 @@ def q_interactive_slice(spark, sf):
     return _round(jobs.interactive_slice(_videos(spark, sf), {"age": "0-2000", "views": "", "rating": "4.5-2"}, 1))
 
 
+def q_tolerant_csv(spark, sf):
+    """A10 over CSV part files made from lineitem: quoted commas, too-wide
+    rows (skipped) and one-field rows (kept with a null)."""
+    from vidlens import scratch_path
+    from vidlens.sources import tables
+    li = adapter.table(spark, sf, "lineitem")
+    ln, ok, pk = F.col("l_linenumber"), F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string")
+    line = (F.when(ln == 1, F.concat(F.lit('"x,'), ok, F.lit('",'), pk))
+             .when(ln == 2, F.concat_ws(",", ok, pk, F.col("l_suppkey").cast("string")))
+             .when(ln == 3, ok)
+             .when(ln == 4, F.concat(F.lit('"y,'), ok, F.lit('",'), pk, F.lit(",9")))
+             .otherwise(F.concat_ws(",", ok, pk)))
+    path = scratch_path(spark, "tolerant-csv")
+    li.select(line.alias("value")).write.mode("overwrite").text(path)
+    return tables.read_csv_tolerant(spark, path, "a string, b string", header=False)
+
+
 def _views_histogram(spark, sf):
     return _round(distribution.log_histogram(_videos(spark, sf)))
 
@@ -185,6 +202,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_roundtrip": q_json_roundtrip,
     "parquet_roundtrip": q_parquet_roundtrip,
     "metric_export": q_metric_export,
+    "tolerant_csv": q_tolerant_csv,
+    "chart_category_views": lambda s, d: _round(charts.category_views(_videos(s, d))),
+    "chart_category_views_asc": lambda s, d: _round(charts.category_views(_videos(s, d), order="asc")),
+    "chart_category_ratings": lambda s, d: _round(charts.category_ratings(_videos(s, d))),
+    "chart_top_videos": lambda s, d: charts.top_videos(_videos(s, d)),
 }
 
 
@@ -476,6 +498,17 @@ from f group by rollup (folder, file_name)""",
                       + " from rv",
     "parquet_roundtrip": f"with {_RELVIDEOS} select " + _RV_SELECT.format(
         age="cast(age as bigint)", length="cast(length as bigint)", cc="cast(comments_count as bigint)") + " from rv",
+    "tolerant_csv": """select case when l_linenumber = 1 then 'x,' || l_orderkey else cast(l_orderkey as varchar) end as a,
+       case when l_linenumber = 3 then null else cast(l_partkey as varchar) end as b
+from lineitem where l_linenumber not in (2, 4)""",
+    "chart_category_views": f"with {_VIDEOS} select category, {_r('avg(views)', 'avg_views')} from videos "
+                            f"where category is not null group by category",
+    "chart_category_views_asc": f"with {_VIDEOS} select category, {_r('avg(views)', 'avg_views')} from videos "
+                                f"group by category",
+    "chart_category_ratings": f"with {_VIDEOS} select category, {_r('avg(rating)', 'avg_rating')} from videos "
+                              f"where category is not null group by category",
+    "chart_top_videos": f"with {_VIDEOS} select video_id, views from videos order by views desc nulls last, "
+                        f"video_id, uploader, age, category, length, rating, comments_count limit 10",
     "metric_export": f"""with {_VIDEOS},
   tr as (select * from videos order by rating desc nulls last, video_id, uploader, age, category, length, views,
          comments_count limit 1),

@@ -65,7 +65,8 @@ def read_csv_result(spark: SparkSession, path: str, schema: T.StructType | str |
 _OUTSIDE_QUOTES_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
-def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType | str,
+                      header: bool = True) -> DataFrame:
     """A10: rows with more fields than the schema are skipped; short rows stay
     with nulls (pandas ``on_bad_lines="skip"``).
 
@@ -76,7 +77,7 @@ def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType | str
     st = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
     bad = "_corrupt_record"
     full = T.StructType(list(st.fields) + [T.StructField(bad, T.StringType(), True)])
-    df = (spark.read.option("header", "true").option("mode", "PERMISSIVE")
+    df = (spark.read.option("header", str(header).lower()).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", bad).option("escape", '"').schema(full).csv(path))
     nfields = F.size(F.split(F.col(bad), _OUTSIDE_QUOTES_COMMA))
     keep = F.col(bad).isNull() | (nfields <= len(st.fields))
