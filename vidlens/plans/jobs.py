@@ -24,17 +24,26 @@ PARTS = ("statistics", "top", "categories", "trends", "related", "charts")
 def load_and_store(spark, root: str, out_dir: str, strict: bool = False) -> dict:
     """J1 end to end: crawl tree -> Parquet video table + accounting table.
 
-    The video table is written once (lineage cut there) and the accounting
-    rows, a handful per file, are written as one CSV.  Returns the paths and
-    the total row of the accounting.
+    The deduplicated videos are written once, with their source folder and
+    file; the accounting then takes its ``kept`` counts from the stored table
+    instead of deduplicating again.  The accounting rows (a handful per file)
+    are written as one CSV.  Returns the paths and the total row.
     """
     from vidlens.sources import crawl
-    videos, acc = crawl.load_crawls(spark, root, strict=strict)
+    lines = crawl.read_crawl_lines(spark, root)
+    logs = crawl.read_crawl_logs(spark, root)
+    videos, _ = crawl.load_crawls(lines=lines, logs=logs, strict=strict)
     table = os.path.join(out_dir, "videos")
-    writers.write_parquet(crawl.video_table(videos), table)
+    stored_cols = [f.name for f in crawl.video_table(videos).schema.fields] + ["folder", "file_name"]
+    writers.write_parquet(videos.select(*[F.col(c) for c in stored_cols]), table)
+    stored = spark.read.parquet(table)
+    acc = crawl.crawl_accounting(crawl.dated_lines(lines, logs), stored)
     accounting = os.path.join(out_dir, "accounting")
-    writers.write_single_csv(acc, accounting, order_by=["folder", "file_name"])
-    total = acc.where(F.col("folder").isNull()).first()
+    # one row per file and folder plus a total: bounded by the file listing,
+    # so the row-count guard (a second pass over the lines) is skipped
+    writers.write_single_csv(acc, accounting, order_by=["folder", "file_name"], max_rows=None)
+    total = spark.read.schema(acc.schema).option("header", "true").csv(accounting) \
+        .where(F.col("folder").isNull()).first()
     return {"videos": table, "accounting": accounting, "totals": total.asDict() if total else {}}
 
 

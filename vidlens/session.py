@@ -46,13 +46,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this is set by the deployment and points at shared storage.
     Only when it is unset (local tests) do we create one and register it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        # core configs cannot be set at runtime; register the folder instead
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vidlens-ckpt-"))
         root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="vidlens-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 

@@ -123,10 +123,7 @@ def load_crawls(spark: SparkSession | None = None, root: str | None = None,
         lines = read_crawl_lines(spark, root)
     if logs is None:
         logs = read_crawl_logs(spark, root)
-    parsed = parse_crawl_lines(lines)
-    dated = attach_crawl_dates(parsed, crawl_dates(logs).where(F.col("crawl_date").isNotNull()), "left")
-    status = F.when(F.col("crawl_date").isNull(), "skipped").otherwise(F.col("status"))
-    dated = dated.withColumn("status", status)
+    dated = dated_lines(lines, logs)
     if strict:
         bad = dated.where(F.col("status") == "bad").limit(1).collect()
         if bad:
@@ -137,6 +134,15 @@ def load_crawls(spark: SparkSession | None = None, root: str | None = None,
     return videos, accounting
 
 
+def dated_lines(lines: DataFrame, logs: DataFrame) -> DataFrame:
+    """A2 + A3 + A4: parsed lines with their crawl date and final ``status``
+    (``skipped`` when the folder has no date, else the parse status)."""
+    parsed = parse_crawl_lines(lines)
+    dated = attach_crawl_dates(parsed, crawl_dates(logs).where(F.col("crawl_date").isNotNull()), "left")
+    status = F.when(F.col("crawl_date").isNull(), "skipped").otherwise(F.col("status"))
+    return dated.withColumn("status", status)
+
+
 def crawl_accounting(dated: DataFrame, videos: DataFrame) -> DataFrame:
     """Per-file counts in one pass over the lines, then a rollup.
 
