@@ -71,7 +71,15 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     # 1. distinct values with their multiplicity (partial aggregation map-side).
     vc = base.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
     # 2. ordered ranges of distinct values; the partition id is the range index.
+    # Both readers of ``vr`` below must see the same range bounds: Spark plans
+    # them as one reused exchange (lost map output is recomputed with the same
+    # partitioner).  If a session disables exchange reuse, ``vr`` is
+    # checkpointed to the shared checkpoint folder instead, fixing the ids.
     vr = vc.repartitionByRange(P, *keys, "_x").withColumn("_pid", F.spark_partition_id())
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
+        from vidlens.session import checkpoint_root
+        checkpoint_root(spark)
+        vr = vr.checkpoint(eager=True)
 
     # 3. directory of ranges (groups x P rows): first rank and group size.
     wg = Window.partitionBy(*keys).orderBy("_pid")
