@@ -75,3 +75,22 @@ def test_cli_load(spark, tmp_dir):
     root = write_tree(os.path.join(tmp_dir, "crawl"))
     assert cli.main(["load", root, os.path.join(tmp_dir, "out")]) == 0
     assert cli.main(["count", os.path.join(tmp_dir, "out", "videos")]) == 0
+
+
+def test_streaming_first_wins_across_batches(spark, tmp_dir):
+    import shutil
+    from vidlens.streaming import ingest
+    staged = write_tree(os.path.join(tmp_dir, "staged"))
+    root = os.path.join(tmp_dir, "crawl")
+    os.makedirs(root)
+    table, acc, ckpt = (os.path.join(tmp_dir, n) for n in ("table", "acc", "ckpt"))
+    shutil.copytree(os.path.join(staged, "080609"), os.path.join(root, "080609"))
+    ingest.stream_crawls(spark, root, table, acc, ckpt).awaitTermination(120)
+    shutil.copytree(os.path.join(staged, "080610"), os.path.join(root, "080610"))
+    ingest.stream_crawls(spark, root, table, acc, ckpt).awaitTermination(120)
+    got = {r["video_id"]: r for r in ingest.read_ingested(spark, table).collect()}
+    assert set(got) == {"aaa", "bbb", "fff", "ggg", "hhh"}
+    # bbb arrived first with crawl 080610 (folder 080609); the later copy is rejected
+    assert got["bbb"]["crawl_date"] == "080610" and got["bbb"]["views"] == 50
+    batches = {r["batch_id"] for r in spark.read.parquet(table).select("batch_id").collect()}
+    assert len(batches) == 2

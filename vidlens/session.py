@@ -40,6 +40,25 @@ def get_spark(master: str | None = None, app: str = "vidlens",
     return spark
 
 
+# Suggested settings for a large cluster (~100 TB input, ~1000 executors).
+# Not applied by the library; pass them to ``get_spark(conf=...)`` or the
+# submit command.  AQE starts from many shuffle partitions and coalesces them
+# to ~256 MB, splits skewed join partitions, and the scan packs files into
+# ~256 MB splits.
+LARGE_CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -89,8 +89,12 @@ def parse_crawl_lines(lines: DataFrame, value: str = "value") -> DataFrame:
                         related.alias("related_ids"), status.alias("status"))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after counting it: the size bound is checked."""
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast ``df`` only after counting it: the size bound is checked.
+
+    Used for the crawl-date table (two short strings per crawl folder), so
+    100,000 rows stay within a few megabytes; beyond that the join is left to
+    the planner (shuffle join, AQE skew handling)."""
     return F.broadcast(df) if df.count() <= max_rows else df
 
 

@@ -9,6 +9,10 @@ reference's row-by-row insert, at batch granularity.
 Output is idempotent per batch: batch ``N`` overwrites
 ``<table>/batch_id=N`` and only compares against batches ``< N``, so a
 batch replayed after a failure rewrites the same rows.
+
+Per batch, the stored key column is scanned and probed against the batch's
+keys (broadcast when their count is under ``max_broadcast_keys``; bound the
+batch with ``max_files_per_trigger``), so the stored table is never shuffled.
 """
 
 from __future__ import annotations
@@ -32,7 +36,8 @@ def _stream_lines(spark: SparkSession, root: str, max_files: int | None) -> Data
         F.col("_metadata.file_block_start").alias("start"))
 
 
-def _batch_writer(spark: SparkSession, root: str, table: str, accounting: str):
+def _batch_writer(spark: SparkSession, root: str, table: str, accounting: str,
+                  max_broadcast_keys: int = 5_000_000):
     def run(batch: DataFrame, batch_id: int) -> None:
         lines = (batch.where(F.col("file_name") != S.LOG_FILE)
                  .select(F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1).alias("folder"),
@@ -43,9 +48,15 @@ def _batch_writer(spark: SparkSession, root: str, table: str, accounting: str):
         fs = spark._jvm.org.apache.hadoop.fs.Path(table)
         exists = fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs)
         if exists:
-            seen = (spark.read.parquet(table).where(F.col("batch_id") < batch_id)
-                    .select(S.KEY))
-            videos = videos.join(seen, S.KEY, "left_anti")
+            stored = spark.read.parquet(table).where(F.col("batch_id") < batch_id).select(S.KEY)
+            keys = videos.select(S.KEY)
+            if keys.count() <= max_broadcast_keys:
+                # probe the stored key column against the (checked-size) batch
+                # keys: the stored table is scanned, never shuffled
+                known = stored.join(F.broadcast(keys), S.KEY, "left_semi").distinct()
+            else:
+                known = stored.join(keys, S.KEY, "left_semi").distinct()
+            videos = videos.join(known, S.KEY, "left_anti")
         (videos.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}"))
         acc.write.mode("overwrite").parquet(f"{accounting}/batch_id={batch_id}")
     return run
@@ -53,14 +64,14 @@ def _batch_writer(spark: SparkSession, root: str, table: str, accounting: str):
 
 def stream_crawls(spark: SparkSession, root: str, table: str, accounting: str,
                   checkpoint: str, max_files_per_trigger: int | None = None,
-                  available_now: bool = True):
+                  available_now: bool = True, max_broadcast_keys: int = 5_000_000):
     """Start the ingest stream; returns the ``StreamingQuery``.
 
     ``available_now=True`` processes what is there and stops (for scheduled
     runs); ``False`` keeps polling every 10 seconds.
     """
     lines = _stream_lines(spark, root, max_files_per_trigger)
-    w = (lines.writeStream.foreachBatch(_batch_writer(spark, root, table, accounting))
+    w = (lines.writeStream.foreachBatch(_batch_writer(spark, root, table, accounting, max_broadcast_keys))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
