@@ -57,3 +57,13 @@ def test_metric_table(spark):
     got = dict(map(tuple, t.collect()))
     assert got["Total Videos"] == "2" and got["Average Views"] == "6.000000"
     assert '"video_id":"b"' in got["Top Rated Video"]
+
+
+def test_single_csv_keeps_global_order(spark, tmp_dir):
+    df = spark.range(0, 5000, 1, 8).select((F.col("id") * 7919 % 5000).alias("views")).orderBy(F.col("views").desc())
+    out = writers.write_single_csv(df, os.path.join(tmp_dir, "sorted"), max_rows=None)
+    part = [x for x in os.listdir(out) if x.endswith(".csv")]
+    assert len(part) == 1
+    with open(os.path.join(out, part[0])) as f:
+        vals = [int(x) for x in f.read().splitlines()[1:]]
+    assert vals == sorted(vals, reverse=True) and len(vals) == 5000

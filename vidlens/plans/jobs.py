@@ -19,6 +19,9 @@ from vidlens.plans import charts
 from vidlens.sinks import writers
 
 PARTS = ("statistics", "top", "categories", "trends", "related", "charts")
+# Results whose size follows the data (one row per category, per day, per
+# video): written by every task in parallel, as a CSV folder (B1).
+PARALLEL_OUTPUTS = ("category_stats", "trends", "related_analysis")
 
 
 def load_and_store(spark, root: str, out_dir: str, strict: bool = False) -> dict:
@@ -113,10 +116,12 @@ def report(df: DataFrame, out_dir: str | None = None, top_n=S.TOP_N_DEFAULT,
         for name, d in res.items():
             if name in ("summary", "top_rated", "most_watched"):
                 continue
-            if name == "related_analysis":
+            if name in PARALLEL_OUTPUTS:
                 writers.write_csv(d, os.path.join(out_dir, name))
             else:
-                writers.write_single_csv(d, os.path.join(out_dir, name))
+                # bounded by construction (5 statistics, <= 100 top rows, chart
+                # datasets of fixed bins / points / pairs / categories / months)
+                writers.write_single_csv(d, os.path.join(out_dir, name), max_rows=None)
     return res
 
 

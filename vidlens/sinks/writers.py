@@ -42,14 +42,17 @@ def write_single_csv(df: DataFrame, path: str, order_by: Sequence[str] | None =
                      mode: str = "overwrite", max_rows: int | None = 1_000_000) -> str:
     """One CSV part file with one header, rows in a fixed order.
 
-    Meant for small results (aggregates, top-N, pages): the row count is
-    checked first, then one task writes the sorted rows.
+    Meant for small results (aggregates, top-N, pages).  ``coalesce(1)`` keeps
+    an existing global sort (partitions are concatenated in order);
+    ``order_by`` sorts the single partition instead.  With ``max_rows`` the
+    row count is checked first -- an extra pass, so callers whose result is
+    bounded by construction pass ``None``.
     """
     if max_rows is not None:
         n = df.limit(max_rows + 1).count()
         if n > max_rows:
             raise ValueError(f"result has more than {max_rows} rows; use write_csv")
-    one = csv_ready(df).repartition(1)
+    one = csv_ready(df).coalesce(1)
     if order_by:
         one = one.sortWithinPartitions(*order_by)
     one.write.mode(mode).options(**CSV_OPTIONS).csv(path)
