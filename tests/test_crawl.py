@@ -94,3 +94,22 @@ def test_streaming_first_wins_across_batches(spark, tmp_dir):
     assert got["bbb"]["crawl_date"] == "080610" and got["bbb"]["views"] == 50
     batches = {r["batch_id"] for r in spark.read.parquet(table).select("batch_id").collect()}
     assert len(batches) == 2
+
+
+def test_cli_prepare_report_slice(spark, tmp_dir):
+    from vidlens import cli
+    root = write_tree(os.path.join(tmp_dir, "crawl"))
+    out = os.path.join(tmp_dir, "out")
+    assert cli.main(["load", root, out]) == 0
+    table = os.path.join(tmp_dir, "clean")
+    assert cli.main(["prepare", "parquet", os.path.join(out, "videos"), table]) == 0
+    assert cli.main(["report", table, os.path.join(tmp_dir, "report"), "--top", "3"]) == 0
+    assert "top_3_views" in os.listdir(os.path.join(tmp_dir, "report"))
+    assert cli.main(["slice", table, "--age", "0-500", "--page", "0"]) == 0
+
+
+def test_crawl_date_as_date(spark):
+    from vidlens.functions import columns as C
+    df = spark.createDataFrame([("080610",), ("0806xx",), (None,)], "crawl_date string")
+    got = [r[0] for r in df.select(C.crawl_date_as_date("crawl_date")).collect()]
+    assert str(got[0]) == "2008-06-10" and got[1:] == [None, None]

@@ -100,7 +100,7 @@ def crawl_date_of(text="value", pattern: str = S.CRAWL_DATE_PATTERN) -> Column:
 
 def crawl_date_as_date(c="crawl_date") -> Column:
     """``YYMMDD`` text as a date (null when malformed)."""
-    return F.try_to_date(_c(c), "yyMMdd") if hasattr(F, "try_to_date") else F.to_date(_c(c), "yyMMdd")
+    return F.try_to_date(_c(c), "yyMMdd")
 
 
 def delimited(c, sep: str = ",") -> Column:
