@@ -8,7 +8,7 @@ from vidlens.operators.filters import (count_matches, filter_videos, length_wind
                                        quantile_bounds, range_filter, valid_age)
 from vidlens.operators.quantiles import exact_quantiles, quantile_scalar
 from vidlens.operators.stats import (arg_max_row, category_stats, correlation_matrix, correlation_pairs,
-                                     correlation_wide, most_watched, quantiles, summary_statistics, top_rated)
+                                     correlation_wide, most_watched, summary_statistics, top_rated)
 from vidlens.operators.topn import (next_page, page, page_count, prev_page, preview, sort_by, top_comments,
                                     top_n, top_rating, top_views, validate_n)
 from vidlens.operators.trends import daily_trend, monthly_trend, reaggregate_trend
