@@ -181,3 +181,12 @@ def test_exact_quantiles_property(spark, values, probs, parts):
     got = list(quantiles.exact_quantiles(df, "x", probs, partitions=parts).collect()[0])
     want = pd.Series(values, dtype=float).quantile(probs).tolist()
     assert np.allclose(got, want)
+
+
+def test_parse_range_like_filter_box():
+    assert C.parse_range(" 10 - 5 ", int) == (5, 10)
+    assert C.parse_range("", int) is None
+    for bad in ["5", "1-2-3", "-5-10", "a-b"]:
+        with pytest.raises(ValueError):
+            C.parse_range(bad, int)
+    assert C.parse_range("4.5-2", float) == (2.0, 4.5)

@@ -111,8 +111,9 @@ def delimited(c, sep: str = ",") -> Column:
 def parse_range(text, cast=float):
     """``"lo-hi"`` text into sorted bounds; blank gives None.
 
-    Exactly two parts are required.  A leading minus on the first bound is
-    allowed ("-5-10").  Bounds are sorted so reversed input swaps.
+    The text is split on every ``-`` and must give exactly two numbers (so a
+    negative bound is an error, as in the reference's filter box).  Bounds
+    are sorted, so reversed input swaps.
     """
     if text is None:
         return None
@@ -124,11 +125,8 @@ def parse_range(text, cast=float):
     s = str(text).strip()
     if not s:
         return None
-    neg = s.startswith("-")
-    parts = (s[1:] if neg else s).split("-")
+    parts = s.split("-")
     if len(parts) != 2:
         raise ValueError(f"range must look like 'lo-hi': {text!r}")
-    if neg:
-        parts[0] = "-" + parts[0]
     lo, hi = (cast(p.strip()) for p in parts)
     return tuple(sorted((lo, hi)))
