@@ -190,3 +190,33 @@ def test_parse_range_like_filter_box():
         with pytest.raises(ValueError):
             C.parse_range(bad, int)
     assert C.parse_range("4.5-2", float) == (2.0, 4.5)
+
+
+def test_summary_with_nulls_and_empty(spark):
+    pdf = pd.DataFrame({"views": [5.0, None, 9.0, float("nan"), 1.0, 9.0]})
+    df = spark.createDataFrame([(None if v is None or (isinstance(v, float) and math.isnan(v)) else int(v),)
+                                for v in pdf["views"]], "views long")
+    r = stats.summary_statistics(df).collect()[0]
+    assert r["total_videos"] == 6
+    assert r["average_views"] == pdf["views"].mean() and r["median_views"] == pdf["views"].median()
+    empty = spark.createDataFrame([], "views long")
+    assert list(stats.summary_statistics(empty).collect()[0]) == [0, None, None]
+    b = stats.summary_statistics(df, method="builtin").collect()[0]
+    assert list(b) == list(r)
+
+
+def test_quantile_stats_all_null_group(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "g string, x double")
+    got = {r["g"]: r for r in quantiles.exact_quantiles(df, "x", [0.5], by=["g"], stats=True).collect()}
+    assert (got["a"]["q_0_5"], got["a"]["rows"], got["a"]["count"], got["a"]["min"], got["a"]["max"],
+            got["a"]["sum"]) == (2.0, 2, 2, 1.0, 3.0, 4.0)
+    assert (got["b"]["q_0_5"], got["b"]["rows"], got["b"]["count"]) == (None, 1, 0)
+
+
+def test_length_summary_methods_agree(spark):
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame(pd.DataFrame({"views": rng.integers(1, 10**5, 800),
+                                             "length": rng.integers(0, 4000, 800)}))
+    a = distribution.length_range_summary(df).collect()
+    b = distribution.length_range_summary(df, method="builtin").collect()
+    assert [tuple(r) for r in a] == [tuple(r) for r in b]

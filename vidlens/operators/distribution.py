@@ -125,16 +125,21 @@ def length_range_summary(df: DataFrame, col: str = "views", length: str = "lengt
     quantile operator.  Empty ranges are absent; rows are in range order.
     """
     t = length_range_table(df, col, length).where(F.col("length_range").isNotNull())
-    basic = t.groupBy("length_range", "range_order").agg(
-        F.count(F.lit(1)).alias("n"), F.min(col).cast("double").alias("min"),
-        F.max(col).cast("double").alias("max"))
-    qs = exact_quantiles(t, col, [0.25, 0.5, 0.75], by=["length_range"],
-                         names=["q1", "median", "q3"], method=method,
-                         max_groups=len(S.LENGTH_LABELS))
-    # both sides have one row per length range (at most six)
-    return (basic.join(F.broadcast(qs), "length_range")
-                 .select("length_range", "range_order", "n", "min", "q1", "median", "q3", "max")
-                 .orderBy("range_order"))
+    if method == "exact":
+        # count, min and max come with the quartiles from one value-count pass
+        qs = exact_quantiles(t, col, [0.25, 0.5, 0.75], by=["length_range", "range_order"],
+                             names=["q1", "median", "q3"], max_groups=len(S.LENGTH_LABELS), stats=True)
+        qs = qs.withColumnRenamed("count", "n")
+    else:
+        basic = t.groupBy("length_range", "range_order").agg(
+            F.count(F.col(col)).alias("n"), F.min(col).cast("double").alias("min"),
+            F.max(col).cast("double").alias("max"))
+        q = exact_quantiles(t, col, [0.25, 0.5, 0.75], by=["length_range", "range_order"],
+                            names=["q1", "median", "q3"], method=method)
+        # both sides have one row per length range (at most six)
+        qs = basic.join(F.broadcast(q), ["length_range", "range_order"])
+    return (qs.select("length_range", "range_order", "n", "min", "q1", "median", "q3", "max")
+              .orderBy("range_order"))
 
 
 def length_range_density(df: DataFrame, col: str = "views", length: str = "length",

@@ -31,16 +31,25 @@ def _qname(q: float) -> str:
     return "q_" + f"{q:g}".replace(".", "_").replace("-", "m")
 
 
+STATS = ("rows", "count", "min", "max", "sum")
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     by: Sequence[str] = (), names: Sequence[str] | None = None,
                     method: str = "exact", partitions: int | None = None,
-                    accuracy: int = 10000, max_groups: int | None = None) -> DataFrame:
+                    accuracy: int = 10000, max_groups: int | None = None,
+                    stats: bool = False) -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
     Nulls and NaN are ignored (pandas skips them).  Groups with no values are
     absent.  ``max_groups`` is a caller-proven bound on the number of groups;
     with it (or without ``by``) the small range directory is broadcast,
     otherwise AQE picks the join from measured sizes.
+
+    ``stats=True`` (exact method) adds ``rows`` (all rows, nulls included),
+    ``count``, ``min``, ``max`` and ``sum`` of the values per group, taken
+    from the same value-count table -- no second scan of the input -- and
+    keeps groups whose values are all null (their quantiles are null).
     """
     probs = [float(q) for q in probs]
     for q in probs:
@@ -50,6 +59,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     by = list(by)
     x = F.col(col).cast("double")
     base = df.select(*by, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    if stats and method != "exact":
+        raise ValueError("stats=True needs method='exact'")
 
     if method == "builtin":
         return base.groupBy(*by).agg(*[
@@ -65,6 +76,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     P = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A whole-table quantile is the one-group case of the grouped one.
     keys = by or ["_g"]
+    if stats:
+        # keep null rows (as one null value per group) so ``rows`` counts them
+        base = df.select(*by, F.when(~F.isnan(x), x).alias("_x"))
     if not by:
         base = base.withColumn("_g", F.lit(0))
 
@@ -83,7 +97,11 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
 
     # 3. directory of ranges (groups x P rows): first rank and group size.
     wg = Window.partitionBy(*keys).orderBy("_pid")
-    rdir = (vr.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_pc"))
+    valued = F.col("_x").isNotNull()
+    rdir = (vr.groupBy(*keys, "_pid").agg(
+                F.coalesce(F.sum(F.when(valued, F.col("_c"))), F.lit(0)).alias("_pc"),
+                F.sum("_c").alias("_rows"), F.min("_x").alias("_mn"), F.max("_x").alias("_mx"),
+                F.sum(F.col("_x") * F.col("_c")).alias("_sx"))
               .withColumn("_start", F.coalesce(
                   F.sum("_pc").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .withColumn("_n", F.sum("_pc").over(Window.partitionBy(*keys))))
@@ -102,7 +120,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                .select(*keys, "_pid", "_start", "_n")
     if not by or max_groups:
         need = F.broadcast(need)  # at most groups * 2 * len(probs) rows
-    cand = vr.join(need, [*keys, "_pid"], "inner")
+    cand = vr.where(valued).join(need, [*keys, "_pid"], "inner")
     wp = Window.partitionBy(*keys, "_pid").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     cand = (cand.withColumn("_end", F.col("_start") + F.sum("_c").over(wp))
                 .withColumn("_begin", F.col("_end") - F.col("_c")))
@@ -119,6 +137,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     out = out.select(*keys, *[
         (F.col(f"_lo{i}") + (F.col(f"_h{i}") - F.floor(f"_h{i}")) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(n)
         for i, n in enumerate(names)])
+    if stats:
+        # per-group totals from the range directory (groups x P rows)
+        gst = rdir.groupBy(*keys).agg(
+            F.sum("_rows").alias("rows"), F.sum("_pc").alias("count"), F.min("_mn").alias("min"),
+            F.max("_mx").alias("max"), F.sum("_sx").alias("sum"))
+        if not by or max_groups:
+            out = F.broadcast(out)  # one row per group, bounded as above
+        out = gst.join(out, keys, "left").select(*keys, *names, *STATS)
     return out if by else out.drop("_g")
 
 

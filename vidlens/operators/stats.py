@@ -29,14 +29,20 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def summary_statistics(df: DataFrame, col: str = "views", method: str = "exact") -> DataFrame:
     """One row ``total_videos, average_<col>, median_<col>``.
 
-    The count and mean are one aggregate; the exact median comes from the
-    distributed quantile operator and joins in as a lazy scalar subquery.
+    With the exact method, the row count, the mean and the median all come
+    from one pass: the distributed quantile operator's value-count table also
+    yields the totals.  The final global aggregate keeps exactly one row (an
+    empty table gives 0, null, null).
     """
-    med = exact_quantiles(df, col, [0.5], names=["m"], method=method).select("m").scalar()
-    return df.agg(
-        F.count(F.lit(1)).alias("total_videos"),
-        F.avg(F.col(col)).alias(f"average_{col}"),
-    ).select("*", med.alias(f"median_{col}"))
+    if method != "exact":
+        med = exact_quantiles(df, col, [0.5], names=["m"], method=method).select("m").scalar()
+        return df.agg(F.count(F.lit(1)).alias("total_videos"),
+                      F.avg(F.col(col)).alias(f"average_{col}")).select("*", med.alias(f"median_{col}"))
+    q = exact_quantiles(df, col, [0.5], names=["median"], stats=True)
+    return q.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_videos"),
+        F.try_divide(F.sum("sum"), F.sum("count")).alias(f"average_{col}"),
+        F.max("median").alias(f"median_{col}"))
 
 
 def arg_max_row(df: DataFrame, metric: str, tie_break: Sequence[str] | None = None) -> DataFrame:
