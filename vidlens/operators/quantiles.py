@@ -142,7 +142,12 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
         gst = rdir.groupBy(*keys).agg(
             F.sum("_rows").alias("rows"), F.sum("_pc").alias("count"), F.min("_mn").alias("min"),
             F.max("_mx").alias("max"), F.sum("_sx").alias("sum"))
-        if not by or max_groups:
+        if not by:
+            # one group: the quantiles enter as a scalar subquery (a join on
+            # the constant key would fold into a cross join)
+            qv = out.select(F.struct(*names)).scalar()
+            return gst.select(*[qv.getField(n).alias(n) for n in names], *STATS)
+        if max_groups:
             out = F.broadcast(out)  # one row per group, bounded as above
         out = gst.join(out, keys, "left").select(*keys, *names, *STATS)
     return out if by else out.drop("_g")
