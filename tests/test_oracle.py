@@ -45,3 +45,17 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert rows_of(df.columns, srows) == rows_of(dcols, drows)
+
+
+@pytest.mark.parametrize("name", ["related_correlation", "crawl_parse", "coerce_numeric", "tolerant_csv",
+                                  "correlation_pairs", "summary_statistics"])
+def test_query_matches_oracle_without_ansi(spark, con, name):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = E.queries()[name](spark, SF001)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    res = con.execute(E.oracle_sql()[name])
+    dcols = [d[0] for d in res.description]
+    assert rows_of(df.columns, srows) == rows_of(dcols, res.fetchall())

@@ -65,4 +65,5 @@ def related_correlation(related: DataFrame) -> DataFrame:
 
 def related_counts(df: DataFrame, col: str = "related_ids") -> DataFrame:
     """Numeric view of the related table for H9: number of related ids."""
-    return df.withColumn("related_count", F.coalesce(F.size(col), F.lit(0)))
+    # explicit null case: with ANSI off, size(null) is -1 (legacy rule)
+    return df.withColumn("related_count", F.when(F.col(col).isNull(), F.lit(0)).otherwise(F.size(col)))
