@@ -28,8 +28,9 @@ def read_crawl_lines(spark: SparkSession, root: str) -> DataFrame:
 
     Columns: ``folder`` (parent directory path), ``file_name``, ``line_pos``
     (``struct(split start, row in split)`` -- sorts in file order) and
-    ``value``.  The file filter is a glob on the listing, so no log text is
-    read here.
+    ``value``.  The ``*.txt`` glob prunes the listing; ``log.txt`` (a glob
+    cannot exclude one name) is dropped by a filter on the file name -- its
+    few lines are read and discarded.
     """
     raw = (spark.read.option("recursiveFileLookup", "true")
            .option("pathGlobFilter", "*.txt").text(root))
