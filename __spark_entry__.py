@@ -379,20 +379,23 @@ def _related_corr_sql() -> str:
 
 
 _LDENS = f"""with {_VIDEOS}, {_BAND},
-  t as (select case {_LEN_CASE} end as length_range, log10(views) as lv from band where views > 0),
+  t as (select case {_LEN_CASE} end as length_range, cast(views as double) as lv from band),
   s as (select length_range, count(*) as n, min(lv) as lo, max(lv) as hi, stddev_samp(lv) as sd
         from t where length_range is not null group by 1),
-  s2 as (select length_range, n, lo, hi, sd * pow(cast(n as double), -0.2) as h,
+  s1 as (select *, sd * pow(cast(n as double), -0.2) as h from s),
+  s2 as (select length_range, n, lo, hi, h,
                 case when hi > lo then hi - lo else 1.0 end as span,
-                case when hi > lo then (hi - lo) / 199 else 0.0 end as step from s),
+                lo - 2.0 * h as g0,
+                case when (hi + 2.0 * h) > (lo - 2.0 * h) then ((hi + 2.0 * h) - (lo - 2.0 * h)) / 99 else 0.0 end as step
+         from s1),
   m as (select t.length_range, least(cast(floor((lv - lo) / span * 2048) as integer), 2047) as b, count(*) as m
         from t join s2 using (length_range) group by 1, 2),
-  k as (select m.length_range, cast(r.i as integer) as point, lo + r.i * step as x,
-               m.m * exp(-0.5 * pow(((lo + r.i * step) - (lo + (m.b + 0.5) * span / 2048)) / h, 2)) as t, n, h
-        from m join s2 using (length_range), (select range as i from range(200)) r),
+  k as (select m.length_range, cast(r.i as integer) as point, g0 + r.i * step as x,
+               m.m * exp(-0.5 * pow(((g0 + r.i * step) - (lo + (m.b + 0.5) * span / 2048)) / h, 2)) as t, n, h
+        from m join s2 using (length_range), (select range as i from range(100)) r),
   d as (select length_range, point, x, sum(t) / (n * h * {_SQRT2PI}) as density from k
         group by length_range, point, x, n, h)
-select length_range, point, {_r('x', 'log_x')}, {_r('pow(10.0, x)', 'x')},
+select length_range, point, {_r('x', 'x')},
        {_r('density / max(density) over (partition by length_range)', 'density')} from d"""
 
 ORACLE: dict[str, str] = {

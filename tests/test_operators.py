@@ -220,3 +220,22 @@ def test_length_summary_methods_agree(spark):
     a = distribution.length_range_summary(df).collect()
     b = distribution.length_range_summary(df, method="builtin").collect()
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
+
+
+def test_violin_curves_match_exact_kde(spark):
+    rng = np.random.default_rng(21)
+    pdf = pd.DataFrame({"views": rng.integers(100, 20000, 1500), "length": rng.integers(1, 3599, 1500)})
+    got = distribution.length_range_density(spark.createDataFrame(pdf)).toPandas()
+    w = pdf[(pdf["length"] > 0) & (pdf["length"] < 3600)]
+    lo, hi = w["views"].quantile([0.01, 0.99])
+    w = w[(w["views"] >= lo) & (w["views"] <= hi)].copy()
+    w["r"] = pd.cut(w["length"], bins=S.LENGTH_EDGES, labels=S.LENGTH_LABELS)
+    for lab, g in w.groupby("r", observed=True):
+        x = g["views"].to_numpy(float)
+        h = x.std(ddof=1) * len(x) ** (-0.2)
+        grid = np.linspace(x.min() - 2 * h, x.max() + 2 * h, 100)
+        dens = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(1)
+        dens = dens / dens.max()
+        mine = got[got["length_range"] == lab].sort_values("point")
+        assert np.allclose(mine["x"], grid)
+        assert np.allclose(mine["density"], dens, atol=5e-3)

@@ -57,24 +57,29 @@ def log_histogram(df: DataFrame, col: str = "views", bins: int = S.HISTOGRAM_BIN
                         F.coalesce(F.col("count"), F.lit(0)).alias("count")))
 
 
-def log_density(df: DataFrame, col: str = "views", points: int = S.DENSITY_GRID,
-                prebins: int = 2048, by: str | None = None, peak_normalise: bool = False,
-                max_groups: int | None = None) -> DataFrame:
-    """Gaussian KDE of ``log10(col)`` on ``points`` evenly spaced points.
-
-    Bandwidth is Scott's rule, ``stddev_samp * n^(-1/5)``; the grid spans
-    min..max.  Mass is first pre-aggregated into ``prebins`` equal bins (at
-    their centres), and each occupied bin emits its ``points`` kernel terms
-    with ``explode(sequence(...))`` -- at most ``prebins * points`` rows per
-    group whatever the table size, and no join.
-
-    ``by`` computes one curve per group (F16's violins); ``peak_normalise``
-    scales each curve so its maximum is 1 (equal-width violins).  The
-    per-group statistics (one row per group) are broadcast only under a
-    caller-proven ``max_groups``; otherwise AQE chooses the join.
+def kde(df: DataFrame, col: str = "views", points: int = S.DENSITY_GRID, prebins: int = 2048,
+        by: str | None = None, log: bool = True, cut: float = 0.0, peak_normalise: bool = False,
+        max_groups: int | None = None) -> DataFrame:
+    """Gaussian kernel density of ``col`` (or of ``log10(col)``) on a grid.
+
+    Bandwidth is Scott's rule, ``h = stddev_samp * n^(-1/5)``; the grid has
+    ``points`` evenly spaced points from ``min - cut*h`` to ``max + cut*h``.
+    Mass is first pre-aggregated into ``prebins`` equal bins (at their
+    centres), and each occupied bin emits its ``points`` kernel terms with
+    ``explode(sequence(...))`` -- at most ``prebins * points`` rows per group
+    whatever the table size, and no join of data-sized inputs.
+
+    ``by`` gives one curve per group; the per-group statistics (one row per
+    group) are broadcast only under a caller-proven ``max_groups``, otherwise
+    AQE chooses the join.  ``peak_normalise`` scales each curve to a maximum
+    of 1.  ``log=True`` drops values <= 0 (the log axis) and adds ``log_x``.
     """
     keys = [by] if by else []
-    src = df.where(F.col(col) > 0).select(*keys, F.log10(F.col(col).cast("double")).alias("lv"))
+    v = F.col(col).cast("double")
+    if log:
+        src = df.where(F.col(col) > 0).select(*keys, F.log10(v).alias("lv"))
+    else:
+        src = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("lv"))
     if by:
         src = src.where(F.col(by).isNotNull())
     st = src.groupBy(*keys).agg(
@@ -93,16 +98,22 @@ def log_density(df: DataFrame, col: str = "views", points: int = S.DENSITY_GRID,
                      F.lit(prebins - 1)))
     mass = binned.groupBy(*keys, "b", "n", "lo", "hi", "h").agg(F.count(F.lit(1)).alias("m"))
     center = F.col("lo") + (F.col("b") + F.lit(0.5)) * span / F.lit(prebins)
-    step = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / F.lit(points - 1)).otherwise(F.lit(0.0))
+    if cut:
+        g0 = F.col("lo") - F.lit(float(cut)) * F.col("h")
+        g1 = F.col("hi") + F.lit(float(cut)) * F.col("h")
+    else:
+        g0, g1 = F.col("lo"), F.col("hi")
+    step = F.when(g1 > g0, (g1 - g0) / F.lit(points - 1)).otherwise(F.lit(0.0))
     terms = (mass.withColumn("c", center)
                  .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-                 .withColumn("x", F.col("lo") + F.col("i") * step)
+                 .withColumn("x", g0 + F.col("i") * step)
                  .withColumn("t", F.col("m") * F.exp(F.lit(-0.5) * F.pow((F.col("x") - F.col("c")) / F.col("h"), 2))))
     dens = terms.groupBy(*keys, "i").agg(
-        F.first("x").alias("log_x"),
+        F.first("x").alias("gx"),
         (F.sum("t") / (F.first("n") * F.first("h") * F.lit(SQRT_2PI))).alias("density"))
-    dens = dens.select(*keys, F.col("i").alias("point"), "log_x",
-                       F.pow(F.lit(10.0), F.col("log_x")).alias("x"), "density")
+    xs = ([F.col("gx").alias("log_x"), F.pow(F.lit(10.0), F.col("gx")).alias("x")] if log
+          else [F.col("gx").alias("x")])
+    dens = dens.select(*keys, F.col("i").alias("point"), *xs, "density")
     if peak_normalise:
         from pyspark.sql import Window
         w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
@@ -110,6 +121,15 @@ def log_density(df: DataFrame, col: str = "views", points: int = S.DENSITY_GRID,
     return dens
 
 
+def log_density(df: DataFrame, col: str = "views", points: int = S.DENSITY_GRID,
+                prebins: int = 2048, by: str | None = None, peak_normalise: bool = False,
+                max_groups: int | None = None) -> DataFrame:
+    """the histogram's density curve -- KDE of ``log10(col)`` on
+    ``points`` points from min to max (no extension past the data)."""
+    return kde(df, col, points, prebins, by=by, log=True, cut=0.0,
+               peak_normalise=peak_normalise, max_groups=max_groups)
+
+
 def length_range_table(df: DataFrame, col: str = "views", length: str = "length") -> DataFrame:
     """F16 input: D7 -> D8 -> E3, rows with ``length_range`` and its order."""
     band = quantile_band(length_window(df, length), col)
@@ -143,8 +163,11 @@ def length_range_summary(df: DataFrame, col: str = "views", length: str = "lengt
 
 
 def length_range_density(df: DataFrame, col: str = "views", length: str = "length",
-                         points: int = S.DENSITY_GRID) -> DataFrame:
-    """F16 shapes: per-range density of ``log10(col)``, each scaled to peak 1."""
+                         points: int = S.VIOLIN_GRID, cut: float = S.VIOLIN_CUT) -> DataFrame:
+    """F16 shapes: per-range violin curves of ``col`` (linear values, as the
+    violins are drawn before the axis turns logarithmic), grid extended
+    ``cut`` bandwidths past the data, each curve scaled to peak 1 (equal
+    widths)."""
     t = length_range_table(df, col, length)
-    return log_density(t, col, points, by="length_range", peak_normalise=True,
-                       max_groups=len(S.LENGTH_LABELS))
+    return kde(t, col, points, by="length_range", log=False, cut=cut, peak_normalise=True,
+               max_groups=len(S.LENGTH_LABELS))

@@ -49,6 +49,9 @@ BAND_QUANTILES = (0.01, 0.99)
 # Views histogram: bins on the log10 axis; density grid points.
 HISTOGRAM_BINS = 50
 DENSITY_GRID = 200
+# Violin curves per length range: grid points and extension in bandwidths.
+VIOLIN_GRID = 100
+VIOLIN_CUT = 2
 # Top-N: default N and the accepted range.
 TOP_N_DEFAULT = 10
 TOP_N_MAX = 100
