@@ -113,3 +113,10 @@ def test_crawl_date_as_date(spark):
     df = spark.createDataFrame([("080610",), ("0806xx",), (None,)], "crawl_date string")
     got = [r[0] for r in df.select(C.crawl_date_as_date("crawl_date")).collect()]
     assert str(got[0]) == "2008-06-10" and got[1:] == [None, None]
+
+
+def test_strict_load_raises_on_bad_integer(spark, tmp_dir):
+    import pytest
+    root = write_tree(tmp_dir)
+    with pytest.raises(ValueError, match="unparsable"):
+        crawl.load_crawls(spark, root, strict=True)
