@@ -61,3 +61,15 @@ def test_normalised_categories(spark):
     raw = stats.category_stats(df).count()
     norm = {r["category"]: r["avg_views"] for r in stats.category_stats(df, normalise=True).collect()}
     assert raw == 4 and norm == {"News & Politics": 2.0, "UNA": 6.0}
+
+
+def test_density_in_histogram_units(spark):
+    import numpy as np
+    v = adapter.videos(spark, SF001)
+    d = charts.views_distribution(v)
+    h = d["histogram"].toPandas().sort_values("bin")
+    c = d["density"].toPandas().sort_values("point")
+    width = np.log10(h["bin_hi"].iloc[0]) - np.log10(h["bin_lo"].iloc[0])
+    # the scaled curve integrates (over log10 units) to about n * bin width
+    area = np.trapezoid(c["count_density"], c["log_x"])
+    assert abs(area / (h["count"].sum() * width) - 1) < 0.1
