@@ -10,9 +10,16 @@ sides (averages differ in the last digits between engines and runs).
 from __future__ import annotations
 
 import math
+import os
+import sys
 from collections.abc import Callable
 from itertools import combinations
 
+# importable from anywhere: the package sits next to this file
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
