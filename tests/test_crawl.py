@@ -120,3 +120,11 @@ def test_strict_load_raises_on_bad_integer(spark, tmp_dir):
     root = write_tree(tmp_dir)
     with pytest.raises(ValueError, match="unparsable"):
         crawl.load_crawls(spark, root, strict=True)
+
+
+def test_strip_like_python(spark):
+    from vidlens.functions import columns as C
+    raw = ["\\x1c a\\tb \\xa0", "\\u3000x\\u2028", "  ", "\\ty\\t\\t"]
+    raw = [r.encode().decode("unicode_escape") for r in raw]
+    df = spark.createDataFrame([(r,) for r in raw], "v string")
+    assert [r[0] for r in df.select(C.strip_ws("v")).collect()] == [r.strip() for r in raw]

@@ -70,13 +70,15 @@ def to_number(c, default=0, integer: bool = True, numeric_input: bool = False) -
     return v.cast("bigint") if integer else v
 
 
-# ASCII whitespace removed by ``str.strip()``: space, \t, \n, \v, \f, \r.
-ASCII_WS = " \t\n\x0b\x0c\r"
+# Every character Python's ``str.strip()`` removes (``str.isspace``), built
+# from that rule: ASCII space and \t-\r, \x1c-\x1f, \x85, \xa0 and the
+# Unicode spaces up to U+3000.
+PY_WS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def strip_ws(c) -> Column:
-    """Python ``str.strip()`` for ASCII whitespace: both ends."""
-    return F.btrim(_c(c), F.lit(ASCII_WS))
+    """Python ``str.strip()``: whitespace removed at both ends."""
+    return F.btrim(_c(c), F.lit(PY_WS))
 
 
 def parse_int_field(c, to: str = "int") -> Column:
