@@ -67,3 +67,24 @@ def test_single_csv_keeps_global_order(spark, tmp_dir):
     with open(os.path.join(out, part[0])) as f:
         vals = [int(x) for x in f.read().splitlines()[1:]]
     assert vals == sorted(vals, reverse=True) and len(vals) == 5000
+
+
+def test_errorifexists_sink_and_generic_reader(spark, tmp_dir):
+    import pytest
+    from pyspark.errors import AnalysisException
+    df = spark.createDataFrame([("a", 1)], "category string, views long")
+    p = os.path.join(tmp_dir, "b2")
+    writers.write_csv(df, p, mode="errorifexists")
+    with pytest.raises(AnalysisException):
+        writers.write_csv(df, p, mode="errorifexists")
+    back = tables.read_table(spark, "csv", p, schema="category string, views long", header=True)
+    assert back.collect()[0]["views"] == 1
+    with pytest.raises(AnalysisException):
+        tables.read_parquet(spark, os.path.join(tmp_dir, "missing")).count()
+
+
+def test_preview_and_schema(spark):
+    from vidlens.operators import topn
+    df = spark.range(50).withColumnRenamed("id", "views")
+    assert topn.preview(df).count() == 5 and topn.preview(df, 3).count() == 3
+    assert topn.preview(df).schema == df.schema
