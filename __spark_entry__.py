@@ -196,6 +196,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fill_defaults": q_fill_defaults,
     "related_string": q_related_string,
     "page": lambda s, d: _round(topn.page(_videos(s, d), 2, 100)),
+    "page_deep": lambda s, d: _round(topn.page(_videos(s, d), 450, 100)),
     "crawl_parse": q_crawl_parse,
     "crawl_load": q_crawl_load,
     "crawl_accounting": q_crawl_accounting,
@@ -470,6 +471,8 @@ select event_id, kind, cast(trunc(v) as bigint) as views, round(v, 6) as rating
                       "else concat('p', l_partkey, ',s', l_suppkey) end as related_ids from lineitem",
     "page": f"with {_VIDEOS}, t as (select * from videos order by {', '.join(_VCOLS)} limit 100 offset 200) "
             f"select {_vsel()} from t",
+    "page_deep": f"with {_VIDEOS}, t as (select * from videos order by {', '.join(_VCOLS)} limit 100 offset 45000) "
+                 f"select {_vsel()} from t",
     "crawl_parse": f"""with {_LINES}
 select folder, file_name, line_pos, {_CRAWL_FIELDS}, cast(len(rel) as integer) as n_related,
        array_to_string(rel, ',') as related

@@ -239,3 +239,14 @@ def test_violin_curves_match_exact_kde(spark):
         mine = got[got["length_range"] == lab].sort_values("point")
         assert np.allclose(mine["x"], grid)
         assert np.allclose(mine["density"], dens, atol=5e-3)
+
+
+def test_deep_pages_equal_offset_limit(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"video_id": [f"v{i % 700:04d}" for i in range(2000)],
+                        "views": rng.integers(0, 50, 2000), "rating": rng.integers(0, 3, 2000) / 2})
+    df = spark.createDataFrame(pdf)
+    for number in (0, 3, 7, 19, 25):
+        shallow = [tuple(r) for r in topn.page(df, number, 90, deep_from=10**9).collect()]
+        deep = [tuple(r) for r in topn.page(df, number, 90, deep_from=0, partitions=7).collect()]
+        assert deep == shallow

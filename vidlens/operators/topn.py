@@ -87,24 +87,56 @@ def prev_page(current: int) -> int:
 
 def page(df: DataFrame, number: int = 0, size: int = S.PAGE_SIZE,
          order_by: Sequence[str] | None = None, sort_col: str | None = None,
-         ascending: bool = True) -> DataFrame:
+         ascending: bool = True, deep_from: int = 10_000,
+         partitions: int | None = None) -> DataFrame:
     """Rows ``[number*size, (number+1)*size)`` in a total order.
 
-    The page is ``offset``/``limit`` over the ordered table (a bounded
-    top-k with offset, never a global row_number).  ``sort_col`` re-sorts the
-    rows of the shown page only.
+    Shallow pages are ``offset``/``limit`` over the ordered table (a bounded
+    top-k).  From ``deep_from`` rows on, that would make one task hold
+    ``offset + size`` rows, so the page is found without it: the table is
+    range-partitioned on the order, per-range counts give every range's first
+    row number, and only the ranges overlapping the page are numbered.
+    ``sort_col`` re-sorts the rows of the shown page only.
     """
     if number < 0:
         raise ValueError("page number must be >= 0")
     keys = list(order_by) if order_by else [S.KEY] if S.KEY in df.columns else []
-    ordered = df.orderBy(*total_order(df, keys))
-    rows = ordered.offset(number * size).limit(size)
+    order = total_order(df, keys)
+    first = number * size
+    if first + size <= deep_from:
+        rows = df.orderBy(*order).offset(first).limit(size)
+    else:
+        rows = _deep_page(df, order, first, size, partitions).orderBy(*order)
     if sort_col:
         c = F.col(sort_col).asc_nulls_last() if ascending else F.col(sort_col).desc_nulls_last()
         rows = rows.orderBy(*total_order(rows, [c], exclude=[sort_col]))
     return rows
 
 
+def _deep_page(df: DataFrame, order, first: int, size: int, partitions: int | None) -> DataFrame:
+    from pyspark.sql import Window
+    spark = df.sparkSession
+    P = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = df.columns
+    # both readers below share this one range exchange (see quantiles.py)
+    vr = df.repartitionByRange(P, *order).withColumn("_pid", F.spark_partition_id())
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
+        from vidlens.session import checkpoint_root
+        checkpoint_root(spark)
+        vr = vr.checkpoint(eager=True)
+    counts = vr.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pc"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_start", F.coalesce(F.sum("_pc").over(before), F.lit(0)))
+    # ranges overlapping the page: each holds at least one of its rows, so at
+    # most ``size`` rows -- a proven bound for the broadcast
+    need = counts.where((F.col("_start") < first + size) & (F.col("_start") + F.col("_pc") > first)) \
+                 .select("_pid", "_start")
+    cand = vr.join(F.broadcast(need), "_pid")
+    idx = F.col("_start") + F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1
+    cand = cand.withColumn("_i", idx)
+    return cand.where((F.col("_i") >= first) & (F.col("_i") < first + size)).select(*cols)
+
+
 def preview(df: DataFrame, n: int = S.PREVIEW_ROWS) -> DataFrame:
     """First ``n`` rows (``df.schema`` gives the schema print)."""
     return df.limit(n)
