@@ -166,6 +166,18 @@ def q_tolerant_csv(spark, sf):
     return tables.read_csv_tolerant(spark, path, "a string, b string", header=False)
 
 
+def q_category_normalised(spark, sf):
+    """Category twins (spaced, HTML-escaped) made from lineitem rows fall
+    into one group when normalised."""
+    v = _videos(spark, sf)
+    ln = F.substring(F.col("video_id"), -1, 1)
+    cat = (F.when(ln == "3", F.concat(F.lit(" "), F.col("category"), F.lit(" ")))
+            .when(ln == "4", F.concat(F.col("category"), F.lit(" &amp; x")))
+            .when(ln == "5", F.concat(F.col("category"), F.lit(" & x")))
+            .otherwise(F.col("category")))
+    return _round(stats.category_stats(v.withColumn("category", cat), normalise=True))
+
+
 def _views_histogram(spark, sf):
     return _round(distribution.log_histogram(_videos(spark, sf)))
 
@@ -211,6 +223,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "metric_export": q_metric_export,
     "tolerant_csv": q_tolerant_csv,
+    "category_normalised": q_category_normalised,
     "chart_category_views": lambda s, d: _round(charts.category_views(_videos(s, d))),
     "chart_category_views_asc": lambda s, d: _round(charts.category_views(_videos(s, d), order="asc")),
     "chart_category_ratings": lambda s, d: _round(charts.category_ratings(_videos(s, d))),
@@ -516,6 +529,14 @@ from f group by rollup (folder, file_name)""",
 from lineitem where l_linenumber not in (2, 4)""",
     "chart_category_views": f"with {_VIDEOS} select category, {_r('avg(views)', 'avg_views')} from videos "
                             f"where category is not null group by category",
+    "category_normalised": f"""with {_VIDEOS},
+  c as (select views, rating,
+               case right(video_id, 1) when '3' then ' ' || category || ' '
+                                       when '4' then category || ' &amp; x'
+                                       when '5' then category || ' & x'
+                                       else category end as raw from videos)
+select replace(trim(raw), '&amp;', '&') as category, {_r('avg(views)', 'avg_views')},
+       {_r('avg(rating)', 'avg_rating')} from c group by 1""",
     "chart_category_views_asc": f"with {_VIDEOS} select category, {_r('avg(views)', 'avg_views')} from videos "
                                 f"group by category",
     "chart_category_ratings": f"with {_VIDEOS} select category, {_r('avg(rating)', 'avg_rating')} from videos "
