@@ -88,3 +88,17 @@ def test_preview_and_schema(spark):
     df = spark.range(50).withColumnRenamed("id", "views")
     assert topn.preview(df).count() == 5 and topn.preview(df, 3).count() == 3
     assert topn.preview(df).schema == df.schema
+
+
+def test_partitioned_parquet_spreads_a_hot_value(spark, tmp_dir):
+    df = spark.range(6000).select(F.when(F.col("id") < 3000, F.lit("hot")).otherwise(
+        (F.col("id") % 5).cast("string")).alias("category"), F.col("id").alias("views"))
+    # AQE would merge these tiny shuffle partitions; at scale each bucket is large
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        p = writers.write_parquet(df, os.path.join(tmp_dir, "salted"), partition_by=["category"], salt=8)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot_files = [f for f in os.listdir(os.path.join(p, "category=hot")) if f.endswith(".parquet")]
+    assert 1 < len(hot_files) <= 8
+    assert tables.read_parquet(spark, p).count() == 6000
