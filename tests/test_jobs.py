@@ -73,3 +73,12 @@ def test_density_in_histogram_units(spark):
     # the scaled curve integrates (over log10 units) to about n * bin width
     area = np.trapezoid(c["count_density"], c["log_x"])
     assert abs(area / (h["count"].sum() * width) - 1) < 0.1
+
+
+def test_trends_roundtrip_through_csv(spark, tmp_dir):
+    v = adapter.videos(spark, SF001)
+    res = jobs.report(v, os.path.join(tmp_dir, "r"), parts=("trends",))
+    back = jobs.trends_from_csv(spark, os.path.join(tmp_dir, "r", "trends")).collect()
+    want = res["trends"].collect()
+    assert [str(r["upload_date"]) for r in back] == [str(r["upload_date"]) for r in want]
+    assert all(abs(a["avg_views"] - b["avg_views"]) < 1e-9 for a, b in zip(back, want))

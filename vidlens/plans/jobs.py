@@ -125,6 +125,17 @@ def report(df: DataFrame, out_dir: str | None = None, top_n=S.TOP_N_DEFAULT,
     return res
 
 
+TREND_SCHEMA = "upload_date string, avg_views double, avg_rating double"
+
+
+def trends_from_csv(spark, path: str) -> DataFrame:
+    """A10 + C6 + C7 + G6 (+ F11): a published trend CSV read back tolerantly
+    (too-wide rows skipped), incomplete rows dropped, dates parsed, one row per
+    date, ascending."""
+    from vidlens.sources import tables
+    return trends.reaggregate_trend(tables.read_csv_tolerant(spark, path, TREND_SCHEMA))
+
+
 def interactive_slice(df: DataFrame, ranges: Mapping[str, object] | None = None,
                       page_number: int = 0, size: int = S.PAGE_SIZE,
                       sort_col: str | None = None, ascending: bool = True) -> DataFrame:
