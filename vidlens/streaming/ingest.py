@@ -44,7 +44,8 @@ def _batch_writer(spark: SparkSession, root: str, table: str, accounting: str,
                          "file_name",
                          F.struct("start", F.monotonically_increasing_id().alias("row")).alias("line_pos"),
                          "value"))
-        videos, acc = crawl.load_crawls(lines=lines, logs=crawl.read_crawl_logs(spark, root))
+        logs = crawl.read_crawl_logs(spark, root)
+        videos, _ = crawl.load_crawls(lines=lines, logs=logs)
         fs = spark._jvm.org.apache.hadoop.fs.Path(table)
         exists = fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs)
         if exists:
@@ -57,7 +58,11 @@ def _batch_writer(spark: SparkSession, root: str, table: str, accounting: str,
             else:
                 known = stored.join(keys, S.KEY, "left_semi").distinct()
             videos = videos.join(known, S.KEY, "left_anti")
-        (videos.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}"))
+        out = f"{table}/batch_id={batch_id}"
+        videos.write.mode("overwrite").parquet(out)
+        # kept counts come from the rows just written (no second dedup);
+        # videos already stored by earlier batches count as duplicates
+        acc = crawl.crawl_accounting(crawl.dated_lines(lines, logs), spark.read.parquet(out))
         acc.write.mode("overwrite").parquet(f"{accounting}/batch_id={batch_id}")
     return run
 
