@@ -46,3 +46,10 @@ def test_top_n_is_take_ordered(spark):
 def test_dedup_aggregates_map_side(spark):
     p = formatted(E.queries()["dedup_first"](spark, SF001))
     assert "partial_min" in p and "Window" not in p
+
+
+def test_plan_summary(spark):
+    from vidlens.plans.inspect import plan_summary
+    s = plan_summary(stats.category_stats(adapter.videos(spark, SF001)), execute=True)
+    assert s["aggregates"].get("HashAggregate", 0) >= 2 and s["joins"] == {}
+    assert s["scans"] == ["struct<l_extendedprice:double,l_discount:double,l_returnflag:string>"]
