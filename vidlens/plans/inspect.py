@@ -14,7 +14,9 @@ def _plans(df: DataFrame, execute: bool):
     qe = df._jdf.queryExecution()
     formatted = df.sparkSession._jvm.PythonSQLUtils.explainString(qe, "formatted")
     tree = qe.executedPlan().toString()
-    return formatted.split("== Initial Plan ==")[0], tree.split("== Initial Plan ==")[0]
+    # node details (scans, filters) follow both plan trees in the formatted
+    # text and are the same in both; only the tree counts need the final plan
+    return formatted, tree.split("== Initial Plan ==")[0]
 
 
 def summarise(formatted: str, tree: str) -> dict:
