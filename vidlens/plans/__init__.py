@@ -1,0 +1 @@
+"""Compositions: the driver-table adapter, chart datasets, jobs, plan inspection."""

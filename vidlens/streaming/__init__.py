@@ -1,0 +1,5 @@
+"""Structured Streaming: incremental crawl ingest."""
+
+from vidlens.streaming.ingest import read_ingested, stream_crawls
+
+__all__ = ["read_ingested", "stream_crawls"]
