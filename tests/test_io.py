@@ -102,3 +102,12 @@ def test_partitioned_parquet_spreads_a_hot_value(spark, tmp_dir):
     hot_files = [f for f in os.listdir(os.path.join(p, "category=hot")) if f.endswith(".parquet")]
     assert 1 < len(hot_files) <= 8
     assert tables.read_parquet(spark, p).count() == 6000
+
+
+def test_projected_scan_keeps_store_id(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "docs.json")
+    with open(p, "w") as f:
+        f.write('{"_id": "674e6966", "video_id": "x", "uploader": "u", "views": 3, "rating": 4.5, '
+                '"comments_count": 1, "category": "Music", "length": 60, "age": 10, "related_ids": ["a"]}\n')
+    df = tables.read_videos(spark, "json", p)
+    assert df.columns == ["_id"] + S.ANALYSIS_COLUMNS

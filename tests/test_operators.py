@@ -250,3 +250,13 @@ def test_deep_pages_equal_offset_limit(spark):
         shallow = [tuple(r) for r in topn.page(df, number, 90, deep_from=10**9).collect()]
         deep = [tuple(r) for r in topn.page(df, number, 90, deep_from=0, partitions=7).collect()]
         assert deep == shallow
+
+
+def test_sorts_and_trend_reaggregation(spark):
+    df = spark.createDataFrame([("b", 3.0), ("a", 3.0), ("c", 1.0)], "category string, avg_views double")
+    assert [r[0] for r in topn.sort_by(df, "avg_views").collect()] == ["c", "a", "b"]
+    assert [r[0] for r in topn.sort_by(df, "avg_views", ascending=False).collect()] == ["a", "b", "c"]
+    t = spark.createDataFrame([("2008-01-02", 1.0, 2.0), ("2008-01-01", 3.0, None), ("2008-01-02", 3.0, 4.0),
+                               (None, 5.0, 5.0)], "upload_date string, avg_views double, avg_rating double")
+    got = [(str(r[0]), r[1], r[2]) for r in trends.reaggregate_trend(t).collect()]
+    assert got == [("2008-01-02", 2.0, 3.0)]     # incomplete rows dropped, one row per date
