@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vidlens.llm import line_dedup
+from vidlens.llm import embedding_dedup, line_dedup, ngram_join, simhash
 from vidlens.llm.common import table
 
 
@@ -15,8 +15,23 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(docs)
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_near_dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op3_document_fingerprints": op3_document_fingerprints,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
