@@ -158,36 +158,58 @@ def _candidates(met: DataFrame, sig: DataFrame, p: JaccardJoin) -> DataFrame:
     return met.join(side("u"), "u").join(side("v"), "v").where(_may_link(p, "nu", "nv", differ)).select("u", "v")
 
 
+def _block_pairs(p: JaccardJoin, same: bool, ids, n, bits, comp, blk) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one block pair that sizes and bitmaps leave possible."""
+    left = np.flatnonzero(blk == blk.min())
+    right = left if same else np.flatnonzero(blk != blk.min())
+    u, v = [], []
+    for k, r in enumerate(left):
+        c = right[k + 1:] if same else right
+        differ = np.bitwise_count(bits[c] ^ bits[r]).sum(axis=1, dtype=np.int64)
+        most = (n[c] + n[r] - differ) // 2
+        hit = c[(100 * most >= p.percent * (n[c] + n[r] - most)) & (comp[c] != comp[r])]
+        u.append(np.full(len(hit), ids[r]))
+        v.append(ids[hit])
+    return np.concatenate(u), np.concatenate(v)
+
+
 def _compare_blocks(p: JaccardJoin):
-    """All pairs between two blocks of a group, by sizes and bitmaps."""
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        i, j = f["i"].iat[0], f["j"].iat[0]
-        a, b = f[f["blk"] == i], f[f["blk"] == j]
-        ba, bb = (np.stack(x["bits"].to_numpy()).view(np.uint64) for x in (a, b))
-        na, nb = a["n"].to_numpy(np.int64), b["n"].to_numpy(np.int64)
-        ca, cb = a["comp"].to_numpy(np.int64), b["comp"].to_numpy(np.int64)
-        u, v = [], []
-        for r in range(len(a)):
-            differ = np.bitwise_count(bb ^ ba[r]).sum(axis=1, dtype=np.int64)
-            most = (nb + na[r] - differ) // 2
-            ok = (100 * most >= p.percent * (nb + na[r] - most)) & (cb != ca[r])
-            if i == j:
-                ok[:r + 1] = False
-            hit = np.flatnonzero(ok)
-            u.append(np.full(len(hit), a["doc_id"].iat[r], dtype=np.int64))
-            v.append(b["doc_id"].to_numpy(np.int64)[hit])
-        return pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)}, columns=["u", "v"])
+    """Goes through rows sorted by (key, i, j); holds one block pair at a time."""
+    def pairs(f: pd.DataFrame) -> pd.DataFrame:
+        key, i, j, ids, n, comp, blk = (f[c].to_numpy(np.int64) for c in ("key", "i", "j", "doc_id", "n", "comp", "blk"))
+        bits = np.stack(f["bits"].to_numpy()).view(np.uint64)
+        edge = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+        found = [_block_pairs(p, i[a] == j[a], ids[a:b], n[a:b], bits[a:b], comp[a:b], blk[a:b])
+                 for a, b in zip(np.r_[0, edge], np.r_[edge, len(f)])]
+        return pd.DataFrame({"u": np.concatenate([x for x, _ in found]), "v": np.concatenate([x for _, x in found])})
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for f in frames:
+            f = f if held is None else pd.concat([held, f], ignore_index=True)
+            last = (f[["key", "i", "j"]] == f[["key", "i", "j"]].iloc[-1]).all(axis=1)
+            held, f = f[last], f[~last]
+            if len(f):
+                yield pairs(f)
+        if held is not None and len(held):
+            yield pairs(held)
     return run
 
 
 def _remaining(groups: DataFrame, comps: DataFrame, sig: DataFrame, p: JaccardJoin) -> DataFrame:
-    """Possible pairs within groups that still hold more than one component."""
+    """Possible pairs within groups that still hold more than one component.
+
+    A pair alone under its key has been decided; of keys with the very same
+    documents one is enough.
+    """
     rows = (groups.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
                   .withColumn("comp", F.coalesce("component", "doc_id")).select("key", "doc_id", "comp"))
     rows = stored(rows, "grouped")
-    size = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                   F.count(F.lit(1)).alias("m")).where("lo < hi")
-    rows = rows.join(size.select("key", "m"), "key")
+    open_ = rows.groupBy("key").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
+        F.bit_xor(F.xxhash64("doc_id")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("s2"))
+    open_ = open_.where("lo < hi and m > 2").groupBy("m", "s1", "s2").agg(F.min("key").alias("key"))
+    rows = rows.join(open_.select("key", "m"), "key")
     # a group of more than a block is dealt over pairs of blocks
     blocks = F.ceil(F.col("m") / p.block).cast("int")
     mine = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
@@ -196,7 +218,8 @@ def _remaining(groups: DataFrame, comps: DataFrame, sig: DataFrame, p: JaccardJo
     rows = rows.withColumn("o", other).select(
         "key", "doc_id", "comp", "n", "bits", "blk",
         F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"))
-    return rows.groupBy("key", "i", "j").applyInPandas(_compare_blocks(p), "u long, v long").distinct()
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return rows.mapInPandas(_compare_blocks(p), "u long, v long").distinct()
 
 
 def ngram_jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
