@@ -21,14 +21,13 @@ class JaccardJoin:
     """Parameters: words in a shingle, links from ``percent`` / 100 on.
 
     ``band`` is the ratio of a tile's largest to its smallest set size;
-    ``bitmap_words`` 64-bit words make a signature.  ``block`` rows are compared
-    at once where a tile group has to be compared in full.
+    A signature has 2 to 4 bits a shingle.  ``block`` rows are compared at once
+    where a tile group has to be compared in full.
     """
 
     size: int = 3
     percent: int = 90
     band: float = 1.5
-    bitmap_words: int = 8
     block: int = 1024
 
     def tiles(self, n: int) -> list[tuple[int, int]]:
@@ -56,15 +55,25 @@ class JaccardJoin:
         return n - (n * self.percent + 99) // 100 + 1
 
 
-def bitmap(s: np.ndarray, words: int) -> np.ndarray:
-    """Parity bitmap: bit ``h mod bits`` flips for every shingle ``h``.
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """Parity bitmap: the bit of every shingle's hash flips.
 
-    Two bitmaps differ in at most as many bits as the sets do in shingles.
+    Two bitmaps of one width differ in at most as many bits as the sets do in
+    shingles.  The width is a power of two, 512 bits at least.
     """
-    bits = np.bincount((mix(s) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
+    width = 1 << max(9, int(2 * len(s) - 1).bit_length() if len(s) else 9)
+    bits = np.bincount((mix(s) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def folded(b: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap of the same set at a smaller width of ``words`` 64-bit words."""
+    b = np.asarray(b).view(np.uint64)  # a signed count would be that of the absolute value
+    while len(b) > words:
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return b
+
+
 def tile_keys(s: np.ndarray, p: JaccardJoin) -> np.ndarray:
     """Keys under which linked, different sets are sure to meet.
 
@@ -102,7 +111,7 @@ def _signatures(p: JaccardJoin):
                 raw = s.tobytes()
                 rows.append((doc_id, len(s), xxhash.xxh64_intdigest(raw, 1) - (1 << 63),
                              xxhash.xxh64_intdigest(raw, 2) - (1 << 63),
-                             tile_keys(s, p).view(np.int64), bitmap(s, p.bitmap_words)))
+                             tile_keys(s, p).view(np.int64), bitmap(s)))
             yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "keys", "bits"])
     return run
 
@@ -135,10 +144,22 @@ def _linked(p: JaccardJoin):
     return run
 
 
-def _may_link(p: JaccardJoin, nu: str, nv: str, differ):
-    """The bitmap bound: overlap is at most half of what the difference leaves."""
-    at_most = F.floor((F.col(nu) + F.col(nv) - differ) / 2)
-    return 100 * at_most >= p.percent * (F.col(nu) + F.col(nv) - at_most)
+def may_link(percent: int, nu, nv, differ):
+    """The bitmap bound: the overlap is at most half of what the difference leaves."""
+    most = (nu + nv - differ) // 2
+    return 100 * most >= percent * (nu + nv - most)
+
+
+def _possible(p: JaccardJoin):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            keep = []
+            for nu, nv, bu, bv in zip(f["nu"], f["nv"], f["bu"], f["bv"]):
+                words = min(len(bu), len(bv))
+                differ = int(np.bitwise_count(folded(bu, words) ^ folded(bv, words)).sum(dtype=np.int64))
+                keep.append(may_link(p.percent, int(nu), int(nv), differ))
+            yield f.loc[np.array(keep, dtype=bool), ["u", "v"]]
+    return run
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, p: JaccardJoin) -> DataFrame:
@@ -154,8 +175,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, p: JaccardJoin) -> DataFrame:
 def _candidates(met: DataFrame, sig: DataFrame, p: JaccardJoin) -> DataFrame:
     """Pairs ``(u, v)`` of ``met`` that sizes and bitmaps leave possible."""
     side = lambda c: sig.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"b{c}"))
-    differ = sum((F.bit_count(F.col("bu")[i].bitwiseXOR(F.col("bv")[i])) for i in range(p.bitmap_words)), F.lit(0))
-    return met.join(side("u"), "u").join(side("v"), "v").where(_may_link(p, "nu", "nv", differ)).select("u", "v")
+    sized = met.join(side("u"), "u").join(side("v"), "v").where(
+        100 * F.least("nu", "nv") >= p.percent * F.greatest("nu", "nv"))
+    return sized.mapInPandas(_possible(p), "u long, v long")
 
 
 def _block_pairs(p: JaccardJoin, same: bool, ids, n, bits, comp, blk) -> tuple[np.ndarray, np.ndarray]:
@@ -166,8 +188,7 @@ def _block_pairs(p: JaccardJoin, same: bool, ids, n, bits, comp, blk) -> tuple[n
     for k, r in enumerate(left):
         c = right[k + 1:] if same else right
         differ = np.bitwise_count(bits[c] ^ bits[r]).sum(axis=1, dtype=np.int64)
-        most = (n[c] + n[r] - differ) // 2
-        hit = c[(100 * most >= p.percent * (n[c] + n[r] - most)) & (comp[c] != comp[r])]
+        hit = c[may_link(p.percent, n[c], n[r], differ) & (comp[c] != comp[r])]
         u.append(np.full(len(hit), ids[r]))
         v.append(ids[hit])
     return np.concatenate(u), np.concatenate(v)
@@ -177,10 +198,13 @@ def _compare_blocks(p: JaccardJoin):
     """Goes through rows sorted by (key, i, j); holds one block pair at a time."""
     def pairs(f: pd.DataFrame) -> pd.DataFrame:
         key, i, j, ids, n, comp, blk = (f[c].to_numpy(np.int64) for c in ("key", "i", "j", "doc_id", "n", "comp", "blk"))
-        bits = np.stack(f["bits"].to_numpy()).view(np.uint64)
+        raw = f["bits"].to_numpy()
         edge = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
-        found = [_block_pairs(p, i[a] == j[a], ids[a:b], n[a:b], bits[a:b], comp[a:b], blk[a:b])
-                 for a, b in zip(np.r_[0, edge], np.r_[edge, len(f)])]
+        found = []
+        for a, b in zip(np.r_[0, edge], np.r_[edge, len(f)]):
+            words = min(map(len, raw[a:b]))
+            bits = np.stack([folded(x, words) for x in raw[a:b]])
+            found.append(_block_pairs(p, i[a] == j[a], ids[a:b], n[a:b], bits, comp[a:b], blk[a:b]))
         return pd.DataFrame({"u": np.concatenate([x for x, _ in found]), "v": np.concatenate([x for _, x in found])})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
