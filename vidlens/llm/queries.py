@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vidlens.llm import embedding_dedup, line_dedup, ngram_join, simhash
+from vidlens.llm import embedding_dedup, line_dedup, ngram_join, packing, simhash, token_store
 from vidlens.llm.common import table
+from vidlens.session import scratch_path
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,11 +28,28 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-store")
+    token_store.write_token_store(table(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"))
+    return token_store.read_documents(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_document_fingerprints": op3_document_fingerprints,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_packing": op7_packing,
+    "op9_token_store": op9_token_store,
 }
 
 ORACLE_SQL: dict[str, str] = {

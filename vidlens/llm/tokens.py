@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 import numpy as np
 import regex
@@ -13,28 +14,26 @@ END_ID = 2
 #: Pieces remembered by a Python worker; beyond it they are encoded anew.
 CACHED_PIECES = 600_000
 
-# Texts of these characters only are split here; of any other, whole, by the
-# library.  Their classes (letter, digit, other) and their case and normal forms
-# do not depend on the Unicode version: ASCII and Latin letters below U+0180,
-# without the signs and the dotted I that normalising could turn into others.
-_PLAIN = regex.compile(r"[\t\n\r -~¡-¬®-įı-ſ–—‘’“”]*")
+# Texts of these characters only are split here; any other text goes whole to
+# the library.  Their classes (letter, digit, other) and their case and normal
+# forms do not depend on the Unicode version: ASCII, and Latin letters and signs
+# below U+0180 without the no-break space, the soft hyphen and the dotted I.
+_UNUSUAL = re.compile("[^\t\n\r -~\u00a1-\u00ac\u00ae-\u012f\u0131-\u017f\u2013\u2014\u2018\u2019\u201c\u201d]")
+_TWO_SPACES = re.compile(r"[ \t\n\r]{2}")
 
-# The split patterns that the two vocabulary files name.
-_PATTERNS = {
-    "byte_level": r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",
-    "word_end": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
-}
+# The split patterns named by the two kinds of vocabulary file.
+_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_WORD_END = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class Encoder:
     """``encode(texts)``: for every text the array of its ids.
 
-    The library encodes each piece (a word with its leading space, a number, a
-    run of signs) once; the ids of a text are those of its pieces in order,
-    since merges never cross pieces.  The pieces are cut by the pattern that
-    the file itself names; texts with characters outside a fixed safe range,
-    or with the opening of a special token, and files of another build are
-    encoded whole by the library.
+    The library encodes each part of a text between white space once (with the
+    space before it, where the vocabulary keeps spaces); the ids of a text are
+    those of its parts in order, since merges never cross them.  Texts with
+    characters outside a fixed safe range or with a special token's string, and
+    files of any other build, are encoded whole by the library.
     """
 
     def __init__(self, path: str):
@@ -45,54 +44,74 @@ class Encoder:
             conf = json.load(f)
         self.dtype = np.dtype("<u2") if self.lib.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.special = [t["content"] for t in conf.get("added_tokens") or []]
-        self.pattern, self.lower = self._split(conf)
+        self.kind = self._kind(conf)
         self.known: dict[str, bytes] = {}
 
     @staticmethod
-    def _split(conf: dict):
-        """The piece pattern and whether texts are lowered first; None if not one of the two known builds."""
+    def _kind(conf: dict) -> str:
         pre, norm = conf.get("pre_tokenizer") or {}, conf.get("normalizer")
-        if conf["model"].get("type") != "BPE" or conf["model"].get("ignore_merges"):
-            return None, False
+        if conf["model"].get("type") != "BPE":
+            return "whole"
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and norm is None:
-            return regex.compile(_PATTERNS["byte_level"]), False
-        steps = pre.get("pretokenizers") or [{}]
-        kinds = [n.get("type") for n in (norm or {}).get("normalizers", [])]
-        named = steps[0].get("pattern", {}).get("Regex")
-        if named == _PATTERNS["word_end"] and steps[0].get("invert") and kinds == ["NFC", "Replace", "Lowercase"]:
-            return regex.compile(_PATTERNS["word_end"]), True
-        return None, False
-
-    def _pieces(self, text: str) -> list[str] | None:
-        if self.pattern is None or not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
+            return "spaces kept"
+        first = (pre.get("pretokenizers") or [{}])[0]
+        steps = [n.get("type") for n in (norm or {}).get("normalizers", [])]
+        if first.get("pattern", {}).get("Regex") == _WORD_END and first.get("invert") \
+                and steps == ["NFC", "Replace", "Lowercase"]:
+            return "spaces dropped"
+        return "whole"
+
+    def _parts(self, text: str) -> list[str] | None:
+        if self.kind == "whole" or _UNUSUAL.search(text) or any(s in text for s in self.special):
             return None
-        return self.pattern.findall(text.lower() if self.lower else text)
+        if self.kind == "spaces dropped":
+            return text.lower().split()
+        if _TWO_SPACES.search(text):
+            return _pieces(text)
+        if "\r" in text or "\t" in text:
+            return _pieces(text)
+        # single spaces and line feeds only: a space goes with the part after it
+        lines = text.split("\n")
+        out: list[str] = []
+        for i, line in enumerate(lines):
+            if i:
+                out.append("\n")
+            if line:
+                out.extend(_spaced(line))
+        return out
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self._pieces(t) for t in texts]
-        new = {p for c in cut if c for p in c if p not in self.known}
-        fresh = {}
+        cut = [self._parts(t) for t in texts]
+        known = self.known
+        new = [p for p in set().union(*(c for c in cut if c)) if p not in known]
         if new:
-            new = list(new)
-            fresh = {p: self._pack(e.ids) for p, e in zip(new, self.lib.encode_batch_fast(new, add_special_tokens=False))}
-            if len(self.known) < CACHED_PIECES:
-                self.known.update(fresh)
-                fresh = {}
-        look = (self.known | fresh if len(fresh) > len(self.known) else _Chain(fresh, self.known)) if fresh else self.known
-        out = []
-        for t, c in zip(texts, cut):
-            if c is None:
-                out.append(np.array(self.lib.encode(t, add_special_tokens=False).ids, dtype=self.dtype))
+            fresh = zip(new, self.lib.encode_batch_fast(new, add_special_tokens=False))
+            if len(known) < CACHED_PIECES:
+                known.update((p, self._pack(e.ids)) for p, e in fresh)
             else:
-                out.append(np.frombuffer(b"".join(map(look.__getitem__, c)), dtype=self.dtype))
-        return out
+                known = _Over({p: self._pack(e.ids) for p, e in fresh}, known)
+        return [np.array(self.lib.encode(t, add_special_tokens=False).ids, dtype=self.dtype) if c is None
+                else np.frombuffer(b"".join(map(known.__getitem__, c)), dtype=self.dtype)
+                for t, c in zip(texts, cut)]
+
+
+def _spaced(line: str) -> list[str]:
+    head, *rest = line.split(" ")
+    return ([head] if head else []) + [" " + p for p in rest]
+
+
+def _pieces(text: str) -> list[str]:
+    return _PIECE.findall(text)
+
+
+_PIECE = regex.compile(_BYTE_LEVEL)
 
 
-class _Chain(dict):
-    """A dict that falls back to a second one."""
+class _Over(dict):
+    """A dict in front of another."""
 
     def __init__(self, first: dict, second: dict):
         super().__init__(first)
