@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidlens.llm.common import stored
+from vidlens.llm.common import small_or_shuffled, stored
 from vidlens.llm.components import connected_components
 
 
@@ -30,7 +30,7 @@ class Forest:
     trees: int = 6
     leaf: int = 1024
     spill: float = 0.08
-    depth: int = 40
+    depth: int = 24
     seed: int = 20240601
 
     def direction(self, tree: int, dim: int) -> np.ndarray:
@@ -54,64 +54,62 @@ def unit(values) -> np.ndarray | None:
     return v / np.sqrt((v * v).sum())
 
 
-def _units(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        us = [unit(v) for v in f["vector"]]
-        ok = np.array([u is not None for u in us], dtype=bool)
-        g = f.loc[ok, ["label", "cid", "copies"]].copy()
-        g["dim"] = [len(u) for u in us if u is not None]
-        g["u"] = [u.tobytes() for u in us if u is not None]
-        yield g
+def _usable(p: Forest, single: bool):
+    """Usable vectors as bytes in their own precision, and all their projections."""
+    kind = "<f4" if single else "<f8"
 
-
-def _project(p: Forest, level: int):
-    """Projection of this level for every (vector, tree, node) row."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            f = f.reset_index(drop=True)
-            x = np.empty(len(f))
-            for (tree, dim), g in f.groupby(["tree", "dim"]):
-                us = np.frombuffer(b"".join(g["u"]), np.float64).reshape(len(g), int(dim))
-                x[g.index] = us @ p.direction(int(tree), int(dim))[:, level]
-            yield f.assign(x=x)
+            us = [unit(v) for v in f["vector"]]
+            ok = [k for k, u in enumerate(us) if u is not None]
+            g = f.iloc[ok][["label", "cid", "copies"]].reset_index(drop=True)
+            us = [us[k] for k in ok]
+            g["dim"] = [len(u) for u in us]
+            g["v"] = [np.asarray(f["vector"].iat[k], dtype=kind).tobytes() for k in ok]
+            where = np.empty((len(g), p.trees, p.depth), dtype=np.float32)
+            for dim, part in g.groupby("dim"):
+                x = np.stack([us[k] for k in part.index])
+                for tree in range(p.trees):
+                    where[part.index, tree] = x @ p.direction(tree, int(dim))
+            g["at"] = list(where.reshape(len(g), -1))
+            yield g
     return run
 
 
 def _leaves(vectors: DataFrame, p: Forest) -> DataFrame:
-    """``(label, dim, cid, copies, u, tree, node, m)`` of every leaf that holds the vector.
+    """``(label, dim, cid, tree, node, m)`` for every leaf that holds the vector.
 
-    ``m`` is the size of the leaf.  Levels run over all vectors: the median
-    and the overlap of each node are partial-aggregated quantiles.
+    ``m`` is the size of the leaf.  Levels run over all vectors: size, median
+    and overlap of each node are partial-aggregated, and rows carry
+    projections instead of vectors.
     """
-    cols = ["label", "dim", "cid", "copies", "u", "tree", "node"]
     key = ["label", "dim", "tree", "node"]
-    open_ = vectors.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(p.trees - 1)))) \
-                   .withColumn("node", F.lit("")).select(*cols)
+    tree = F.explode(F.sequence(F.lit(0), F.lit(p.trees - 1)))
+    open_ = (vectors.select("label", "dim", "cid", "at", tree.alias("tree"))
+                    .select("label", "dim", "cid", "tree", F.lit(1).cast("long").alias("node"),
+                            F.slice("at", F.col("tree") * p.depth + 1, p.depth).alias("at")))
     done = None
+    margin = F.sqrt(F.lit(2 * (1 - p.cosine)) / F.greatest("dim", F.lit(1))) / 4
+    at = [0.02, 0.5 - p.spill, 0.5, 0.5 + p.spill, 0.98]
     for level in range(p.depth + 1):
-        size = open_.groupBy(*key).agg(F.count(F.lit(1)).alias("m"))
-        rows = stored(open_.join(size, key), "forest")
-        leaves = rows.where(F.col("m") <= p.leaf) if level < p.depth else rows
+        here = F.col("at")[level] if level < p.depth else F.lit(0.0)
+        q = open_.groupBy(*key).agg(F.count(F.lit(1)).alias("m"),
+                                    F.percentile_approx(here, at, F.lit(2000)).alias("q"))
+        cut = stored(q.withColumn("lo", F.least(F.col("q")[1], F.col("q")[2] - margin))
+                      .withColumn("hi", F.greatest(F.col("q")[3], F.col("q")[2] + margin))
+                      .withColumn("leaf", (F.col("m") <= p.leaf) | (F.col("lo") <= F.col("q")[0])
+                                  | (F.col("hi") >= F.col("q")[4]) | F.lit(level == p.depth)).drop("q"), "cuts")
+        sides = F.when(F.col("leaf"), F.array("node")).otherwise(F.filter(F.array(
+            F.when(here <= F.col("hi"), F.col("node") * 2), F.when(here >= F.col("lo"), F.col("node") * 2 + 1)),
+            lambda s: s.isNotNull()))
+        rows = stored(open_.join(small_or_shuffled(cut, 64), key)
+                      .select("label", "dim", "cid", "tree", F.explode(sides).alias("node"), "m", "leaf",
+                              F.when(~F.col("leaf"), F.col("at")).alias("at")), "forest")
+        leaves = rows.where("leaf").select("label", "dim", "cid", "tree", "node", "m")
         done = leaves if done is None else done.unionByName(leaves)
-        big = rows.where(F.col("m") > p.leaf)
-        if level == p.depth or not big.take(1):
-            break
-        shape = "label int, dim long, cid long, copies long, u binary, tree int, node string, m long, x double"
-        moved = stored(big.mapInPandas(_project(p, level), shape), "projected")
-        at = [0.02, 0.5 - p.spill, 0.5, 0.5 + p.spill, 0.98]
-        cut = moved.groupBy(*key).agg(F.percentile_approx("x", at, F.lit(2000)).alias("q"), F.first("dim").alias("d"))
-        margin = F.sqrt(F.lit(2 * (1 - p.cosine)) / F.col("d")) / 4
-        cut = cut.select(*key, F.least(F.col("q")[1], F.col("q")[2] - margin).alias("lo"),
-                         F.greatest(F.col("q")[3], F.col("q")[2] + margin).alias("hi"),
-                         F.col("q")[0].alias("low_end"), F.col("q")[4].alias("high_end"))
-        cut = cut.withColumn("whole", (F.col("lo") <= F.col("low_end")) | (F.col("hi") >= F.col("high_end")))
-        moved = stored(moved.join(cut, key), "split")
-        done = done.unionByName(moved.where("whole").select(*rows.columns))
-        sides = F.filter(F.array(F.when(F.col("x") <= F.col("hi"), F.lit("0")),
-                                 F.when(F.col("x") >= F.col("lo"), F.lit("1"))), lambda s: s.isNotNull())
-        open_ = moved.where("not whole").withColumn("side", F.explode(sides)) \
-                     .withColumn("node", F.concat("node", "side")).select(*cols)
-    return done
+        open_ = rows.where("not leaf").drop("m", "leaf")
+        if not open_.take(1):
+            return done
 
 
 def _smallest_linked(adj: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -134,7 +132,8 @@ def _compare(p: Forest):
     def run(f: pd.DataFrame) -> pd.DataFrame:
         leaf, i, j = f["leaf"].iat[0], f["i"].iat[0], f["j"].iat[0]
         f = f.sort_values("cid").reset_index(drop=True)
-        x = np.stack([np.frombuffer(u, np.float64) for u in f["u"]])
+        kind = f"<f{len(f['v'].iat[0]) // int(f['dim'].iat[0])}"
+        x = np.stack([unit(np.frombuffer(v, kind)) for v in f["v"]])
         ids, weight, blk = (f[c].to_numpy(np.int64) for c in ("cid", "copies", "blk"))
         adj = (x @ x.T) >= p.cosine
         np.fill_diagonal(adj, False)
@@ -176,26 +175,27 @@ def embedding_near_dedup(df: DataFrame, id_col: str = "vec_id", vector_col: str
     are compared in blocks of that size, so no task grows with a label.
     """
     p = params
+    single = df.schema[vector_col].dataType.elementType.typeName() == "float"
     base = df.select(F.col(id_col).cast("long").alias("vid"), F.col(label_col).cast("int").alias("label"),
-                     F.col(vector_col).cast("array<double>").alias("vector"))
+                     F.col(vector_col).cast("array<float>" if single else "array<double>").alias("vector"))
     base = base.withColumn("h1", F.xxhash64(F.lit(1), "vector")).withColumn("h2", F.xxhash64(F.lit(2), "vector"))
-    base = stored(base, "vectors")
     lead = F.coalesce("vid", F.lit(2 ** 63 - 1))
-    usable = base.where("label is not null and vector is not null")
     # one row per distinct vector; cid names the class, low is its smallest id
-    sizes = stored(usable.groupBy("label", "h1", "h2").agg(
+    sizes = stored(base.where("label is not null and vector is not null").groupBy("label", "h1", "h2").agg(
         F.min(lead).alias("low"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector"))
         .withColumn("cid", F.xxhash64("label", "h1", "h2")), "vector-classes")
     vectors = stored(sizes.select("label", "cid", "copies", "vector").mapInPandas(
-        _units, "label int, cid long, copies long, dim long, u binary"), "units")
+        _usable(p, single), "label int, cid long, copies long, dim long, v binary, at array<float>"), "usable")
     leaves = _leaves(vectors, p).withColumn("leaf", F.xxhash64("label", "dim", "tree", "node"))
-    where = leaves.groupBy("label", "cid", "dim").agg(F.collect_set("leaf").alias("leaves"))
+    held = leaves.groupBy("cid").agg(F.collect_list(F.struct("leaf", "m")).alias("in"))
     blocks = F.ceil(F.col("m") / p.leaf).cast("int")
-    rows = (leaves.join(where, ["label", "cid", "dim"])
-                  .withColumn("blk", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
-                  .withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1))))
+    rows = (vectors.select("cid", "copies", "dim", "v").join(held, "cid")
+                   .select("cid", "copies", "dim", "v", F.col("in.leaf").alias("leaves"), F.explode("in").alias("l"))
+                   .select("cid", "copies", "dim", "v", "leaves", "l.leaf", "l.m")
+                   .withColumn("blk", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
+                   .withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1))))
     rows = rows.select("leaf", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk",
-                       "cid", "copies", "u", "leaves")
+                       "cid", "copies", "dim", "v", "leaves")
     found = stored(rows.groupBy("leaf", "i", "j").applyInPandas(
         _compare(p), "cid long, links long, to long"), "leaf-links")
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
