@@ -21,13 +21,15 @@ class Mix:
     """Parameters: sources in order weigh ``weights``, repeating.
 
     ``share`` of all sizes is dealt out; no target exceeds ``most`` times its
-    source.  ``chunk`` units are balanced at a time.
+    source.  ``chunk`` units are balanced at a time;
+    the landing may decide anew so many small ones.
     """
 
     weights: tuple[int, ...] = (1, 2, 3)
     share: float = 1.0
     most: int = 3
     chunk: int = 4096
+    reopen: int = 10
     seed: int = 7
 
 
@@ -87,13 +89,28 @@ def _step(pi: np.ndarray, units: list[int], move: tuple, rng: np.random.Generato
         pi[i] = 0.0 if p < _SURE else 1.0 if p > 1 - _SURE else p
 
 
-def land(size: np.ndarray, pi: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Landing phase for at most two undecided units: first along the size constraint, then to the nearer end."""
+def land(size: np.ndarray, start: np.ndarray, pi: np.ndarray, reopen: int) -> np.ndarray:
+    """Landing phase: the undecided units, and the ``reopen`` smallest of the rest.
+
+    Of all ways to decide these few units, the one whose total size is nearest
+    to that of the probabilities ``start``, then nearest in number.  ``size`` is
+    in descending order.
+    """
     pi = pi.copy()
-    held = np.flatnonzero((pi > 0) & (pi < 1)).tolist()
-    if len(held) == 2 and size[held[0]] and size[held[1]]:
-        _step(pi, held, (float(size[held[1]]), -float(size[held[0]])), rng)
-    return np.where(pi >= 0.5, 1.0, 0.0)
+    undecided = np.flatnonzero((pi > 0) & (pi < 1))
+    small = np.setdiff1d(np.flatnonzero((size > 0) & (start > 0) & (start < 1)), undecided)[-reopen:]
+    units = np.concatenate([undecided, small])
+    if not len(units):
+        return pi
+    rest = np.ones(len(pi), dtype=bool)
+    rest[units] = False
+    words = (start * size).sum() - (pi * size)[rest].sum()
+    number = start.sum() - pi[rest].sum()
+    ways = (np.arange(1 << len(units))[:, None] >> np.arange(len(units))) & 1
+    off = np.abs(ways @ size[units] - words)
+    best = np.lexsort((np.arange(len(ways)), np.abs(ways.sum(axis=1) - number), off))[0]
+    pi[units] = ways[best]
+    return pi
 
 
 def _balance(mix: Mix, rounds: int):
@@ -103,9 +120,10 @@ def _balance(mix: Mix, rounds: int):
         name = b"\x00" if source is None else b"\x01" + source.encode("utf-8", "surrogatepass")
         rng = np.random.default_rng([mix.seed, zlib.crc32(name), int(f["chunk"].iat[0]), rounds])
         size = f["size"].to_numpy(np.int64)
-        pi = flight(size, f["pi"].to_numpy(np.float64), rng)
+        start = f["pi"].to_numpy(np.float64)
+        pi = flight(size, start, rng)
         if f["chunks"].iat[0] == 1:
-            pi = land(size, pi, rng)
+            pi = land(size, start, pi, mix.reopen)
         return f.assign(pi=pi)[[c.split()[0] for c in ROWS.split(", ")]]
     return run
 
