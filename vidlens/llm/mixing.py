@@ -22,14 +22,14 @@ class Mix:
 
     ``share`` of all sizes is dealt out; no target exceeds ``most`` times its
     source.  ``chunk`` units are balanced at a time;
-    the landing may decide anew so many small ones.
+    the landing decides so many others anew.
     """
 
     weights: tuple[int, ...] = (1, 2, 3)
     share: float = 1.0
     most: int = 3
     chunk: int = 4096
-    reopen: int = 10
+    reopen: int = 12
     seed: int = 7
 
 
@@ -90,7 +90,7 @@ def _step(pi: np.ndarray, units: list[int], move: tuple, rng: np.random.Generato
 
 
 def land(size: np.ndarray, start: np.ndarray, pi: np.ndarray, reopen: int) -> np.ndarray:
-    """Landing phase: the undecided units, and the ``reopen`` smallest of the rest.
+    """Landing phase: the undecided units, and ``reopen`` others of all sizes.
 
     Of all ways to decide these few units, the one whose total size is nearest
     to that of the probabilities ``start``, then nearest in number.  ``size`` is
@@ -98,8 +98,9 @@ def land(size: np.ndarray, start: np.ndarray, pi: np.ndarray, reopen: int) -> np
     """
     pi = pi.copy()
     undecided = np.flatnonzero((pi > 0) & (pi < 1))
-    small = np.setdiff1d(np.flatnonzero((size > 0) & (start > 0) & (start < 1)), undecided)[-reopen:]
-    units = np.concatenate([undecided, small])
+    others = np.setdiff1d(np.flatnonzero((size > 0) & (start > 0) & (start < 1)), undecided)
+    spread = np.unique(np.linspace(0, len(others) - 1, min(reopen, len(others))).round().astype(int))
+    units = np.concatenate([undecided, others[spread]])
     if not len(units):
         return pi
     rest = np.ones(len(pi), dtype=bool)
