@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vidlens.llm import embedding_dedup, html_text, line_dedup, mixing, ngram_join, packing, simhash, token_store
+from vidlens.llm import ctw, embedding_dedup, html_text, line_dedup, mixing, ngram_join, packing, simhash, token_store
 from vidlens.llm.common import table
 from vidlens.session import scratch_path
 
@@ -36,6 +36,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
     "op9_token_store": op9_token_store,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE_SQL: dict[str, str] = {
