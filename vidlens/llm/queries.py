@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vidlens.llm import ctw, embedding_dedup, html_text, line_dedup, mixing, ngram_join, packing, simhash, token_store
+from vidlens.llm import ctw, embedding_dedup, html_text, line_dedup, mixing, ngram_join, packing, simhash, token_store, toxicity
 from vidlens.llm.common import table
 from vidlens.session import scratch_path
 
@@ -28,6 +28,10 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_document_fingerprints": op3_document_fingerprints,
+    "op4_toxicity": op4_toxicity,
     "op5_html_extraction": op5_html_extraction,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_packing": op7_packing,
