@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,11 @@ class JaccardJoin:
     percent: int = 90
     band: float = 1.5
     block: int = 1024
+    segments_from: int = 88
+
+    def __post_init__(self):
+        if self.band * self.percent < 100:
+            raise ValueError("a band must span the sizes of a link")
 
     def tiles(self, n: int) -> list[tuple[int, int]]:
         """``(tile, largest set size of the tile)`` in which a set of ``n`` shingles stands.
@@ -81,10 +87,13 @@ def tile_keys(s: np.ndarray, p: JaccardJoin) -> np.ndarray:
     into ``d + 1`` segments: two linked sets are equal in one of them at least.
     The key is the tile, the segment and a hash of the shingles in it.  Sets
     with an empty segment also stand under the shingles of their prefix, as
-    an empty segment on both sides says nothing.
+    an empty segment on both sides says nothing.  Below ``segments_from``
+    percent segments would hold too few shingles, and the prefix alone serves.
     """
     out = []
     n = len(s)
+    if p.percent < p.segments_from:
+        return mix(s[:p.prefix(n)]) if n else np.empty(0, np.uint64)
     for tile, top in p.tiles(n):
         k = p.differences(top) + 1
         if k == 1:  # only equal sets can link here; those are classes already
@@ -233,11 +242,19 @@ def _remaining(groups: DataFrame, comps: DataFrame, sig: DataFrame, p: JaccardJo
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
         F.bit_xor(F.xxhash64("doc_id")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("s2"))
     open_ = open_.where("lo < hi and m > 2").groupBy("m", "s1", "s2").agg(F.min("key").alias("key"))
-    rows = rows.join(open_.select("key", "m"), "key")
+    rows = rows.join(open_.select("key"), "key").join(sig.select("doc_id", "n", "bits"), "doc_id")
+    # by size: a set meets those of its own band and, as the smaller one, of the next
+    def band(n):
+        return F.floor(F.log(n) / math.log(p.band)).cast("int")
+    rows = rows.withColumn("band", F.explode(F.array_distinct(F.array(
+        band(F.col("n")), F.least(band(F.col("n") * (100 / p.percent) * (1 + 1e-9)), band(F.col("n")) + 1)))))
+    rows = stored(rows.select(F.xxhash64("key", "band").alias("key"), "doc_id", "comp", "n", "bits"), "bands")
     # a group of more than a block is dealt over pairs of blocks
+    size = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    rows = rows.join(size.where("lo < hi").select("key", "m"), "key")
     blocks = F.ceil(F.col("m") / p.block).cast("int")
     mine = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("blk", mine).join(sig.select("doc_id", "n", "bits"), "doc_id")
+    rows = rows.withColumn("blocks", blocks).withColumn("blk", mine)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.withColumn("o", other).select(
         "key", "doc_id", "comp", "n", "bits", "blk",

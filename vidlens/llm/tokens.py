@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 import regex
@@ -12,14 +13,15 @@ import regex
 #: Id written after every document.
 END_ID = 2
 #: Pieces remembered by a Python worker; beyond it they are encoded anew.
-CACHED_PIECES = 600_000
+CACHED_PIECES = 1_000_000
 
 # Texts of these characters only are split here; any other text goes whole to
 # the library.  Their classes (letter, digit, other) and their case and normal
 # forms do not depend on the Unicode version: ASCII, and Latin letters and signs
 # below U+0180 without the no-break space, the soft hyphen and the dotted I.
 _UNUSUAL = re.compile("[^\t\n\r -~\u00a1-\u00ac\u00ae-\u012f\u0131-\u017f\u2013\u2014\u2018\u2019\u201c\u201d]")
-_TWO_SPACES = re.compile(r"[ \t\n\r]{2}")
+_SPACES = ("  ", "\n\n", " \n", "\n ", "\t", "\r")
+
 
 # The split patterns named by the two kinds of vocabulary file.
 _BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -43,6 +45,7 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
         self.dtype = np.dtype("<u2") if self.lib.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.special = [t["content"] for t in conf.get("added_tokens") or []]
         self.kind = self._kind(conf)
         self.known: dict[str, bytes] = {}
@@ -64,24 +67,20 @@ class Encoder:
     def _parts(self, text: str) -> list[str] | None:
         if self.kind == "whole" or _UNUSUAL.search(text) or any(s in text for s in self.special):
             return None
+        stops = _after_words(text, ".") and _after_words(text, ",")
         if self.kind == "spaces dropped":
-            return text.lower().split()
-        if _TWO_SPACES.search(text):
-            return _pieces(text)
-        if "\r" in text or "\t" in text:
-            return _pieces(text)
+            text = text.lower()
+            return (text.replace(",", " ,").replace(".", " .") if stops else text).split()
+        if any(x in text for x in _SPACES):
+            return _PIECE.findall(text)
         # single spaces and line feeds only: a space goes with the part after it
-        lines = text.split("\n")
-        out: list[str] = []
-        for i, line in enumerate(lines):
-            if i:
-                out.append("\n")
-            if line:
-                out.extend(_spaced(line))
-        return out
+        text = text.replace(" ", "\0 ").replace("\n", "\0\n\0")
+        if stops:
+            text = text.replace(",", "\0,").replace(".", "\0.")
+        return text.split("\0")
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
+        return array(self.code, ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self._parts(t) for t in texts]
@@ -98,13 +97,10 @@ class Encoder:
                 for t, c in zip(texts, cut)]
 
 
-def _spaced(line: str) -> list[str]:
-    head, *rest = line.split(" ")
-    return ([head] if head else []) + [" " + p for p in rest]
-
-
-def _pieces(text: str) -> list[str]:
-    return _PIECE.findall(text)
+def _after_words(text: str, stop: str) -> bool:
+    """Whether every ``stop`` follows a letter or digit."""
+    before = "".join([p[-1:] or stop for p in text.split(stop)[:-1]])
+    return not before or before.isalnum()
 
 
 _PIECE = regex.compile(_BYTE_LEVEL)
