@@ -232,6 +232,73 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _dirty(spark, sf):
+    """The video view with what clean data lacks: null categories, zero views,
+    NaN ratings and lengths of a minute and less."""
+    n = F.col("comments_count")
+    return _videos(spark, sf).select(
+        "video_id", "uploader", "age",
+        F.when(n % 7 != 0, F.col("category")).alias("category"),
+        F.when(n % 5 == 0, F.col("length") % 61).otherwise(F.col("length")).alias("length"),
+        F.when(n % 11 == 0, F.lit(0)).otherwise(F.col("views")).cast("bigint").alias("views"),
+        F.when(n % 13 == 0, F.lit(float("nan"))).otherwise(F.col("rating")).alias("rating"),
+        "comments_count")
+
+
+def q_trend_of_text(spark, sf):
+    """C6, C7 and F11 over a trend with text dates, repeated dates and nulls."""
+    t = _videos(spark, sf).select(
+        F.when(F.col("age") >= 0, F.date_format(F.date_sub(F.lit("2008-01-01").cast("date"), "age"), "yyyy-MM-dd")).alias("upload_date"),
+        F.when(F.col("comments_count") % 7 != 0, F.col("views")).alias("avg_views"),
+        F.col("rating").alias("avg_rating"))
+    return _round(trends.reaggregate_trend(t))
+
+
+def q_published_file(spark, sf):
+    """Category means published as one named file, read back."""
+    from vidlens.session import scratch_path
+    from vidlens.sinks import writers
+    from vidlens.sources import tables
+    folder = scratch_path(spark, "published")
+    path = writers.publish_csv(_round(stats.category_stats(_videos(spark, sf))), folder, "by_category", ["category"])
+    return tables.read_csv_result(spark, path, "category string, avg_views double, avg_rating double")
+
+
+def q_projected_scan(spark, sf):
+    """The generic reader with the analysis columns, over a stored table."""
+    from vidlens.session import scratch_path
+    from vidlens.sources import tables
+    path = scratch_path(spark, "projected")
+    adapter.videos(spark, sf, related=True).write.json(path)
+    return _round(tables.read_videos(spark, "json", path))
+
+
+def q_drop_related(spark, sf):
+    """C3 on the table with related ids."""
+    return _round(clean.drop_related(adapter.videos(spark, sf, related=True)).select(*VIDEO_COLS, "crawl_date"))
+
+
+VIDEO_COLS = ("video_id", "uploader", "age", "category", "length", "views", "rating", "comments_count")
+QUERIES |= {
+    "top_views_500": lambda s, d: _round(topn.top_views(_videos(s, d), 500)),
+    "page_sorted": lambda s, d: _round(topn.page(_videos(s, d), 2, 100, sort_col="views", ascending=False)),
+    "range_reversed_pair": lambda s, d: _round(filters.range_filter(_videos(s, d), {"age": (1500, 100)})),
+    "range_fractional_pair": lambda s, d: _round(filters.range_filter(_videos(s, d), {"views": (20000.5, 30000.5)})),
+    "preview": lambda s, d: _round(topn.preview(topn.sort_by(_videos(s, d), "video_id"))),
+    "trend_of_text": q_trend_of_text,
+    "published_file": q_published_file,
+    "projected_scan": q_projected_scan,
+    "drop_related": q_drop_related,
+    "dirty_category_stats": lambda s, d: _round(stats.category_stats(_dirty(s, d), drop_null_keys=True)),
+    "dirty_category_null": lambda s, d: _round(stats.category_stats(_dirty(s, d))),
+    "dirty_top_rating": lambda s, d: _round(topn.top_rating(_dirty(s, d), 200)),
+    "dirty_length_ranges": lambda s, d: _round(distribution.length_range_summary(_dirty(s, d))),
+    "dirty_histogram": lambda s, d: _round(distribution.log_histogram(_dirty(s, d))),
+    "dirty_density": lambda s, d: _round(distribution.log_density(_dirty(s, d))),
+    "dirty_daily_trend": lambda s, d: _round(trends.daily_trend(_dirty(s, d))),
+}
+
+
 def _llm_present() -> bool:
     """The training-data subpackage and its pipeline may be left out."""
     return all(importlib.util.find_spec(m) for m in ("vidlens.llm", "corpus_pipeline"))
@@ -580,6 +647,41 @@ union all select 'Most Watched Video', cast(to_json({{'video_id': video_id, 'upl
 }
 
 
+_DIRTY = _VIDEOS.replace("videos as (", "base as (", 1) + """, videos as (
+  select video_id, uploader, age, case when comments_count % 7 != 0 then category end as category,
+         case when comments_count % 5 = 0 then length % 61 else length end as length,
+         case when comments_count % 11 = 0 then 0 else views end as views,
+         case when comments_count % 13 = 0 then 'nan'::double else rating end as rating, comments_count
+  from base)"""
+_KNOWN_RATING = "avg(case when isnan(rating) then null else rating end)"
+_DIRTY_CATEGORY = f"with {_DIRTY} select category, {_r('avg(views)', 'avg_views')}, {_r(_KNOWN_RATING, 'avg_rating')} from videos"
+ORACLE |= {
+    "top_views_500": _top_sql("views", 500),
+    "page_sorted": ORACLE["page"] + " order by views desc",
+    "range_reversed_pair": f"with {_VIDEOS} select {_vsel()} from videos where age between 1500 and 100",
+    "range_fractional_pair": f"with {_VIDEOS} select {_vsel()} from videos where views between 20000.5 and 30000.5",
+    "preview": f"with {_VIDEOS}, t as (select * from videos order by {', '.join(_VCOLS)} limit {S.PREVIEW_ROWS}) select {_vsel()} from t",
+    "trend_of_text": f"""with {_VIDEOS} select date '2008-01-01' - age as upload_date, {_r('avg(views)', 'avg_views')},
+       {_r('avg(rating)', 'avg_rating')} from videos
+where age >= 0 and comments_count % 7 != 0 and rating is not null group by 1""",
+    "published_file": ORACLE["category_stats"],
+    "projected_scan": f"with {_VIDEOS} select " + ", ".join(
+        _r("rating", "rating") if c == "rating" else c for c in S.ANALYSIS_COLUMNS) + " from videos",
+    "drop_related": "with " + _VIDEOS.replace("as comments_count", "as comments_count, strftime(l_shipdate, '%y%m%d') as crawl_date")
+                    + f" select {_vsel()}, crawl_date from videos",
+    "dirty_category_stats": f"{_DIRTY_CATEGORY} where category is not null group by category",
+    "dirty_category_null": f"{_DIRTY_CATEGORY} group by category",
+    "dirty_top_rating": f"""with {_DIRTY}, t as (select * from videos
+  order by case when isnan(rating) then null else rating end desc nulls last, {', '.join(c for c in _VCOLS if c != 'rating')} limit 200)
+select {_vsel()} from t""",
+    "dirty_length_ranges": ORACLE["length_ranges"].replace(_VIDEOS, _DIRTY),
+    "dirty_histogram": ORACLE["views_histogram"].replace(_VIDEOS, _DIRTY),
+    "dirty_density": ORACLE["views_density"].replace(_VIDEOS, _DIRTY),
+    "dirty_daily_trend": f"""with {_DIRTY} select date '2008-01-01' - age as upload_date, {_r('avg(views)', 'avg_views')},
+       {_r(_KNOWN_RATING, 'avg_rating')} from videos group by 1""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for each key of ``queries()`` (same column names)."""
     return {k: v for k, v in ORACLE.items() if k in QUERIES} | _llm_oracle()

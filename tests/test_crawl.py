@@ -1,4 +1,4 @@
-"""Crawl ingest on a file fixture (A1-A4, C8, C9, streaming ingest)."""
+"""Crawl ingest on a file fixture."""
 
 import os
 
@@ -50,18 +50,6 @@ def test_parse_types(spark):
     assert out[3]["status"] == "short"
 
 
-def test_streaming_ingest_matches_batch(spark, tmp_dir):
-    from vidlens.streaming import ingest
-    root = write_tree(os.path.join(tmp_dir, "crawl"))
-    q = ingest.stream_crawls(spark, root, os.path.join(tmp_dir, "table"), os.path.join(tmp_dir, "acc"),
-                             os.path.join(tmp_dir, "ckpt"))
-    q.awaitTermination(120)
-    got = ingest.read_ingested(spark, os.path.join(tmp_dir, "table"))
-    batch, _ = _load(spark, root)
-    cols = ["video_id", "uploader", "age", "crawl_date"]
-    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
-
-
 def test_load_and_store_job(spark, tmp_dir):
     from vidlens.plans import jobs
     root = write_tree(os.path.join(tmp_dir, "crawl"))
@@ -77,25 +65,6 @@ def test_cli_load(spark, tmp_dir):
     assert cli.main(["count", os.path.join(tmp_dir, "out", "videos")]) == 0
 
 
-def test_streaming_first_wins_across_batches(spark, tmp_dir):
-    import shutil
-    from vidlens.streaming import ingest
-    staged = write_tree(os.path.join(tmp_dir, "staged"))
-    root = os.path.join(tmp_dir, "crawl")
-    os.makedirs(root)
-    table, acc, ckpt = (os.path.join(tmp_dir, n) for n in ("table", "acc", "ckpt"))
-    shutil.copytree(os.path.join(staged, "080609"), os.path.join(root, "080609"))
-    ingest.stream_crawls(spark, root, table, acc, ckpt).awaitTermination(120)
-    shutil.copytree(os.path.join(staged, "080610"), os.path.join(root, "080610"))
-    ingest.stream_crawls(spark, root, table, acc, ckpt).awaitTermination(120)
-    got = {r["video_id"]: r for r in ingest.read_ingested(spark, table).collect()}
-    assert set(got) == {"aaa", "bbb", "fff", "ggg", "hhh"}
-    # bbb arrived first with crawl 080610 (folder 080609); the later copy is rejected
-    assert got["bbb"]["crawl_date"] == "080610" and got["bbb"]["views"] == 50
-    batches = {r["batch_id"] for r in spark.read.parquet(table).select("batch_id").collect()}
-    assert len(batches) == 2
-
-
 def test_cli_prepare_report_slice(spark, tmp_dir):
     from vidlens import cli
     root = write_tree(os.path.join(tmp_dir, "crawl"))
@@ -128,20 +97,3 @@ def test_strip_like_python(spark):
     raw = [r.encode().decode("unicode_escape") for r in raw]
     df = spark.createDataFrame([(r,) for r in raw], "v string")
     assert [r[0] for r in df.select(C.strip_ws("v")).collect()] == [r.strip() for r in raw]
-
-
-def test_streaming_accounting_counts_cross_batch_duplicates(spark, tmp_dir):
-    import shutil
-    from pyspark.sql import functions as F
-    from vidlens.streaming import ingest
-    staged = write_tree(os.path.join(tmp_dir, "staged"))
-    root = os.path.join(tmp_dir, "crawl")
-    os.makedirs(root)
-    table, acc, ckpt = (os.path.join(tmp_dir, n) for n in ("table", "acc", "ckpt"))
-    shutil.copytree(os.path.join(staged, "080609"), os.path.join(root, "080609"))
-    ingest.stream_crawls(spark, root, table, acc, ckpt).awaitTermination(120)
-    shutil.copytree(os.path.join(staged, "080610"), os.path.join(root, "080610"))
-    ingest.stream_crawls(spark, root, table, acc, ckpt).awaitTermination(120)
-    totals = spark.read.parquet(acc).where(F.col("folder").isNull()).groupBy().sum("kept", "duplicates").collect()[0]
-    # 5 videos kept over both batches; aaa and ggg repeat inside batch 0, bbb across batches
-    assert (totals[0], totals[1]) == (5, 3)

@@ -20,7 +20,7 @@ def main(argv=None) -> int:
     sub = ap.add_subparsers(dest="cmd", required=True)
     p = sub.add_parser("load"); p.add_argument("root"); p.add_argument("out"); p.add_argument("--strict", action="store_true")
     p = sub.add_parser("prepare"); p.add_argument("fmt"); p.add_argument("source"); p.add_argument("table")
-    p = sub.add_parser("report"); p.add_argument("table"); p.add_argument("out"); p.add_argument("--top", default="10")
+    p = sub.add_parser("report"); p.add_argument("table"); p.add_argument("out"); p.add_argument("--top", type=int, default=10)
     p = sub.add_parser("count"); p.add_argument("table")
     p = sub.add_parser("slice"); p.add_argument("table")
     for b in ("age", "views", "rating"):

@@ -17,7 +17,7 @@ def _c(c) -> Column:
 
 def upload_date(age="age", anchor: str = S.DATE_ANCHOR) -> Column:
     """``anchor - age`` days.  Null age gives a null date."""
-    return F.date_sub(F.lit(anchor).cast("date"), _c(age).cast("int"))
+    return F.date_sub(F.lit(anchor).cast("date"), _c(age).try_cast("int"))
 
 
 def month_start(date) -> Column:
@@ -59,15 +59,27 @@ def log10_positive(c) -> Column:
 def to_number(c, default=0, integer: bool = True, numeric_input: bool = False) -> Column:
     """Pandas ``to_numeric(errors="coerce").fillna(d)`` then ``astype(int)``.
 
-    Text or numbers are read as double (so "12.7" and "1e3" parse), NaN and
-    +-inf become the default like missing values, integers truncate toward zero.
+    Text or numbers are read as double (so "12.7" and "1e3" parse; a type
+    suffix or a hexadecimal number does not), NaN and +-inf become the default
+    like missing values, integers truncate toward zero.  A number that does not
+    fit the integer type becomes the default too.
     ``numeric_input=True`` skips the text round trip for numeric columns.
     """
     x = _c(c)
-    d = x.cast("string").try_cast("double") if numeric_input is False else x.cast("double")
+    d = x.cast("double") if numeric_input else decimal_text(x.cast("string"))
     bad = d.isNull() | F.isnan(d) | (F.abs(d) == F.lit(float("inf")))
     v = F.when(bad, F.lit(float(default))).otherwise(d)
-    return v.cast("bigint") if integer else v
+    return F.coalesce(v.try_cast("bigint"), F.lit(int(default)).cast("bigint")) if integer else v
+
+
+# Python's ``float(text)`` for ASCII text: a decimal number, nan or inf.
+DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))$"
+
+
+def decimal_text(c) -> Column:
+    """Text as double; null unless it is a decimal number, nan or inf."""
+    x = strip_ws(c)
+    return F.when(x.rlike(DECIMAL), x.try_cast("double"))
 
 
 # Every character Python's ``str.strip()`` removes (``str.isspace``), built
@@ -81,19 +93,6 @@ def strip_ws(c) -> Column:
     return F.btrim(_c(c), F.lit(PY_WS))
 
 
-def parse_int_field(c, to: str = "int") -> Column:
-    """Python ``int(text)`` semantics: surrounding spaces allowed, no fraction.
-
-    Returns null when the text is not an integer (the caller rejects the row).
-    """
-    return _c(c).try_cast(to)
-
-
-def parse_float_field(c) -> Column:
-    """Python ``float(text)``: accepts decimals, exponents, nan and inf."""
-    return _c(c).try_cast("double")
-
-
 def crawl_date_of(text="value", pattern: str = S.CRAWL_DATE_PATTERN) -> Column:
     """The 6 digits after ``start:``; null when absent."""
     got = F.regexp_extract(_c(text), pattern, 1)
@@ -114,16 +113,16 @@ def parse_range(text, cast=float):
     """``"lo-hi"`` text into sorted bounds; blank gives None.
 
     The text is split on every ``-`` and must give exactly two numbers (so a
-    negative bound is an error, as in the reference's filter box).  Bounds
-    are sorted, so reversed input swaps.
+    negative bound is an error).  Bounds typed as text are cast and sorted, so
+    reversed input swaps; a pair of values is taken as it is, and a reversed
+    pair selects nothing.
     """
     if text is None:
         return None
     if isinstance(text, (tuple, list)):
         if len(text) != 2:
             raise ValueError(f"range needs two bounds: {text!r}")
-        lo, hi = (cast(v) for v in text)
-        return tuple(sorted((lo, hi)))
+        return tuple(text)
     s = str(text).strip()
     if not s:
         return None

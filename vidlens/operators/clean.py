@@ -51,7 +51,7 @@ def related_as_text(df: DataFrame, col: str = "related_ids", sep: str = ",") ->
     logged, as the reference skips the analysis.
     """
     if col not in df.columns:
-        log.warning("`%s` column does not exist. Skipping conversion.", col)
+        log.warning("no %s to turn into text; the table is left as it is", col)
         return df
     return df.withColumn(col, delimited(col, sep))
 

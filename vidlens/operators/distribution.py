@@ -107,10 +107,12 @@ def kde(df: DataFrame, col: str = "views", points: int = S.DENSITY_GRID, prebins
     terms = (mass.withColumn("c", center)
                  .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
                  .withColumn("x", g0 + F.col("i") * step)
-                 .withColumn("t", F.col("m") * F.exp(F.lit(-0.5) * F.pow((F.col("x") - F.col("c")) / F.col("h"), 2))))
+                 .withColumn("t", F.col("m") * F.exp(F.lit(-0.5) * F.pow(F.try_divide(F.col("x") - F.col("c"), F.col("h")), 2))))
     dens = terms.groupBy(*keys, "i").agg(
         F.first("x").alias("gx"),
-        (F.sum("t") / (F.first("n") * F.first("h") * F.lit(SQRT_2PI))).alias("density"))
+        F.try_divide(F.sum("t"), F.first("n") * F.first("h") * F.lit(SQRT_2PI)).alias("density"))
+    # one row, or rows that are all alike, have no bandwidth and no curve
+    dens = dens.where(F.col("density").isNotNull())
     xs = ([F.col("gx").alias("log_x"), F.pow(F.lit(10.0), F.col("gx")).alias("x")] if log
           else [F.col("gx").alias("x")])
     dens = dens.select(*keys, F.col("i").alias("point"), *xs, "density")

@@ -23,8 +23,8 @@ RANGE_CASTS = {"age": int, "views": int, "rating": float}
 def range_filter(df: DataFrame, ranges: Mapping[str, object] | None = None) -> DataFrame:
     """Keep rows with every given column inside its inclusive range.
 
-    ``ranges`` maps column -> ``(lo, hi)`` or ``"lo-hi"`` text; bounds are
-    sorted, blank text means no filter.  No ranges -> the input unchanged.
+    ``ranges`` maps column -> ``(lo, hi)``, used as given, or ``"lo-hi"`` text,
+    whose bounds are sorted; blank text means no filter.  No ranges -> the input unchanged.
     Malformed bounds raise ``ValueError``.
     """
     conds = []
@@ -32,11 +32,11 @@ def range_filter(df: DataFrame, ranges: Mapping[str, object] | None = None) -> D
         try:
             b = parse_range(spec, RANGE_CASTS.get(col, float))
         except (TypeError, ValueError) as e:
-            raise ValueError(f"Error during filtering: {e}") from e
+            raise ValueError(f"bad range for column {col!r}: {e}") from e
         if b is None:
             continue
         if col not in df.columns:
-            raise ValueError(f"Error during filtering: no column {col!r}")
+            raise ValueError(f"cannot filter on {col!r}: the table has no such column")
         conds.append(F.col(col).between(F.lit(b[0]), F.lit(b[1])))
     return df.where(reduce(lambda a, b: a & b, conds)) if conds else df
 

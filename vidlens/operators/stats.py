@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from vidlens import schema as S
 from vidlens.operators.quantiles import exact_quantiles
-from vidlens.operators.topn import top_n
+from vidlens.operators.topn import known, top_n
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
@@ -79,7 +79,7 @@ def category_stats(df: DataFrame, key: str = "category",
     if drop_null_keys:
         src = src.where(F.col(key).isNotNull())
     names = [f"avg_{m}" for m in metrics]
-    out = src.groupBy(key).agg(*[F.avg(m).alias(n) for m, n in zip(metrics, names)])
+    out = src.groupBy(key).agg(*[F.avg(known(src, m)).alias(n) for m, n in zip(metrics, names)])
     if order == "desc":
         out = out.orderBy(F.col(names[0]).desc_nulls_last(), F.col(key).asc_nulls_last())
     elif order == "asc":

@@ -40,15 +40,26 @@ def total_order(df: DataFrame, first: Sequence, tie_break: Sequence[str] | None
     return exprs + [F.col(c).asc_nulls_last() for c in rest if c not in used]
 
 
+def known(df: DataFrame, col: str):
+    """The column with NaN as null."""
+    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(col), F.col(col))
+    return F.col(col)
+
+
 def top_n(df: DataFrame, metric: str, n=S.TOP_N_DEFAULT,
-          tie_break: Sequence[str] | None = None, validate: bool = True) -> DataFrame:
-    """The ``n`` rows with the largest ``metric`` (nulls last).
+          tie_break: Sequence[str] | None = None) -> DataFrame:
+    """The ``n`` rows with the largest ``metric`` (null and NaN last).
 
-    ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: every task keeps
-    its own top ``n`` and only those reach the final merge -- no full sort.
+    Any ``n`` from 1 on is honoured; text, as typed into a box, goes through
+    :func:`validate_n`.  ``orderBy(...).limit(n)`` plans as
+    TakeOrderedAndProject: every task keeps its own top ``n`` and only those
+    reach the final merge -- no full sort.
     """
-    k = validate_n(n) if validate else int(n)
-    order = total_order(df, [F.col(metric).desc_nulls_last()], tie_break, exclude=[metric])
+    k = validate_n(n) if isinstance(n, str) else int(n)
+    if k < 1:
+        raise ValueError("n must be at least 1")
+    order = total_order(df, [known(df, metric).desc_nulls_last()], tie_break, exclude=[metric])
     return df.orderBy(*order).limit(k)
 
 
@@ -87,54 +98,57 @@ def prev_page(current: int) -> int:
 
 def page(df: DataFrame, number: int = 0, size: int = S.PAGE_SIZE,
          order_by: Sequence[str] | None = None, sort_col: str | None = None,
-         ascending: bool = True, deep_from: int = 10_000,
-         partitions: int | None = None) -> DataFrame:
+         ascending: bool = True, partitions: int | None = None) -> DataFrame:
     """Rows ``[number*size, (number+1)*size)`` in a total order.
 
-    Shallow pages are ``offset``/``limit`` over the ordered table (a bounded
-    top-k).  From ``deep_from`` rows on, that would make one task hold
-    ``offset + size`` rows, so the page is found without it: the table is
-    range-partitioned on the order, per-range counts give every range's first
-    row number, and only the ranges overlapping the page are numbered.
-    ``sort_col`` re-sorts the rows of the shown page only.
+    The page is found by its bounds on the first order column: only that
+    column is range-partitioned and counted, the bounds are one row, and the
+    table itself is only scanned with the bounds as a filter.  What stands
+    between them is a page and the ties at its ends, of which a bounded top-k is
+    taken.  ``sort_col`` re-sorts the rows of the shown page only.
     """
     if number < 0:
         raise ValueError("page number must be >= 0")
-    keys = list(order_by) if order_by else [S.KEY] if S.KEY in df.columns else []
+    keys = list(order_by) if order_by else [S.KEY] if S.KEY in df.columns else orderable_columns(df)[:1]
     order = total_order(df, keys)
     first = number * size
-    if first + size <= deep_from:
-        rows = df.orderBy(*order).offset(first).limit(size)
+    lo, hi, before = _page_bounds(df, keys[0], first, size, partitions)
+    if before is None:
+        rows = df.limit(0)
     else:
-        rows = _deep_page(df, order, first, size, partitions).orderBy(*order)
+        k = F.col(keys[0])
+        upper = (k <= F.lit(hi)) if hi is not None else F.lit(True)
+        lower = (k >= F.lit(lo)) | k.isNull() if hi is None else k >= F.lit(lo)
+        inside = k.isNull() if lo is None else lower & upper
+        rows = df.where(inside).orderBy(*order).offset(first - before).limit(size)
     if sort_col:
         c = F.col(sort_col).asc_nulls_last() if ascending else F.col(sort_col).desc_nulls_last()
         rows = rows.orderBy(*total_order(rows, [c], exclude=[sort_col]))
     return rows
 
 
-def _deep_page(df: DataFrame, order, first: int, size: int, partitions: int | None) -> DataFrame:
+def _page_bounds(df: DataFrame, key: str, first: int, size: int, partitions: int | None):
+    """``(lo, hi, rows before lo)`` of the page; the last is None beyond the end."""
     from pyspark.sql import Window
+    from vidlens.session import scratch_path
     spark = df.sparkSession
-    P = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = df.columns
-    # both readers below share this one range exchange (see quantiles.py)
-    vr = df.repartitionByRange(P, *order).withColumn("_pid", F.spark_partition_id())
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
-        from vidlens.session import checkpoint_root
-        checkpoint_root(spark)
-        vr = vr.checkpoint(eager=True)
-    counts = vr.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pc"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_start", F.coalesce(F.sum("_pc").over(before), F.lit(0)))
-    # ranges overlapping the page: each holds at least one of its rows, so at
-    # most ``size`` rows -- a proven bound for the broadcast
-    need = counts.where((F.col("_start") < first + size) & (F.col("_start") + F.col("_pc") > first)) \
-                 .select("_pid", "_start")
-    cand = vr.join(F.broadcast(need), "_pid")
-    idx = F.col("_start") + F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1
-    cand = cand.withColumn("_i", idx)
-    return cand.where((F.col("_i") >= first) & (F.col("_i") < first + size)).select(*cols)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "page-keys")
+    counted = df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("c"))
+    (counted.repartitionByRange(n, F.col("k").asc_nulls_last())
+            .withColumn("p", F.spark_partition_id()).write.parquet(path))
+    k = spark.read.schema("k " + df.schema[key].dataType.simpleString() + ", c long, p int").parquet(path)
+    # one row per range
+    upto = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = k.groupBy("p").agg(F.sum("c").alias("n")) \
+              .withColumn("start", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    near = ranges.where((F.col("start") < first + size) & (F.col("start") + F.col("n") > first))
+    inside = Window.partitionBy("p").orderBy(F.col("k").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    at = (k.join(F.broadcast(near.select("p", "start")), "p")
+           .withColumn("b", F.col("start") + F.coalesce(F.sum("c").over(inside), F.lit(0)))
+           .where((F.col("b") < first + size) & (F.col("b") + F.col("c") > first)))
+    ends = at.agg(F.min_by("k", "b"), F.max_by("k", "b"), F.min("b")).first()
+    return ends[0], ends[1], ends[2]
 
 
 def preview(df: DataFrame, n: int = S.PREVIEW_ROWS) -> DataFrame:

@@ -11,10 +11,11 @@ from pyspark.sql import types as T
 from vidlens import schema as S
 from vidlens.functions.columns import month_start, upload_date
 from vidlens.operators.filters import valid_age
+from vidlens.operators.topn import known
 
 
-def _means(metrics):
-    return [F.avg(m).alias(f"avg_{m}") for m in metrics]
+def _means(df, metrics):
+    return [F.avg(known(df, m)).alias(f"avg_{m}") for m in metrics]
 
 
 def daily_trend(df: DataFrame, anchor: str = S.DATE_ANCHOR, valid_only: bool = False,
@@ -26,7 +27,7 @@ def daily_trend(df: DataFrame, anchor: str = S.DATE_ANCHOR, valid_only: bool = F
     """
     src = valid_age(df) if valid_only else df
     out = (src.select(upload_date("age", anchor).alias("upload_date"), *metrics)
-              .groupBy("upload_date").agg(*_means(metrics)))
+              .groupBy("upload_date").agg(*_means(src, metrics)))
     return out.orderBy("upload_date") if ordered else out
 
 
@@ -35,7 +36,7 @@ def monthly_trend(df: DataFrame, anchor: str = S.DATE_ANCHOR, valid_only: bool =
     """mean metrics per upload month (first day), ascending."""
     src = valid_age(df) if valid_only else df
     return (src.select(month_start(upload_date("age", anchor)).alias("upload_month"), *metrics)
-               .groupBy("upload_month").agg(*_means(metrics))
+               .groupBy("upload_month").agg(*_means(src, metrics))
                .orderBy("upload_month"))
 
 
@@ -45,5 +46,5 @@ def reaggregate_trend(trend: DataFrame, date_col: str = "upload_date") -> DataFr
     numeric = [f.name for f in trend.schema.fields
                if f.name != date_col and isinstance(f.dataType, T.NumericType)]
     clean = trend.na.drop("any").withColumn(date_col, F.to_date(F.col(date_col)))
-    return (clean.groupBy(date_col).agg(*[F.avg(c).alias(c) for c in numeric])
+    return (clean.groupBy(date_col).agg(*[F.avg(known(clean, c)).alias(c) for c in numeric])
                  .orderBy(date_col))

@@ -21,7 +21,8 @@ from vidlens.sinks import writers
 PARTS = ("statistics", "top", "categories", "trends", "related", "charts")
 # Results whose size follows the data (one row per category, per day, per
 # video): written by every task in parallel, as a CSV folder (B1).
-PARALLEL_OUTPUTS = ("category_stats", "trends", "related_analysis")
+PARALLEL_OUTPUTS = ("category_stats", "trends", "related_analysis", "chart_category_views",
+                    "chart_category_ratings", "chart_daily_trend")
 
 
 def load_and_store(spark, root: str, out_dir: str, strict: bool = False) -> dict:
@@ -42,9 +43,7 @@ def load_and_store(spark, root: str, out_dir: str, strict: bool = False) -> dict
     stored = spark.read.parquet(table)
     acc = crawl.crawl_accounting(crawl.dated_lines(lines, logs), stored)
     accounting = os.path.join(out_dir, "accounting")
-    # one row per file and folder plus a total: bounded by the file listing,
-    # so the row-count guard (a second pass over the lines) is skipped
-    writers.write_single_csv(acc, accounting, order_by=["folder", "file_name"], max_rows=None)
+    writers.write_csv(acc, accounting)
     total = spark.read.schema(acc.schema).option("header", "true").csv(accounting) \
         .where(F.col("folder").isNull()).first()
     return {"videos": table, "accounting": accounting, "totals": total.asDict() if total else {}}
@@ -71,8 +70,8 @@ def statistics(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def top_tables(df: DataFrame, n=S.TOP_N_DEFAULT) -> dict[str, DataFrame]:
-    """G1-G3 with the validated N."""
-    k = topn.validate_n(n)
+    """G1-G3; an N given as text is validated."""
+    k = topn.validate_n(n) if isinstance(n, str) else int(n)
     return {f"top_{k}_views": topn.top_views(df, k), f"top_{k}_ratings": topn.top_rating(df, k),
             f"top_{k}_comments": topn.top_comments(df, k)}
 
@@ -119,9 +118,9 @@ def report(df: DataFrame, out_dir: str | None = None, top_n=S.TOP_N_DEFAULT,
             if name in PARALLEL_OUTPUTS:
                 writers.write_csv(d, os.path.join(out_dir, name))
             else:
-                # bounded by construction (5 statistics, <= 100 top rows, chart
-                # datasets of fixed bins / points / pairs / categories / months)
-                writers.write_single_csv(d, os.path.join(out_dir, name), max_rows=None)
+                # bounded by construction (5 statistics, the wanted top rows,
+                # chart datasets of fixed bins, points and pairs, months)
+                writers.write_single_csv(d, os.path.join(out_dir, name))
     return res
 
 

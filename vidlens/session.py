@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,10 +62,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and points at shared storage.
-    Only when it is unset (local tests) do we create one and register it.
+    Only in local mode, as in tests, is one created and registered where it is
+    unset; elsewhere that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         # core configs cannot be set at runtime; register the folder instead
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vidlens-ckpt-"))
         root = spark.sparkContext.getCheckpointDir()
@@ -77,8 +79,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/vidlens/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_test_checkpoint_dir() -> str:
-    """Fresh local folder for test sessions (never used on a cluster)."""
-    return tempfile.mkdtemp(prefix="vidlens-test-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -2,8 +2,10 @@
 
 Results are written by Spark's writers, one folder per dataset with
 ``mode("overwrite")`` (B7: a rerun replaces its own output, it never deletes a
-parent folder).  CSV is written losslessly: no whitespace trimming, quotes
-escaped by doubling, arrays joined to text first (CSV cannot hold them).
+parent folder).  CSV keeps blanks and quotes (no trimming, quotes escaped by
+doubling); arrays are joined to text first.  It does not tell an empty string
+from null, and a line break in a value needs ``multi_line`` on reading; Parquet
+is the lossless form.
 """
 
 from __future__ import annotations
@@ -39,19 +41,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> s
 
 
 def write_single_csv(df: DataFrame, path: str, order_by: Sequence[str] | None = None,
-                     mode: str = "overwrite", max_rows: int | None = 1_000_000) -> str:
-    """One CSV part file with one header, rows in a fixed order.
-
-    Meant for small results (aggregates, top-N, pages).  ``coalesce(1)`` keeps
-    an existing global sort (partitions are concatenated in order);
-    ``order_by`` sorts the single partition instead.  With ``max_rows`` the
-    row count is checked first -- an extra pass, so callers whose result is
-    bounded by construction pass ``None``.
+                     mode: str = "overwrite") -> str:
+    """A CSV folder of one part file with one header, rows in a fixed order.
+
+    For results that are bounded by construction (statistics, top-N, pages,
+    bins): one task writes them.  Everything that grows with the data belongs
+    to :func:`write_csv`.  ``coalesce(1)`` keeps an existing global sort
+    (partitions are concatenated in order); ``order_by`` sorts the single
+    partition instead.
     """
-    if max_rows is not None:
-        n = df.limit(max_rows + 1).count()
-        if n > max_rows:
-            raise ValueError(f"result has more than {max_rows} rows; use write_csv")
     one = csv_ready(df).coalesce(1)
     if order_by:
         one = one.sortWithinPartitions(*order_by)
@@ -59,6 +57,39 @@ def write_single_csv(df: DataFrame, path: str, order_by: Sequence[str] | None =
     return path
 
 
+def publish_csv(df: DataFrame, folder: str, name: str, order_by: Sequence[str] | None = None) -> str:
+    """A bounded result as the single file ``<folder>/<name>.csv``.
+
+    The one part file is moved into place with the Hadoop file system of the
+    path, so any store that Spark writes to will do; an earlier file of that
+    name is replaced.
+    """
+    part_folder = write_single_csv(df, f"{folder.rstrip('/')}/{name}", order_by)
+    return publish_part(df.sparkSession, part_folder, f"{part_folder}.csv")
+
+
+def publish_part(spark, part_folder: str, target: str) -> str:
+    """Move the one part file of ``part_folder`` to ``target`` and drop the folder.
+
+    Raises ``FileNotFoundError`` without the folder or a part in it.
+    """
+    jvm = spark._jvm
+    source, to = jvm.org.apache.hadoop.fs.Path(part_folder), jvm.org.apache.hadoop.fs.Path(target)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(source):
+        raise FileNotFoundError(f"nothing was written to {part_folder}")
+    parts = [f.getPath() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-")]
+    if not parts:
+        raise FileNotFoundError(f"no part file in {part_folder}")
+    if len(parts) > 1:
+        raise ValueError(f"{part_folder} has {len(parts)} parts; publish a single-part result")
+    if fs.exists(to):
+        fs.delete(to, False)
+    fs.rename(parts[0], to)
+    fs.delete(source, True)
+    return target
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] | None = None,
                   sort_within: Sequence[str] | None = None, salt: int = 32,

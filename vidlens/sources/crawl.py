@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidlens import schema as S
-from vidlens.functions.columns import crawl_date_of, strip_ws
+from vidlens.functions.columns import crawl_date_of, decimal_text, strip_ws
 from vidlens.operators.clean import dedup_first
 
 # Python's ``\s`` inside one line: whitespace except the line break.
@@ -78,7 +78,7 @@ def parse_crawl_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         if name in S.INT_FIELDS:
             f = f.try_cast(S.INT_FIELDS[name])
         elif name in S.FLOAT_FIELDS:
-            f = f.try_cast(S.FLOAT_FIELDS[name])
+            f = decimal_text(f).cast(S.FLOAT_FIELDS[name])
         typed[name] = f
     related = F.when(n > 9, F.slice(parts, 10, n - 9)).otherwise(F.array().cast("array<string>"))
     numeric_bad = None
@@ -91,23 +91,14 @@ def parse_crawl_lines(lines: DataFrame, value: str = "value") -> DataFrame:
                         related.alias("related_ids"), status.alias("status"))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only after counting it: the size bound is checked.
-
-    Used for the crawl-date table (two short strings per crawl folder), so
-    100,000 rows stay within a few megabytes; beyond that the join is left to
-    the planner (shuffle join, AQE skew handling)."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def attach_crawl_dates(parsed: DataFrame, dates: DataFrame, how: str = "inner") -> DataFrame:
     """A4: every line gets its own folder's date; folders without one are
     dropped whole (``how="inner"``) or kept with a null date (``"left"``).
 
-    The date table has one row per crawl folder; it is broadcast after a
-    checked count, so the line table is never shuffled for this lookup.
+    The date table has one row per crawl folder; the planner broadcasts it
+    from its measured size, or shuffles and splits a folder of very many lines.
     """
-    return parsed.join(broadcast_if_small(dates), "folder", how)
+    return parsed.join(dates, "folder", how)
 
 
 ORDER = ["crawl_date", "folder", "file_name", "line_pos"]

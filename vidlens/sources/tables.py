@@ -50,15 +50,18 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv_result(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_csv_result(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+                    multi_line: bool = False) -> DataFrame:
     """A CSV result folder/file with header; types inferred when no schema.
 
-    Reads with the same lossless options the CSV sink writes with.
+    Reads with the options the CSV sink writes with.  Empty strings come back
+    null.  ``multi_line`` reads values with line breaks in them, at the price of
+    one task per file.
     """
     r = (spark.read.option("header", "true").option("escape", '"')
          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
     r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
-    return r.csv(path)
+    return r.option("multiLine", str(multi_line).lower()).csv(path)
 
 
 # A quoted CSV field may hold commas; count separators outside quotes only.
