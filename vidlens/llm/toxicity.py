@@ -294,7 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: Toxicity = Toxicity(), id_co
                    .join(F.broadcast(known), "_id"), "labelled")
     total, toxic = train.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not toxic:
-        rate = 0.5 / (total + 1)
+        rate = 0.5 / (total + 2)
         return Model(Lexicon([], [], frozenset(), p), [math.log(rate / (1 - rate)), 0, 0, 0, 0, 0])
     terms = stored(train.select("text", "toxic").mapInPandas(_term_counts, "term string, toxic long, clean long")
                    .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "terms")
