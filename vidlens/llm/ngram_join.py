@@ -23,7 +23,8 @@ class JaccardJoin:
 
     ``band`` is the ratio of a tile's largest to its smallest set size;
     A signature has 2 to 4 bits a shingle.  ``block`` rows are compared at once
-    where a tile group has to be compared in full.
+    where a tile group has to be compared in full, after ``turns`` more
+    documents of each group have been tried against the rest of it.
     """
 
     size: int = 3
@@ -31,6 +32,7 @@ class JaccardJoin:
     band: float = 1.5
     block: int = 1024
     segments_from: int = 88
+    turns: int = 1
 
     def __post_init__(self):
         if self.band * self.percent < 100:
@@ -205,16 +207,19 @@ def _block_pairs(p: JaccardJoin, same: bool, ids, n, bits, comp, blk) -> tuple[n
 
 def _compare_blocks(p: JaccardJoin):
     """Goes through rows sorted by (key, i, j); holds one block pair at a time."""
-    def pairs(f: pd.DataFrame) -> pd.DataFrame:
+    def pairs(f: pd.DataFrame) -> Iterator[pd.DataFrame]:
         key, i, j, ids, n, comp, blk = (f[c].to_numpy(np.int64) for c in ("key", "i", "j", "doc_id", "n", "comp", "blk"))
         raw = f["bits"].to_numpy()
         edge = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
-        found = []
+        found, total = [], 0
         for a, b in zip(np.r_[0, edge], np.r_[edge, len(f)]):
             words = min(map(len, raw[a:b]))
             bits = np.stack([folded(x, words) for x in raw[a:b]])
             found.append(_block_pairs(p, i[a] == j[a], ids[a:b], n[a:b], bits, comp[a:b], blk[a:b]))
-        return pd.DataFrame({"u": np.concatenate([x for x, _ in found]), "v": np.concatenate([x for _, x in found])})
+            total += len(found[-1][0])
+            if total > 200_000 or b == len(f):
+                yield pd.DataFrame({"u": np.concatenate([x for x, _ in found]), "v": np.concatenate([x for _, x in found])})
+                found, total = [], 0
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -223,21 +228,34 @@ def _compare_blocks(p: JaccardJoin):
             last = (f[["key", "i", "j"]] == f[["key", "i", "j"]].iloc[-1]).all(axis=1)
             held, f = f[last], f[~last]
             if len(f):
-                yield pairs(f)
+                yield from pairs(f)
         if held is not None and len(held):
-            yield pairs(held)
+            yield from pairs(held)
     return run
 
 
+def _grouped(groups: DataFrame, comps: DataFrame) -> DataFrame:
+    """``(key, doc_id, comp)``: the groups with the component of each document so far."""
+    return (groups.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+                  .withColumn("comp", F.coalesce("component", "doc_id")).select("key", "doc_id", "comp"))
+
+
+def _pivots(rows: DataFrame, turn: int) -> DataFrame:
+    """Pairs of one document of each group, another every turn, with those of other components."""
+    draw = F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), F.col("doc_id").alias("u"), F.col("comp").alias("cu"))
+    pick = rows.groupBy("key").agg(F.min(draw).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                   F.count(F.lit(1)).alias("m")).where("lo < hi and m > 2")
+    met = rows.join(pick.select("key", "p.u", "p.cu"), "key").where("comp != cu")
+    return met.select(F.least("u", "doc_id").alias("u"), F.greatest("u", "doc_id").alias("v")).distinct()
+
+
 def _remaining(groups: DataFrame, comps: DataFrame, sig: DataFrame, p: JaccardJoin) -> DataFrame:
     """Possible pairs within groups that still hold more than one component.
 
     A pair alone under its key has been decided; of keys with the very same
     documents one is enough.
     """
-    rows = (groups.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                  .withColumn("comp", F.coalesce("component", "doc_id")).select("key", "doc_id", "comp"))
-    rows = stored(rows, "grouped")
+    rows = stored(_grouped(groups, comps), "grouped")
     open_ = rows.groupBy("key").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
         F.bit_xor(F.xxhash64("doc_id")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("s2"))
@@ -277,8 +295,10 @@ def ngram_jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     2. Sets meeting under a key are paired with the smallest id there (one row
        each, not all pairs); sizes and bitmap bit counts bound the overlap from
        above, and the exact sorted arrays decide.
-    3. Groups that are then not one component are compared in full by bitmap,
-       in blocks of bounded size, and possible pairs are decided exactly.
+    3. In groups that are then not one component, further single documents
+       are paired with those of other components in the same way.
+    4. What is still apart is compared in full by bitmap, in blocks of bounded
+       size, and possible pairs of different components are decided exactly.
 
     Sets of more than one document are read again from the texts, so no array
     travels that no pair needs.  Defined cases: null and empty texts and texts
@@ -299,12 +319,16 @@ def ngram_jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     met = reps.select("doc_id", F.explode("keys").alias("key"))
     shared = stored(met.groupBy("key").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("w"))
                        .where("u < w"), "shared")
-    groups = stored(met.join(small_or_shuffled(shared, 32), "key").select("key", "doc_id", "u").distinct(), "groups")
+    groups = stored(met.join(shared, "key").select("key", "doc_id", "u").distinct(), "groups")
     small = stored(sig.select("doc_id", "n", "bits")
                    .join(groups.select("doc_id").distinct(), "doc_id", "left_semi"), "bitmaps")
     stars = groups.where("u < doc_id").select("u", F.col("doc_id").alias("v")).distinct()
     links = stored(_verified(stored(_candidates(stars, small, p), "stars"), docs, p), "verified")
     comps = connected_components(links)
+    for turn in range(p.turns):
+        met = stored(_pivots(stored(_grouped(groups, comps), "grouped"), turn), "met")
+        links = links.unionByName(stored(_verified(stored(_candidates(met, small, p), "stars"), docs, p), "verified"))
+        comps = connected_components(links)
     rest = stored(_remaining(groups, comps, small, p), "rest")
     more = _verified(rest, docs, p)
     every = connected_components(links.unionByName(more))

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Word hashes remembered by a Python worker; beyond it they are computed anew.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 300_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _M3, _S = np.uint64(0x94D049BB133111EB), np.uint64(31)
 
