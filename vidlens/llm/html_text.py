@@ -187,7 +187,8 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     that is never closed ends with the page; null and repeated ids and other
     columns play no part; an empty table gives an empty result.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
+    # ids travel as text: a null among long numbers would make them floating
+    rows = df.select(F.col(id_col).cast("string").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                      F.col(html_col).alias("html"))
-    out = rows.mapInPandas(_extract(params), "page_id long, url string, text string, n_chars long")
-    return out.select(F.col("page_id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")
+    out = rows.mapInPandas(_extract(params), "page_id string, url string, text string, n_chars long")
+    return out.select(F.col("page_id").cast("long").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vidlens.llm.tokens import END_ID, batches, crc32_of_ids, encoder
 
-PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+PIECES = ("doc_id string, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
 
@@ -187,5 +187,6 @@ def pack_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     and keep their id; an empty table gives no pieces; other columns play no
     part.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(_pack(tokenizer, params), PIECES)
+    # ids travel as text: a null among long numbers would make them floating
+    rows = df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInPandas(_pack(tokenizer, params), PIECES).withColumn("doc_id", F.col("doc_id").cast("long"))

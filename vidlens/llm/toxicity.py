@@ -320,12 +320,13 @@ def fit(docs: DataFrame, labels: DataFrame, params: Toxicity = Toxicity(), id_co
     return Model(lexicon, w.tolist())
 
 
-def _score_rows(model):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _scores(model):
+    """The model as a column function of the text; nothing else goes to Python."""
+    def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = model.value
-        for f in frames:
-            yield f.drop(columns="text").assign(score=[m.score(t) for t in f["text"]])
-    return run
+        for t in texts:
+            yield pd.Series([m.score(x) for x in t], dtype="float64")
+    return F.pandas_udf(scores, "double")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, params: Toxicity = Toxicity(), id_col: str = "doc_id",
@@ -340,19 +341,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, params: Toxicity = Toxici
     """
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, params, id_col, text_col))
     held = F.coalesce(id_remainder(F.col(id_col), params.modulus) == params.held, F.lit(False))
-    rows = docs.select(F.col(id_col).cast("string").alias("id"), held.alias("held_out"), F.col(text_col).alias("text"))
-    out = rows.mapInPandas(_score_rows(sent), "id string, held_out boolean, score double")
-    return out.select(F.col("id").cast("long").alias(id_col), "held_out", "score",
-                      (F.col("score") >= params.threshold).cast("int").alias("predicted"))
+    out = docs.select(F.col(id_col).cast("long").alias(id_col), held.alias("held_out"),
+                      _scores(sent)(F.col(text_col)).alias("score"))
+    return out.select("*", (F.col("score") >= params.threshold).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, params: Toxicity = Toxicity(), id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, params, id_col, text_col))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = sent.value
-        for f in frames:
-            yield f[np.array([m.score(t) < params.threshold for t in f[text_col]], dtype=bool)]
-    return docs.mapInPandas(run, docs.schema)
+    return docs.where(_scores(sent)(F.col(text_col)) < params.threshold)
