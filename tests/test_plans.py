@@ -16,9 +16,9 @@ def formatted(df) -> str:
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_no_cartesian_or_nested_loop(spark, name):
-    p = formatted(E.queries()[name](spark, SF001))
+    p = formatted(E.QUERIES[name](spark, SF001))
     assert "CartesianProduct" not in p
     assert "BroadcastNestedLoopJoin" not in p
 
@@ -53,3 +53,15 @@ def test_plan_summary(spark):
     s = plan_summary(stats.category_stats(adapter.videos(spark, SF001)), execute=True)
     assert s["aggregates"].get("HashAggregate", 0) >= 2 and s["joins"] == {}
     assert s["scans"] == ["struct<l_extendedprice:double,l_discount:double,l_returnflag:string>"]
+
+
+def test_plan_summary_follows_the_main_plan(spark):
+    from vidlens.plans.inspect import plan_summary
+    df = spark.range(100).where("id > (select avg(id) from range(10))").selectExpr("id % 7 as k", "id")
+    s = plan_summary(df.groupBy("k").count().orderBy("k"), execute=True)
+    assert s["exchanges"] == {"hash": 1, "range": 1} and s["subqueries"] == 1
+
+
+def test_subpackage_may_be_left_out(monkeypatch):
+    monkeypatch.setattr(E, "_llm_present", lambda: False)
+    assert set(E.queries()) == set(E.QUERIES) and set(E.oracle_sql()) == set(E.QUERIES)

@@ -13,10 +13,22 @@ def _plans(df: DataFrame, execute: bool):
         df.collect()  # through the DataFrame's own execution: AQE's final plan
     qe = df._jdf.queryExecution()
     formatted = df.sparkSession._jvm.PythonSQLUtils.explainString(qe, "formatted")
-    tree = qe.executedPlan().toString()
-    # node details (scans, filters) follow both plan trees in the formatted
-    # text and are the same in both; only the tree counts need the final plan
-    return formatted, tree.split("== Initial Plan ==")[0]
+    return formatted, "\n".join(_nodes(qe.executedPlan()))
+
+
+def _nodes(node) -> list[str]:
+    """A line for every operator that ran: adaptive plans by their final plan,
+    query stages by their plan, scalar subqueries not followed."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _nodes(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return _nodes(node.plan())
+    line = [] if kind in ("WholeStageCodegenExec", "InputAdapter") else [node.simpleString(100)]
+    if kind == "ReusedExchangeExec":
+        return ["ReusedExchange"]
+    children = node.children()
+    return line + [x for i in range(children.size()) for x in _nodes(children.apply(i))]
 
 
 def summarise(formatted: str, tree: str) -> dict:
