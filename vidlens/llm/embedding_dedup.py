@@ -212,3 +212,15 @@ def embedding_near_dedup(df: DataFrame, id_col: str = "vec_id", vector_col: str
         F.coalesce(F.coalesce("links", F.lit(0)) + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
         F.when(named != 2 ** 63 - 1, named).alias("component_id"),
         F.coalesce(F.col("vid") == named, F.lit(False)).alias("kept"))
+
+
+#: All pairs of a label, for tables small enough that every label is one leaf.
+ORACLE_SQL = """with recursive v as (
+  select vec_id, label, cast(embedding as double[]) as e from embeddings where label is not null),
+p as (select a.vec_id as x, b.vec_id as y from v a join v b on a.label = b.label and a.vec_id != b.vec_id
+      where list_cosine_similarity(a.e, b.e) between 0.93 and 1.01),
+r(x, y) as (select vec_id, vec_id from embeddings union select r.x, p.y from r join p on r.y = p.x),
+c as (select x, min(y) as component_id from r group by x),
+n as (select x, count(*) as n_links from p group by x)
+select e.vec_id, cast(coalesce(n.n_links, 0) as bigint) as n_links, c.component_id, e.vec_id = c.component_id as kept
+from embeddings e join c on e.vec_id = c.x left join n on e.vec_id = n.x"""

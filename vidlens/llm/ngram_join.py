@@ -337,3 +337,22 @@ def ngram_jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.coalesce("component", "rep") != NULL_ID, F.coalesce("component", "rep")).alias("component_id"),
         F.when(F.col("rep") != NULL_ID, F.col("rep")).alias("class_id"))
+
+
+#: Shared shingles of all documents, counted by pair.
+ORACLE_SQL = """with recursive w as (
+  select doc_id, [x for x in string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[ \\t\\n\\x0B\\f\\r]+') if x != ''] as ws from documents),
+s as (select doc_id, list_sort(list_distinct(case when len(ws) = 0 then [] when len(ws) < 3 then [array_to_string(ws, ' ')]
+  else [concat_ws(' ', ws[i], ws[i + 1], ws[i + 2]) for i in range(1, len(ws) - 1)] end)) as sh from w),
+k as (select doc_id, cast(len(sh) as bigint) as n, sh from s),
+g as (select doc_id, n, case when n = 0 then doc_id else min(doc_id) over (partition by sh) end as class_id from k),
+u as (select doc_id, unnest(sh) as x from k where doc_id in (select class_id from g)),
+i as (select a.doc_id as x, b.doc_id as y, count(*) as n from u a join u b on a.x = b.x and a.doc_id < b.doc_id group by 1, 2),
+p as (select i.x, i.y from i join k a on i.x = a.doc_id join k b on i.y = b.doc_id
+      where 100 * i.n >= 90 * (a.n + b.n - i.n)),
+q as (select x, y from p union select y, x from p),
+r(x, y) as (select distinct class_id, class_id from g union select r.x, q.y from r join q on r.y = q.x),
+c as (select x, min(y) as component_id from r group by x)
+select g.doc_id, g.n as n_shingles, c.component_id, g.class_id from g join c on g.class_id = c.x"""

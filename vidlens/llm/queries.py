@@ -73,5 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_near_dedup": embedding_dedup.ORACLE_SQL,
     "op2_line_dedup": line_dedup.ORACLE_SQL,
+    "op6_ngram_jaccard_join": ngram_join.ORACLE_SQL,
 }
