@@ -55,9 +55,11 @@ def crawl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Folder = ship year (``c1995`` ...), file = ``<line % 4>.txt``, position in
     the file = order key.  Line 7 is cut to five fields (too short), line 6
     carries a non-integer age (rejected), line 5 ends in tabs (stripped),
-    lines 1-2 carry three related ids, the rest one.
+    lines 1-2 carry three related ids, the rest one.  The rows are dealt out
+    first: building and parsing lines is the work here, and a test table is a
+    single row group.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem").repartition(spark.sparkContext.defaultParallelism)
     ln = F.col("l_linenumber")
     vid = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), ln.cast("string"))
     age = F.datediff(F.lit(AGE_BASE).cast("date"), F.col("l_shipdate").cast("date"))
