@@ -34,7 +34,7 @@ class ContextTree:
 
     share: float = 2e-5
     common: float = 1e-6
-    slice_bytes: int = 8_000_000
+    slice_bytes: int = 4_000_000
 
 
 # ---------------------------------------------------------------- counting
