@@ -260,13 +260,14 @@ def _remaining(groups: DataFrame, comps: DataFrame, sig: DataFrame, p: JaccardJo
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
         F.bit_xor(F.xxhash64("doc_id")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("s2"))
     open_ = open_.where("lo < hi and m > 2").groupBy("m", "s1", "s2").agg(F.min("key").alias("key"))
-    rows = rows.join(open_.select("key"), "key").join(sig.select("doc_id", "n", "bits"), "doc_id")
+    rows = rows.join(open_.select("key"), "key").join(sig.select("doc_id", "n"), "doc_id")
+
     # by size: a set meets those of its own band and, as the smaller one, of the next
     def band(n):
         return F.floor(F.log(n) / math.log(p.band)).cast("int")
     rows = rows.withColumn("band", F.explode(F.array_distinct(F.array(
         band(F.col("n")), F.least(band(F.col("n") * (100 / p.percent) * (1 + 1e-9)), band(F.col("n")) + 1)))))
-    rows = stored(rows.select(F.xxhash64("key", "band").alias("key"), "doc_id", "comp", "n", "bits"), "bands")
+    rows = stored(rows.select(F.xxhash64("key", "band").alias("key"), "doc_id", "comp", "n"), "bands")
     # a group of more than a block is dealt over pairs of blocks
     size = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     rows = rows.join(size.where("lo < hi").select("key", "m"), "key")
@@ -275,8 +276,10 @@ def _remaining(groups: DataFrame, comps: DataFrame, sig: DataFrame, p: JaccardJo
     rows = rows.withColumn("blocks", blocks).withColumn("blk", mine)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.withColumn("o", other).select(
-        "key", "doc_id", "comp", "n", "bits", "blk",
+        "key", "doc_id", "comp", "n", "blk",
         F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"))
+    # bitmaps come last and travel once
+    rows = rows.join(sig.select("doc_id", "bits"), "doc_id")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return rows.mapInPandas(_compare_blocks(p), "u long, v long").distinct()
 
