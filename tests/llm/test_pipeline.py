@@ -78,7 +78,7 @@ def corpus(spark, tmp_path_factory):
         if i % 10 == 3:
             text = rows[-1][1]
         if i % 10 == 5:
-            u = rows[-1][1].split(" ")
+            u = rows[-1][1].split()  # on one line, where no window of lines can catch it
             u[len(u) // 2] = "changed"
             text = " ".join(u)
         rows.append((i, text, "en", rng.choice(["s1", "s1", "s1", "s2", None]), len(text)))

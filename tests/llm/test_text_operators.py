@@ -424,3 +424,9 @@ def test_scoring(spark, docs_of, common):
     out = [r for r in got if r.held_out]
     assert sum(r.score for r in out) > sum(math.log10(1 / 256) * (10 * r.n_tokens) for r in out)
     assert ctw.score_documents(docs_of([])).collect() == []
+
+
+def test_tree_of_a_sure_corpus_stays_finite():
+    rows = [(d, int.from_bytes(b"a" * d, "big"), 97, 10 ** 12) for d in range(ctw.DEPTH + 1)]
+    m = ctw.build_model(pd.DataFrame(rows, columns=["depth", "context", "byte", "n"]))
+    assert np.isfinite(m.table).all() and np.allclose((10.0 ** m.table.astype(np.float64)).sum(axis=1), 1, atol=1e-4)

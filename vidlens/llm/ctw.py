@@ -19,6 +19,7 @@ DEPTH = 5
 #: A byte that UTF-8 never has: the end of a text, and the context before its start.
 END = 0xFF
 _HALF = float(np.log(0.5))
+_ROWS = 512
 
 
 @dataclass(frozen=True)
@@ -100,6 +101,8 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
 
 def log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """Log probability that the Krichevsky-Trofimov estimator gives n0 zeros and n1 ones."""
+    if len(n0) > _ROWS:  # in parts, for the sake of the driver's memory
+        return np.concatenate([log_kt(n0[a:a + _ROWS], n1[a:a + _ROWS]) for a in range(0, len(n0), _ROWS)])
     return _lgamma(n0 + 0.5) + _lgamma(n1 + 0.5) - _lgamma(n0 + n1 + 1.0) - float(np.log(np.pi))
 
 
@@ -160,7 +163,6 @@ def build_model(rows: pd.DataFrame) -> Model:
     all depths by the weights that the counts leave; where a longer context
     was never seen at a node, the estimate above it stands.
     """
-    rows = rows.sort_values(["depth", "context", "byte"])
     codes, counts = [], []
     for d in range(DEPTH + 1):
         r = rows[rows["depth"] == d]
@@ -174,36 +176,46 @@ def build_model(rows: pd.DataFrame) -> Model:
     while len(codes) > 1 and not len(codes[-1]):
         codes.pop(), counts.pop()
     ups = [None] + [np.searchsorted(codes[d - 1], codes[d] & ((1 << 8 * (d - 1)) - 1)) for d in range(1, len(codes))]
+    # from the longest contexts up: the weight of each own estimate, the
+    # estimates, and what a context passes to the one above
     nodes: list[tuple] = [()] * len(codes)
+    passed = deeper = None
     for d in range(len(codes) - 1, -1, -1):
         n0, n1 = _bits(counts[d])
         own = log_kt(n0, n1)
-        one = (n1 + 0.5) / (n0 + n1 + 1.0)
+        one, new = (n1 + 0.5) / (n0 + n1 + 1.0), n0 + n1 > 0  # doubles: n can be far above 2 ** 24
+        del n0, n1
         if d == DEPTH:
-            nodes[d] = (own, own, one, None, n0 + n1)
+            nodes[d] = (np.float64(1), one, None, new)
+            passed, deeper = own, counts[d]
+            counts[d] = None
             continue
-        below, seen = np.zeros_like(own), np.zeros_like(counts[d])
-        if d + 1 < len(codes):
-            np.add.at(below, ups[d + 1], nodes[d + 1][1])
-            np.add.at(seen, ups[d + 1], counts[d + 1])
-        r0, r1 = _bits(np.maximum(counts[d] - seen, 0))
+        below, left = np.zeros_like(own), counts[d].copy()
+        if passed is not None:
+            np.add.at(below, ups[d + 1], passed)
+            np.subtract.at(left, ups[d + 1], deeper)
+        r0, r1 = _bits(np.maximum(left, 0))
         below += log_kt(r0, r1)
         rest = np.where(r0 + r1 > 0, (r1 + 0.5) / (r0 + r1 + 1.0), one)
-        nodes[d] = (own, np.logaddexp(_HALF + own, _HALF + below), one, rest, n0 + n1)
+        del r0, r1, left
+        weighted = np.logaddexp(_HALF + own, _HALF + below)
+        nodes[d] = (np.exp(np.minimum(_HALF + own - weighted, 0.0)), one, rest, new)
+        passed, deeper = weighted, counts[d]
+        counts[d] = None
+    del passed, deeper
+    # from the root down: the mixture so far and the weight that is left
     table = []
     mixed = left = above = None
-    for d, (own, weighted, one, rest, n) in enumerate(nodes):
-        w = np.exp(np.minimum(_HALF + own - weighted, 0.0)) if rest is not None else np.ones_like(own)
+    for d, (w, one, rest, new) in enumerate(nodes):
         if d == 0:
-            mixed, left = w * one, 1 - w
+            mixed, left = w * one, 1 - w * np.ones_like(one)
         else:
             m, r, a = mixed[ups[d]], left[ups[d]], above[ups[d]]
-            new = n > 0
             mixed = np.where(new, m + r * w * one, m + r * a)
-            left = np.where(new, r * (1 - w), 0.0)
+            left = np.where(new, r * (1.0 - w), 0.0)
         above = one
         final = mixed + left * (rest if rest is not None else one)
-        logs = np.zeros((len(own), 256))
+        logs = np.zeros((len(one), 256))
         byte = np.arange(256)
         for level in range(8):
             q = final[:, (1 << level) + (byte >> (8 - level))]
