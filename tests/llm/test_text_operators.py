@@ -430,3 +430,24 @@ def test_tree_of_a_sure_corpus_stays_finite():
     rows = [(d, int.from_bytes(b"a" * d, "big"), 97, 10 ** 12) for d in range(ctw.DEPTH + 1)]
     m = ctw.build_model(pd.DataFrame(rows, columns=["depth", "context", "byte", "n"]))
     assert np.isfinite(m.table).all() and np.allclose((10.0 ** m.table.astype(np.float64)).sum(axis=1), 1, atol=1e-4)
+
+
+@pytest.mark.parametrize("hot", [2.5e-7, 1e-3, 1.0])
+def test_every_context_counts(spark, docs_of, hot):
+    """Scores are those of the whole tree, contexts of a single occurrence included."""
+    rng = random.Random(17)
+    rows = [(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(60)))
+            for i in range(500)] + [(500, "é abcd " * 9), (501, None)]
+    train = [ctw.words_of(t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    data, begins = ctw._stream(train)
+    assert len(data) > 100_000  # one in 50,000 is more than a single occurrence
+    counts = collections.Counter()
+    for a in ctw._own(data, begins):
+        for d in range(ctw.DEPTH + 1):
+            counts[d, int.from_bytes(data[a - d:a].tobytes(), "big"), int(data[a])] += 1
+    whole = ctw.build_model(pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["depth", "context", "byte", "n"]))
+    want = {i: float(whole.score(*ctw._stream([ctw.words_of(t)]))[0]) for i, t in rows}
+    got = ctw.score_documents(docs_of(rows), params=ctw.ContextTree(hot=hot, slice_bytes=20_000)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert abs(r.score - want[r.doc_id]) < 1e-4 * abs(want[r.doc_id]), r

@@ -26,15 +26,14 @@ _ROWS = 512
 class ContextTree:
     """Parameters.
 
-    A context stands in the tree if it holds at least ``share`` of all training
-    bytes: at most ``1 / share`` contexts of each length, so the model is
-    bounded whatever the corpus.  Words with at least ``common`` of all
-    training tokens (at most ``1 / common``) go to every task; the counts of
+    Every context of the training text stands in the tree.  Words with at
+    least ``common`` of all training tokens (at most ``1 / common``) and grams
+    with at least ``hot`` of all bytes (at most ``1 / hot``) go to every task;
     the others are joined.
     """
 
-    share: float = 2e-5
     common: float = 1e-6
+    hot: float = 2.5e-7
     slice_bytes: int = 4_000_000
 
 
@@ -69,21 +68,30 @@ def _own(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.flatnonzero(own)
 
 
+def _grams(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Context and byte at each position: the nearest byte highest, so contexts of all depths sort together."""
+    gram = data[at].astype(np.int64)
+    for k in range(1, DEPTH + 1):
+        gram |= data[at - k].astype(np.int64) << (8 * (DEPTH + 1 - k))
+    return gram
+
+
 def _count(p: ContextTree):
+    """Grams of all documents (``n`` of training, ``m`` of all) and words of training documents."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            for _, _, docs in _lines(f["text"].tolist(), p.slice_bytes):
+            out = f["held_out"].to_numpy(dtype=bool)
+            for a, b, docs in _lines(f["text"].tolist(), p.slice_bytes):
                 data, begins = _stream(docs)
                 at = _own(data, begins)
-                gram = data[at].astype(np.int64)
-                for k in range(1, DEPTH + 1):
-                    gram |= data[at - k].astype(np.int64) << (8 * k)
-                grams, n = np.unique(gram, return_counts=True)
-                yield pd.DataFrame({"kind": "gram", "key": grams, "n": n})
-                words = np.concatenate([word_hashes(w) for w in docs]) if docs else np.empty(0, np.uint64)
+                held = np.repeat(out[a:b], np.diff(np.append(begins, len(data) + DEPTH)) - DEPTH)
+                both, m = np.unique(_grams(data, at) << 1 | held, return_counts=True)
+                yield pd.DataFrame({"kind": "gram", "key": both >> 1, "n": np.where(both & 1, 0, m), "m": m})
+                train = [w for w, h in zip(docs, out[a:b]) if not h]
+                words = np.concatenate([word_hashes(w) for w in train]) if train else np.empty(0, np.uint64)
                 words, n = np.unique(words, return_counts=True)
-                yield pd.DataFrame({"kind": "word", "key": words.view(np.int64), "n": n})
-                yield pd.DataFrame({"kind": "end", "key": [0], "n": [len(docs)]})
+                yield pd.DataFrame({"kind": "word", "key": words.view(np.int64), "n": n, "m": n})
+                yield pd.DataFrame({"kind": "end", "key": [0], "n": [len(train)], "m": [len(train)]})
     return run
 
 
@@ -154,7 +162,7 @@ class Model:
 
 
 def build_model(rows: pd.DataFrame) -> Model:
-    """The tree weighted by its training counts ``(depth, context, byte, n)``.
+    """The tree weighted by its training counts ``(depth, context, byte, n)``, in one process (for small tables).
 
     Every binary node of a byte has a context tree of its own.  A context's
     weighted probability mixes, half and half, its own estimate and the product
@@ -224,19 +232,130 @@ def build_model(rows: pd.DataFrame) -> Model:
     return Model(codes, np.concatenate(table))
 
 
-def _tree_counts(counts: DataFrame, p: ContextTree) -> pd.DataFrame:
-    """Byte counts of the kept contexts: at most 256 / share rows a depth."""
-    grams = counts.where("kind = 'gram'").select(F.col("key").alias("g"), "n")
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    depth = F.explode(F.sequence(F.lit(0), F.lit(DEPTH))).alias("depth")
-    context = F.shiftright(F.col("g"), 8).bitwiseAND(F.expr("shiftleft(1L, 8 * depth) - 1L"))
-    each = (grams.select("g", "n", depth).select(
-        "depth", context.alias("context"), F.col("g").bitwiseAND(F.lit(255)).alias("byte"), "n")
-        .groupBy("depth", "context", "byte").agg(F.sum("n").alias("n")))
-    each = stored(each, "context-counts")
-    kept = each.groupBy("depth", "context").agg(F.sum("n").alias("m")) \
-               .where((F.col("m") >= p.share * total) | (F.col("depth") == 0)).select("depth", "context")
-    return each.join(F.broadcast(kept), ["depth", "context"]).toPandas()
+# ------------------------------------------------- the model over all contexts
+#: Contexts up to this length (at most 65,536) are weighted on the driver; longer ones in tasks.
+_SHALLOW = 2
+_TOP = 8 * (DEPTH - _SHALLOW)  # a gram shifted right by this names its group, a context one longer than _SHALLOW
+_GROUP_ROWS = 1 << 16
+_LEVELS = np.arange(8)
+
+
+def _groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted grams in parts that never cut a group."""
+    held, size, most = [], 0, _GROUP_ROWS
+    for f in frames:
+        held.append(f)
+        size += len(f)
+        if size < most:
+            continue
+        f = pd.concat(held, ignore_index=True)
+        group = f["key"].to_numpy() >> _TOP
+        cut = int(np.searchsorted(group, group[-1]))
+        if cut:
+            yield f.iloc[:cut]
+        held, size = [f.iloc[cut:]], len(f) - cut
+        most = max(_GROUP_ROWS, 2 * size)
+    if size:
+        yield pd.concat(held, ignore_index=True)
+
+
+class _Part:
+    """The binary nodes of the contexts of some depths: ``at[d]`` sorted (context number, node), zeros and ones."""
+
+    def __init__(self, codes: np.ndarray, at: np.ndarray, n0: np.ndarray, n1: np.ndarray, deep: int, shallow: int):
+        self.deep, self.shallow = deep, shallow
+        self.codes, self.at, self.n0, self.n1 = {deep: codes}, {deep: at}, {deep: n0}, {deep: n1}
+        self.up: dict[int, np.ndarray] = {}
+        for d in range(deep, shallow, -1):
+            self.codes[d - 1], number = np.unique(self.codes[d] >> 8, return_inverse=True)
+            self.at[d - 1], self.up[d] = np.unique(number[self.at[d] >> 8] << 8 | self.at[d] & 255, return_inverse=True)
+            for n in (self.n0, self.n1):
+                n[d - 1] = np.bincount(self.up[d], weights=n[d], minlength=len(self.at[d - 1]))
+
+    def weigh(self, below: np.ndarray | None) -> np.ndarray:
+        """From the longest contexts up: weights of the own estimates; returns what the shortest pass up."""
+        self.weight = {}
+        for d in range(self.deep, self.shallow - 1, -1):
+            own = log_kt(self.n0[d], self.n1[d])
+            if below is None:  # the longest context of all has but its own estimate
+                self.weight[d], passed = np.ones(len(own)), own
+            else:
+                passed = np.logaddexp(_HALF + own, _HALF + below)
+                self.weight[d] = np.exp(np.minimum(_HALF + own - passed, 0.0))
+            if d > self.shallow:
+                below = np.bincount(self.up[d], weights=passed, minlength=len(self.at[d - 1]))
+        return passed
+
+    def mix(self, state: tuple[np.ndarray, np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """From the shortest contexts down: the mixture so far, the weight left and the own estimate."""
+        for d in range(self.shallow, self.deep + 1):
+            w, one = self.weight[d], (self.n1[d] + 0.5) / (self.n0[d] + self.n1[d] + 1.0)
+            if state is None:
+                state = w * one, 1 - w, one
+                continue
+            m, r, a = (x[self.up[d]] for x in state) if d > self.shallow else state
+            new = self.n0[d] + self.n1[d] > 0
+            state = np.where(new, m + r * w * one, m + r * a), np.where(new, r * (1.0 - w), 0.0), one
+        return state
+
+
+def _deep(key: np.ndarray, n: np.ndarray) -> tuple[_Part, np.ndarray, np.ndarray]:
+    """The contexts longer than ``_SHALLOW`` of sorted grams; each gram's eight nodes and bits."""
+    codes, number = np.unique(key >> 8, return_inverse=True)
+    byte = (key & 255)[:, None]
+    ones = (byte >> (7 - _LEVELS)) & 1
+    at, node = np.unique((number[:, None] << 8 | (1 << _LEVELS) + (byte >> (8 - _LEVELS))).ravel(), return_inverse=True)
+    n = n[:, None].astype(np.float64)
+    n0, n1 = (np.bincount(node, weights=(n * x).ravel(), minlength=len(at)) for x in (1 - ones, ones))
+    return _Part(codes, at, n0, n1, DEPTH, _SHALLOW + 1), node.reshape(-1, 8), ones
+
+
+def _up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What the groups pass to the contexts of ``_SHALLOW`` bytes."""
+    for f in _groups(frames):
+        part, _, _ = _deep(f["key"].to_numpy(), f["n"].to_numpy())
+        passed = part.weigh(None)
+        d = part.shallow
+        at, up = np.unique((part.codes[d][part.at[d] >> 8] >> 8) << 8 | part.at[d] & 255, return_inverse=True)
+        n0, n1, below = (np.bincount(up, weights=x, minlength=len(at)) for x in (part.n0[d], part.n1[d], passed))
+        yield pd.DataFrame({"at": at, "n0": n0, "n1": n1, "below": below})
+
+
+def _down(shallow):
+    """Log10 probability of the byte of every gram after its context."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        above, state = shallow.value
+        for f in _groups(frames):
+            key = f["key"].to_numpy()
+            part, node, ones = _deep(key, f["n"].to_numpy())
+            part.weigh(None)
+            d = part.shallow
+            at = np.searchsorted(above, (part.codes[d][part.at[d] >> 8] >> 8) << 8 | part.at[d] & 255)
+            m, r, a = (x[at] for x in state)
+            q = part.mix((m, r, a))[0][node]
+            yield pd.DataFrame({"key": key, "m": f["m"].to_numpy(), "log": np.log10(np.where(ones, q, 1 - q)).sum(axis=1)})
+    return run
+
+
+def _gram_logs(counts: DataFrame) -> DataFrame:
+    """``(key, m, log)`` of every gram of the table, trained or only scored.
+
+    Contexts of three bytes and more are weighted in tasks, each with all the
+    longer contexts that end in it; the sums that they pass on meet in one
+    aggregate, and the contexts of at most two bytes are weighted here.
+    """
+    spark = counts.sparkSession
+    grams = counts.where("kind = 'gram'").select("key", "n", "m")
+    dealt = grams.repartition(F.shiftright("key", _TOP)).sortWithinPartitions("key")
+    rows = (dealt.mapInPandas(_up, "at long, n0 double, n1 double, below double")
+            .groupBy("at").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("below").alias("below"))
+            .toArrow().sort_by("at"))
+    at, n0, n1, below = (rows[c].to_numpy() for c in ("at", "n0", "n1", "below"))
+    codes, number = np.unique(at >> 8, return_inverse=True)
+    part = _Part(codes, number << 8 | at & 255, n0, n1, _SHALLOW, 0)
+    part.weigh(below)
+    shallow = spark.sparkContext.broadcast((at, part.mix(None)))
+    return stored(dealt.mapInPandas(_down(shallow), "key long, m long, log double"), "gram-logs")
 
 
 # ----------------------------------------------------------------- scoring
@@ -244,11 +363,11 @@ SCORED = ("kind string, row long, doc_id long, held_out boolean, n_tokens long,
           "score double, n_bytes long, key long, tf long")
 
 
-def _score(p: ContextTree, model, common):
+def _score(p: ContextTree, hot_grams, common):
     names = [c.split()[0] for c in SCORED.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tree = model.value
+        grams, gram_logs = hot_grams.value
         words, logs = common.value
         row = TaskContext.get().partitionId() << 40
         for f in frames:
@@ -264,20 +383,28 @@ def _score(p: ContextTree, model, common):
                 value = np.where(hot, logs[at], 0.0) if len(words) else np.zeros(len(key))
                 base = np.bincount(doc, weights=value[inverse], minlength=len(docs))
                 known = np.bincount(doc, weights=hot[inverse], minlength=len(docs)).astype(np.int64)
+                n_bytes = np.diff(np.append(begins, len(data) + DEPTH)) - DEPTH
+                gram, which = np.unique(_grams(data, _own(data, begins)), return_inverse=True)
+                at = np.minimum(np.searchsorted(grams, gram), max(len(grams) - 1, 0))
+                sure = grams[at] == gram if len(grams) else np.zeros(len(gram), dtype=bool)
+                value = np.where(sure, gram_logs[at], 0.0) if len(grams) else np.zeros(len(gram))
+                within = np.repeat(np.arange(len(docs)), n_bytes)
                 rows = row + np.arange(len(docs))
                 row += len(docs)
                 yield pd.DataFrame({
                     "kind": "doc", "row": rows, "doc_id": f["doc_id"].iloc[a:b].to_numpy(),
                     "held_out": f["held_out"].iloc[a:b].to_numpy(), "n_tokens": size + 1, "n_known": known,
-                    "base": base, "score": tree.score(data, begins),
-                    "n_bytes": np.diff(np.append(begins, len(data) + DEPTH)) - DEPTH, "key": 0, "tf": 0}, columns=names)
-                cold = np.flatnonzero(~hot[inverse])
-                if len(cold):
-                    pair, tf = _pairs(doc[cold], inverse[cold], len(key))
-                    yield pd.DataFrame({
-                        "kind": "word", "row": rows[pair[0]], "doc_id": 0, "held_out": False, "n_tokens": 0,
-                        "n_known": 0, "base": 0.0, "score": 0.0, "n_bytes": 0, "key": key[pair[1]].view(np.int64), "tf": tf},
-                        columns=names)
+                    "base": base, "score": np.bincount(within, weights=value[which], minlength=len(docs)),
+                    "n_bytes": n_bytes, "key": 0, "tf": 0}, columns=names)
+                for kind, keys, there, of, i in (("word", key.view(np.int64), hot, doc, inverse),
+                                                  ("gram", gram, sure, within, which)):
+                    cold = np.flatnonzero(~there[i])
+                    if len(cold):
+                        pair, tf = _pairs(of[cold], i[cold], len(keys))
+                        yield pd.DataFrame({
+                            "kind": kind, "row": rows[pair[0]], "doc_id": 0, "held_out": False, "n_tokens": 0,
+                            "n_known": 0, "base": 0.0, "score": 0.0, "n_bytes": 0, "key": keys[pair[1]], "tf": tf},
+                            columns=names)
     return run
 
 
@@ -298,9 +425,11 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     over the same bytes.
 
     Training is one pass: every task counts its byte grams (five bytes of
-    context and a byte) and word hashes, and partial aggregates sum them.  The
-    tree's counts and the common words are bounded by ``params`` and go to
-    every task; counts of other words meet their documents in a join.  Words
+    context and a byte) and word hashes, and partial aggregates sum them.
+    Every context stands in the tree, which is weighted in tasks; each gram of
+    the table gets its log probability once.  The common grams and words go to
+    every task, their number bounded by ``params``; the log probabilities of
+    other grams and counts of other words meet their documents in a join.  Words
     are known by 64-bit hashes.  Defined cases: a null or empty text is one end
     token; a null id is reported null and trains; rows that repeat an id are
     documents of their own and train as often; without training rows every
@@ -311,22 +440,29 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     held_out = F.coalesce(id_remainder(F.col(id_col), modulus) == held, F.lit(False))
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                      F.col(text_col).alias("text"), held_out.alias("held_out"))
-    raw = docs.where(~F.col("held_out")).select("text").mapInPandas(_count(params), "kind string, key long, n long")
-    counts = stored(raw.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+    raw = docs.select("text", "held_out").mapInPandas(_count(params), "kind string, key long, n long, m long")
+    counts = stored(raw.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "counts")
     words = counts.where("kind = 'word'")
     sums = counts.where("kind != 'gram'").agg(
         F.sum("n"), F.count(F.when(F.col("kind") == "word", 1)), F.max(F.when(F.col("kind") == "end", F.col("n")))).first()
     n, v, ends = sums[0] or 0, (sums[1] or 0) + bool(sums[2]), sums[2] or 0
-    model = spark.sparkContext.broadcast(build_model(_tree_counts(counts, params)))
+    logs = _gram_logs(counts)
+    least = max(1, params.hot * (logs.agg(F.sum("m")).first()[0] or 0))
+    top = logs.where(F.col("m") >= least).select("key", "log").toArrow().sort_by("key")
+    grams = spark.sparkContext.broadcast((top["key"].to_numpy(), top["log"].to_numpy()))
     hot = words.where(F.col("n") >= max(1, params.common * n)).select("key", "n").toPandas()
     keys = hot["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     common = spark.sparkContext.broadcast((keys[order], np.log10(hot["n"].to_numpy(np.float64)[order] + 1)))
-    scored = stored(docs.mapInPandas(_score(params, model, common), SCORED), "scored")
-    cold = (scored.where("kind = 'word'").select("row", "key", "tf")
-            .join(words.where(F.col("n") < max(1, params.common * n)).select("key", "n"), "key")
-            .groupBy("row").agg(F.sum("tf").alias("k"), F.sum(F.col("tf") * F.log10(F.col("n") + 1.0)).alias("l")))
-    out = scored.where("kind = 'doc'").join(cold, "row", "left")
+    scored = stored(docs.mapInPandas(_score(params, grams, common), SCORED), "scored")
+    rare = (words.where(F.col("n") < max(1, params.common * n)).select("kind", "key", F.log10(F.col("n") + 1.0).alias("log"))
+            .unionByName(logs.where(F.col("m") < least).select(F.lit("gram").alias("kind"), "key", "log")))
+    word, gram = (F.when(F.col("kind") == kind, F.col("tf")) for kind in ("word", "gram"))
+    cold = (scored.where("kind != 'doc'").select("row", "kind", "key", "tf").join(rare, ["kind", "key"])
+            .groupBy("row").agg(F.sum(word).alias("k"), F.sum(word * F.col("log")).alias("l"),
+                                F.sum(gram * F.col("log")).alias("g")))
+    out = (scored.where("kind = 'doc'").join(cold, "row", "left")
+           .withColumn("score", F.col("score") + F.coalesce("g", F.lit(0.0))))
     end_log = F.log10(F.lit(float(ends + 1)))
     each = F.log10(F.lit(float(n + v + 1)))
     return out.select(
