@@ -91,6 +91,19 @@ def test_large_leaf_is_compared_in_blocks(spark):
     assert {(r.n_links, r.component_id) for r in got} == {(89, 0)}
 
 
+def test_dense_label_keeps_its_links(spark):
+    rng = np.random.default_rng(8)
+    centre, noise = rng.standard_normal(64), rng.standard_normal((20_000, 64))
+    v = np.sqrt(0.95) * centre / np.linalg.norm(centre) + np.sqrt(0.05) * noise / np.linalg.norm(noise, axis=1)[:, None]
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    true = np.concatenate([(u[a:a + 1000] @ u.T >= 0.93).sum(axis=1) - 1 for a in range(0, len(u), 1000)])
+    df = spark.createDataFrame([(i, x, 1) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<double>, label int")
+    rows = E.embedding_near_dedup(df).select("vec_id", "n_links", "component_id").collect()
+    found = np.array([r.n_links for r in sorted(rows)])
+    assert true.sum() > 1e8 and (found <= true).all() and found.sum() >= 0.999 * true.sum()
+    assert {r.component_id for r in rows} == {0}
+
+
 def shingles(text, k):
     w = (text or "").encode().lower().split()
     return frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])

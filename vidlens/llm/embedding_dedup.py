@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidlens.llm.common import small_or_shuffled, stored
@@ -20,10 +20,11 @@ class Forest:
 
     A node of more than ``leaf`` vectors is split at the median of a random
     projection; both halves also get the vectors between the quantiles
-    0.5 - ``spill`` and 0.5 + ``spill``, and at least those within a quarter of
-    the usual projected distance of two vectors at ``cosine``.  A node that the
-    overlap would hand whole to both halves is left whole, as is one at
-    ``depth``; such leaves are compared in blocks of ``leaf`` vectors.
+    0.5 - ``spill`` and 0.5 + ``spill``, and at least those within the usual
+    projected distance of two vectors at ``cosine``.  Where a half would get
+    more than 0.7 of the vectors, two halves are no fewer pairs than the whole:
+    such a node is left whole, as is one at ``depth``, and compared in blocks
+    of ``leaf`` vectors.
     """
 
     cosine: float = 0.93
@@ -89,16 +90,20 @@ def _leaves(vectors: DataFrame, p: Forest) -> DataFrame:
                     .select("label", "dim", "cid", "tree", F.lit(1).cast("long").alias("node"),
                             F.slice("at", F.col("tree") * p.depth + 1, p.depth).alias("at")))
     done = None
-    margin = F.sqrt(F.lit(2 * (1 - p.cosine)) / F.greatest("dim", F.lit(1))) / 4
-    at = [0.02, 0.5 - p.spill, 0.5, 0.5 + p.spill, 0.98]
+    margin = F.sqrt(F.lit(2 * (1 - p.cosine)) / F.greatest("dim", F.lit(1)))
+    at = [0.3, 0.5 - p.spill, 0.5, 0.5 + p.spill, 0.7]
     for level in range(p.depth + 1):
         here = F.col("at")[level] if level < p.depth else F.lit(0.0)
         q = open_.groupBy(*key).agg(F.count(F.lit(1)).alias("m"),
                                     F.percentile_approx(here, at, F.lit(2000)).alias("q"))
-        cut = stored(q.withColumn("lo", F.least(F.col("q")[1], F.col("q")[2] - margin))
-                      .withColumn("hi", F.greatest(F.col("q")[3], F.col("q")[2] + margin))
-                      .withColumn("leaf", (F.col("m") <= p.leaf) | (F.col("lo") <= F.col("q")[0])
-                                  | (F.col("hi") >= F.col("q")[4]) | F.lit(level == p.depth)).drop("q"), "cuts")
+        cut = (q.withColumn("lo", F.least(F.col("q")[1], F.col("q")[2] - margin))
+                .withColumn("hi", F.greatest(F.col("q")[3], F.col("q")[2] + margin))
+                .withColumn("leaf", (F.col("m") <= p.leaf) | (F.col("lo") <= F.col("q")[0])
+                            | (F.col("hi") >= F.col("q")[4]) | F.lit(level == p.depth)).drop("q"))
+        if level == 0:  # a tree that is one leaf has every pair; the others have nothing to add
+            whole = F.min(F.when(F.col("leaf"), F.col("tree"))).over(Window.partitionBy("label", "dim"))
+            cut = cut.withColumn("whole", whole).where("whole is null or tree = whole").drop("whole")
+        cut = stored(cut, "cuts")
         sides = F.when(F.col("leaf"), F.array("node")).otherwise(F.filter(F.array(
             F.when(here <= F.col("hi"), F.col("node") * 2), F.when(here >= F.col("lo"), F.col("node") * 2 + 1)),
             lambda s: s.isNotNull()))
