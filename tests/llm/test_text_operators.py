@@ -321,6 +321,22 @@ def test_token_store(spark, docs_of):
     assert token_store.lookup(spark, empty, [1]).collect() == []
 
 
+# --------------------------------------------------- pages with other articles
+def test_body_outside_the_article_elements():
+    body = [f"Paragraph {k} of the story has a good number of words in it, as stories have." for k in range(6)]
+    story = "<div class='story'>" + "".join(f"<p>{b}</p>" for b in body) + "<p>End.</p></div>"
+    cards = "".join(f"<article class='card'><h3>Other story {k}</h3><p>A few words on it.</p></article>" for k in range(9))
+    comments = "".join(f"<article class='comment' id='c{k}'><p>{'I read all of this story and liked it. ' * 40}</p></article>"
+                       for k in range(3))
+    want = " ".join(body) + " End."
+    assert html_text.main_text(f"<body>{story}{cards}</body>") == want
+    assert html_text.main_text(f"<body>{cards}{story}</body>") == want
+    assert html_text.main_text(f"<body>{story}{comments}</body>") == want
+    whole = f"<article class='post has-sidebar'>{story}</article>"
+    assert html_text.main_text(f"<body>{whole}{comments}<div>Imprint</div></body>") == want
+    assert html_text.main_text(f"<body>{story}<article>{story}</article></body>") == want + " " + want
+
+
 # ------------------------------------------------------------------ scoring
 def direct_tree(train, depth, share):
     """Counts of the kept contexts, and a plain recursive predictor."""

@@ -21,10 +21,13 @@ BLOCKS = frozenset("address article aside blockquote body br caption center dd d
                    "section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words of a class, id or role that mark a part beside the article.
-BESIDE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|copyright|disqus|"
-                    r"footer|gdpr|header|hidden|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|"
-                    r"pagination|popup|promo\w*|related|replies|reply|respond|search|share|sharing|sidebar|signup|"
-                    r"social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+_BESIDE = (r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|copyright|disqus|"
+           r"footer|gdpr|header|hidden|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|"
+           r"pagination|popup|promo\w*|related|replies|reply|respond|search|share|sharing|sidebar|signup|"
+           r"social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])")
+BESIDE = re.compile(r"(?:^|[\s_-])" + _BESIDE, re.I)
+#: An article element is beside only by a name that begins so ("comment-7", not "has-sidebar").
+BESIDE_ARTICLE = re.compile(r"(?:^|\s)" + _BESIDE, re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 #: First words of a line that is a notice, where the page doesn't name its article.
@@ -38,13 +41,15 @@ _SPACE = re.compile(r"\s+")
 
 @dataclass(frozen=True)
 class LineBlocks:
-    """Parameters: windows of ``window`` lines; on pages without an article
-    element a surge needs ``surge`` characters in a window or ``part`` of the
-    fullest, whichever is less."""
+    """Parameters: windows of ``window`` lines; a surge needs ``surge``
+    characters in a window or ``part`` of the fullest, whichever is less.  Beside
+    article elements, text outside them needs ``surge``; of elements and outside
+    parts, what has ``piece`` of the longest belongs to the article."""
 
     window: int = 3
     surge: int = 80
     part: float = 0.2
+    piece: float = 0.5
 
 
 def _beside(name: str, attributes: str) -> bool:
@@ -54,8 +59,9 @@ def _beside(name: str, attributes: str) -> bool:
         return False
     for key, value in _ATTR.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
-        if key in ("class", "id") and name not in ("html", "body", "article", "main") and BESIDE.search(value):
-            return True
+        if key in ("class", "id") and name not in ("html", "body", "main"):
+            if (BESIDE_ARTICLE if name == "article" else BESIDE).search(value):
+                return True
         if key == "role" and value in ROLES:
             return True
         if key == "hidden" or key == "aria-hidden" and value == "true":
@@ -65,23 +71,23 @@ def _beside(name: str, attributes: str) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, bool, bool]]:
-    """The page's lines: ``(text, beside the article, inside an article element)``.
+def lines_of(page: str) -> list[tuple[str, bool, int]]:
+    """The page's lines: ``(text, beside the article, number of the outermost article element or 0)``.
 
     Markup is stripped; every block element begins a new line.  Raw elements
     (scripts, styles ...) are left out whole.
     """
-    out: list[tuple[str, bool, bool]] = []
+    out: list[tuple[str, bool, int]] = []
     text: list[str] = []
     open_: list[tuple[str, bool, bool]] = []  # name, beside, main
-    beside = main = 0
+    beside = main = number = 0
     at, end = 0, len(page)
 
     def close_line() -> None:
         if text:
             line = _SPACE.sub(" ", entities.unescape("".join(text))).strip()
             if line:
-                out.append((line, beside > 0, main > 0))
+                out.append((line, beside > 0, number if main else 0))
             text.clear()
 
     while at < end:
@@ -132,41 +138,64 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
         if is_beside or is_main or name in BLOCKS:
             open_.append((name, is_beside, is_main))
             beside += is_beside
+            number += is_main and not main
             main += is_main
     close_line()
     return out
 
 
+def _parts(length: list[int], window: int, least: int | None, params: LineBlocks) -> list[tuple[int, int]]:
+    """Where the windows surge to ``least`` (or the page's own threshold) until they have fallen to 0."""
+    blocks = [sum(length[i:i + window]) for i in range(len(length))]
+    if least is None:
+        least = max(1, min(params.surge, int(params.part * max(blocks, default=0))))
+    parts, i = [], 0
+    while i < len(blocks):
+        if blocks[i] < least:
+            i += 1
+            continue
+        j = i
+        while j < len(blocks) and blocks[j] > 0:
+            j += 1
+        parts.append((i, j))
+        i = j
+    return parts
+
+
 def main_text(page: str | None, params: LineBlocks = LineBlocks()) -> str:
     """The article: lines between the points where the line-block lengths surge and dive.
 
     The length of a line counts in every window of ``window`` lines that holds
-    it; lines beside the article count 0, and where the page names its
-    article, so do lines outside it.  A part begins where a window reaches the
-    threshold and ends where the windows have fallen to 0; lines of length 0
-    inside a part are left out, all others are kept.
+    it; lines beside the article count 0.  A part begins where a window reaches
+    the threshold and ends where the windows have fallen to 0; lines of length
+    0 inside a part are left out, all others are kept.
+
+    Article elements are a hint that the windows confirm.  If no part outside
+    them is longer than the longest element, a line inside begins a part
+    whatever its length, and outside lines count only in parts of ``piece`` of
+    that length.  Otherwise the outside is the article, and elements shorter
+    than ``piece`` of its longest part are cards or comments and count 0.
     """
     if not page:
         return ""
     lines = lines_of(page)
-    named = any(a and not b for _, b, a in lines)
-    length = [0 if b or (not a if named else NOTICE.match(t)) else len(t) for t, b, a in lines]
-    n, w = len(lines), params.window
-    blocks = [sum(length[i:i + w]) for i in range(n)]
-    least = 1 if named or not blocks else max(1, min(params.surge, int(params.part * max(blocks))))
-    kept, i = [], 0
-    while i < n:
-        if blocks[i] < least:
-            i += 1
-            continue
-        j = i
-        surged = False
-        while j < n and blocks[j] > 0:
-            surged = surged or blocks[j] >= least
-            j += 1
-        kept += [lines[k][0] for k in range(i, j) if length[k]]
-        i = j
-    return " ".join(kept)
+    outer = [0 if b or a or NOTICE.match(t) else len(t) for t, b, a in lines]
+    inner = [len(t) if a and not b else 0 for t, b, a in lines]
+    length, least = outer, None
+    if any(inner):
+        element: dict[int, int] = {}
+        for (_, _, a), n in zip(lines, inner):
+            element[a] = element.get(a, 0) + n
+        outside = [(i, j, sum(outer[i:j])) for i, j in _parts(outer, params.window, params.surge, params)]
+        longest, fullest = max(element.values()), max((n for _, _, n in outside), default=0)
+        if fullest <= longest:
+            length, least = inner, 1
+            for i, j, n in outside:
+                if n >= params.piece * longest:
+                    length = [max(x, y) if i <= k < j else x for k, (x, y) in enumerate(zip(length, outer))]
+        else:
+            length = [x if element[a] < params.piece * fullest else max(x, y) for (_, _, a), x, y in zip(lines, outer, inner)]
+    return " ".join(lines[k][0] for i, j in _parts(length, params.window, least, params) for k in range(i, j) if length[k])
 
 
 def _extract(params: LineBlocks):
