@@ -89,6 +89,23 @@ def test_automaton_against_edit_distance():
             assert (got[1], terms[got[0]]) in want and got[1] == min(want)[0]
 
 
+def test_automaton_edits_the_first_letter_too():
+    terms = ["zurgle", "worthless", "idiot", "scum"]
+    automaton = toxicity.Lexicon(terms, [0.9] * 4).automaton
+    assert automaton.match("yurgle") == (0, 1) and automaton.match("urgle") == (0, 1) and automaton.match("xzurgle") == (0, 1)
+    assert automaton.match("orthles") == (1, 2) and automaton.match("xyworthless") == (1, 2) and automaton.match("rthless") == (1, 2)
+    assert automaton.match("cum") is None and automaton.match("xscum") is None
+    rng = random.Random(4)
+    for _ in range(4000):
+        w = list(rng.choice(terms))
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(min(3, len(w)))  # near the beginning
+            w[at:at + rng.randrange(2)] = rng.choice(["", "x", "z", "i"])
+        w = "".join(w)
+        near = [(d, k) for k, t in enumerate(terms) if (d := edits(w, t)) <= (2 if len(t) >= 9 else len(t) >= 5)]
+        assert automaton.match(w) == (min(near)[::-1] if near else None), w
+
+
 def test_quotation_lowers_the_score():
     lex = toxicity.Lexicon(["idiot", "worthless"], [0.99, 0.99])
     m = toxicity.Model(lex, [-3.0, *toxicity.PRIOR])

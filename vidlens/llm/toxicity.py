@@ -52,13 +52,14 @@ class LexiconAutomaton:
 
     A state is the set of ``(trie node, edits)`` pairs that a prefix can have
     reached, closed under skipping a letter of the term; it is built when first
-    met, so a word costs one step a letter.  The first letter must be right.
+    met, so a word costs one step a letter.  With ``first`` edits may fall on
+    any letter, as the operator has it; without it the first must be right.
     A stem matches every word that begins with it, without edits.
     """
 
-    def __init__(self, terms: list[str], one_edit: int = 5, two_edits: int = 9):
+    def __init__(self, terms: list[str], one_edit: int = 5, two_edits: int = 9, first: bool = False):
         self.terms = terms
-        self.one, self.two = one_edit, two_edits
+        self.one, self.two, self.first = one_edit, two_edits, first
         self.next: list[dict[str, int]] = [{}]
         self.term_at: dict[int, int] = {}
         self.stem_at: dict[int, int] = {}
@@ -66,6 +67,8 @@ class LexiconAutomaton:
         for i, term in enumerate(terms):
             stem = term.endswith("*")
             node = 0
+            if first and not stem:
+                self.allowed[0] = max(self.allowed[0], self._edits(len(term)))
             for ch in term.rstrip("*"):
                 if ch not in self.next[node]:
                     self.next[node][ch] = len(self.next)
@@ -81,8 +84,9 @@ class LexiconAutomaton:
         return 2 if length >= self.two else 1 if length >= self.one else 0
 
     def clear(self) -> None:
-        self.states: list[dict[int, int]] = [{0: 0}]
-        self.number = {frozenset({(0, 0)}): 0}
+        start = self._closed({0: 0}) if self.first else {0: 0}
+        self.states: list[dict[int, int]] = [start]
+        self.number = {frozenset(start.items()): 0}
         self.moves: dict[tuple[int, str], int] = {}
 
     def _closed(self, reached: dict[int, int]) -> dict[int, int]:
@@ -106,7 +110,7 @@ class LexiconAutomaton:
                 reached[node] = e
 
         for node, e in self.states[state].items():
-            if node == 0:
+            if node == 0 and not self.first:
                 if ch in self.next[0]:
                     put(self.next[0][ch], 0)
                 continue
@@ -160,7 +164,7 @@ class Lexicon:
     params: Toxicity = field(default_factory=Toxicity)
 
     def __post_init__(self):
-        self.automaton = LexiconAutomaton(self.terms, self.params.one_edit, self.params.two_edits)
+        self.automaton = LexiconAutomaton(self.terms, self.params.one_edit, self.params.two_edits, first=True)
         self.known: dict[str, tuple[int, int] | None] = {}
 
     def __reduce__(self):
