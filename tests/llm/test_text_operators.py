@@ -147,6 +147,16 @@ def test_toxicity_held_out(toxic_tables):
     assert clean.columns == docs.columns and clean.count() == sum(1 - r.predicted for r in got)
 
 
+def test_all_ordinary_words_are_known(spark, docs_of):
+    letters = [chr(0x4E00 + k) for k in range(330)]
+    words = ["q" + x + y + "wertyuiop" for x in letters for y in letters]
+    assert len(words) > 100_000
+    rows = [(0, " ".join(words))] + [(i, "plain words " * 5 if i % 3 else "qazwertyuiop") for i in range(1, 90)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0 and i > 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs_of(rows), labels, toxicity.Toxicity(held=5))
+    assert "qazwertyuiop" in model.lexicon.terms and model.lexicon.ordinary >= set(words)
+
+
 def test_toxicity_without_labels(spark, docs_of):
     docs = docs_of([(1, "a b"), (2, None)])
     none = spark.createDataFrame([], "doc_id long, toxic int")

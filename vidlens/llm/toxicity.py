@@ -314,7 +314,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: Toxicity = Toxicity(), id_co
                       frozenset(), p)
     # words of clean documents that stand near a term are words of their own
     near = (terms.where((F.col("clean") > 0) & ~F.col("term").endswith("*")).select("term", "clean")
-            .mapInPandas(_near_words(lexicon), "term string").limit(100_000).toPandas())
+            .mapInPandas(_near_words(lexicon), "term string").toPandas())
     lexicon = Lexicon(lexicon.terms, lexicon.strength, frozenset(near["term"]), p)
     sent = spark.sparkContext.broadcast(lexicon)
     rows = train.select("text", "toxic").mapInPandas(
