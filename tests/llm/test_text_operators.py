@@ -348,6 +348,17 @@ def test_token_store(spark, docs_of):
     assert token_store.lookup(spark, empty, [1]).collect() == []
 
 
+@pytest.mark.parametrize("shard_bytes", [1, 60, 1 << 20])
+def test_lookup_returns_every_copy(spark, docs_of, shard_bytes):
+    file = tokenizers.path("byte_bpe_50k.json")
+    rows = [(i, f"text {i} {k}") for i in range(6) for k in range(1 + 3 * (i % 3))]
+    path = scratch_path(spark, "store")
+    token_store.write_token_store(docs_of(rows), path, file, shard_bytes=shard_bytes)
+    got = token_store.lookup(spark, path, [1, 2, 3, 77]).collect()
+    assert sorted(r.doc_id for r in got) == [1] * 4 + [2] * 7 + [3]
+    assert len({tuple(r.ids) for r in got}) == 12
+
+
 # --------------------------------------------------- pages with other articles
 def test_body_outside_the_article_elements():
     body = [f"Paragraph {k} of the story has a good number of words in it, as stories have." for k in range(6)]

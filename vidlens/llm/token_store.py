@@ -198,10 +198,11 @@ def read_documents(spark: SparkSession, path: str, id_col: str = "doc_id") -> Da
 
 
 def lookup(spark: SparkSession, path: str, keys: list[int], id_col: str = "doc_id") -> DataFrame:
-    """``id_col, ids`` of the given keys that are stored; one probe per key and shard.
+    """``id_col, ids`` of the given keys that are stored, a row for each copy.
 
     For a list of keys that the caller holds.  Only shards whose key range
-    reaches into that of the list are read.
+    reaches into that of the list are read; copies are probed upwards until
+    one misses, in the next shard from the copy that it begins with.
     """
     wanted = np.array(sorted(set(keys)), dtype=np.int64)
 
@@ -211,9 +212,13 @@ def lookup(spark: SparkSession, path: str, keys: list[int], id_col: str = "doc_i
                 near = wanted[(wanted >= row.first_key) & (wanted <= row.last_key)]
                 if not len(near):
                     continue
-                ok, where = _find(row, near, np.zeros(len(near), np.int64))
                 ids = _payload(row)
-                yield pd.DataFrame({"k": near[ok], "ids": [ids[o:o + n].astype(np.int64) for o, n in where[ok]]})
+                copies = np.where(near == row.first_key, np.frombuffer(row.copies, "<i8", 1)[0], 0)
+                while len(near):
+                    ok, where = _find(row, near, copies)
+                    near, copies = near[ok], copies[ok] + 1
+                    if len(near):
+                        yield pd.DataFrame({"k": near, "ids": [ids[o:o + n].astype(np.int64) for o, n in where[ok]]})
 
     shards = spark.read.schema(SHARDS).parquet(path)
     low, high = (int(wanted[0]), int(wanted[-1])) if len(wanted) else (0, -1)
