@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from paths import SF001
 from vidlens.operators import filters, stats, topn
 from vidlens.plans import adapter
 
