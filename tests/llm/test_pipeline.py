@@ -12,7 +12,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline as P
-from conftest import ROOT
+from llm_paths import ROOT
 from vidlens.llm import queries as Q
 from vidlens.llm import toxicity
 from vidlens.llm.tokens import Encoder
