@@ -57,3 +57,20 @@ def split_words(text: Column) -> Column:
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """``crc32(doc_id as text) mod modulus``; null ids give null."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(modulus))
+
+
+def id_crc(doc_id: Column) -> Column:
+    """The unsigned crc32 of the id's decimal text, as a long; null ids give null."""
+    return F.crc32(doc_id.cast("string").cast("binary"))
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB expression for the unsigned crc32 of an ASCII text, bit by bit."""
+    seen = f"list_transform(range(1, len({text}) + 1), lambda i: cast(ascii(substr({text}, i, 1)) as bigint))"
+    byte = "list_reduce(list_prepend(xor(x, y), range(8)), lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))"
+    return f"xor(list_reduce(list_prepend(cast(4294967295 as bigint), {seen}), lambda x, y: {byte}), cast(4294967295 as bigint))"
+
+
+def words_sql(text: str) -> str:
+    """DuckDB expression for the words of a text, as a list (null: none)."""
+    return f"list_filter(regexp_split_to_array(coalesce({text}, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda word: word <> '')"
