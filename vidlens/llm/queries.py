@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vidlens.llm import ctw, embedding_dedup, html_text, line_dedup, mixing, ngram_join, packing, runs, simhash, token_store, toxicity
+from vidlens.llm import ctw, embedding_dedup, html_text, line_dedup, mixing, ngram_join, packing, prefix_trie, runs, simhash, token_store, toxicity
 from vidlens.llm.common import table
 from vidlens.session import scratch_path
 
@@ -59,6 +59,10 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(spark, path)
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = runs.repeat_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return runs.run_digests(runs.periodic_runs(docs))
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_token_store": op9_token_store,
     "op10_lm_scoring": op10_lm_scoring,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -82,5 +87,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_embedding_near_dedup": embedding_dedup.ORACLE_SQL,
     "op2_line_dedup": line_dedup.ORACLE_SQL,
     "op6_ngram_jaccard_join": ngram_join.ORACLE_SQL,
+    "op12_conversation_trie": prefix_trie.ORACLE_SQL,
     "op13_periodic_runs": runs.ORACLE_SQL,
 }
