@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vidlens.llm import ctw, embedding_dedup, html_text, line_dedup, mixing, ngram_join, packing, prefix_trie, runs, simhash, token_store, toxicity
+from vidlens.llm import ctw, embedding_dedup, html_text, line_dedup, mixing, ngram_join, packing, prefix_trie, runs, simhash, span_dedup, token_store, toxicity
 from vidlens.llm.common import table
 from vidlens.session import scratch_path
 
@@ -59,6 +60,11 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(spark, path)
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = span_dedup.span_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_token_store": op9_token_store,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_substring_dedup": op11_substring_dedup,
     "op12_conversation_trie": op12_conversation_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -87,6 +94,7 @@ ORACLE_SQL: dict[str, str] = {
     "op1_embedding_near_dedup": embedding_dedup.ORACLE_SQL,
     "op2_line_dedup": line_dedup.ORACLE_SQL,
     "op6_ngram_jaccard_join": ngram_join.ORACLE_SQL,
+    "op11_substring_dedup": span_dedup.ORACLE_SQL,
     "op12_conversation_trie": prefix_trie.ORACLE_SQL,
     "op13_periodic_runs": runs.ORACLE_SQL,
 }
