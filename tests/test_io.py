@@ -27,6 +27,66 @@ def test_tolerant_csv(spark, tmp_dir):
     assert got == sorted([("x,1", "2"), ("6", "7"), ("8", None)], key=str)
 
 
+def test_tolerant_csv_is_the_same_whatever_is_read(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t.csv")
+    with open(p, "w") as f:
+        f.write('"x,1",2\n3,4,5\n\n6,7\n8\n')
+    df = tables.read_csv_tolerant(spark, p, "a string, b int", header=False)
+    rows = sorted(map(tuple, df.collect()), key=str)
+    assert rows == sorted([("x,1", 2), ("6", 7), ("8", None)], key=str)
+    assert df.count() == 3 and df.agg(F.count("a"), F.sum("b")).first() == (3, 9)
+    for c in df.columns:
+        assert sorted((r[0] for r in df.select(c).collect()), key=str) == sorted((r[df.columns.index(c)] for r in rows), key=str)
+    assert df.where("b is null").select("a").collect()[0][0] == "8"
+
+
+def test_tolerant_csv_against_the_csv_module(spark, tmp_dir):
+    import csv
+    import random
+    rng = random.Random(3)
+    lines = ["".join(rng.choice(['a', ',', '"', '""', ' ', 'b', '","']) for _ in range(rng.randrange(1, 14))) for _ in range(3000)]
+    lines = [x for x in lines if x.strip()]
+    want = []
+    for line in lines:
+        # the csv module reads on over the line break of an unclosed quote; here the line ends the field
+        row = [v.removesuffix("\n") for v in next(csv.reader([line, ""]))] if line else []
+        if len(row) <= 3:
+            want.append(tuple((v or None) for v in row) + (None,) * (3 - len(row)))
+    p = os.path.join(tmp_dir, "r.csv")
+    with open(p, "w") as f:
+        f.write("a,b,c\n" + "\n".join(lines) + "\n")
+    got = [tuple(r) for r in tables.read_csv_tolerant(spark, p, "a string, b string, c string").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and len(got) > 1000
+
+
+def test_tolerant_csv_header_of_every_split_file(spark, tmp_dir):
+    for k in range(3):
+        with open(os.path.join(tmp_dir, f"part-{k}.csv"), "w") as f:
+            f.write("a,b\n" + "".join(f"{k}-{i},{i}\n" for i in range(2000)) + "a,b\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = tables.read_csv_tolerant(spark, tmp_dir, "a string, b string")
+        assert df.rdd.getNumPartitions() > 6
+        # a second header line inside a file is a row, as for pandas
+        assert df.count() == 6003 and df.where("a = 'a'").count() == 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_tolerant_csv_wide_lines_take_linear_time(spark, tmp_dir):
+    import time
+    p = os.path.join(tmp_dir, "wide.csv")
+    with open(p, "w") as f:
+        f.write(",".join(['"x,""y"'] * 40_000) + "\n" + '"' + 'q""' * 200_000 + '",1\n')
+    t0 = time.time()
+    rows = tables.read_csv_tolerant(spark, p, "a string, b string", header=False).collect()
+    assert [(len(r.a), r.b) for r in rows] == [(400_000, "1")] and time.time() - t0 < 20
+    wide = ", ".join(f"c{i} string" for i in range(500))
+    with open(p, "w") as f:
+        f.write(",".join(['"x,""y"'] * 500) + "\n")
+    assert set(tables.read_csv_tolerant(spark, p, wide, header=False).first()) == {'x,"y'}
+
+
 def test_json_and_projection(spark, tmp_dir):
     p = os.path.join(tmp_dir, "v.json")
     with open(p, "w") as f:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,8 +64,27 @@ def read_csv_result(spark: SparkSession, path: str, schema: T.StructType | str |
     return r.option("multiLine", str(multi_line).lower()).csv(path)
 
 
-# A quoted CSV field may hold commas; count separators outside quotes only.
-_OUTSIDE_QUOTES_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# A field with the separator before it: quoted (a doubled quote stands for one;
+# what follows the closing quote belongs to the field) or plain.  No backtracking.
+_FIELD = r',("(?:[^"]++|"")*+"?[^,]*+|[^,]*+)'
+_QUOTED = r'(?s)^"((?:[^"]++|"")*+)"?(.*)$'
+# A separator that no line holds: the reader then splits files into lines,
+# skips each file's header and leaves the fields alone.
+_NO_SEPARATOR = "\x01\x02\x03"
+
+
+def split_csv_line(line) -> Column:
+    """The fields of one CSV line, as an array of text (empty fields are null).
+
+    One pass over the line, whatever its number of fields.  An unclosed quote
+    reaches to the end of the line.
+    """
+    def value(field: Column) -> Column:
+        inner = F.replace(F.regexp_extract(field, _QUOTED, 1), F.lit('""'), F.lit('"'))
+        text = F.when(field.startswith('"'), F.concat(inner, F.regexp_extract(field, _QUOTED, 2))).otherwise(field)
+        return F.nullif(text, F.lit(""))
+    line = F.col(line) if isinstance(line, str) else line
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1)), value)
 
 
 def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType | str,
@@ -73,15 +92,15 @@ def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType | str
     """A10: rows with more fields than the schema are skipped; short rows stay
     with nulls (pandas ``on_bad_lines="skip"``).
 
-    ``DROPMALFORMED`` would also drop the short rows, so the reader runs
-    ``PERMISSIVE`` with a corrupt-record column and drops only the records
-    whose field count exceeds the schema's.
+    Files are read as lines (splittable; blank lines and, with ``header``, each
+    file's first line go) and every line is split once, before any column is
+    chosen: a row's fate does not depend on which columns are read later.
+    Empty fields, and fields that do not fit their type, are null.
     """
     st = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
-    bad = "_corrupt_record"
-    full = T.StructType(list(st.fields) + [T.StructField(bad, T.StringType(), True)])
-    df = (spark.read.option("header", str(header).lower()).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", bad).option("escape", '"').schema(full).csv(path))
-    nfields = F.size(F.split(F.col(bad), _OUTSIDE_QUOTES_COMMA))
-    keep = F.col(bad).isNull() | (nfields <= len(st.fields))
-    return df.where(keep).select(*[f.name for f in st.fields])
+    lines = (spark.read.option("header", str(header).lower()).option("sep", _NO_SEPARATOR)
+             .option("quote", "").schema("line string").csv(path))
+    # the one-row generator keeps later filters from splitting the line again
+    rows = lines.select(F.inline(F.array(F.struct(split_csv_line("line").alias("f")))))
+    return rows.where(F.size("f") <= len(st.fields)).select(
+        *[F.get("f", i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(st.fields)])
