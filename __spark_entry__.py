@@ -256,6 +256,40 @@ def _dirty(spark, sf):
         "comments_count")
 
 
+def q_page_indexed(spark, sf):
+    """G8 by a stored rank index over a first column with few values."""
+    from vidlens.session import scratch_path
+    v = _videos(spark, sf)
+    index = topn.PageIndex.build(v, scratch_path(spark, "page-index"), ["category"], stride=256)
+    return _round(index.page(v, 13, 70))
+
+
+def _crawl_tree(spark, sf):
+    """J1 from files: a written crawl tree, its files split over several tasks, staged once."""
+    from vidlens.session import scratch_path
+    root = adapter.write_crawl_tree(spark, sf, scratch_path(spark, "crawl-tree"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        videos, accounting = crawl.load_crawls(spark, root, stage=scratch_path(spark, "crawl-stage"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    name = F.element_at(F.split("folder", "/"), -1)
+    return videos.withColumn("folder", name), accounting.withColumn("folder", name)
+
+
+def q_crawl_load_files(spark, sf):
+    """A1-A4, C8 and J1 over files; one folder has no log, one log no date."""
+    videos, _ = _crawl_tree(spark, sf)
+    return _round(videos.select(*S.CRAWL_FIELDS, F.concat_ws(",", "related_ids").alias("related"),
+                                "crawl_date", "folder", "file_name"))
+
+
+def q_crawl_accounting_files(spark, sf):
+    """C9 over the same files."""
+    return _crawl_tree(spark, sf)[1]
+
+
 def q_trend_of_text(spark, sf):
     """C6, C7 and F11 over a trend with text dates, repeated dates and nulls."""
     t = _videos(spark, sf).select(
@@ -296,6 +330,10 @@ QUERIES |= {
     "range_reversed_pair": lambda s, d: _round(filters.range_filter(_videos(s, d), {"age": (1500, 100)})),
     "range_fractional_pair": lambda s, d: _round(filters.range_filter(_videos(s, d), {"views": (20000.5, 30000.5)})),
     "preview": lambda s, d: _round(topn.preview(topn.sort_by(_videos(s, d), "video_id"))),
+    "page_indexed": q_page_indexed,
+    "page_first_key_null": lambda s, d: _round(topn.page(_dirty(s, d), 450, 50, order_by=["category", "rating"])),
+    "crawl_load_files": q_crawl_load_files,
+    "crawl_accounting_files": q_crawl_accounting_files,
     "trend_of_text": q_trend_of_text,
     "published_file": q_published_file,
     "projected_scan": q_projected_scan,
@@ -674,6 +712,14 @@ ORACLE |= {
     "range_reversed_pair": f"with {_VIDEOS} select {_vsel()} from videos where age between 1500 and 100",
     "range_fractional_pair": f"with {_VIDEOS} select {_vsel()} from videos where views between 20000.5 and 30000.5",
     "preview": f"with {_VIDEOS}, t as (select * from videos order by {', '.join(_VCOLS)} limit {S.PREVIEW_ROWS}) select {_vsel()} from t",
+    # the file tree: one folder without a log, one whose log has no date
+    "crawl_load_files": ORACLE["crawl_load"].replace("folder = 'c1998'", "folder in ('c1997', 'c1998')").replace(", line_pos\nfrom", "\nfrom"),
+    "crawl_accounting_files": ORACLE["crawl_accounting"].replace("folder = 'c1998'", "folder in ('c1997', 'c1998')"),
+    "page_indexed": f"""with {_VIDEOS}, t as (select * from videos order by category, {', '.join(c for c in _VCOLS if c != 'category')}
+  limit 70 offset 910) select {_vsel()} from t""",
+    "page_first_key_null": f"""with {_DIRTY}, t as (select * from videos
+  order by category nulls last, rating nulls last, {', '.join(c for c in _VCOLS if c not in ('category', 'rating'))} limit 50 offset 22500)
+select {_vsel()} from t""",
     "trend_of_text": f"""with {_VIDEOS} select date '2008-01-01' - age as upload_date, {_r('avg(views)', 'avg_views')},
        {_r('avg(rating)', 'avg_rating')} from videos
 where age >= 0 and comments_count % 7 != 0 and rating is not null group by 1""",

@@ -1,6 +1,7 @@
 """Operators against pandas (the reference's own semantics) on small frames."""
 
 import math
+import os
 from itertools import combinations
 
 import numpy as np
@@ -122,6 +123,72 @@ def test_correlation_pairs_like_pandas(spark):
     assert list(got["Absolute Correlation"]) == sorted(got["Absolute Correlation"], reverse=True)
 
 
+def test_correlations_of_large_means_and_gaps(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, 4000)
+    pdf = pd.DataFrame({"a": 1e9 + x, "b": -1e7 + 0.5 * x + rng.normal(0, 1, 4000), "c": np.sort(x) * 1e6, "d": rng.random(4000)})
+    pdf.loc[::3, "a"] = np.nan
+    pdf.loc[1::5, "b"] = None
+    pdf["e"] = 7.25
+    pdf["f"] = np.nan
+    df = spark.createDataFrame(pdf, "a double, b double, c double, d double, e double, f double").repartition(5)
+    got = {(r.x, r.y): r.r for r in stats.correlation_matrix(df).collect()}
+    def exact(x, y):
+        both = pdf[[x, y]].dropna().astype(np.longdouble)
+        u, v = both[x] - both[x].mean(), both[y] - both[y].mean()
+        return float((u * v).sum() / np.sqrt((u * u).sum() * (v * v).sum()))
+    assert len(got) == 36
+    for (x, y), r in got.items():
+        if "e" in (x, y) or "f" in (x, y):
+            assert r is None
+        else:
+            assert math.isclose(r, exact(x, y), rel_tol=1e-9, abs_tol=1e-9)
+    # no row is repeated for a pair: the aggregate reads the rows themselves
+    plan = df._sc._jvm.PythonSQLUtils.explainString(stats.correlation_pairs(df, ["a", "b", "c"])._jdf.queryExecution(), "formatted")
+    assert plan.index("Generate") < plan.index("HashAggregate")
+
+
+def test_pages_and_index_in_any_order(spark, tmp_dir):
+    rng = np.random.default_rng(8)
+    rows = [(int(i), None if i % 9 == 0 else "xyz"[i % 3], float("nan") if i % 11 == 0 else int(rng.integers(0, 4)) * -0.5)
+            for i in rng.permutation(700)] + [(5, "x", 1.0)] * 40
+    df = spark.createDataFrame(rows, "video_id int, category string, rating double").repartition(4)
+    def key(r):
+        return [(v is None, (v != v, 0 if v != v else v) if isinstance(v, float) else v if v is not None else 0)
+                for v in (r[1], r[0], r[2])]
+    want = sorted(rows, key=key)
+    def same(a, b):
+        assert [tuple(map(str, r)) for r in a] == [tuple(map(str, r)) for r in b]
+    shallow = topn.SHALLOW_ROWS
+    index = topn.PageIndex.build(df, os.path.join(tmp_dir, "index"), ["category"], stride=64, partitions=5)
+    assert index.rows() == 740
+    try:
+        topn.SHALLOW_ROWS = 0
+        for number, size in ((0, 50), (3, 64), (9, 77), (14, 50), (15, 50), (99, 50), (0, 1000)):
+            page = want[number * size:(number + 1) * size]
+            same(index.page(df, number, size).collect(), page)
+            same(topn.page(df, number, size, order_by=["category"], partitions=5).collect(), page)
+        same(topn.page(df, 1, 50, order_by=["category"], sort_col="video_id").select("video_id").collect(),
+             [(v,) for v in sorted(r[0] for r in want[50:100])])
+    finally:
+        topn.SHALLOW_ROWS = shallow
+    empty = topn.PageIndex.build(df.limit(0), os.path.join(tmp_dir, "none"), ["category"])
+    assert empty.rows() == 0 and empty.page(df.limit(0)).collect() == []
+    with pytest.raises(ValueError):
+        index.page(df, -1)
+
+
+def test_building_a_page_runs_nothing(spark):
+    df = spark.range(100_000).select(F.col("id").alias("video_id"), (F.col("id") % 7).alias("views"))
+    group = "no-job-here"
+    spark.sparkContext.setJobGroup(group, "pages")
+    try:
+        topn.page(df, 700, 100), topn.page(df, 2, 100)
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup(group) in ((), [])
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
 def test_histogram_counts_and_band_subset(spark):
     rng = np.random.default_rng(5)
     views = np.concatenate([rng.integers(1, 10**6, 500), [0, 0]])

@@ -96,59 +96,124 @@ def prev_page(current: int) -> int:
     return max(current - 1, 0)
 
 
+#: Rows that a task may keep for a page: up to here a page is a plain top-k.
+SHALLOW_ROWS = 10_000
+
+
 def page(df: DataFrame, number: int = 0, size: int = S.PAGE_SIZE,
          order_by: Sequence[str] | None = None, sort_col: str | None = None,
          ascending: bool = True, partitions: int | None = None) -> DataFrame:
     """Rows ``[number*size, (number+1)*size)`` in a total order.
 
-    The page is found by its bounds on the first order column: only that
-    column is range-partitioned and counted, the bounds are one row, and the
-    table itself is only scanned with the bounds as a filter.  What stands
-    between them is a page and the ties at its ends, of which a bounded top-k is
-    taken.  ``sort_col`` re-sorts the rows of the shown page only.
+    The total order is ``order_by`` and then every other column.  A page that
+    ends within the first ``SHALLOW_ROWS`` rows is a top-k: each task keeps that
+    many.  A deeper one is found by the order's values at its first row and
+    behind its last (``ranked_keys``): the table is scanned with these as a
+    filter and the page is what is left.  Nothing runs before the page is
+    asked for.  For many pages of one table build a ``PageIndex``.
+    ``sort_col`` re-sorts the rows of the shown page only.
     """
     if number < 0:
         raise ValueError("page number must be >= 0")
-    keys = list(order_by) if order_by else [S.KEY] if S.KEY in df.columns else orderable_columns(df)[:1]
-    order = total_order(df, keys)
+    keys = _order_keys(df, order_by)
     first = number * size
-    lo, hi, before = _page_bounds(df, keys[0], first, size, partitions)
-    if before is None:
-        rows = df.limit(0)
+    order = total_order(df, keys)
+    if first + size <= SHALLOW_ROWS:
+        rows = df.orderBy(*order).offset(first).limit(size)
     else:
-        k = F.col(keys[0])
-        upper = (k <= F.lit(hi)) if hi is not None else F.lit(True)
-        lower = (k >= F.lit(lo)) | k.isNull() if hi is None else k >= F.lit(lo)
-        inside = k.isNull() if lo is None else lower & upper
-        rows = df.where(inside).orderBy(*order).offset(first - before).limit(size)
-    if sort_col:
-        c = F.col(sort_col).asc_nulls_last() if ascending else F.col(sort_col).desc_nulls_last()
-        rows = rows.orderBy(*total_order(rows, [c], exclude=[sort_col]))
-    return rows
-
-
-def _page_bounds(df: DataFrame, key: str, first: int, size: int, partitions: int | None):
-    """``(lo, hi, rows before lo)`` of the page; the last is None beyond the end."""
+        ranked = ranked_keys(df, keys, partitions).where(F.col("rank").isin(first, first + size))
+        rows = _between(df, keys, ranked, first, first + size).orderBy(*order).limit(size)
+    return _sorted_page(rows, sort_col, ascending)
+
+
+def _order_keys(df: DataFrame, order_by: Sequence[str] | None) -> list[str]:
+    first = list(order_by) if order_by else [S.KEY] if S.KEY in df.columns else orderable_columns(df)[:1]
+    return first + orderable_columns(df, first)
+
+
+def _sorted_page(rows: DataFrame, sort_col: str | None, ascending: bool) -> DataFrame:
+    if not sort_col:
+        return rows
+    c = F.col(sort_col).asc_nulls_last() if ascending else F.col(sort_col).desc_nulls_last()
+    return rows.orderBy(*total_order(rows, [c], exclude=[sort_col]))
+
+
+def _place(columns: Sequence[str]):
+    """The columns as one value that compares as they order: ascending, nulls last."""
+    return F.struct(*[F.struct(F.col(c).isNull().alias("none"), F.col(c).alias("value")).alias(f"k{i}")
+                      for i, c in enumerate(columns)])
+
+
+def ranked_keys(df: DataFrame, order_by: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """``(rank, place)`` of every row: its number from 0 in the order of all ``order_by``, nulls last.
+
+    The order columns are range-partitioned as a whole, so equal first columns
+    are spread like any others, and sorted per range; a rank is the row's number
+    in its range plus the rows of the ranges before (a row a range).  Both are
+    read from one exchange.
+    """
     from pyspark.sql import Window
-    from vidlens.session import scratch_path
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, "page-keys")
-    counted = df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("c"))
-    (counted.repartitionByRange(n, F.col("k").asc_nulls_last())
-            .withColumn("p", F.spark_partition_id()).write.parquet(path))
-    k = spark.read.schema("k " + df.schema[key].dataType.simpleString() + ", c long, p int").parquet(path)
-    # one row per range
-    upto = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = k.groupBy("p").agg(F.sum("c").alias("n")) \
-              .withColumn("start", F.coalesce(F.sum("n").over(upto), F.lit(0)))
-    near = ranges.where((F.col("start") < first + size) & (F.col("start") + F.col("n") > first))
-    inside = Window.partitionBy("p").orderBy(F.col("k").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    at = (k.join(F.broadcast(near.select("p", "start")), "p")
-           .withColumn("b", F.col("start") + F.coalesce(F.sum("c").over(inside), F.lit(0)))
-           .where((F.col("b") < first + size) & (F.col("b") + F.col("c") > first)))
-    ends = at.agg(F.min_by("k", "b"), F.max_by("k", "b"), F.min("b")).first()
-    return ends[0], ends[1], ends[2]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c).asc_nulls_last() for c in order_by]
+    ranges = df.select(*order_by).repartitionByRange(n, *order)
+    sizes = ranges.groupBy(F.spark_partition_id().alias("range")).agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("range", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("start"))
+    rows = ranges.sortWithinPartitions(*order).select(
+        F.spark_partition_id().alias("range"), F.monotonically_increasing_id().bitwiseAND(F.lit(2 ** 33 - 1)).alias("row"),
+        _place(order_by).alias("place"))
+    # one row per range, a number the caller sets
+    return rows.join(F.broadcast(starts), "range").select((F.col("start") + F.col("row")).alias("rank"), "place")
+
+
+def _between(df: DataFrame, keys: Sequence[str], ranked: DataFrame, first: int, end: int) -> DataFrame:
+    """The rows from rank ``first`` up to (without) ``end``, whose places ``ranked`` holds as far as they exist."""
+    def at(rank):
+        return ranked.where(F.col("rank") == rank).select("place").scalar()
+    lower, upper = at(first), at(end)
+    place = _place(keys)
+    # the first column once more by itself, for the scan
+    k, lo = F.col(keys[0]), lower.getField("k0").getField("value")
+    return df.where((place >= lower) & F.coalesce(place < upper, F.lit(True)) & ((k >= lo) | k.isNull()))
+
+
+class PageIndex:
+    """A stored index for pages of one table in one order.
+
+    It holds the order's values at every ``stride``-th row and the number of
+    rows.  A page reads two of its entries, scans the table with them as a
+    filter, and takes a top-k of at most a stride and a page.  It is valid for
+    as long as the table does not change.
+    """
+
+    def __init__(self, spark, path: str, order_by: Sequence[str], stride: int):
+        self.spark, self.path, self.order_by, self.stride = spark, path, list(order_by), stride
+
+    @classmethod
+    def build(cls, df: DataFrame, path: str, order_by: Sequence[str] | None = None, stride: int = 1000,
+              partitions: int | None = None) -> "PageIndex":
+        """Rank the order columns of ``df`` once and write the entries to ``path``."""
+        keys = _order_keys(df, order_by)
+        last = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+        ranked_keys(df, keys, partitions).where((F.col("rank") % stride == 0) | (F.col("rank") == last - 1)).write.parquet(path)
+        return cls(df.sparkSession, path, keys, stride)
+
+    def entries(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+    def rows(self) -> int:
+        """Rows of the indexed table."""
+        return (self.entries().agg(F.max("rank")).first()[0] + 1) if not self.entries().isEmpty() else 0
+
+    def page(self, df: DataFrame, number: int = 0, size: int = S.PAGE_SIZE,
+             sort_col: str | None = None, ascending: bool = True) -> DataFrame:
+        """G8/G9 by the index; ``df`` is the indexed table."""
+        if number < 0:
+            raise ValueError("page number must be >= 0")
+        first, stride = number * size, self.stride
+        start, end = first // stride * stride, -(-(first + size) // stride) * stride
+        rows = _between(df, self.order_by, self.entries().where(F.col("rank") % stride == 0), start, end)
+        return _sorted_page(rows.orderBy(*total_order(df, self.order_by)).offset(first - start).limit(size), sort_col, ascending)
 
 
 def preview(df: DataFrame, n: int = S.PREVIEW_ROWS) -> DataFrame:

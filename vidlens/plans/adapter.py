@@ -94,3 +94,31 @@ def crawl_logs(lines: DataFrame) -> DataFrame:
             .otherwise(F.concat(F.lit("BFS crawl\n\nstart:  "), yy, F.lit("0101 1:29:13\nfinish: "),
                                 yy, F.lit("0101 5:44:46\n")))
     return folders.select("folder", text.alias("value"))
+
+
+def write_crawl_tree(spark: SparkSession, sf_dir: str, root: str, without_log: str = "c1997", late_log: str = "c1996") -> str:
+    """The crawl lines as a tree of text files: ``<root>/<folder>/<n>.txt`` and ``log.txt``.
+
+    Lines of a file stand in the order in which the first one wins.  The
+    folder ``without_log`` gets no log, the log of ``late_log`` has its start
+    line after many others.
+    """
+    from vidlens.sources import crawl
+    lines = crawl_lines(spark, sf_dir)
+    rows = crawl.parse_crawl_lines(lines.withColumn("line", F.col("value"))).withColumnRenamed("folder", "crawl")
+    rows = rows.repartition("crawl", "file_name").sortWithinPartitions(
+        "crawl", "file_name", "line_pos", *crawl.VIDEO_COLUMNS)
+    rows.select("crawl", "file_name", F.col("line").alias("value")).write.partitionBy("crawl", "file_name").text(f"{root}/parts")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = spark.read.format("binaryFile").load(f"{root}/parts").select("path").collect()   # a file for each crawl file
+    for (path,) in parts:
+        folder, name = (x.split("=", 1)[1] for x in path.split("/")[-3:-1])
+        fs.mkdirs(hadoop.Path(f"{root}/{folder}"))
+        fs.rename(hadoop.Path(path), hadoop.Path(f"{root}/{folder}/{name}"))
+    fs.delete(hadoop.Path(f"{root}/parts"), True)
+    for folder, text in crawl_logs(lines).where(F.col("folder") != without_log).collect():
+        out = fs.create(hadoop.Path(f"{root}/{folder}/log.txt"))
+        out.write(((text.split("start:")[0] + "queued one more\n" * 500) * (folder == late_log) + text).encode())
+        out.close()
+    return root

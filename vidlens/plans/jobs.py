@@ -28,20 +28,28 @@ PARALLEL_OUTPUTS = ("category_stats", "trends", "related_analysis", "chart_categ
 def load_and_store(spark, root: str, out_dir: str, strict: bool = False) -> dict:
     """J1 end to end: crawl tree -> Parquet video table + accounting table.
 
-    The deduplicated videos are written once, with their source folder and
-    file; the accounting then takes its ``kept`` counts from the stored table
-    instead of deduplicating again.  The accounting rows (a handful per file)
+    The text is read and parsed once, into a staged table; the deduplicated
+    videos are written from it with their source folder and file, and the
+    accounting takes its ``kept`` counts from the stored videos.  The stage is
+    deleted when both are written.  The accounting rows (a handful per file)
     are written as one CSV.  Returns the paths and the total row.
     """
+    from vidlens.session import scratch
     from vidlens.sources import crawl
-    lines = crawl.read_crawl_lines(spark, root)
-    logs = crawl.read_crawl_logs(spark, root)
-    videos, _ = crawl.load_crawls(lines=lines, logs=logs, strict=strict)
     table = os.path.join(out_dir, "videos")
-    stored_cols = [f.name for f in crawl.video_table(videos).schema.fields] + ["folder", "file_name"]
-    writers.write_parquet(videos.select(*[F.col(c) for c in stored_cols]), table)
-    stored = spark.read.parquet(table)
-    acc = crawl.crawl_accounting(crawl.dated_lines(lines, logs), stored)
+    with scratch(spark, "crawl-stage") as folder:
+        lines, logs = crawl.read_crawl_lines(spark, root), crawl.read_crawl_logs(spark, root)
+        staged = crawl.stage_crawls(lines, logs, f"{folder}/lines")
+        if strict:
+            crawl.raise_on_bad(staged)
+        videos = crawl.first_videos(staged)
+        stored_cols = [f.name for f in crawl.video_table(videos).schema.fields] + ["folder", "file_name"]
+        writers.write_parquet(videos.select(*[F.col(c) for c in stored_cols]), table)
+        acc = crawl.crawl_accounting(staged, spark.read.parquet(table))
+        return _store_accounting(spark, acc, table, out_dir)
+
+
+def _store_accounting(spark, acc: DataFrame, table: str, out_dir: str) -> dict:
     accounting = os.path.join(out_dir, "accounting")
     writers.write_csv(acc, accounting)
     total = spark.read.schema(acc.schema).option("header", "true").csv(accounting) \

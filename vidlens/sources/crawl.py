@@ -105,30 +105,56 @@ ORDER = ["crawl_date", "folder", "file_name", "line_pos"]
 VIDEO_COLUMNS = S.CRAWL_FIELDS + ["related_ids"]
 
 
+def stage_crawls(lines: DataFrame, logs: DataFrame, path: str) -> DataFrame:
+    """Every line, parsed once: position, date, ``status`` and the video (only where ``ok``).
+
+    Written as Parquet under ``path`` and read back, so the text is scanned and
+    split a single time whatever is asked of it afterwards.
+    """
+    spark = lines.sparkSession
+    dated = dated_lines(lines, logs)
+    ok = F.col("status") == "ok"
+    rows = dated.select(*ORDER, "status", *[F.when(ok, F.col(c)).alias(c) for c in VIDEO_COLUMNS])
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def load_crawls(spark: SparkSession | None = None, root: str | None = None,
                 lines: DataFrame | None = None, logs: DataFrame | None = None,
-                strict: bool = False):
+                strict: bool = False, stage: str | None = None):
     """Crawl tree -> (videos, accounting).
 
     ``videos``: one row per ``video_id`` -- the first by crawl date, folder,
     file and line (C8) -- with ``crawl_date`` and the source position.
     ``accounting`` (C9): per folder and file, and rolled up per folder and in
     total, ``lines_read = skipped + short + bad + duplicates + kept``.
+    With ``stage``, a folder to write to, the lines are staged there first
+    (``stage_crawls``) and both results read the stage: one scan and one parse
+    of the text for both.  Without it both are lazy and each parses for itself.
     ``strict=True`` raises when a numeric field fails to parse.
     """
     if lines is None:
         lines = read_crawl_lines(spark, root)
     if logs is None:
         logs = read_crawl_logs(spark, root)
-    dated = dated_lines(lines, logs)
+    staged = stage_crawls(lines, logs, stage) if stage else dated_lines(lines, logs)
     if strict:
-        bad = dated.where(F.col("status") == "bad").limit(1).collect()
-        if bad:
-            raise ValueError(f"unparsable crawl line in {bad[0]['folder']}/{bad[0]['file_name']}")
-    ok = dated.where(F.col("status") == "ok").select(*VIDEO_COLUMNS, *ORDER)
-    videos = dedup_first(ok, key=S.KEY, order=ORDER)
-    accounting = crawl_accounting(dated, videos)
-    return videos, accounting
+        raise_on_bad(staged)
+    videos = first_videos(staged)
+    return videos, crawl_accounting(staged, videos)
+
+
+def raise_on_bad(staged: DataFrame) -> None:
+    """``ValueError`` naming the file of a line with a number that does not parse."""
+    bad = staged.where(F.col("status") == "bad").select("folder", "file_name").limit(1).collect()
+    if bad:
+        raise ValueError(f"unparsable crawl line in {bad[0]['folder']}/{bad[0]['file_name']}")
+
+
+def first_videos(staged: DataFrame) -> DataFrame:
+    """C8 over the staged lines."""
+    ok = staged.where(F.col("status") == "ok").select(*VIDEO_COLUMNS, *ORDER)
+    return dedup_first(ok, key=S.KEY, order=ORDER)
 
 
 def dated_lines(lines: DataFrame, logs: DataFrame) -> DataFrame:
@@ -141,7 +167,7 @@ def dated_lines(lines: DataFrame, logs: DataFrame) -> DataFrame:
 
 
 def crawl_accounting(dated: DataFrame, videos: DataFrame) -> DataFrame:
-    """Per-file counts in one pass over the lines, then a rollup.
+    """Per-file counts of the staged lines (three columns), then a rollup.
 
     ``kept`` comes from the deduplicated table; ``duplicates = ok - kept``.
     Both per-file tables have one row per file, so the join and the rollup
