@@ -93,53 +93,29 @@ def quantiles(df: DataFrame, col: str = "views",
     return exact_quantiles(df, col, probs, **kw)
 
 
-#: Rows from whose means the co-moments are counted (they change no result but its rounding).
-SHIFT_ROWS = 1000
-#: Share of a sum of squares below which a variance is rounding.
-ROUNDING = 1e-13
-
-
 def pair_correlations(df: DataFrame, pairs) -> DataFrame:
     """Pearson r for every ``(a, b)`` pair as rows ``(i, a, b, r)``.
 
-    One aggregate over the rows as they are: sums of values, squares and
-    products of the columns, each masked by what is known of the other column
-    of a pair (null and NaN are unknown, pandas' pairwise-complete rule).  The
-    partial aggregate leaves one row a task.  Values are taken less a constant
-    near the column's mean, the mean of a few first rows, so that large means
-    with a small spread do not cancel.  A column that is constant where the
-    other is known, or a pair without rows, has a null r.
+    One aggregate over the rows as they are: for each pair the co-moment, and
+    each column's spread where the other is known (null and NaN are unknown,
+    pandas' pairwise-complete rule).  These aggregates carry means along, so
+    large means with a small spread do not cancel; the partial aggregate leaves
+    one row a task.  ``corr`` raises on a constant column under ANSI, so
+    ``try_divide(covar_pop, stddev_pop * stddev_pop)`` gives null instead; a
+    pair without rows has a null r as well.
     """
     cols = sorted({c for p in pairs for c in p})
     x = {c: F.col(c).cast("double") for c in cols}
-    head = df.select(*[F.when(~F.isnan(x[c]) & (F.abs(x[c]) != float("inf")), x[c]).alias(c) for c in cols]).limit(SHIFT_ROWS)
-    shift = head.agg(F.struct(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in cols]).alias("s")).scalar()
-    rows = df.select(*[F.when(~F.isnan(x[c]), x[c] - shift.getField(c)).alias(f"x{i}") for i, c in enumerate(cols)])
-    at = {c: f"x{i}" for i, c in enumerate(cols)}
-    sums = {}
-
-    def total(name, value):
-        sums[name] = F.sum(value).alias(name)
-        return F.col(name)
-
-    def known_of(own, other, value):
-        return F.when(F.col(other).isNotNull(), value) if own != other else value
-
-    entries = []
-    for i, (p, q) in enumerate(pairs):
-        (a, b) = sorted((at[p], at[q]))
-        n = total(f"n_{a}_{b}", known_of(a, b, F.col(a).isNotNull().cast("double")))
-        sa, sb = total(f"s_{a}_{b}", known_of(a, b, F.col(a))), total(f"s_{b}_{a}", known_of(b, a, F.col(b)))
-        qa = total(f"q_{a}_{b}", known_of(a, b, F.col(a) * F.col(a)))
-        qb = total(f"q_{b}_{a}", known_of(b, a, F.col(b) * F.col(b)))
-        ab = total(f"p_{a}_{b}", F.col(a) * F.col(b))
-        mean_a, mean_b = F.try_divide(sa, n), F.try_divide(sb, n)
-        va, vb, cov = qa - sa * mean_a, qb - sb * mean_b, ab - sa * mean_b
-        # what is left of a constant column is rounding of its sum of squares
-        flat = (va <= qa * ROUNDING) | (vb <= qb * ROUNDING)
-        r = F.when(~flat, F.try_divide(cov, F.sqrt(F.greatest(va, F.lit(0.0))) * F.sqrt(F.greatest(vb, F.lit(0.0)))))
-        entries.append(F.struct(F.lit(i).alias("i"), F.lit(p).alias("a"), F.lit(q).alias("b"), r.alias("r")))
-    return rows.agg(*sums.values()).select(F.inline(F.array(*entries)))
+    rows = df.select(*[F.when(~F.isnan(x[c]), x[c]).alias(f"x{i}") for i, c in enumerate(cols)])
+    at = {c: F.col(f"x{i}") for i, c in enumerate(cols)}
+
+    def spread(own, other):
+        return F.stddev_pop(at[own] if own == other else F.when(at[other].isNotNull(), at[own]))
+
+    moments = [F.try_divide(F.covar_pop(at[a], at[b]), spread(a, b) * spread(b, a)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
+    entries = [F.struct(F.lit(i).alias("i"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
+               for i, (a, b) in enumerate(pairs)]
+    return rows.agg(*moments).select(F.inline(F.array(*entries)))
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str] = S.CORRELATION_COLUMNS,
