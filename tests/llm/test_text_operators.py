@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -188,6 +189,55 @@ def test_extraction():
     assert html_text.main_text(long) == " ".join(["word word"] * 20_000)
 
 
+STORY = "".join(f"<p>Paragraph {k} of the story has a good number of words in it.</p>" for k in range(6))
+TOLD = " ".join(f"Paragraph {k} of the story has a good number of words in it." for k in range(6))
+
+
+@pytest.mark.parametrize("page,want", [
+    (f'<div class="layout has-sidebar"><article>{STORY}</article><div class="sidebar"><p>Side text to read.</p></div></div>', TOLD),
+    (f'<div class="content no-sidebar">{STORY}</div>', TOLD),
+    (f'<div class="page with-header"><article>{STORY}</article></div>', TOLD),
+    (f'<form id="all" action="x"><nav>Home About</nav>{STORY}<footer>foot</footer></form>', TOLD),
+    (f'<form id="all">{STORY}</form>', TOLD),
+    (f'<nav>Home</nav><aside class="x"><ul><li>one</ul><article>{STORY}</article>', TOLD),
+    (f'<div class="entry-header"><h1>Head</h1></div>{STORY}', "Head " + TOLD),
+    (f"{STORY}<p>so <math><mi>x</mi></math> is</p>", TOLD + " so x is"),
+    (f'{STORY}<p class="search-term">found term</p>', TOLD + " found term"),
+    (f'<button class="b">Go{STORY}', TOLD),
+    (f'<div class="site-header"><p>My site of many stories, the site of all sites.</p></div>{STORY}'
+     '<div class="comment-list"><p>I say this and that about that long story of yours.</p></div><div id="sidebar-2">foo bar</div>', TOLD),
+    ("<nav>Home</nav><form><input><p>Give your name and your mail and your number to log in to this very nice site now.</p></form>", ""),
+])
+def test_extraction_of_wrapped_pages(page, want):
+    assert html_text.main_text(f"<html><body>{page}</body></html>") == want
+
+
+def test_line_blocks_against_their_definition():
+    rng = random.Random(12)
+    for _ in range(400):
+        lengths = [rng.choice([0, rng.randrange(1, 15), rng.randrange(1, 120)]) for _ in range(rng.randrange(1, 25))]
+        # a line beside the article is as long as it likes, but counts 0
+        lines = [(("x" * n) or "menu text of some length", n) for n in lengths]
+        page = "".join(f"<p>{t}</p>" if n else f"<nav>{t}</nav>" for t, n in lines)
+        window = [sum(lengths[i:i + 3]) for i in range(len(lengths))]
+        least = max(1, min(80, int(0.2 * max(window))))
+        want = []
+        for k, (text, n) in enumerate(lines):
+            # in the article if some window from here back to a surge never falls to 0
+            if n and any(window[i] >= least and all(window[i:k + 1]) for i in range(k + 1)):
+                want.append(text)
+        assert html_text.main_text(page) == " ".join(want)
+
+
+@pytest.mark.parametrize("page", ['<a "' * 250_000, "<b x='" * 200_000, "<b x='" * 200_000 + ">", "<b x='>" * 150_000, "<head>" * 150_000,
+                                  "<div>" * 4000 + "</p>" * 200_000, "<div>" * 90_000 + "</div>" * 90_000, "<a<" * 300_000 + ">",
+                                  "<b x='<i y=\">' z='\">" * 50_000, '<b x="' * 80_000 + ">'" * 80_000, "<p =" + "= " * 400_000 + ">"])
+def test_broken_markup_takes_linear_time(page):
+    t0 = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - t0 < 8   # about a second; seconds to hours when quadratic
+
+
 def test_extraction_rows(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", None, "y"), (None, None, "<p>t</p>", None)],
                                "page_id long, url string, html string, text string")
