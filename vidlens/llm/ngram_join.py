@@ -114,15 +114,17 @@ def tile_keys(s: np.ndarray, p: JaccardJoin) -> np.ndarray:
 
 
 def _signatures(p: JaccardJoin):
+    """Sets of the texts; of equal sets in one task only the first has keys (the keys are the same)."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[tuple[int, int]] = set()
         for f in frames:
             rows = []
             for doc_id, text in zip(f["doc_id"], f["text"]):
                 s = shingle_set(text, p.size)
                 raw = s.tobytes()
-                rows.append((doc_id, len(s), xxhash.xxh64_intdigest(raw, 1) - (1 << 63),
-                             xxhash.xxh64_intdigest(raw, 2) - (1 << 63),
-                             tile_keys(s, p).view(np.int64), bitmap(s)))
+                h = xxhash.xxh64_intdigest(raw, 1) - (1 << 63), xxhash.xxh64_intdigest(raw, 2) - (1 << 63)
+                rows.append((doc_id, len(s), *h, None if h in seen else tile_keys(s, p).view(np.int64), bitmap(s)))
+                seen.add(h)
             yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "keys", "bits"])
     return run
 
@@ -294,7 +296,7 @@ def ngram_jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     lost: see :func:`tile_keys`.
 
     1. One pass makes each set's size, 128-bit hash, tile keys and bitmap.
-       Equal sets are a class; only its smallest id goes on.
+       Equal sets are a class, whose smallest id stands for it.
     2. Sets meeting under a key are paired with the smallest id there (one row
        each, not all pairs); sizes and bitmap bit counts bound the overlap from
        above, and the exact sorted arrays decide.
@@ -316,13 +318,14 @@ def ngram_jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         _signatures(p), "doc_id long, n long, h1 long, h2 long, keys array<long>, bits array<long>"), "signatures")
     same = sig.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"))
     classes = stored(sig.select("doc_id", "n", "h1", "h2").join(same, ["n", "h1", "h2"], "left")
-                     .select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "classes")
-    reps = sig.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi") \
-              .where("n > 0")
-    met = reps.select("doc_id", F.explode("keys").alias("key"))
-    shared = stored(met.groupBy("key").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("w"))
-                       .where("u < w"), "shared")
-    groups = stored(met.join(shared, "key").select("key", "doc_id", "u").distinct(), "groups")
+                     .select("doc_id", "n", "h1", F.coalesce("rep", "doc_id").alias("rep")), "classes")
+    # a class stands under its keys once a task; its members become its smallest id afterwards
+    met = sig.where("n > 0").select("doc_id", "h1", F.explode("keys").alias("key"))
+    shared = stored(met.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
+                       .where("lo < hi").select("key"), "shared")
+    members = stored(met.join(shared, "key").join(classes.select("doc_id", "h1", "rep"), ["doc_id", "h1"])
+                     .select("key", F.col("rep").alias("doc_id")).distinct(), "members")
+    groups = stored(members.join(members.groupBy("key").agg(F.min("doc_id").alias("u")), "key"), "groups")
     small = stored(sig.select("doc_id", "n", "bits")
                    .join(groups.select("doc_id").distinct(), "doc_id", "left_semi"), "bitmaps")
     stars = groups.where("u < doc_id").select("u", F.col("doc_id").alias("v")).distinct()
