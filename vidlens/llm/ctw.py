@@ -76,6 +76,10 @@ def _grams(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return gram
 
 
+#: Kinds of counted keys.
+_GRAM, _WORD, _TEXTS = range(3)
+
+
 def _count(p: ContextTree):
     """Grams of all documents (``n`` of training, ``m`` of all) and words of training documents."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -86,12 +90,12 @@ def _count(p: ContextTree):
                 at = _own(data, begins)
                 held = np.repeat(out[a:b], np.diff(np.append(begins, len(data) + DEPTH)) - DEPTH)
                 both, m = np.unique(_grams(data, at) << 1 | held, return_counts=True)
-                yield pd.DataFrame({"kind": "gram", "key": both >> 1, "n": np.where(both & 1, 0, m), "m": m})
+                yield pd.DataFrame({"kind": _GRAM, "key": both >> 1, "n": np.where(both & 1, 0, m), "m": m})
                 train = [w for w, h in zip(docs, out[a:b]) if not h]
                 words = np.concatenate([word_hashes(w) for w in train]) if train else np.empty(0, np.uint64)
                 words, n = np.unique(words, return_counts=True)
-                yield pd.DataFrame({"kind": "word", "key": words.view(np.int64), "n": n, "m": n})
-                yield pd.DataFrame({"kind": "end", "key": [0], "n": [len(train)], "m": [len(train)]})
+                yield pd.DataFrame({"kind": _WORD, "key": words.view(np.int64), "n": n, "m": n})
+                yield pd.DataFrame({"kind": _TEXTS, "key": [0], "n": [len(train)], "m": [len(train)]})
     return run
 
 
@@ -345,7 +349,7 @@ def _gram_logs(counts: DataFrame) -> DataFrame:
     aggregate, and the contexts of at most two bytes are weighted here.
     """
     spark = counts.sparkSession
-    grams = counts.where("kind = 'gram'").select("key", "n", "m")
+    grams = counts.where(F.col("kind") == _GRAM).select("key", "n", "m")
     dealt = grams.repartition(F.shiftright("key", _TOP)).sortWithinPartitions("key")
     rows = (dealt.mapInPandas(_up, "at long, n0 double, n1 double, below double")
             .groupBy("at").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("below").alias("below"))
@@ -359,11 +363,12 @@ def _gram_logs(counts: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- scoring
-SCORED = ("kind string, row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, "
-          "score double, n_bytes long, key long, tf long")
+SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long, "
+          "words array<long>, word_tf array<int>, grams array<long>, gram_tf array<int>")
 
 
 def _score(p: ContextTree, hot_grams, common):
+    """A row a document: what the broadcast words and grams give, and the others with their counts."""
     names = [c.split()[0] for c in SCORED.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -389,25 +394,26 @@ def _score(p: ContextTree, hot_grams, common):
                 sure = grams[at] == gram if len(grams) else np.zeros(len(gram), dtype=bool)
                 value = np.where(sure, gram_logs[at], 0.0) if len(grams) else np.zeros(len(gram))
                 within = np.repeat(np.arange(len(docs)), n_bytes)
-                rows = row + np.arange(len(docs))
-                row += len(docs)
+                cold_words = _cold(key.view(np.int64), hot, doc, inverse, len(docs))
+                cold_grams = _cold(gram, sure, within, which, len(docs))
                 yield pd.DataFrame({
-                    "kind": "doc", "row": rows, "doc_id": f["doc_id"].iloc[a:b].to_numpy(),
+                    "row": row + np.arange(len(docs)), "doc_id": f["doc_id"].iloc[a:b].to_numpy(),
                     "held_out": f["held_out"].iloc[a:b].to_numpy(), "n_tokens": size + 1, "n_known": known,
                     "base": base, "score": np.bincount(within, weights=value[which], minlength=len(docs)),
-                    "n_bytes": n_bytes, "key": 0, "tf": 0}, columns=names)
-                for kind, keys, there, of, i in (("word", key.view(np.int64), hot, doc, inverse),
-                                                  ("gram", gram, sure, within, which)):
-                    cold = np.flatnonzero(~there[i])
-                    if len(cold):
-                        pair, tf = _pairs(of[cold], i[cold], len(keys))
-                        yield pd.DataFrame({
-                            "kind": kind, "row": rows[pair[0]], "doc_id": 0, "held_out": False, "n_tokens": 0,
-                            "n_known": 0, "base": 0.0, "score": 0.0, "n_bytes": 0, "key": keys[pair[1]], "tf": tf},
-                            columns=names)
+                    "n_bytes": n_bytes, "words": cold_words[0], "word_tf": cold_words[1],
+                    "grams": cold_grams[0], "gram_tf": cold_grams[1]}, columns=names)
+                row += len(docs)
     return run
 
 
+def _cold(keys: np.ndarray, there: np.ndarray, of: np.ndarray, which: np.ndarray, docs: int) -> tuple[list, list]:
+    """For each document the keys that were not ``there``, and how often it holds each."""
+    cold = np.flatnonzero(~there[which])
+    (doc, key), tf = _pairs(of[cold], which[cold], max(len(keys), 1))
+    cuts = np.searchsorted(doc, np.arange(1, docs))
+    return np.split(keys[key], cuts), np.split(tf.astype(np.int32), cuts)
+
+
 def _pairs(a: np.ndarray, b: np.ndarray, width: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
     """Distinct pairs and how often each occurs."""
     both, n = np.unique(a * width + b, return_counts=True)
@@ -440,11 +446,11 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     held_out = F.coalesce(id_remainder(F.col(id_col), modulus) == held, F.lit(False))
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                      F.col(text_col).alias("text"), held_out.alias("held_out"))
-    raw = docs.select("text", "held_out").mapInPandas(_count(params), "kind string, key long, n long, m long")
+    raw = docs.select("text", "held_out").mapInPandas(_count(params), "kind int, key long, n long, m long")
     counts = stored(raw.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "counts")
-    words = counts.where("kind = 'word'")
-    sums = counts.where("kind != 'gram'").agg(
-        F.sum("n"), F.count(F.when(F.col("kind") == "word", 1)), F.max(F.when(F.col("kind") == "end", F.col("n")))).first()
+    words = counts.where(F.col("kind") == _WORD)
+    sums = counts.where(F.col("kind") != _GRAM).agg(
+        F.sum("n"), F.count(F.when(F.col("kind") == _WORD, 1)), F.max(F.when(F.col("kind") == _TEXTS, F.col("n")))).first()
     n, v, ends = sums[0] or 0, (sums[1] or 0) + bool(sums[2]), sums[2] or 0
     logs = _gram_logs(counts)
     least = max(1, params.hot * (logs.agg(F.sum("m")).first()[0] or 0))
@@ -455,13 +461,13 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     order = np.argsort(keys)
     common = spark.sparkContext.broadcast((keys[order], np.log10(hot["n"].to_numpy(np.float64)[order] + 1)))
     scored = stored(docs.mapInPandas(_score(params, grams, common), SCORED), "scored")
-    rare = (words.where(F.col("n") < max(1, params.common * n)).select("kind", "key", F.log10(F.col("n") + 1.0).alias("log"))
-            .unionByName(logs.where(F.col("m") < least).select(F.lit("gram").alias("kind"), "key", "log")))
-    word, gram = (F.when(F.col("kind") == kind, F.col("tf")) for kind in ("word", "gram"))
-    cold = (scored.where("kind != 'doc'").select("row", "kind", "key", "tf").join(rare, ["kind", "key"])
-            .groupBy("row").agg(F.sum(word).alias("k"), F.sum(word * F.col("log")).alias("l"),
-                                F.sum(gram * F.col("log")).alias("g")))
-    out = (scored.where("kind = 'doc'").join(cold, "row", "left")
+    def cold(keys: str, counted: str, rare: DataFrame, *sums) -> DataFrame:
+        pairs = scored.select("row", F.explode(F.arrays_zip(F.col(keys).alias("key"), F.col(counted).alias("tf"))).alias("p"))
+        return pairs.select("row", "p.key", "p.tf").join(rare, "key").groupBy("row").agg(*sums)
+    rare_words = words.where(F.col("n") < max(1, params.common * n)).select("key", F.log10(F.col("n") + 1.0).alias("log"))
+    by_word = cold("words", "word_tf", rare_words, F.sum("tf").alias("k"), F.sum(F.col("tf") * F.col("log")).alias("l"))
+    by_gram = cold("grams", "gram_tf", logs.where(F.col("m") < least).select("key", "log"), F.sum(F.col("tf") * F.col("log")).alias("g"))
+    out = (scored.drop("words", "word_tf", "grams", "gram_tf").join(by_word, "row", "left").join(by_gram, "row", "left")
            .withColumn("score", F.col("score") + F.coalesce("g", F.lit(0.0))))
     end_log = F.log10(F.lit(float(ends + 1)))
     each = F.log10(F.lit(float(n + v + 1)))

@@ -200,6 +200,11 @@ def _quoted(text: str, words: list[str], at: list[int], reach: int) -> list[bool
     """Whether each of the word positions stands in a quotation or follows a reporting word closely."""
     spans = [m.span() for m in WORD.finditer(text)]
     marks = [(m.start(), m[0]) for m in re.finditer(r'["“”„«»‹›]', text)]
+    # whether a plain or a closing sign stands at this mark or later
+    ends = [(False, False)]
+    for _, sign in reversed(marks):
+        ends.append((ends[-1][0] or sign == '"', ends[-1][1] or sign in CLOSING))
+    ends.reverse()
     inside, depth, plain, k = [], 0, False, 0
     for i in at:
         while k < len(marks) and marks[k][0] < spans[i][0]:
@@ -212,8 +217,8 @@ def _quoted(text: str, words: list[str], at: list[int], reach: int) -> list[bool
                 depth = max(0, depth - 1)
             k += 1
         # an opening sign that is never closed opens nothing
-        closed = any((s == '"' and plain) or (s in CLOSING and depth) for _, s in marks[k:])
-        inside.append((plain or depth > 0) and closed
+        closed = plain and ends[k][0] or depth > 0 and ends[k][1]
+        inside.append(closed
                       or any(w in REPORTING for w in words[max(0, i - reach):i]))
     return inside
 
