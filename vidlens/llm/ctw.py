@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ DEPTH = 5
 END = 0xFF
 _HALF = float(np.log(0.5))
 _ROWS = 512
+#: Documents in a slice: a document's number stands beside the 48 bits of a gram.
+_SLICE_DOCS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -39,13 +42,13 @@ class ContextTree:
 
 # ---------------------------------------------------------------- counting
 def _lines(texts: list[str | None], most: int) -> Iterator[tuple[int, int, list[list[bytes]]]]:
-    """Documents' words, in slices of about ``most`` bytes."""
+    """Documents' words, in slices of about ``most`` bytes and at most ``_SLICE_DOCS`` documents."""
     start, total, held = 0, 0, []
     for i, t in enumerate(texts):
         w = words_of(t)
         held.append(w)
         total += sum(map(len, w)) + len(w)
-        if total >= most:
+        if total >= most or len(held) == _SLICE_DOCS:
             yield start, i + 1, held
             start, total, held = i + 1, 0, []
     if held:
@@ -371,47 +374,61 @@ def _score(p: ContextTree, hot_grams, common):
     """A row a document: what the broadcast words and grams give, and the others with their counts."""
     names = [c.split()[0] for c in SCORED.split(", ")]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, gram_logs = hot_grams.value
         words, logs = common.value
         row = TaskContext.get().partitionId() << 40
-        for f in frames:
-            f = f.reset_index(drop=True)
-            for a, b, docs in _lines(f["text"].tolist(), p.slice_bytes):
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns))
+            for a, b, docs in _lines(columns["text"].to_pylist(), p.slice_bytes):
                 data, begins = _stream(docs)
+                n_bytes = np.diff(np.append(begins, len(data) + DEPTH)) - DEPTH
+                # grams of each document and how often, by one sort
+                both = _grams(data, _own(data, begins)).view(np.uint64) << np.uint64(16) | np.repeat(
+                    np.arange(len(docs), dtype=np.uint64), n_bytes)
+                gram, within, tf = _counted(both)
+                at, sure = _found(grams, gram)
+                score = np.bincount(within[sure], weights=tf[sure] * gram_logs[at[sure]], minlength=len(docs)).astype(np.float64)
+                cold_grams = _by_document(within[~sure], gram[~sure], tf[~sure], len(docs))
                 size = np.array([len(w) for w in docs], dtype=np.int64)
                 h = np.concatenate([word_hashes(w) for w in docs])
-                doc = np.repeat(np.arange(len(docs)), size)
-                key, inverse = np.unique(h, return_inverse=True)
-                at = np.minimum(np.searchsorted(words, key), max(len(words) - 1, 0))
-                hot = words[at] == key if len(words) else np.zeros(len(key), dtype=bool)
-                value = np.where(hot, logs[at], 0.0) if len(words) else np.zeros(len(key))
-                base = np.bincount(doc, weights=value[inverse], minlength=len(docs))
-                known = np.bincount(doc, weights=hot[inverse], minlength=len(docs)).astype(np.int64)
-                n_bytes = np.diff(np.append(begins, len(data) + DEPTH)) - DEPTH
-                gram, which = np.unique(_grams(data, _own(data, begins)), return_inverse=True)
-                at = np.minimum(np.searchsorted(grams, gram), max(len(grams) - 1, 0))
-                sure = grams[at] == gram if len(grams) else np.zeros(len(gram), dtype=bool)
-                value = np.where(sure, gram_logs[at], 0.0) if len(grams) else np.zeros(len(gram))
-                within = np.repeat(np.arange(len(docs)), n_bytes)
-                cold_words = _cold(key.view(np.int64), hot, doc, inverse, len(docs))
-                cold_grams = _cold(gram, sure, within, which, len(docs))
-                yield pd.DataFrame({
-                    "row": row + np.arange(len(docs)), "doc_id": f["doc_id"].iloc[a:b].to_numpy(),
-                    "held_out": f["held_out"].iloc[a:b].to_numpy(), "n_tokens": size + 1, "n_known": known,
-                    "base": base, "score": np.bincount(within, weights=value[which], minlength=len(docs)),
-                    "n_bytes": n_bytes, "words": cold_words[0], "word_tf": cold_words[1],
-                    "grams": cold_grams[0], "gram_tf": cold_grams[1]}, columns=names)
+                key, which = np.unique(h, return_inverse=True)
+                (doc, number), tf = _pairs(np.repeat(np.arange(len(docs)), size), which, max(len(key), 1))
+                at, hot = _found(words, key[number])
+                base = np.bincount(doc[hot], weights=tf[hot] * logs[at[hot]], minlength=len(docs)).astype(np.float64)
+                known = np.bincount(doc[hot], weights=tf[hot], minlength=len(docs)).astype(np.int64)
+                cold_words = _by_document(doc[~hot], key[number[~hot]].view(np.int64), tf[~hot], len(docs))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row + np.arange(len(docs))), columns["doc_id"].slice(a, b - a), columns["held_out"].slice(a, b - a),
+                     pa.array(size + 1), pa.array(known), pa.array(base, pa.float64()), pa.array(score, pa.float64()), pa.array(n_bytes),
+                     *cold_words, *cold_grams], names=names)
                 row += len(docs)
     return run
 
 
-def _cold(keys: np.ndarray, there: np.ndarray, of: np.ndarray, which: np.ndarray, docs: int) -> tuple[list, list]:
-    """For each document the keys that were not ``there``, and how often it holds each."""
-    cold = np.flatnonzero(~there[which])
-    (doc, key), tf = _pairs(of[cold], which[cold], max(len(keys), 1))
-    cuts = np.searchsorted(doc, np.arange(1, docs))
-    return np.split(keys[key], cuts), np.split(tf.astype(np.int32), cuts)
+def _counted(both: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (gram, document) of packed values, and how often each occurs."""
+    both.sort()
+    first = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1]))) if len(both) else np.empty(0, np.int64)
+    tf = np.diff(np.append(first, len(both)))
+    both = both[first]
+    return (both >> np.uint64(16)).view(np.int64), (both & np.uint64(0xFFFF)).astype(np.uint16), tf
+
+
+def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key stands in the sorted table, and whether it does."""
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return at, table[at] == keys
+
+
+def _by_document(doc: np.ndarray, keys: np.ndarray, tf: np.ndarray, docs: int) -> tuple[pa.Array, pa.Array]:
+    """Lists of keys and of counts, a list a document."""
+    order = np.argsort(doc.astype(np.uint16), kind="stable")
+    ends = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=docs)))).astype(np.int32)
+    return (pa.ListArray.from_arrays(ends, pa.array(keys[order])),
+            pa.ListArray.from_arrays(ends, pa.array(tf[order].astype(np.int32))))
 
 
 def _pairs(a: np.ndarray, b: np.ndarray, width: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
@@ -460,7 +477,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     keys = hot["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     common = spark.sparkContext.broadcast((keys[order], np.log10(hot["n"].to_numpy(np.float64)[order] + 1)))
-    scored = stored(docs.mapInPandas(_score(params, grams, common), SCORED), "scored")
+    scored = stored(docs.mapInArrow(_score(params, grams, common), SCORED), "scored")
     def cold(keys: str, counted: str, rare: DataFrame, *sums) -> DataFrame:
         pairs = scored.select("row", F.explode(F.arrays_zip(F.col(keys).alias("key"), F.col(counted).alias("tf"))).alias("p"))
         return pairs.select("row", "p.key", "p.tf").join(rare, "key").groupBy("row").agg(*sums)
