@@ -264,6 +264,26 @@ def q_page_indexed(spark, sf):
     return _round(index.page(v, 13, 70))
 
 
+def q_csv_reversible(spark, sf):
+    """A9/B1 without loss: texts with nulls, empty strings, line breaks and quotes, read back from split files."""
+    from vidlens.session import scratch_path
+    from vidlens.sinks import writers
+    docs = adapter.table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 7 != 0, F.when(
+        F.col("doc_id") % 5 != 0, F.col("text")).otherwise("")).alias("text"))
+    path = writers.write_csv_reversible(docs, scratch_path(spark, "csv-reversible"))
+    return writers.read_csv_reversible(spark, path, "doc_id long, text string")
+
+
+def q_published_parts(spark, sf):
+    """B3 over many parts: all videos in order as one file, read back."""
+    from vidlens.session import scratch_path
+    from vidlens.sinks import writers
+    from vidlens.sources import tables
+    path = writers.publish_csv(_videos(spark, sf).select("video_id", "views", "category"), scratch_path(spark, "parts"),
+                               "videos", ["views", "video_id"])
+    return tables.read_csv_result(spark, path, "video_id string, views long, category string")
+
+
 def _crawl_tree(spark, sf):
     """J1 from files: a written crawl tree, its files split over several tasks, staged once."""
     from vidlens.session import scratch_path
@@ -331,6 +351,8 @@ QUERIES |= {
     "range_fractional_pair": lambda s, d: _round(filters.range_filter(_videos(s, d), {"views": (20000.5, 30000.5)})),
     "preview": lambda s, d: _round(topn.preview(topn.sort_by(_videos(s, d), "video_id"))),
     "page_indexed": q_page_indexed,
+    "csv_reversible": q_csv_reversible,
+    "published_parts": q_published_parts,
     "page_first_key_null": lambda s, d: _round(topn.page(_dirty(s, d), 450, 50, order_by=["category", "rating"])),
     "crawl_load_files": q_crawl_load_files,
     "crawl_accounting_files": q_crawl_accounting_files,
@@ -717,6 +739,8 @@ ORACLE |= {
     "crawl_accounting_files": ORACLE["crawl_accounting"].replace("folder = 'c1998'", "folder in ('c1997', 'c1998')"),
     "page_indexed": f"""with {_VIDEOS}, t as (select * from videos order by category, {', '.join(c for c in _VCOLS if c != 'category')}
   limit 70 offset 910) select {_vsel()} from t""",
+    "csv_reversible": "select doc_id, case when doc_id % 7 != 0 then case when doc_id % 5 != 0 then text else '' end end as text from documents",
+    "published_parts": f"with {_VIDEOS} select video_id, views, category from videos",
     "page_first_key_null": f"""with {_DIRTY}, t as (select * from videos
   order by category nulls last, rating nulls last, {', '.join(c for c in _VCOLS if c not in ('category', 'rating'))} limit 50 offset 22500)
 select {_vsel()} from t""",
