@@ -284,6 +284,51 @@ def q_published_parts(spark, sf):
     return tables.read_csv_result(spark, path, "video_id string, views long, category string")
 
 
+def _report(spark, sf):
+    """A report written to files; returns its folder."""
+    from vidlens.plans import jobs
+    from vidlens.session import scratch_path
+    folder = scratch_path(spark, "report")
+    jobs.report(_videos(spark, sf), folder, parts=("statistics", "top", "categories", "trends"))
+    return folder
+
+
+def q_report_statistics(spark, sf):
+    """J6 and B6, read back from the report's file."""
+    from vidlens.sources import tables
+    return tables.read_csv_result(spark, f"{_report(spark, sf)}/statistics", "metric string, value string")
+
+
+def q_report_top(spark, sf):
+    """The report's top list, read back."""
+    from vidlens.sources import tables
+    schema = _videos(spark, sf).schema
+    return _round(tables.read_csv_result(spark, f"{_report(spark, sf)}/top_{S.TOP_N_DEFAULT}_views", schema))
+
+
+def q_report_trends(spark, sf):
+    """The report's trend file read back tolerantly and aggregated again."""
+    from vidlens.plans import jobs
+    return _round(jobs.trends_from_csv(spark, f"{_report(spark, sf)}/trends"))
+
+
+def q_sink_modes(spark, sf):
+    """A rerun replaces its own output, ``errorifexists`` refuses."""
+    from pyspark.errors import AnalysisException
+    from vidlens.session import scratch_path
+    from vidlens.sinks import writers
+    from vidlens.sources import tables
+    result, path, refused = stats.category_stats(_videos(spark, sf)), scratch_path(spark, "modes"), False
+    for _ in range(2):
+        writers.write_csv(result, path)
+    try:
+        writers.write_csv(result, path, mode="errorifexists")
+    except AnalysisException:
+        refused = True
+    back = tables.read_csv_result(spark, path, "category string, avg_views double, avg_rating double")
+    return back.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("refused", F.lit(refused))
+
+
 def _crawl_tree(spark, sf):
     """J1 from files: a written crawl tree, its files split over several tasks, staged once."""
     from vidlens.session import scratch_path
@@ -339,8 +384,8 @@ def q_projected_scan(spark, sf):
 
 
 def q_drop_related(spark, sf):
-    """C3 on the table with related ids."""
-    return _round(clean.drop_related(adapter.videos(spark, sf, related=True)).select(*VIDEO_COLS, "crawl_date"))
+    """C3 on the table with related ids: every other column is left, so one not dropped would show."""
+    return _round(clean.drop_related(adapter.videos(spark, sf, related=True)))
 
 
 VIDEO_COLS = ("video_id", "uploader", "age", "category", "length", "views", "rating", "comments_count")
@@ -351,6 +396,10 @@ QUERIES |= {
     "range_fractional_pair": lambda s, d: _round(filters.range_filter(_videos(s, d), {"views": (20000.5, 30000.5)})),
     "preview": lambda s, d: _round(topn.preview(topn.sort_by(_videos(s, d), "video_id"))),
     "page_indexed": q_page_indexed,
+    "report_statistics": q_report_statistics,
+    "report_top": q_report_top,
+    "report_trends": q_report_trends,
+    "sink_modes": q_sink_modes,
     "csv_reversible": q_csv_reversible,
     "published_parts": q_published_parts,
     "page_first_key_null": lambda s, d: _round(topn.page(_dirty(s, d), 450, 50, order_by=["category", "rating"])),
@@ -739,6 +788,10 @@ ORACLE |= {
     "crawl_accounting_files": ORACLE["crawl_accounting"].replace("folder = 'c1998'", "folder in ('c1997', 'c1998')"),
     "page_indexed": f"""with {_VIDEOS}, t as (select * from videos order by category, {', '.join(c for c in _VCOLS if c != 'category')}
   limit 70 offset 910) select {_vsel()} from t""",
+    "report_statistics": ORACLE["metric_export"],
+    "report_top": ORACLE["top_views"],
+    "report_trends": ORACLE["trend_reaggregate"],
+    "sink_modes": f"with {_VIDEOS} select count(distinct category) as n_rows, true as refused from videos",
     "csv_reversible": "select doc_id, case when doc_id % 7 != 0 then case when doc_id % 5 != 0 then text else '' end end as text from documents",
     "published_parts": f"with {_VIDEOS} select video_id, views, category from videos",
     "page_first_key_null": f"""with {_DIRTY}, t as (select * from videos
@@ -750,8 +803,9 @@ where age >= 0 and comments_count % 7 != 0 and rating is not null group by 1""",
     "published_file": ORACLE["category_stats"],
     "projected_scan": f"with {_VIDEOS} select " + ", ".join(
         _r("rating", "rating") if c == "rating" else c for c in S.ANALYSIS_COLUMNS) + " from videos",
-    "drop_related": "with " + _VIDEOS.replace("as comments_count", "as comments_count, strftime(l_shipdate, '%y%m%d') as crawl_date")
-                    + f" select {_vsel()}, crawl_date from videos",
+    "drop_related": "with " + _VIDEOS.replace("as comments_count", "as comments_count, cast(floor(l_tax * 1000) as bigint) as ratings_count, "
+                                                                 "strftime(l_shipdate, '%y%m%d') as crawl_date")
+                    + f" select {_vsel()}, ratings_count, crawl_date from videos",
     "dirty_category_stats": f"{_DIRTY_CATEGORY} where category is not null group by category",
     "dirty_category_null": f"{_DIRTY_CATEGORY} group by category",
     "dirty_top_rating": f"""with {_DIRTY}, t as (select * from videos
