@@ -50,7 +50,8 @@ def test_query(spark, name):
     want = CONTRACT[name.split("_")[0]]
     assert [c for c in df.columns if c in want] == want
     rows = df.collect()
-    source = "embeddings" if name.startswith("op1_") else "pages" if name.startswith("op5_") else "documents"
+    source = "embeddings" if name.startswith("op1_") else "pages" if name.startswith("op5_") else \
+        "conversations" if name.startswith("op12_") else "documents"
     n = spark.read.parquet(f"{SF001}/{source}.parquet").count()
     if not name.startswith("op12_"):   # a row a node
         assert len(rows) >= n if name.startswith("op7_") else len(rows) == n
