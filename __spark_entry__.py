@@ -32,6 +32,7 @@ from vidlens.sources import crawl
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 DIGITS = 6
+CURVE_DIGITS = 5
 
 
 def _round(df: DataFrame) -> DataFrame:
@@ -40,6 +41,11 @@ def _round(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
+def _curve(df: DataFrame) -> DataFrame:
+    """Densities to five places: they are within a bound of the sum over all rows, not equal to it."""
+    return _round(df.withColumn("density", F.round("density", CURVE_DIGITS)))
+
+
 def _videos(spark, sf):
     return adapter.videos(spark, sf)
 
@@ -213,7 +219,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "correlation_pairs": lambda s, d: _round(stats.correlation_pairs(_videos(s, d), names=PAIR_NAMES)),
     "correlation_matrix": lambda s, d: _round(stats.correlation_matrix(_videos(s, d))),
     "views_histogram": _views_histogram,
-    "views_density": lambda s, d: _round(distribution.log_density(_videos(s, d))),
+    "views_density": lambda s, d: _curve(distribution.log_density(_videos(s, d))),
     "dedup_first": q_dedup_first,
     "coerce_numeric": q_coerce_numeric,
     "fill_defaults": q_fill_defaults,
@@ -226,7 +232,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quantiles": lambda s, d: _round(stats.quantiles(_videos(s, d), "views", [0.01, 0.25, 0.5, 0.75, 0.99])),
     "trend_daily_valid": lambda s, d: _round(trends.daily_trend(_videos(s, d), valid_only=True)),
     "top_views_25": lambda s, d: _round(topn.top_views(_videos(s, d), "25")),
-    "length_density": lambda s, d: _round(distribution.length_range_density(_videos(s, d))),
+    "length_density": lambda s, d: _curve(distribution.length_range_density(_videos(s, d))),
     "related_correlation": q_related_correlation,
     "interactive_slice": q_interactive_slice,
     "csv_roundtrip": q_csv_roundtrip,
@@ -256,6 +262,15 @@ def _dirty(spark, sf):
         "comments_count")
 
 
+def q_length_chart(spark, sf):
+    """H7 from one stored directory: a range's box statistics and where its curve stands highest."""
+    from vidlens.session import scratch_path
+    chart = charts.views_by_length(_videos(spark, sf), scratch_path(spark, "length-counts"))
+    peak = chart["density"].where("density = 1").groupBy("length_range").agg(
+        F.min("point").alias("peak_point"), F.min("x").alias("peak_x"))
+    return _round(chart["summary"].join(peak, "length_range", "left"))
+
+
 def q_page_indexed(spark, sf):
     """G8 by a stored rank index over a first column with few values."""
     from vidlens.session import scratch_path
@@ -396,6 +411,7 @@ QUERIES |= {
     "range_fractional_pair": lambda s, d: _round(filters.range_filter(_videos(s, d), {"views": (20000.5, 30000.5)})),
     "preview": lambda s, d: _round(topn.preview(topn.sort_by(_videos(s, d), "video_id"))),
     "page_indexed": q_page_indexed,
+    "length_chart": q_length_chart,
     "report_statistics": q_report_statistics,
     "report_top": q_report_top,
     "report_trends": q_report_trends,
@@ -414,7 +430,7 @@ QUERIES |= {
     "dirty_top_rating": lambda s, d: _round(topn.top_rating(_dirty(s, d), 200)),
     "dirty_length_ranges": lambda s, d: _round(distribution.length_range_summary(_dirty(s, d))),
     "dirty_histogram": lambda s, d: _round(distribution.log_histogram(_dirty(s, d))),
-    "dirty_density": lambda s, d: _round(distribution.log_density(_dirty(s, d))),
+    "dirty_density": lambda s, d: _curve(distribution.log_density(_dirty(s, d))),
     "dirty_daily_trend": lambda s, d: _round(trends.daily_trend(_dirty(s, d))),
 }
 
@@ -506,16 +522,12 @@ _SQRT2PI = repr(math.sqrt(2 * math.pi))
 _DENSITY = f"""with {_VIDEOS},
   p as (select log10(views) as lv from videos where views > 0),
   s as (select count(*) as n, min(lv) as lo, max(lv) as hi, stddev_samp(lv) as sd from p),
-  s2 as (select n, lo, hi, sd * pow(cast(n as double), -0.2) as h,
-                case when hi > lo then hi - lo else 1.0 end as span,
-                case when hi > lo then (hi - lo) / 199 else 0.0 end as step from s),
-  m as (select least(cast(floor((lv - lo) / span * 2048) as integer), 2047) as b, count(*) as m
-        from p, s2 group by 1),
+  s2 as (select n, lo, hi, sd * pow(cast(n as double), -0.2) as h, (hi - lo) / 199 as step from s),
   t as (select cast(r.i as integer) as point, lo + r.i * step as x,
-               m.m * exp(-0.5 * pow(((lo + r.i * step) - (lo + (m.b + 0.5) * span / 2048)) / h, 2)) as t,
-               n, h
-        from m, s2, (select range as i from range(200)) r)
-select point, {_r('x', 'log_x')}, {_r('pow(10.0, x)', 'x')}, {_r(f'sum(t) / (n * h * {_SQRT2PI})', 'density')}
+               exp(-0.5 * pow((lo + r.i * step - lv) / h, 2)) as t, n, h
+        from p, s2, (select range as i from range(200)) r)
+select point, {_r('x', 'log_x')}, {_r('pow(10.0, x)', 'x')},
+       round(sum(t) / (n * h * {_SQRT2PI}), {CURVE_DIGITS}) as density
 from t group by point, x, n, h"""
 
 _HIST = f"""with {_VIDEOS},
@@ -614,19 +626,16 @@ _LDENS = f"""with {_VIDEOS}, {_BAND},
         from t where length_range is not null group by 1),
   s1 as (select *, sd * pow(cast(n as double), -0.2) as h from s),
   s2 as (select length_range, n, lo, hi, h,
-                case when hi > lo then hi - lo else 1.0 end as span,
                 lo - 2.0 * h as g0,
                 case when (hi + 2.0 * h) > (lo - 2.0 * h) then ((hi + 2.0 * h) - (lo - 2.0 * h)) / 99 else 0.0 end as step
          from s1),
-  m as (select t.length_range, least(cast(floor((lv - lo) / span * 2048) as integer), 2047) as b, count(*) as m
-        from t join s2 using (length_range) group by 1, 2),
-  k as (select m.length_range, cast(r.i as integer) as point, g0 + r.i * step as x,
-               m.m * exp(-0.5 * pow(((g0 + r.i * step) - (lo + (m.b + 0.5) * span / 2048)) / h, 2)) as t, n, h
-        from m join s2 using (length_range), (select range as i from range(100)) r),
+  k as (select length_range, cast(r.i as integer) as point, g0 + r.i * step as x,
+               exp(-0.5 * pow((g0 + r.i * step - lv) / h, 2)) as t, n, h
+        from t join s2 using (length_range), (select range as i from range(100)) r),
   d as (select length_range, point, x, sum(t) / (n * h * {_SQRT2PI}) as density from k
         group by length_range, point, x, n, h)
 select length_range, point, {_r('x', 'x')},
-       {_r('density / max(density) over (partition by length_range)', 'density')} from d"""
+       round(density / max(density) over (partition by length_range), {CURVE_DIGITS}) as density from d"""
 
 ORACLE: dict[str, str] = {
     "category_stats": f"with {_VIDEOS} select category, {_r('avg(views)', 'avg_views')}, "
@@ -786,6 +795,9 @@ ORACLE |= {
     # the file tree: one folder without a log, one whose log has no date
     "crawl_load_files": ORACLE["crawl_load"].replace("folder = 'c1998'", "folder in ('c1997', 'c1998')").replace(", line_pos\nfrom", "\nfrom"),
     "crawl_accounting_files": ORACLE["crawl_accounting"].replace("folder = 'c1998'", "folder in ('c1997', 'c1998')"),
+    "length_chart": f"""with box as ({ORACLE["length_ranges"]}), curve as ({_LDENS})
+select box.*, peak_point, peak_x from box left join
+  (select length_range, min(point) as peak_point, min(x) as peak_x from curve where density = 1 group by 1) using (length_range)""",
     "page_indexed": f"""with {_VIDEOS}, t as (select * from videos order by category, {', '.join(c for c in _VCOLS if c != 'category')}
   limit 70 offset 910) select {_vsel()} from t""",
     "report_statistics": ORACLE["metric_export"],

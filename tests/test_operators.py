@@ -219,6 +219,61 @@ def test_density_integrates_to_one(spark):
     assert np.allclose(d["density"], exact, atol=2e-3)
 
 
+def _whole_sum(x, grid, h):
+    return np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi))
+
+
+@pytest.mark.parametrize("tolerance", [1e-2, 1e-4, 1e-8])
+def test_density_stays_within_its_bound(spark, tolerance):
+    """Also where the data leave a gap, hold one value in a third of all rows, or lie far from zero."""
+    rng = np.random.default_rng(3)
+    cases = [np.concatenate([rng.normal(0, 1, 400), rng.normal(500, 3, 200), np.full(300, 2.0)]),
+             1e9 + rng.integers(0, 50, 700).astype(float), np.array([1.0, 2.0])]
+    for x in cases:
+        df = spark.createDataFrame(pd.DataFrame({"views": x})).repartition(5)
+        got = distribution.kde(df, points=60, tolerance=tolerance, log=False, cut=1.0).toPandas().sort_values("point")
+        h = x.std(ddof=1) * len(x) ** -0.2
+        assert got["point"].tolist() == list(range(60))
+        assert np.allclose(got["x"], np.linspace(x.min() - h, x.max() + h, 60))
+        off = np.abs(got["density"].to_numpy() - _whole_sum(x, got["x"].to_numpy(), h)).max()
+        # the rest is the rounding of places far from zero
+        assert off <= (tolerance + 1e-10 + 4e-16 * np.abs(x).max() / h) / (h * np.sqrt(2 * np.pi))
+
+
+def test_length_directory(spark, tmp_dir):
+    """Lazy and stored directories agree with pandas; nulls, NaN, ties, empty tables and extra columns."""
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"views": rng.integers(0, 400, 3000).astype(float), "length": rng.integers(-5, 3700, 3000)})
+    pdf.loc[:999, "views"] = 7.0                      # a third of all rows
+    pdf.loc[5:60, "views"] = np.nan
+    df = spark.createDataFrame(pdf).withColumn("views", F.when(F.col("views") != 399, F.col("views"))) \
+        .withColumn("part", F.lit("x")).withColumn("n", F.lit(-1)).withColumn("value", F.lit(0))
+    known = pdf[pdf["views"].notna() & (pdf["views"] != 399)]
+    w = known[(known["length"] > 0) & (known["length"] < 3600)]
+    lo, hi = w["views"].quantile([0.01, 0.99])
+    w = w[w["views"].between(lo, hi)].copy()
+    w["r"] = pd.cut(w["length"], bins=S.LENGTH_EDGES, labels=S.LENGTH_LABELS)
+    want = w.groupby("r", observed=True)["views"].describe()
+    stored = distribution.LengthDirectory.build(df, tmp_dir + "/counts", partitions=5)
+    for d in (distribution.LengthDirectory.of(df), stored):
+        got = d.summary().collect()
+        assert [r["length_range"] for r in got] == list(want.index)
+        assert np.allclose([[r[c] for c in ("n", "min", "q1", "median", "q3", "max")] for r in got],
+                           want[["count", "min", "25%", "50%", "75%", "max"]])
+        curves = d.density().toPandas()
+        for lab, g in w.groupby("r", observed=True):
+            x, mine = g["views"].to_numpy(float), curves[curves["length_range"] == lab].sort_values("point")
+            dens = _whole_sum(x, mine["x"].to_numpy(), x.std(ddof=1) * len(x) ** -0.2)
+            assert np.allclose(mine["density"], dens / dens.max(), atol=1e-6)
+    rows = stored.rows.groupBy("range_order", "value").count()
+    assert rows.where("count > 1").isEmpty() and stored.rows.where("value = 7").agg(F.max("part") - F.min("part")).first()[0] <= 1
+    again = distribution.LengthDirectory.build(df.limit(0), tmp_dir + "/counts")
+    assert again.summary().collect() == [] and again.density().collect() == []
+    flat = distribution.LengthDirectory.of(spark.createDataFrame([(5, 30)] * 4, "views long, length int"))
+    assert [tuple(r) for r in flat.summary().collect()] == [("0-1 min", 0, 4, 5.0, 5.0, 5.0, 5.0, 5.0)]
+    assert flat.density().collect() == []             # no bandwidth, no curve
+
+
 def test_trends(spark):
     df = spark.createDataFrame([(0, 10, 1.0), (0, 20, 3.0), (31, 5, 2.0), (-1, 7, 4.0)],
                                "age int, views long, rating double")

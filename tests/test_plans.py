@@ -65,3 +65,14 @@ def test_plan_summary_follows_the_main_plan(spark):
 def test_subpackage_may_be_left_out(monkeypatch):
     monkeypatch.setattr(E, "_llm_present", lambda: False)
     assert set(E.queries()) == set(E.QUERIES) and set(E.oracle_sql()) == set(E.QUERIES)
+
+
+def test_length_charts_scan_the_table_once(spark, tmp_path):
+    from vidlens.plans import charts
+    lazy = charts.views_by_length(adapter.videos(spark, SF001))
+    stored = charts.views_by_length(adapter.videos(spark, SF001), str(tmp_path / "counts"))
+    assert all("lineitem" in formatted(d) for d in lazy.values())
+    assert not any("lineitem" in formatted(d) for d in stored.values())
+    for name in lazy:
+        a, b = (sorted(map(tuple, d[name].collect()), key=lambda r: r[:2]) for d in (lazy, stored))
+        assert len(a) == len(b) and all(x == pytest.approx(y, rel=1e-9) for u, v in zip(a, b) for x, y in zip(u, v))

@@ -2,8 +2,8 @@
 
 from vidlens.operators.clean import (coerce_numeric, dedup_first, drop_incomplete, drop_null_keys,
                                      drop_related, fill_defaults, related_as_text, to_dates)
-from vidlens.operators.distribution import (length_range_density, length_range_summary, length_range_table,
-                                            log_density, log_histogram)
+from vidlens.operators.distribution import (LengthDirectory, length_range_density, length_range_summary,
+                                            length_range_table, log_density, log_histogram)
 from vidlens.operators.filters import (count_matches, filter_videos, length_window, quantile_band,
                                        quantile_bounds, range_filter, valid_age)
 from vidlens.operators.quantiles import exact_quantiles, quantile_scalar

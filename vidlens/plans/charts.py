@@ -56,10 +56,14 @@ def views_distribution(df: DataFrame, col: str = "views") -> dict[str, DataFrame
     return {"histogram": distribution.log_histogram(df, col), "density": dens}
 
 
-def views_by_length(df: DataFrame) -> dict[str, DataFrame]:
-    """H7: per length range box statistics and violin shapes (F16)."""
-    return {"summary": distribution.length_range_summary(df),
-            "density": distribution.length_range_density(df)}
+def views_by_length(df: DataFrame, path: str | None = None) -> dict[str, DataFrame]:
+    """H7: per length range box statistics and violin shapes (F16).
+
+    With ``path`` the value counts that both are read from are stored there, so
+    the table is scanned once for both; else each result counts for itself.
+    """
+    directory = (distribution.LengthDirectory.build(df, path) if path else distribution.LengthDirectory.of(df))
+    return {"summary": directory.summary(), "density": directory.density()}
 
 
 def correlation_table(df: DataFrame) -> DataFrame:

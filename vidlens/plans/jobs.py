@@ -84,8 +84,8 @@ def top_tables(df: DataFrame, n=S.TOP_N_DEFAULT) -> dict[str, DataFrame]:
             f"top_{k}_comments": topn.top_comments(df, k)}
 
 
-def chart_datasets(df: DataFrame) -> dict[str, DataFrame]:
-    """Every chart dataset in one call."""
+def chart_datasets(df: DataFrame, length_path: str | None = None) -> dict[str, DataFrame]:
+    """Every chart dataset in one call (``length_path``: see :func:`charts.views_by_length`)."""
     out = {"category_views": charts.category_views(df),
            "category_ratings": charts.category_ratings(df),
            "monthly_trend": charts.monthly_trend(df),
@@ -93,7 +93,7 @@ def chart_datasets(df: DataFrame) -> dict[str, DataFrame]:
            "top_videos": charts.top_videos(df),
            "correlation_table": charts.correlation_table(df)}
     out.update({f"views_{k}": v for k, v in charts.views_distribution(df).items()})
-    out.update({f"length_{k}": v for k, v in charts.views_by_length(df).items()})
+    out.update({f"length_{k}": v for k, v in charts.views_by_length(df, length_path).items()})
     return out
 
 
@@ -103,7 +103,8 @@ def report(df: DataFrame, out_dir: str | None = None, top_n=S.TOP_N_DEFAULT,
     analysis and chart datasets from one (cleaned) table.
 
     ``parts`` selects what to build (J6 is ``("statistics", "top")``).  With
-    ``out_dir`` each result is written as one CSV folder (overwrite).
+    ``out_dir`` each result is written as one CSV folder (overwrite), and the
+    views' counts by length range, which two charts read, as Parquet beside them.
     """
     parts = set(parts)
     res: dict[str, DataFrame] = {}
@@ -118,7 +119,9 @@ def report(df: DataFrame, out_dir: str | None = None, top_n=S.TOP_N_DEFAULT,
     if "related" in parts and "related_ids" in df.columns:
         res["related_analysis"] = clean.related_as_text(df)
     if "charts" in parts:
-        res.update({f"chart_{k}": v for k, v in chart_datasets(df).items()})
+        # the counts stay with the report, whose datasets may be read again
+        counts = os.path.join(out_dir, "length_counts") if out_dir else None
+        res.update({f"chart_{k}": v for k, v in chart_datasets(df, counts).items()})
     if out_dir:
         for name, d in res.items():
             if name in ("summary", "top_rated", "most_watched"):

@@ -49,6 +49,8 @@ BAND_QUANTILES = (0.01, 0.99)
 # Views histogram: bins on the log10 axis; density grid points.
 HISTOGRAM_BINS = 50
 DENSITY_GRID = 200
+# Largest error of a density, as a share of the kernel's peak.
+DENSITY_TOLERANCE = 1e-8
 # Violin curves per length range: grid points and extension in bandwidths.
 VIOLIN_GRID = 100
 VIOLIN_CUT = 2
