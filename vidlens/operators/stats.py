@@ -98,15 +98,24 @@ def pair_correlations(df: DataFrame, pairs) -> DataFrame:
 
     One aggregate over the rows as they are: for each pair the co-moment, and
     each column's spread where the other is known (null and NaN are unknown,
-    pandas' pairwise-complete rule).  These aggregates carry means along, so
-    large means with a small spread do not cancel; the partial aggregate leaves
-    one row a task.  ``corr`` raises on a constant column under ANSI, so
+    pandas' pairwise-complete rule).  These aggregates carry means along, and
+    every column is taken from its mean over the table (a lazy scalar of one more
+    aggregate), so that a large mean costs a small spread no digits, in whatever
+    order tasks end; the partial aggregates leave one row a task.  ``corr`` raises on a constant column under ANSI, so
     ``try_divide(covar_pop, stddev_pop * stddev_pop)`` gives null instead; a
     pair without rows has a null r as well.
     """
     cols = sorted({c for p in pairs for c in p})
     x = {c: F.col(c).cast("double") for c in cols}
     rows = df.select(*[F.when(~F.isnan(x[c]), x[c]).alias(f"x{i}") for i, c in enumerate(cols)])
+    means = rows.agg(*[F.avg(f"x{i}").alias(f"x{i}") for i in range(len(cols))]).select(F.struct("*")).scalar()
+
+    def centred(i):
+        mean = means.getField(f"x{i}")
+        # none for a column of unknowns, nor where the sum overflows
+        return F.col(f"x{i}") - F.when(F.abs(mean) < F.lit(float("inf")), mean).otherwise(F.lit(0.0))
+
+    rows = rows.select(*[centred(i).alias(f"x{i}") for i in range(len(cols))])
     at = {c: F.col(f"x{i}") for i, c in enumerate(cols)}
 
     def spread(own, other):
