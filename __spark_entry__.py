@@ -299,15 +299,25 @@ def q_published_parts(spark, sf):
     return tables.read_csv_result(spark, path, "video_id string, views long, category string")
 
 
-def _report(spark, sf):
+def _report(spark, sf, parts=("statistics", "top", "categories", "trends"), related=False):
     """A report written to files; returns its folder."""
     from vidlens.plans import jobs
     from vidlens.session import scratch_path
     folder = scratch_path(spark, "report")
-    jobs.report(_videos(spark, sf), folder, parts=("statistics", "top", "categories", "trends"))
+    jobs.report(adapter.videos(spark, sf, related=True) if related else _videos(spark, sf), folder, parts=parts)
     return folder
 
 
+def _from_report(name, schema, part):
+    """A result of a report, read back from its file."""
+    def query(spark, sf):
+        from vidlens.sources import tables
+        folder = _report(spark, sf, (part,))
+        back = tables.read_csv_result(spark, f"{folder}/{name}", schema)
+        return _curve(back) if "density" in back.columns else _round(back)
+    return query
+
+
 def q_report_statistics(spark, sf):
     """J6 and B6, read back from the report's file."""
     from vidlens.sources import tables
@@ -403,6 +413,22 @@ def q_drop_related(spark, sf):
     return _round(clean.drop_related(adapter.videos(spark, sf, related=True)))
 
 
+def q_report_related(spark, sf):
+    """The related ids written by the report, read back (an empty text comes back null)."""
+    from vidlens.sources import tables
+    folder, v = _report(spark, sf, ("related",), related=True), adapter.videos(spark, sf, related=True)
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "related_ids" else f.dataType)
+                           for f in v.schema.fields])
+    back = tables.read_csv_result(spark, f"{folder}/related_analysis", schema)
+    return back.select("video_id", F.coalesce("related_ids", F.lit("")).alias("related_ids"))
+
+
+def _chart_of_report(name, schema, columns=None):
+    """A chart's dataset written by the report, read back."""
+    query = _from_report(f"chart_{name}", schema, f"chart_{name}")
+    return lambda spark, sf: query(spark, sf).select(*(columns or ["*"]))
+
+
 VIDEO_COLS = ("video_id", "uploader", "age", "category", "length", "views", "rating", "comments_count")
 QUERIES |= {
     "top_views_500": lambda s, d: _round(topn.top_views(_videos(s, d), 500)),
@@ -415,6 +441,22 @@ QUERIES |= {
     "report_statistics": q_report_statistics,
     "report_top": q_report_top,
     "report_trends": q_report_trends,
+    "report_category_stats": _from_report("category_stats", "category string, avg_views double, avg_rating double", "categories"),
+    "report_related": q_report_related,
+    "report_chart_views": _chart_of_report("category_views", "category string, avg_views double"),
+    "report_chart_ratings": _chart_of_report("category_ratings", "category string, avg_rating double"),
+    "report_chart_months": _chart_of_report("monthly_trend", "upload_month date, avg_views double, avg_rating double"),
+    "report_chart_days": _chart_of_report("daily_trend", "upload_date date, avg_views double, avg_rating double"),
+    "report_chart_top": _chart_of_report("top_videos", "video_id string, views long"),
+    "report_chart_correlations": _chart_of_report(
+        "correlation_table", ", ".join(f"{c} {t}" for c, t in zip(PAIR_NAMES, ("string", "string", "double", "double")))),
+    "report_chart_histogram": _chart_of_report("views_histogram", "bin int, bin_lo double, bin_hi double, count long"),
+    "report_chart_density": _chart_of_report(
+        "views_density", "point int, log_x double, x double, density double, count_density double",
+        ["point", "log_x", "x", "density"]),
+    "report_chart_lengths": _chart_of_report(
+        "length_summary", "length_range string, range_order int, n long, min double, q1 double, median double, q3 double, max double"),
+    "report_chart_shapes": _chart_of_report("length_density", "length_range string, point int, x double, density double"),
     "sink_modes": q_sink_modes,
     "csv_reversible": q_csv_reversible,
     "published_parts": q_published_parts,
@@ -803,6 +845,18 @@ select box.*, peak_point, peak_x from box left join
     "report_statistics": ORACLE["metric_export"],
     "report_top": ORACLE["top_views"],
     "report_trends": ORACLE["trend_reaggregate"],
+    "report_category_stats": ORACLE["category_stats"],
+    "report_related": ORACLE["related_string"],
+    "report_chart_views": ORACLE["chart_category_views"],
+    "report_chart_ratings": ORACLE["chart_category_ratings"],
+    "report_chart_months": ORACLE["trend_monthly"],
+    "report_chart_days": ORACLE["trend_reaggregate"],
+    "report_chart_top": ORACLE["chart_top_videos"],
+    "report_chart_correlations": ORACLE["correlation_pairs"],
+    "report_chart_histogram": ORACLE["views_histogram"],
+    "report_chart_density": ORACLE["views_density"],
+    "report_chart_lengths": ORACLE["length_ranges"],
+    "report_chart_shapes": ORACLE["length_density"],
     "sink_modes": f"with {_VIDEOS} select count(distinct category) as n_rows, true as refused from videos",
     "csv_reversible": "select doc_id, case when doc_id % 7 != 0 then case when doc_id % 5 != 0 then text else '' end end as text from documents",
     "published_parts": f"with {_VIDEOS} select video_id, views, category from videos",

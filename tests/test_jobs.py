@@ -82,3 +82,52 @@ def test_trends_roundtrip_through_csv(spark, tmp_dir):
     want = res["trends"].collect()
     assert [str(r["upload_date"]) for r in back] == [str(r["upload_date"]) for r in want]
     assert all(abs(a["avg_views"] - b["avg_views"]) < 1e-9 for a, b in zip(back, want))
+
+
+def _rows(df):
+    return [tuple(None if x is None else round(x, 6) if isinstance(x, float) else x for x in r) for r in df.collect()]
+
+
+def _odd_videos(spark):
+    """Ties, nulls, NaN, repeated rows, lengths beyond the window and missing ages."""
+    nan = float("nan")
+    rows = [(f"v{i % 70:03d}", f"u{i % 5}", None if i % 11 == 0 else i % 40 - 1, None if i % 13 == 0 else f"c{i % 4}",
+             None if i % 17 == 0 else (i * 37) % 4000, None if i % 19 == 0 else (i % 23) ** 3,
+             nan if i % 29 == 0 else None if i % 31 == 0 else float(i % 3 + 3), i, None if i % 37 == 0 else i % 6)
+            for i in range(300)]
+    rows += rows[:40]
+    return spark.createDataFrame(rows, "video_id string, uploader string, age int, category string, length int, "
+                                       "views long, rating double, ratings_count long, comments_count long")
+
+
+def test_fused_report_equals_the_single_results(spark, tmp_dir):
+    odd, small = _odd_videos(spark), ("statistics", "top", "categories", "trends")
+    for name, v, n, parts in (("odd", odd, 60, jobs.PARTS), ("few", odd.limit(3), 10, small),
+                              ("none", odd.limit(0), 10, small)):
+        want, got = jobs.report(v, None, n, parts), jobs.report(v, os.path.join(tmp_dir, name), n, parts)
+        assert set(got) == set(want)
+        for k in want:
+            assert got[k].columns == want[k].columns, (name, k)
+            a, b = _rows(want[k]), _rows(got[k])
+            if k in ("category_stats", "chart_views_histogram", "chart_views_density", "chart_length_density"):
+                a, b = sorted(a, key=str), sorted(b, key=str)
+            assert str(a) == str(b), (name, k)
+
+
+def test_report_scans_the_table_four_times(spark, tmp_dir):
+    v = adapter.videos(spark, SF001, related=True)
+    seen, n = spark.sparkContext.accumulator(0), v.count()
+
+    def count(frames):
+        for f in frames:
+            seen.add(len(f))
+            yield f
+
+    jobs.report(v.mapInPandas(count, v.schema), os.path.join(tmp_dir, "scans"))
+    assert n < seen.value <= 4 * n
+
+
+def test_report_refuses_unknown_parts(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        jobs.report(adapter.videos(spark, SF001), parts=("statistics", "tops"))

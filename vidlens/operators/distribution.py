@@ -21,8 +21,10 @@ from vidlens.session import checkpoint_root
 SQRT_2PI = math.sqrt(2.0 * math.pi)
 
 
-def _log_values(df: DataFrame, col: str) -> DataFrame:
-    return df.where(F.col(col) > 0).select(F.log10(F.col(col).cast("double")).alias("lv"))
+def _log_values(df: DataFrame, col: str, weight: str | None = None) -> DataFrame:
+    """``lv, c``: the logarithms and how often each row counts."""
+    return df.where(F.col(col) > 0).select(F.log10(F.col(col).cast("double")).alias("lv"),
+                                           (F.col(weight) if weight else F.lit(1)).alias("c"))
 
 
 def _span(lo, hi):
@@ -36,17 +38,20 @@ def _bin_index(x, lo, hi, bins):
     return F.least(F.floor((x - lo) / (hi - lo) * F.lit(bins)).cast("int"), F.lit(bins - 1))
 
 
-def log_histogram(df: DataFrame, col: str = "views", bins: int = S.HISTOGRAM_BINS) -> DataFrame:
+def log_histogram(df: DataFrame, col: str = "views", bins: int = S.HISTOGRAM_BINS,
+                  weight: str | None = None) -> DataFrame:
     """``bins`` equal bins on ``log10(col)`` over positive values.
 
+    ``weight`` names a column that says how many rows a row stands for.
+
     Output ``bin, bin_lo, bin_hi, count`` for every bin (empty bins give 0);
     edges are in the original units.
     """
-    lv = _log_values(df, col)
+    lv = _log_values(df, col, weight)
     b = lv.agg(F.min("lv").alias("lo"), F.max("lv").alias("hi")).select(F.struct("lo", "hi")).scalar()
     lo, hi = _span(b.getField("lo"), b.getField("hi"))
     counts = lv.groupBy(_bin_index(F.col("lv"), lo, hi, bins).alias("bin")).agg(
-        F.count(F.lit(1)).alias("count"))
+        F.sum("c").alias("count"))
     spark = df.sparkSession
     grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     width = (hi - lo) / F.lit(bins)
@@ -59,7 +64,8 @@ def log_histogram(df: DataFrame, col: str = "views", bins: int = S.HISTOGRAM_BIN
 
 
 def kde(df: DataFrame, col: str = "views", points: int = S.DENSITY_GRID, tolerance: float = S.DENSITY_TOLERANCE,
-        by: str | None = None, log: bool = True, cut: float = 0.0, peak_normalise: bool = False) -> DataFrame:
+        by: str | None = None, log: bool = True, cut: float = 0.0, peak_normalise: bool = False,
+        weight: str | None = None) -> DataFrame:
     """Gaussian kernel density of ``col`` (or of ``log10(col)``) on a grid.
 
     Bandwidth is Scott's rule, ``h = stddev_samp * n^(-1/5)``; the grid has
@@ -72,19 +78,29 @@ def kde(df: DataFrame, col: str = "views", points: int = S.DENSITY_GRID, toleran
     a maximum of 1.  ``log=True`` drops values <= 0 (the log axis) and adds
     ``log_x``.  One row, or rows that are all alike, have no bandwidth and no
     curve; null and NaN are left out, and so are rows of a null group.
+
+    ``weight`` names a column that says how many rows a row stands for; the
+    spread is then taken from sums of squares, which a log axis keeps small.
     """
+    if weight and not log:
+        raise ValueError("weights need the log axis")
     keys = [by] if by else []
     v = F.col(col).cast("double")
+    c = (F.col(weight) if weight else F.lit(1)).alias("c")
     if log:
-        src = df.where((F.col(col) > 0) & ~F.isnan(v)).select(*keys, F.log10(v).alias("lv"))
+        src = df.where((F.col(col) > 0) & ~F.isnan(v)).select(*keys, F.log10(v).alias("lv"), c)
     else:
-        src = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("lv"))
+        src = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("lv"), c)
     if by:
         src = src.where(F.col(by).isNotNull())
+    spread = F.stddev_samp("lv")
+    if weight:
+        n, total = F.sum("c"), F.sum(F.col("c") * F.col("lv"))
+        spread = F.when(F.min("lv") < F.max("lv"), F.sqrt(F.greatest(F.lit(0.0), F.try_divide(
+            F.sum(F.col("c") * F.col("lv") * F.col("lv")) - total * total / n, n - 1))))
     stats = src.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("lv").alias("lo"), F.max("lv").alias("hi"),
-        F.stddev_samp("lv").alias("sd"))
-    dens = _curves(src.withColumn("c", F.lit(1)), stats, keys, points, tolerance, cut, peak_normalise)
+        F.sum("c").alias("n"), F.min("lv").alias("lo"), F.max("lv").alias("hi"), spread.alias("sd"))
+    dens = _curves(src, stats, keys, points, tolerance, cut, peak_normalise)
     xs = ([F.col("x").alias("log_x"), F.pow(F.lit(10.0), F.col("x")).alias("x")] if log else [F.col("x")])
     return dens.select(*keys, "point", *xs, "density")
 
@@ -158,10 +174,11 @@ def _curves(values: DataFrame, stats: DataFrame, keys: list[str], points: int, t
 
 def log_density(df: DataFrame, col: str = "views", points: int = S.DENSITY_GRID,
                 tolerance: float = S.DENSITY_TOLERANCE, by: str | None = None,
-                peak_normalise: bool = False) -> DataFrame:
+                peak_normalise: bool = False, weight: str | None = None) -> DataFrame:
     """the histogram's density curve -- KDE of ``log10(col)`` on
     ``points`` points from min to max (no extension past the data)."""
-    return kde(df, col, points, tolerance, by=by, log=True, cut=0.0, peak_normalise=peak_normalise)
+    return kde(df, col, points, tolerance, by=by, log=True, cut=0.0, peak_normalise=peak_normalise,
+               weight=weight)
 
 
 def length_range_table(df: DataFrame, col: str = "views", length: str = "length") -> DataFrame:
@@ -216,8 +233,7 @@ class LengthDirectory:
 
     def band(self, probs=S.BAND_QUANTILES):
         """D8's bounds as a lazy scalar struct ``(lo, hi)``."""
-        q = _ranked(self.rows.withColumn("whole", F.lit(0)), "whole", probs, ["lo", "hi"])
-        return q.select(F.struct("lo", "hi")).scalar()
+        return value_quantiles(self.rows, probs, ["lo", "hi"]).select(F.struct("lo", "hi")).scalar()
 
     def in_band(self, probs=S.BAND_QUANTILES) -> DataFrame:
         """The directory's rows within the band that lie in a length range."""
@@ -250,6 +266,12 @@ def _label():
     return F.element_at(F.array(*[F.lit(lab) for lab in S.LENGTH_LABELS]), F.col("range_order") + 1).alias("length_range")
 
 
+def value_quantiles(rows: DataFrame, probs, names) -> DataFrame:
+    """``n, min, max`` and the quantiles of all values of a directory (columns
+    ``value, n, part``), one row; none where it is empty."""
+    return _ranked(rows.withColumn("whole", F.lit(0)), "whole", probs, names).drop("whole")
+
+
 def _ranked(rows: DataFrame, group: str, probs, names) -> DataFrame:
     """Per ``group``, its ``n, min, max`` and the interpolated quantiles of ``value``.
 

@@ -80,11 +80,15 @@ def category_stats(df: DataFrame, key: str = "category",
         src = src.where(F.col(key).isNotNull())
     names = [f"avg_{m}" for m in metrics]
     out = src.groupBy(key).agg(*[F.avg(known(src, m)).alias(n) for m, n in zip(metrics, names)])
-    if order == "desc":
-        out = out.orderBy(F.col(names[0]).desc_nulls_last(), F.col(key).asc_nulls_last())
-    elif order == "asc":
-        out = out.orderBy(F.col(names[0]).asc_nulls_last(), F.col(key).asc_nulls_last())
-    return out
+    return in_order(out, names[0], key, order)
+
+
+def in_order(df: DataFrame, first: str, then: str, order: str | None) -> DataFrame:
+    """``df`` by ``first`` (``"desc"``, ``"asc"`` or as it is), ties by ``then``."""
+    if order is None:
+        return df
+    lead = F.col(first).desc_nulls_last() if order == "desc" else F.col(first).asc_nulls_last()
+    return df.orderBy(lead, F.col(then).asc_nulls_last())
 
 
 def quantiles(df: DataFrame, col: str = "views",
@@ -93,7 +97,7 @@ def quantiles(df: DataFrame, col: str = "views",
     return exact_quantiles(df, col, probs, **kw)
 
 
-def pair_correlations(df: DataFrame, pairs) -> DataFrame:
+def pair_correlations(df: DataFrame, pairs, means: dict | None = None) -> DataFrame:
     """Pearson r for every ``(a, b)`` pair as rows ``(i, a, b, r)``.
 
     One aggregate over the rows as they are: for each pair the co-moment, and
@@ -101,17 +105,21 @@ def pair_correlations(df: DataFrame, pairs) -> DataFrame:
     pandas' pairwise-complete rule).  These aggregates carry means along, and
     every column is taken from its mean over the table (a lazy scalar of one more
     aggregate), so that a large mean costs a small spread no digits, in whatever
-    order tasks end; the partial aggregates leave one row a task.  ``corr`` raises on a constant column under ANSI, so
+    order tasks end; the partial aggregates leave one row a task.  A caller that
+    has the means passes them as scalars by column, which saves that aggregate.
+    ``corr`` raises on a constant column under ANSI, so
     ``try_divide(covar_pop, stddev_pop * stddev_pop)`` gives null instead; a
     pair without rows has a null r as well.
     """
     cols = sorted({c for p in pairs for c in p})
     x = {c: F.col(c).cast("double") for c in cols}
     rows = df.select(*[F.when(~F.isnan(x[c]), x[c]).alias(f"x{i}") for i, c in enumerate(cols)])
-    means = rows.agg(*[F.avg(f"x{i}").alias(f"x{i}") for i in range(len(cols))]).select(F.struct("*")).scalar()
+    if means is None:
+        found = rows.agg(*[F.avg(f"x{i}").alias(f"x{i}") for i in range(len(cols))]).select(F.struct("*")).scalar()
+        means = {c: found.getField(f"x{i}") for i, c in enumerate(cols)}
 
     def centred(i):
-        mean = means.getField(f"x{i}")
+        mean = means[cols[i]]
         # none for a column of unknowns, nor where the sum overflows
         return F.col(f"x{i}") - F.when(F.abs(mean) < F.lit(float("inf")), mean).otherwise(F.lit(0.0))
 
@@ -128,11 +136,11 @@ def pair_correlations(df: DataFrame, pairs) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str] = S.CORRELATION_COLUMNS,
-                      names: Sequence[str] = S.CORRELATION_NAMES) -> DataFrame:
+                      names: Sequence[str] = S.CORRELATION_NAMES, means: dict | None = None) -> DataFrame:
     """upper-triangle pairs ranked by absolute correlation, undefined dropped."""
     pairs = list(combinations(cols, 2))
     n1, n2, nr, na = names
-    long = pair_correlations(df, pairs).where(F.col("r").isNotNull() & ~F.isnan("r"))
+    long = pair_correlations(df, pairs, means).where(F.col("r").isNotNull() & ~F.isnan("r"))
     return (long.select(F.col("a").alias(n1), F.col("b").alias(n2), F.col("r").alias(nr),
                         F.abs("r").alias(na))
             .orderBy(F.col(na).desc(), F.col(n1), F.col(n2)))

@@ -42,18 +42,20 @@ def top_videos(df: DataFrame, n: int = S.TOP_N_DEFAULT) -> DataFrame:
     return topn.top_views(df, n).select("video_id", "views")
 
 
-def views_distribution(df: DataFrame, col: str = "views") -> dict[str, DataFrame]:
+def views_distribution(df: DataFrame, col: str = "views", weight: str | None = None) -> dict[str, DataFrame]:
     """H6: histogram (F14) and density curve (F15) of views on a log axis.
 
     The curve also comes in histogram units (``count_density`` = density x
     n x log-bin width), the scale at which it is drawn over the bars.
+    ``weight`` names a column that says how many rows a row stands for.
     """
-    dens = distribution.log_density(df, col)
-    lv = df.where(F.col(col) > 0).select(F.log10(F.col(col).cast("double")).alias("lv"))
-    scale = lv.agg((F.count(F.lit(1)) * (F.max("lv") - F.min("lv")) / F.lit(S.HISTOGRAM_BINS))
+    dens = distribution.log_density(df, col, weight=weight)
+    lv = df.where(F.col(col) > 0).select(F.log10(F.col(col).cast("double")).alias("lv"),
+                                         (F.col(weight) if weight else F.lit(1)).alias("c"))
+    scale = lv.agg((F.sum("c") * (F.max("lv") - F.min("lv")) / F.lit(S.HISTOGRAM_BINS))
                    .alias("s")).select("s").scalar()
     dens = dens.withColumn("count_density", F.col("density") * scale)
-    return {"histogram": distribution.log_histogram(df, col), "density": dens}
+    return {"histogram": distribution.log_histogram(df, col, weight=weight), "density": dens}
 
 
 def views_by_length(df: DataFrame, path: str | None = None) -> dict[str, DataFrame]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from vidlens import schema as S
 from vidlens.operators import clean, filters, stats, topn, trends
 from vidlens.plans import charts
+from vidlens.plans.grains import GRAINS, GROUP_LIMIT, Grains, Leaders
 from vidlens.sinks import writers
 
 PARTS = ("statistics", "top", "categories", "trends", "related", "charts")
@@ -97,31 +98,104 @@ def chart_datasets(df: DataFrame, length_path: str | None = None) -> dict[str, D
     return out
 
 
-def report(df: DataFrame, out_dir: str | None = None, top_n=S.TOP_N_DEFAULT,
-           parts: Iterable[str] = PARTS) -> dict[str, DataFrame]:
-    """Statistics, top-N, category statistics, trends, related
-    analysis and chart datasets from one (cleaned) table.
-
-    ``parts`` selects what to build (J6 is ``("statistics", "top")``).  With
-    ``out_dir`` each result is written as one CSV folder (overwrite), and the
-    views' counts by length range, which two charts read, as Parquet beside them.
-    """
-    parts = set(parts)
+def _lazy_results(df: DataFrame, parts: set, k: int) -> dict[str, DataFrame]:
+    """Every result with a plan of its own over ``df``."""
     res: dict[str, DataFrame] = {}
     if "statistics" in parts:
         res.update(statistics(df))
     if "top" in parts:
-        res.update(top_tables(df, top_n))
+        res.update(top_tables(df, k))
     if "categories" in parts:
         res["category_stats"] = stats.category_stats(df)
     if "trends" in parts:
         res["trends"] = trends.daily_trend(df)
-    if "related" in parts and "related_ids" in df.columns:
-        res["related_analysis"] = clean.related_as_text(df)
+    if parts & set(CHART_READS):
+        res.update({f"chart_{name}": d for name, d in chart_datasets(df).items() if f"chart_{name}" in parts})
+    return res
+
+
+_METRIC_GRAINS = ("views", "rating", "comments_count")
+#: What each chart's dataset reads: grains, and whether it reads the rankings.
+CHART_READS = {"chart_category_views": (("category",), False), "chart_category_ratings": (("category",), False),
+               "chart_monthly_trend": (("age",), False), "chart_daily_trend": (("age",), False),
+               "chart_top_videos": (_METRIC_GRAINS, True), "chart_correlation_table": (("whole",), False),
+               "chart_views_histogram": (("views",), False), "chart_views_density": (("views",), False),
+               "chart_length_summary": (("views",), False), "chart_length_density": (("views",), False)}
+#: The same for the other parts of a report.
+PART_READS = {"statistics": (("whole", *_METRIC_GRAINS), True), "top": (_METRIC_GRAINS, True),
+              "categories": (("category",), False), "trends": (("age",), False)} | CHART_READS
+
+
+def _fused_results(df: DataFrame, out_dir: str, parts: set, k: int) -> dict[str, DataFrame]:
+    """The same results from the stored grains and rankings of ``df``.
+
+    The table is scanned once for the grains, once for all rankings and once
+    for the correlations, however many results there are.
+    """
+    needed = {name for p in parts for name in PART_READS[p][0]}
+    if not needed:
+        return {}
+    g = Grains.build(df, os.path.join(out_dir, "grains"), needed)
+    deep = k > GROUP_LIMIT  # a ranking that long is an ordinary top-k with a scan of its own
+    leaders = None
+    if any(PART_READS[p][1] for p in parts):
+        wide = S.TOP_N_DEFAULT if "chart_top_videos" in parts else 1
+        leaders = Leaders.build(df, g, os.path.join(out_dir, "leaders"),
+                                max(wide, k if "top" in parts and not deep else 1))
+    res: dict[str, DataFrame] = {}
+    if "statistics" in parts:
+        summary, tr, mw = g.summary(), leaders.top("rating", 1), leaders.top("views", 1)
+        res.update({"summary": summary, "top_rated": tr, "most_watched": mw,
+                    "statistics": writers.statistics_table(summary, tr, mw)})
+    if "top" in parts:
+        res.update(top_tables(df, k) if deep else {
+            f"top_{k}_views": leaders.top("views", k), f"top_{k}_ratings": leaders.top("rating", k),
+            f"top_{k}_comments": leaders.top("comments_count", k)})
+    if "categories" in parts:
+        res["category_stats"] = g.category_stats()
+    if "trends" in parts:
+        res["trends"] = g.daily_trend()
+    charted = {
+        "chart_category_views": lambda: g.category_stats(drop_null_keys=True, order="desc").select("category", "avg_views"),
+        "chart_category_ratings": lambda: g.category_stats(drop_null_keys=True, order="desc").select("category", "avg_rating"),
+        "chart_monthly_trend": g.monthly_trend,
+        "chart_daily_trend": lambda: trends.reaggregate_trend(g.daily_trend(ordered=False)),
+        "chart_top_videos": lambda: leaders.top("views", S.TOP_N_DEFAULT).select("video_id", "views"),
+        "chart_correlation_table": lambda: stats.correlation_pairs(df, means=g.means()),
+        "chart_views_histogram": lambda: charts.views_distribution(g.values(), "value", weight="n")["histogram"],
+        "chart_views_density": lambda: charts.views_distribution(g.values(), "value", weight="n")["density"],
+        "chart_length_summary": lambda: g.lengths().summary(),
+        "chart_length_density": lambda: g.lengths().density()}
+    res.update({name: charted[name]() for name in CHART_READS if name in parts})
+    return res
+
+
+def report(df: DataFrame, out_dir: str | None = None, top_n=S.TOP_N_DEFAULT,
+           parts: Iterable[str] = PARTS) -> dict[str, DataFrame]:
+    """Statistics, top-N, category statistics, trends, related
+    analysis and chart datasets from one (cleaned) table.
+
+    ``parts`` selects what to build (J6 is ``("statistics", "top")``); a single
+    chart goes by the name of its dataset, as ``"chart_daily_trend"``.  Without
+    ``out_dir`` nothing runs and each result has a plan of its own.  With it
+    each result is written as one CSV folder (overwrite), and all are read from
+    two Parquet tables written beside them, ``grains`` and ``leaders``: the
+    table is scanned at most four times, for the grains, the rankings, the
+    correlations and the related ids (a ``top_n`` over ``GROUP_LIMIT`` has
+    three scans of its own).
+    """
+    parts = set(parts)
+    unknown = parts - set(PARTS) - set(CHART_READS)
+    if unknown:
+        raise ValueError(f"unknown parts of a report: {sorted(unknown)}")
+    k = topn.validate_n(top_n) if isinstance(top_n, str) else int(top_n)
+    related = "related" in parts and "related_ids" in df.columns
     if "charts" in parts:
-        # the counts stay with the report, whose datasets may be read again
-        counts = os.path.join(out_dir, "length_counts") if out_dir else None
-        res.update({f"chart_{k}": v for k, v in chart_datasets(df, counts).items()})
+        parts |= set(CHART_READS)
+    parts -= {"related", "charts"}
+    res = _fused_results(df, out_dir, parts, k) if out_dir else _lazy_results(df, parts, k)
+    if related:
+        res["related_analysis"] = clean.related_as_text(df)
     if out_dir:
         for name, d in res.items():
             if name in ("summary", "top_rated", "most_watched"):
