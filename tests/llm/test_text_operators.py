@@ -158,6 +158,16 @@ def test_all_ordinary_words_are_known(spark, docs_of):
     assert "qazwertyuiop" in model.lexicon.terms and model.lexicon.ordinary >= set(words)
 
 
+def test_every_sure_term_enters_the_lexicon(spark, docs_of):
+    letters = [chr(0x4E00 + k) for k in range(75)]
+    words = ["q" + x + y for x in letters for y in letters]  # too short for edits or stems
+    assert len(words) > 5_000
+    rows = [(i, "plain words" if i % 3 else " ".join(words)) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs_of(rows), labels, toxicity.Toxicity(held=5))
+    assert set(model.lexicon.terms) >= set(words)
+
+
 def test_toxicity_without_labels(spark, docs_of):
     docs = docs_of([(1, "a b"), (2, None)])
     none = spark.createDataFrame([], "doc_id long, toxic int")

@@ -29,15 +29,14 @@ class Toxicity:
     """Parameters.
 
     The classifier is fitted on at most ``train`` labelled documents (those of
-    lowest id hash) and at most ``lexicon`` terms.  A term is a word, or the
-    first 4 to 6 letters of words (a stem).  It enters when its documents are
-    toxic by ``precision`` and more surely than chance among all terms.
+    lowest id hash), which also bounds the terms.  A term is a word, or the
+    first 4 to 6 letters of words (a stem).  Every term enters whose documents
+    are toxic by ``precision`` and more surely than chance among all terms.
     Misspellings: one edit from ``one_edit`` letters on, two from ``two_edits``.
     A quotation reaches ``reach`` words after a reporting word.
     """
 
     train: int = 20_000
-    lexicon: int = 5_000
     precision: float = 0.6
     one_edit: int = 5
     two_edits: int = 9
@@ -314,7 +313,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: Toxicity = Toxicity(), id_co
     sure = 2 * (math.log(max(terms.count(), 2)) + 2)
     best = (terms.where((F.col("toxic") >= 3) & (F.col("toxic") >= p.precision * df))
             .withColumn("gain", gain).where(F.col("gain") >= sure)
-            .orderBy(F.desc("gain"), "term").limit(p.lexicon).toPandas())
+            .orderBy(F.desc("gain"), "term").toPandas())
     lexicon = Lexicon(best["term"].tolist(), ((best["toxic"] + 0.5) / (best["toxic"] + best["clean"] + 1)).tolist(),
                       frozenset(), p)
     # words of clean documents that stand near a term are words of their own
