@@ -65,7 +65,7 @@ RANGES = {"age": (100, 1500), "views": "60000-5000", "rating": (1.0, 3.0)}
 
 def _crawl(spark, sf):
     lines = adapter.crawl_lines(spark, sf)
-    return crawl.load_crawls(lines=lines, logs=adapter.crawl_logs(lines))
+    return crawl.load_crawls(lines=lines, logs=adapter.crawl_logs(adapter.crawl_lines(spark, sf, deal=None)))
 
 
 def q_crawl_parse(spark, sf):

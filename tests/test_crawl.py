@@ -97,3 +97,35 @@ def test_strip_like_python(spark):
     raw = [r.encode().decode("unicode_escape") for r in raw]
     df = spark.createDataFrame([(r,) for r in raw], "v string")
     assert [r[0] for r in df.select(C.strip_ws("v")).collect()] == [r.strip() for r in raw]
+
+
+def _lineitem(spark, folder, rows=400, years=4, lines=8):
+    """A lineitem table of ``rows`` rows, each fourth of them twice under one key with other values."""
+    i = F.col("id")
+    spark.range(rows).select(
+        F.floor(i / 4 / lines).alias("l_orderkey"), (i % 17).alias("l_partkey"), (i * 7 % 5).alias("l_suppkey"),
+        (F.floor(i / 4) % lines).cast("int").alias("l_linenumber"), (i % 50).cast("double").alias("l_quantity"),
+        (i * 31 % 999).cast("double").alias("l_extendedprice"), F.lit(0.04).alias("l_discount"),
+        F.lit(0.02).alias("l_tax"), F.lit("R").alias("l_returnflag"),
+        F.timestamp_seconds(F.lit(788961600) + (i % years) * 366 * 86400).alias("l_shipdate")).write.parquet(f"{folder}/lineitem.parquet")
+    return folder
+
+
+def test_dates_are_attached_without_a_shuffle_by_folder(spark):
+    lines = spark.range(10).select(F.lit("f").alias("folder"), F.lit("0.txt").alias("file_name"),
+                                   F.col("id").alias("line_pos"), F.lit("a\tb").alias("value"))
+    logs = lines.select("folder", F.lit("start:  080610").alias("value")).distinct()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # nothing is small by its estimate
+    try:
+        plan = crawl.dated_lines(lines, logs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_more_lines_are_dealt_over_more_tasks(spark, tmp_dir, monkeypatch):
+    from vidlens.plans import adapter
+    monkeypatch.setattr(adapter, "DEAL_ROWS", 10, raising=False)
+    sf = _lineitem(spark, tmp_dir)
+    assert adapter.crawl_lines(spark, sf).rdd.getNumPartitions() == 40

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Base date the adapter counts ages from (about 12% of ages are negative).
 AGE_BASE = "2001-01-01"
+# Rows of a task that builds crawl lines.
+DEAL_ROWS = 250_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +51,12 @@ def videos(spark: SparkSession, sf_dir: str, related: bool = False) -> DataFrame
     return li.select(*cols)
 
 
-def crawl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _parts(li: DataFrame) -> int:
+    """Tasks that ``li`` is dealt over: more with more rows (the count reads footers only)."""
+    return max(li.sparkSession.sparkContext.defaultParallelism, -(-li.count() // DEAL_ROWS))
+
+
+def crawl_lines(spark: SparkSession, sf_dir: str, deal: str | None = "any") -> DataFrame:
     """Raw crawl lines made from lineitem, laid out as a crawl tree.
 
     Folder = ship year (``c1995`` ...), file = ``<line % 4>.txt``, position in
@@ -57,10 +64,12 @@ def crawl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     carries a non-integer age (rejected), line 5 ends in tabs (stripped),
     lines 1-2 carry three related ids, the rest one.  The rows are dealt out
     first: building and parsing lines is the work here, and a test table is a
-    single row group.
+    single row group.  ``deal=None`` leaves them as they are read.
     """
-    li = table(spark, sf_dir, "lineitem").repartition(spark.sparkContext.defaultParallelism)
+    li = table(spark, sf_dir, "lineitem")
     ln = F.col("l_linenumber")
+    if deal:
+        li = li.repartition(_parts(li))
     vid = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), ln.cast("string"))
     age = F.datediff(F.lit(AGE_BASE).cast("date"), F.col("l_shipdate").cast("date"))
     age_txt = F.when(ln == 6, F.concat(F.lit("x"), age.cast("string"))).otherwise(age.cast("string"))

@@ -95,10 +95,11 @@ def attach_crawl_dates(parsed: DataFrame, dates: DataFrame, how: str = "inner")
     """A4: every line gets its own folder's date; folders without one are
     dropped whole (``how="inner"``) or kept with a null date (``"left"``).
 
-    The date table has one row per crawl folder; the planner broadcasts it
-    from its measured size, or shuffles and splits a folder of very many lines.
+    The date table has one short row per crawl folder and is broadcast: there
+    are few folders of very many lines, so a shuffle by folder would bring
+    whole folders to one task.
     """
-    return parsed.join(dates, "folder", how)
+    return parsed.join(F.broadcast(dates), "folder", how)
 
 
 ORDER = ["crawl_date", "folder", "file_name", "line_pos"]
