@@ -359,7 +359,7 @@ def _crawl_tree(spark, sf):
     from vidlens.session import scratch_path
     root = adapter.write_crawl_tree(spark, sf, scratch_path(spark, "crawl-tree"))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(adapter.split_bytes(spark, root, before)))
     try:
         videos, accounting = crawl.load_crawls(spark, root, stage=scratch_path(spark, "crawl-stage"))
     finally:

@@ -129,3 +129,30 @@ def test_more_lines_are_dealt_over_more_tasks(spark, tmp_dir, monkeypatch):
     monkeypatch.setattr(adapter, "DEAL_ROWS", 10, raising=False)
     sf = _lineitem(spark, tmp_dir)
     assert adapter.crawl_lines(spark, sf).rdd.getNumPartitions() == 40
+
+
+def test_tree_files_stand_in_order_over_many_ranges(spark, tmp_dir, monkeypatch):
+    from vidlens.plans import adapter
+    monkeypatch.setattr(adapter, "DEAL_ROWS", 13, raising=False)
+    sf = _lineitem(spark, os.path.join(tmp_dir, "t"))
+    root = adapter.write_crawl_tree(spark, sf, os.path.join(tmp_dir, "tree"))
+    parsed = crawl.parse_crawl_lines(adapter.crawl_lines(spark, sf).withColumn("line", F.col("value")))
+    want = {}
+    for r in parsed.orderBy("folder", "file_name", "line_pos", *crawl.VIDEO_COLUMNS).collect():
+        want.setdefault((r["folder"], r["file_name"]), []).append(r["line"])
+    got = {}
+    for folder, name in want:
+        with open(os.path.join(root, folder, name)) as f:
+            got[folder, name] = f.read().split("\n")[:-1]
+    assert got == want and sum(map(len, got.values())) == 400
+
+
+def test_splits_of_a_tree_grow_with_it(spark, tmp_dir, monkeypatch):
+    import __spark_entry__ as entry
+    from vidlens.plans import adapter
+    monkeypatch.setattr(adapter, "TREE_SPLITS", 2, raising=False)
+    sf = _lineitem(spark, tmp_dir, rows=20_000, years=1, lines=1)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    videos, _ = entry._crawl_tree(spark, sf)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert 2 <= len(videos.inputFiles()) <= 4     # 64 KB each: 12

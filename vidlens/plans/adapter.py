@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 AGE_BASE = "2001-01-01"
 # Rows of a task that builds crawl lines.
 DEAL_ROWS = 250_000
+# A written crawl tree is read in about so many splits, of 64 KB at least.
+TREE_SPLITS, SPLIT_BYTES = 256, 64 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,11 +66,14 @@ def crawl_lines(spark: SparkSession, sf_dir: str, deal: str | None = "any") -> D
     carries a non-integer age (rejected), line 5 ends in tabs (stripped),
     lines 1-2 carry three related ids, the rest one.  The rows are dealt out
     first: building and parsing lines is the work here, and a test table is a
-    single row group.  ``deal=None`` leaves them as they are read.
+    single row group.  ``deal="files"`` deals them by ranges in the order of
+    folder, file and position, None leaves them as they are read.
     """
     li = table(spark, sf_dir, "lineitem")
     ln = F.col("l_linenumber")
-    if deal:
+    if deal == "files":
+        li = li.repartitionByRange(_parts(li), F.year("l_shipdate"), ln % 4, "l_orderkey")
+    elif deal:
         li = li.repartition(_parts(li))
     vid = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), ln.cast("string"))
     age = F.datediff(F.lit(AGE_BASE).cast("date"), F.col("l_shipdate").cast("date"))
@@ -110,14 +115,16 @@ def write_crawl_tree(spark: SparkSession, sf_dir: str, root: str, without_log: s
 
     Lines of a file stand in the order in which the first one wins.  The
     folder ``without_log`` gets no log, the log of ``late_log`` has its start
-    line after many others.
+    line after many others.  Lines are parsed and sorted in ranges of many
+    tasks; the one task that writes a file gets only their text and number.
     """
     from vidlens.sources import crawl
-    lines = crawl_lines(spark, sf_dir)
+    lines = crawl_lines(spark, sf_dir, deal="files")
     rows = crawl.parse_crawl_lines(lines.withColumn("line", F.col("value"))).withColumnRenamed("folder", "crawl")
-    rows = rows.repartition("crawl", "file_name").sortWithinPartitions(
-        "crawl", "file_name", "line_pos", *crawl.VIDEO_COLUMNS)
-    rows.select("crawl", "file_name", F.col("line").alias("value")).write.partitionBy("crawl", "file_name").text(f"{root}/parts")
+    rows = rows.sortWithinPartitions("crawl", "file_name", "line_pos", *crawl.VIDEO_COLUMNS)
+    rows = rows.select("crawl", "file_name", F.monotonically_increasing_id().alias("number"), F.col("line").alias("value"))
+    rows = rows.repartition("crawl", "file_name").sortWithinPartitions("crawl", "file_name", "number")
+    rows.select("crawl", "file_name", "value").write.partitionBy("crawl", "file_name").text(f"{root}/parts")
     hadoop = spark._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     parts = spark.read.format("binaryFile").load(f"{root}/parts").select("path").collect()   # a file for each crawl file
@@ -126,8 +133,19 @@ def write_crawl_tree(spark: SparkSession, sf_dir: str, root: str, without_log: s
         fs.mkdirs(hadoop.Path(f"{root}/{folder}"))
         fs.rename(hadoop.Path(path), hadoop.Path(f"{root}/{folder}/{name}"))
     fs.delete(hadoop.Path(f"{root}/parts"), True)
-    for folder, text in crawl_logs(lines).where(F.col("folder") != without_log).collect():
+    for folder, text in crawl_logs(crawl_lines(spark, sf_dir, deal=None)).where(F.col("folder") != without_log).collect():
         out = fs.create(hadoop.Path(f"{root}/{folder}/log.txt"))
         out.write(((text.split("start:")[0] + "queued one more\n" * 500) * (folder == late_log) + text).encode())
         out.close()
     return root
+
+
+def split_bytes(spark: SparkSession, root: str, most: str) -> int:
+    """Bytes of a split with which small files still spread over several tasks; ``most`` at most.
+
+    It grows with the tree, so that the number of tasks and of files they write does not.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    total = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(most)
+    return min(most, max(SPLIT_BYTES, -(-total // TREE_SPLITS)))
