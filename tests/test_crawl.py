@@ -112,9 +112,9 @@ def _lineitem(spark, folder, rows=400, years=4, lines=8):
 
 
 def test_dates_are_attached_without_a_shuffle_by_folder(spark):
-    lines = spark.range(10).select(F.lit("f").alias("folder"), F.lit("0.txt").alias("file_name"),
+    lines = spark.range(10).select(F.concat(F.lit("f"), F.col("id") % 2).alias("folder"), F.lit("0.txt").alias("file_name"),
                                    F.col("id").alias("line_pos"), F.lit("a\tb").alias("value"))
-    logs = lines.select("folder", F.lit("start:  080610").alias("value")).distinct()
+    logs = lines.select("folder", F.concat(F.lit("start:  08061"), F.col("line_pos") % 2).alias("value")).distinct()
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # nothing is small by its estimate
     try:
