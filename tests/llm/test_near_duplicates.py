@@ -226,3 +226,24 @@ def test_fingerprints_odd_rows(spark, docs_of):
     alone = H.edited_fingerprints(docs_of([(100, "abcdef")])).collect()[0]
     assert alone.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and alone.near_next == 1.0 and alone.n_near == 0
     assert H.edited_fingerprints(docs_of([])).collect() == []
+
+
+def test_keys_of_segments_are_shuffled_once(spark):
+    from vidlens.llm import ngram_join
+    rows = [(1, 10, 5), (2, 20, 5), (2, 20, 5), (3, 30, 6), (3, 30, 6), (4, 40, 7), (5, 40, 7), (6, 60, 8), (None, 61, 8)]
+    met = spark.createDataFrame(rows, "doc_id long, h1 long, key long").repartition(3)
+    got = {}
+    for percent in (90, 80):
+        df = ngram_join._shared(met, ngram_join.JaccardJoin(percent=percent))
+        got[percent] = sorted(df.select("key", "doc_id", "h1").collect(), key=str)
+        if percent == 90:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert [tuple(r) for r in got[90]] == sorted([(5, 1, 10), (5, 2, 20), (5, 2, 20), (8, 6, 60), (8, None, 61)],
+                                                 key=lambda r: str(spark_row(r)))
+    assert got[90] == got[80]
+
+
+def spark_row(r):
+    from pyspark.sql import Row
+    return Row("key", "doc_id", "h1")(*r)

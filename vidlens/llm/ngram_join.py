@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidlens.llm.common import NULL_ID, small_or_shuffled, stored
@@ -236,6 +236,22 @@ def _compare_blocks(p: JaccardJoin):
     return run
 
 
+def _shared(met: DataFrame, p: JaccardJoin) -> DataFrame:
+    """``(key, doc_id, h1)``: the rows of keys under which different sets stand.
+
+    Keys of segments are shuffled once and looked through by key.  Keys of
+    single shingles can be as frequent as a phrase: these are counted with
+    partial aggregates and picked by a join, which splits a frequent key.
+    """
+    if p.percent >= p.segments_from:
+        key = Window.partitionBy("key")
+        return (met.withColumn("lo", F.min("h1").over(key)).withColumn("hi", F.max("h1").over(key))
+                   .where("lo < hi").select("key", "doc_id", "h1"))
+    shared = stored(met.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
+                       .where("lo < hi").select("key"), "shared")
+    return met.join(shared, "key")
+
+
 def _grouped(groups: DataFrame, comps: DataFrame) -> DataFrame:
     """``(key, doc_id, comp)``: the groups with the component of each document so far."""
     return (groups.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -321,9 +337,7 @@ def ngram_jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      .select("doc_id", "n", "h1", F.coalesce("rep", "doc_id").alias("rep")), "classes")
     # a class stands under its keys once a task; its members become its smallest id afterwards
     met = sig.where("n > 0").select("doc_id", "h1", F.explode("keys").alias("key"))
-    shared = stored(met.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
-                       .where("lo < hi").select("key"), "shared")
-    members = stored(met.join(shared, "key").join(classes.select("doc_id", "h1", "rep"), ["doc_id", "h1"])
+    members = stored(_shared(met, p).join(classes.select("doc_id", "h1", "rep"), ["doc_id", "h1"])
                      .select("key", F.col("rep").alias("doc_id")).distinct(), "members")
     groups = stored(members.join(members.groupBy("key").agg(F.min("doc_id").alias("u")), "key"), "groups")
     small = stored(sig.select("doc_id", "n", "bits")
