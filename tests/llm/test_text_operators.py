@@ -565,3 +565,24 @@ def test_every_context_counts(spark, docs_of, hot):
     assert len(got) == len(rows)
     for r in got:
         assert abs(r.score - want[r.doc_id]) < 1e-4 * abs(want[r.doc_id]), r
+
+
+def test_a_full_memory_of_pieces_keeps_one_dict(monkeypatch):
+    import sys
+
+    import public_tokenizers
+    from vidlens.llm import tokens
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(tokens, "CACHED_PIECES", 5)
+    enc, calls = tokens.Encoder(path), []
+    texts = [" ".join(f"word{i * j % 97}x" for i in range(60)) for j in range(1, 8)] + ["", "one two"]
+    want = [enc.lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in enc.encode(texts[:2])] == want[:2]
+    held = dict(enc.known)
+    sys.setprofile(lambda frame, event, arg: calls.append(frame.f_code.co_name) if event == "call" else None)
+    try:
+        got = enc.encode(texts)
+    finally:
+        sys.setprofile(None)
+    assert [x.tolist() for x in got] == want
+    assert enc.known == held and "__missing__" not in calls

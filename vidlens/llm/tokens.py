@@ -86,15 +86,17 @@ class Encoder:
         cut = [self._parts(t) for t in texts]
         known = self.known
         new = [p for p in set().union(*(c for c in cut if c)) if p not in known]
+        full = len(known) >= CACHED_PIECES
         if new:
-            fresh = zip(new, self.lib.encode_batch_fast(new, add_special_tokens=False))
-            if len(known) < CACHED_PIECES:
-                known.update((p, self._pack(e.ids)) for p, e in fresh)
-            else:
-                known = _Over({p: self._pack(e.ids) for p, e in fresh}, known)
-        return [np.array(self.lib.encode(t, add_special_tokens=False).ids, dtype=self.dtype) if c is None
-                else np.frombuffer(b"".join(map(known.__getitem__, c)), dtype=self.dtype)
-                for t, c in zip(texts, cut)]
+            fresh = self.lib.encode_batch_fast(new, add_special_tokens=False)
+            known.update((p, self._pack(e.ids)) for p, e in zip(new, fresh))
+        out = [np.array(self.lib.encode(t, add_special_tokens=False).ids, dtype=self.dtype) if c is None
+               else np.frombuffer(b"".join(map(known.__getitem__, c)), dtype=self.dtype)
+               for t, c in zip(texts, cut)]
+        if full:  # pieces beyond the bound are known for these texts only
+            for p in new:
+                del known[p]
+        return out
 
 
 def _after_words(text: str, stop: str) -> bool:
@@ -106,17 +108,6 @@ def _after_words(text: str, stop: str) -> bool:
 _PIECE = regex.compile(_BYTE_LEVEL)
 
 
-class _Over(dict):
-    """A dict in front of another."""
-
-    def __init__(self, first: dict, second: dict):
-        super().__init__(first)
-        self.second = second
-
-    def __missing__(self, key):
-        return self.second[key]
-
-
 _ENCODERS: dict[str, Encoder] = {}
 
 
