@@ -104,6 +104,31 @@ def test_dense_label_keeps_its_links(spark):
     assert {r.component_id for r in rows} == {0}
 
 
+def test_small_labels_are_split_in_one_pass(spark, monkeypatch):
+    """A label of at most ``local`` vectors takes no table a level; above it, nodes are finished in tasks."""
+    rng = np.random.default_rng(21)
+    v = rng.standard_normal((1500, 16))
+    v[750:] = v[:750] + 0.08 * rng.standard_normal((750, 16))
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    true = (u @ u.T >= 0.93).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, x, 1) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<double>, label int")
+    names, real = [], E.stored
+    monkeypatch.setattr(E, "stored", lambda df, name: names.append(name) or real(df, name))
+    got = sorted(E.embedding_near_dedup(df, params=E.Forest(leaf=100)).select("vec_id", "n_links").collect())
+    assert "forest" not in names
+    found = np.array([r.n_links for r in got])
+    assert (found <= true).all() and found.sum() >= 0.98 * true.sum() > 500
+    levels = sorted(E.embedding_near_dedup(df, params=E.Forest(leaf=100, local=600)).select("vec_id", "n_links").collect())
+    assert "forest" in names
+    found = np.array([r.n_links for r in levels])
+    assert (found <= true).all() and found.sum() >= 0.98 * true.sum()
+
+
+def test_unit_vectors_at_once():
+    x = np.random.default_rng(3).standard_normal((50, 64)).astype(np.float32) * np.float32(1e20)
+    assert (E.units(x) == np.stack([E.unit(r) for r in x])).all()
+
+
 def shingles(text, k):
     w = (text or "").encode().lower().split()
     return frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])

@@ -24,7 +24,8 @@ class Forest:
     projected distance of two vectors at ``cosine``.  Where a half would get
     more than 0.7 of the vectors, two halves are no fewer pairs than the whole:
     such a node is left whole, as is one at ``depth``, and compared in blocks
-    of ``leaf`` vectors.
+    of ``leaf`` vectors.  Nodes of more than ``local`` vectors are split level
+    by level over all vectors; a smaller one is split to its leaves in one task.
     """
 
     cosine: float = 0.93
@@ -32,6 +33,7 @@ class Forest:
     leaf: int = 1024
     spill: float = 0.08
     depth: int = 24
+    local: int = 50_000
     seed: int = 20240601
 
     def direction(self, tree: int, dim: int) -> np.ndarray:
@@ -55,66 +57,124 @@ def unit(values) -> np.ndarray | None:
     return v / np.sqrt((v * v).sum())
 
 
+def units(x: np.ndarray) -> np.ndarray:
+    """The unit vectors of usable rows, as by :func:`unit`."""
+    x = x.astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def _usable(p: Forest, single: bool):
     """Usable vectors as bytes in their own precision, and all their projections."""
     kind = "<f4" if single else "<f8"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            us = [unit(v) for v in f["vector"]]
-            ok = [k for k, u in enumerate(us) if u is not None]
-            g = f.iloc[ok][["label", "cid", "copies"]].reset_index(drop=True)
-            us = [us[k] for k in ok]
-            g["dim"] = [len(u) for u in us]
-            g["v"] = [np.asarray(f["vector"].iat[k], dtype=kind).tobytes() for k in ok]
-            where = np.empty((len(g), p.trees, p.depth), dtype=np.float32)
-            for dim, part in g.groupby("dim"):
-                x = np.stack([us[k] for k in part.index])
-                for tree in range(p.trees):
-                    where[part.index, tree] = x @ p.direction(tree, int(dim))
-            g["at"] = list(where.reshape(len(g), -1))
-            yield g
+            size = np.array([0 if v is None else len(v) for v in f["vector"]], dtype=np.int64)
+            for dim in np.unique(size[size > 0]).tolist():
+                g = f[size == dim]
+                x = np.array([v if v.dtype != object else [np.nan if e is None else e for e in v]
+                              for v in map(np.asarray, g["vector"])], dtype=np.float64)
+                ok = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
+                g, x = g.loc[ok, ["label", "cid", "copies"]], x[ok]
+                u = units(x)
+                at = np.concatenate([u @ p.direction(tree, dim) for tree in range(p.trees)], axis=1)
+                yield g.assign(dim=dim, v=[v.tobytes() for v in x.astype(kind)], at=list(at.astype(np.float32)))
+    return run
+
+
+def _quantiles(p: Forest) -> list[float]:
+    """Of a node's projections: between the first and the last, a cut leaves halves of at most 0.7."""
+    return [0.3, 0.5 - p.spill, 0.5, 0.5 + p.spill, 0.7]
+
+
+def _split(p: Forest, at: np.ndarray, dim: int, node: int, level: int) -> list[tuple[int, np.ndarray]]:
+    """The leaves below a node, each with its rows of ``at``, the projections of all levels."""
+    margin = np.sqrt(2 * (1 - p.cosine) / max(dim, 1))
+    leaves, todo = [], [(node, level, np.arange(len(at)))]
+    while todo:
+        node, level, rows = todo.pop()
+        if len(rows) > p.leaf and level < p.depth:
+            here = at[rows, level]
+            order = np.sort(here).astype(np.float64)
+            q = [order[max(int(np.ceil(x * len(rows))) - 1, 0)] for x in _quantiles(p)]
+            lo, hi = min(q[1], q[2] - margin), max(q[3], q[2] + margin)
+            if q[0] < lo and hi < q[4]:
+                todo += [(2 * node, level + 1, rows[here <= hi]), (2 * node + 1, level + 1, rows[here >= lo])]
+                continue
+        leaves.append((node, rows))
+    return leaves
+
+
+_LEAVES = "label int, dim long, cid long, tree int, node long, m long"
+
+
+def _split_rows(p: Forest, level: int | None):
+    """Leaves of a whole label and dimension (``level`` is None) or of one node."""
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        dim, cid = int(f["dim"].iat[0]), f["cid"].to_numpy()
+        at, out = np.stack(f["at"].to_numpy()), []
+        if level is None:
+            for tree in range(p.trees):
+                found = _split(p, at[:, tree * p.depth:(tree + 1) * p.depth], dim, 1, 0)
+                if len(found) == 1:  # a tree that is one leaf has every pair; the others have nothing to add
+                    out = [(tree, found)]
+                    break
+                out.append((tree, found))
+        else:
+            out.append((int(f["tree"].iat[0]), _split(p, at, dim, int(f["node"].iat[0]), level)))
+        parts = [pd.DataFrame({"cid": cid[rows], "tree": tree, "node": node, "m": len(rows)})
+                 for tree, found in out for node, rows in found]
+        return pd.concat(parts).assign(label=f["label"].iat[0], dim=dim)[[c.split()[0] for c in _LEAVES.split(", ")]]
     return run
 
 
 def _leaves(vectors: DataFrame, p: Forest) -> DataFrame:
     """``(label, dim, cid, tree, node, m)`` for every leaf that holds the vector.
 
-    ``m`` is the size of the leaf.  Levels run over all vectors: size, median
-    and overlap of each node are partial-aggregated, and rows carry
-    projections instead of vectors.
+    ``m`` is the size of the leaf.  The levels of nodes above ``local`` vectors
+    run over all vectors: size, median and overlap of each node are
+    partial-aggregated, and rows carry projections instead of vectors.
     """
     key = ["label", "dim", "tree", "node"]
+    sizes = stored(vectors.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("m")), "label-sizes")
+    of = lambda which: vectors.join(small_or_shuffled(sizes, 32).where(which), ["label", "dim"], "left_semi")
+    done = (of(F.col("m") <= p.local).select("label", "dim", "cid", "at")
+            .groupBy("label", "dim").applyInPandas(_split_rows(p, None), _LEAVES))
+    if not sizes.where(F.col("m") > p.local).take(1):
+        return stored(done, "leaves")
     tree = F.explode(F.sequence(F.lit(0), F.lit(p.trees - 1)))
-    open_ = (vectors.select("label", "dim", "cid", "at", tree.alias("tree"))
-                    .select("label", "dim", "cid", "tree", F.lit(1).cast("long").alias("node"),
-                            F.slice("at", F.col("tree") * p.depth + 1, p.depth).alias("at")))
-    done = None
+    open_ = (of(F.col("m") > p.local).select("label", "dim", "cid", "at", tree.alias("tree"))
+             .select("label", "dim", "cid", "tree", F.lit(1).cast("long").alias("node"),
+                     F.slice("at", F.col("tree") * p.depth + 1, p.depth).alias("at")))
     margin = F.sqrt(F.lit(2 * (1 - p.cosine)) / F.greatest("dim", F.lit(1)))
-    at = [0.3, 0.5 - p.spill, 0.5, 0.5 + p.spill, 0.7]
     for level in range(p.depth + 1):
         here = F.col("at")[level] if level < p.depth else F.lit(0.0)
         q = open_.groupBy(*key).agg(F.count(F.lit(1)).alias("m"),
-                                    F.percentile_approx(here, at, F.lit(2000)).alias("q"))
+                                    F.percentile_approx(here, _quantiles(p), F.lit(2000)).alias("q"))
+        near = (F.col("m") <= p.local) & F.lit(level > 0)
         cut = (q.withColumn("lo", F.least(F.col("q")[1], F.col("q")[2] - margin))
                 .withColumn("hi", F.greatest(F.col("q")[3], F.col("q")[2] + margin))
-                .withColumn("leaf", (F.col("m") <= p.leaf) | (F.col("lo") <= F.col("q")[0])
-                            | (F.col("hi") >= F.col("q")[4]) | F.lit(level == p.depth)).drop("q"))
+                .withColumn("near", near)
+                .withColumn("leaf", ~near & ((F.col("m") <= p.leaf) | (F.col("lo") <= F.col("q")[0])
+                                             | (F.col("hi") >= F.col("q")[4]) | F.lit(level == p.depth))).drop("q"))
         if level == 0:  # a tree that is one leaf has every pair; the others have nothing to add
             whole = F.min(F.when(F.col("leaf"), F.col("tree"))).over(Window.partitionBy("label", "dim"))
             cut = cut.withColumn("whole", whole).where("whole is null or tree = whole").drop("whole")
         cut = stored(cut, "cuts")
-        sides = F.when(F.col("leaf"), F.array("node")).otherwise(F.filter(F.array(
+        sides = F.when(F.col("leaf") | F.col("near"), F.array("node")).otherwise(F.filter(F.array(
             F.when(here <= F.col("hi"), F.col("node") * 2), F.when(here >= F.col("lo"), F.col("node") * 2 + 1)),
             lambda s: s.isNotNull()))
         rows = stored(open_.join(small_or_shuffled(cut, 64), key)
-                      .select("label", "dim", "cid", "tree", F.explode(sides).alias("node"), "m", "leaf",
+                      .select("label", "dim", "cid", "tree", F.explode(sides).alias("node"), "m", "leaf", "near",
                               F.when(~F.col("leaf"), F.col("at")).alias("at")), "forest")
-        leaves = rows.where("leaf").select("label", "dim", "cid", "tree", "node", "m")
-        done = leaves if done is None else done.unionByName(leaves)
-        open_ = rows.where("not leaf").drop("m", "leaf")
+        done = done.unionByName(rows.where("leaf").select("label", "dim", "cid", "tree", "node", "m"))
+        if level:
+            done = done.unionByName(rows.where("near").select(*key, "cid", "at").groupBy(*key)
+                                    .applyInPandas(_split_rows(p, level), _LEAVES))
+        open_ = rows.where("not leaf and not near").drop("m", "leaf", "near")
         if not open_.take(1):
-            return done
+            return stored(done, "leaves")
 
 
 def _smallest_linked(adj: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -138,7 +198,7 @@ def _compare(p: Forest):
         leaf, i, j = f["leaf"].iat[0], f["i"].iat[0], f["j"].iat[0]
         f = f.sort_values("cid").reset_index(drop=True)
         kind = f"<f{len(f['v'].iat[0]) // int(f['dim'].iat[0])}"
-        x = np.stack([unit(np.frombuffer(v, kind)) for v in f["v"]])
+        x = units(np.frombuffer(b"".join(f["v"]), kind).reshape(len(f), -1))
         ids, weight, blk = (f[c].to_numpy(np.int64) for c in ("cid", "copies", "blk"))
         adj = (x @ x.T) >= p.cosine
         np.fill_diagonal(adj, False)
