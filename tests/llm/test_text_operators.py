@@ -586,3 +586,74 @@ def test_a_full_memory_of_pieces_keeps_one_dict(monkeypatch):
         sys.setprofile(None)
     assert [x.tolist() for x in got] == want
     assert enc.known == held and "__missing__" not in calls
+
+
+class _Task:
+    """Stands for the task's context where an operator's task function runs by itself."""
+
+    @staticmethod
+    def get():
+        return _Task()
+
+    def partitionId(self):
+        return 0
+
+
+class _Value:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_scoring_holds_a_small_slice(monkeypatch):
+    """A batch of many texts is scored in slices that take little memory, with the rows of one slice."""
+    import pyarrow as pa
+    rng = random.Random(23)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(1000)) for _ in range(800)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts, "held_out": [False] * len(texts)})
+    assert sum(len(t or "") for t in texts) > 3_500_000
+    monkeypatch.setattr(ctw, "TaskContext", _Task)
+    empty = _Value((np.empty(0, np.int64), np.empty(0))), _Value((np.empty(0, np.uint64), np.empty(0)))
+    keys, rows = ("doc_id", "n_tokens", "n_bytes", "grams", "gram_tf", "words", "word_tf"), []
+    for p in (ctw.ContextTree(), ctw.ContextTree(score_bytes=4_000_000)):
+        rows.append([tuple(r[k] for k in keys) for x in ctw._score(p, *empty)([batch]) for r in x.to_pylist()])
+    assert rows[0] == rows[1] and len(rows[0]) == len(texts)
+    calls = []
+    real = ctw._stream
+    monkeypatch.setattr(ctw, "_stream", lambda docs: calls.append(sum(len(w) + 1 for d in docs for w in d)) or real(docs))
+    list(ctw._score(ctw.ContextTree(), *empty)([batch]))
+    assert max(calls) < 1_010_000
+
+
+def test_packing_encodes_a_slice_at_a_time(monkeypatch):
+    """Of an Arrow batch only a slice is held as strings; the pieces are those of any slice."""
+    import pyarrow as pa
+    path = tokenizers.path("word_bpe_49k.json")
+    texts = ["", None] + [f"some words, number {i}. " * 300 for i in range(400)] + ["last"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [str(i) for i in range(len(texts))], "text": texts})
+    monkeypatch.setattr(packing, "TaskContext", _Task)
+    seen, real = [], K.Encoder.encode
+    monkeypatch.setattr(K.Encoder, "encode", lambda self, x: seen.append(sum(map(len, x))) or real(self, x))
+    run = packing._pack(path, packing.Packing(chunk=50_000))
+    rows = [r for x in run(iter([batch])) for r in x.to_pylist()]
+    assert len(seen) > 2 and max(seen) < packing._SLICE_CHARS + 10_000
+    monkeypatch.setattr(packing, "_SLICE_CHARS", 10)
+    assert [r for x in run(iter([batch])) for r in x.to_pylist()] == rows
+    assert [r["doc_id"] for r in rows if r["start"] == 0] == [str(i) for i in range(len(texts))]
+
+
+def test_arrow_batches_of_texts_are_bounded(spark, docs_of):
+    """Python tasks get few megabytes of texts at a time, unless the session has its own bound."""
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(conf, None)
+    spark.conf.unset(conf)
+    try:
+        df = docs_of([(i, "x" * 100_000) for i in range(400)]).coalesce(1).cache()
+        packing.pack_documents(df, tokenizers.path("word_bpe_49k.json"))
+        most = df.select("text").mapInArrow(
+            lambda batches: (b.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").agg({"n": "max"}).first()[0]
+        assert most < 9_000_000
+        spark.conf.set(conf, "1m")
+        packing.pack_documents(df, tokenizers.path("word_bpe_49k.json"))
+        assert spark.conf.get(conf) == "1m"
+    finally:
+        spark.conf.unset(conf) if held is None else spark.conf.set(conf, held)

@@ -11,6 +11,9 @@ from vidlens.session import scratch_path
 WORD_SEPARATORS = " \t\n\x0b\x0c\r"
 #: A side is broadcast only when its measured size is at most this.
 BROADCAST_BYTES = 16 * 1024 * 1024
+#: Most bytes of an Arrow batch that goes to a Python task; texts are long, and rows alone are a poor bound.
+BATCH_BYTES = "8m"
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Stands for a null document id inside an operator; reported as null again.
 NULL_ID = -(2 ** 63)
 
@@ -30,6 +33,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by ``BATCH_BYTES``; a bound that the session has been given stays.
+
+    A Python worker holds a batch several times over, as Arrow, as strings and
+    as results; Spark's own bound of 64 MB lets ten thousand texts through.
+    """
+    if spark.conf.get(_BATCH_CONF, None) is None:
+        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

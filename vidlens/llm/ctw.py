@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidlens.llm.common import NULL_ID, id_remainder, stored
+from vidlens.llm.common import NULL_ID, id_remainder, small_batches, stored
 from vidlens.llm.shingles import word_hashes, words_of
 
 #: Longest context in bytes (a gram of context and byte fits a long).
@@ -32,12 +32,16 @@ class ContextTree:
     Every context of the training text stands in the tree.  Words with at
     least ``common`` of all training tokens (at most ``1 / common``) and grams
     with at least ``hot`` of all bytes (at most ``1 / hot``) go to every task;
-    the others are joined.
+    the others are joined.  Slices of ``slice_bytes`` are counted and of
+    ``score_bytes`` scored at a time: a larger slice sends fewer counts, while
+    scores are the same for any slice and its arrays take many times its
+    bytes.
     """
 
     common: float = 1e-6
     hot: float = 2.5e-7
     slice_bytes: int = 4_000_000
+    score_bytes: int = 1_000_000
 
 
 # ---------------------------------------------------------------- counting
@@ -380,7 +384,7 @@ def _score(p: ContextTree, hot_grams, common):
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             columns = dict(zip(batch.schema.names, batch.columns))
-            for a, b, docs in _lines(columns["text"].to_pylist(), p.slice_bytes):
+            for a, b, docs in _lines(columns["text"].to_pylist(), min(p.slice_bytes, p.score_bytes)):
                 data, begins = _stream(docs)
                 n_bytes = np.diff(np.append(begins, len(data) + DEPTH)) - DEPTH
                 # grams of each document and how often, by one sort
@@ -460,6 +464,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     empty table gives an empty result.
     """
     spark = df.sparkSession
+    small_batches(spark)
     held_out = F.coalesce(id_remainder(F.col(id_col), modulus) == held, F.lit(False))
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                      F.col(text_col).alias("text"), held_out.alias("held_out"))
