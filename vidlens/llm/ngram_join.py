@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vidlens.llm.common import NULL_ID, small_or_shuffled, stored
+from vidlens.llm.common import NULL_ID, small_batches, small_or_shuffled, stored
 from vidlens.llm.components import connected_components
 from vidlens.llm.shingles import mix, shingle_set
 
@@ -113,11 +113,21 @@ def tile_keys(s: np.ndarray, p: JaccardJoin) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
+#: Documents whose sets a task holds at a time.
+_PART_ROWS = 1_000
+
+
+def _parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for f in frames:
+        for a in range(0, len(f), _PART_ROWS):
+            yield f.iloc[a:a + _PART_ROWS]
+
+
 def _signatures(p: JaccardJoin):
     """Sets of the texts; of equal sets in one task only the first has keys (the keys are the same)."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[tuple[int, int]] = set()
-        for f in frames:
+        for f in _parts(frames):
             rows = []
             for doc_id, text in zip(f["doc_id"], f["text"]):
                 s = shingle_set(text, p.size)
@@ -131,7 +141,7 @@ def _signatures(p: JaccardJoin):
 
 def _shingle_rows(p: JaccardJoin):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
+        for f in _parts(frames):
             yield pd.DataFrame({"doc_id": f["doc_id"], "s": [shingle_set(t, p.size).tobytes() for t in f["text"]]})
     return run
 
@@ -328,6 +338,7 @@ def ngram_jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     per text; other columns play no part; an empty table gives an empty result.
     """
     p = params
+    small_batches(df.sparkSession)
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                      F.col(text_col).alias("text"))
     sig = stored(docs.mapInPandas(

@@ -7,12 +7,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidlens.llm.tokens import END_ID, batches, crc32_of_ids, encoder
+from vidlens.llm.common import small_batches
+from vidlens.llm.tokens import END_ID, crc32_of_ids, encoder
 
 PIECES = ("doc_id string, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
@@ -149,25 +151,42 @@ class _Packer:
         return out
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")])
+#: Characters of texts that are taken out of an Arrow batch and encoded at a time.
+_SLICE_CHARS = 1_000_000
+_SCHEMA = pa.schema([(c, pa.string() if kind == "string" else pa.int64()) for c, kind in map(str.split, PIECES.split(", "))])
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(_SCHEMA)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA)], schema=_SCHEMA)
+
+
+def _slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Slices ``(from, to)`` of ``texts`` that end with the text in which ``most`` bytes are reached."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    a = 0
+    while a < len(ends):
+        b = min(int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most)) + 1, len(ends))
+        yield a, b
+        a = b
 
 
 def _pack(path: str, p: Packing):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Packs a partition; only a slice of a batch's texts is held as Python strings."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         is_end = _sentence_ends(enc.lib)
         packer = _Packer(p, TaskContext.get().partitionId() << 40)
-        for f in frames:
-            texts = ["" if t is None else t for t in f["text"]]
-            ids_of = f["doc_id"].tolist()
-            for a, b in batches(texts):
-                for doc_id, ids in zip(ids_of[a:b], enc.encode(texts[a:b])):
+        for batch in batches:
+            for a, b in _slices(batch.column(1), _SLICE_CHARS):
+                part = batch.slice(a, b - a)
+                texts = ["" if t is None else t for t in part.column(1).to_pylist()]
+                for doc_id, ids in zip(part.column(0).to_pylist(), enc.encode(texts)):
                     ends = np.flatnonzero(is_end[ids]) + 1
                     packer.add(doc_id, np.append(ids, ids.dtype.type(END_ID)), ends)
                     if packer.tokens >= p.chunk:
-                        yield _frame(packer.flush(False))
-        yield _frame(packer.flush(True))
+                        yield _batch(packer.flush(False))
+        yield _batch(packer.flush(True))
     return run
 
 
@@ -187,6 +206,7 @@ def pack_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     and keep their id; an empty table gives no pieces; other columns play no
     part.
     """
+    small_batches(df.sparkSession)
     # ids travel as text: a null among long numbers would make them floating
     rows = df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(_pack(tokenizer, params), PIECES).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return rows.mapInArrow(_pack(tokenizer, params), PIECES).withColumn("doc_id", F.col("doc_id").cast("long"))

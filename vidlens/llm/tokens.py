@@ -12,8 +12,8 @@ import regex
 
 #: Id written after every document.
 END_ID = 2
-#: Pieces remembered by a Python worker; beyond it they are encoded anew.
-CACHED_PIECES = 1_000_000
+#: Pieces remembered by a Python worker (some 250 bytes each); beyond it they are encoded anew.
+CACHED_PIECES = 500_000
 
 # Texts of these characters only are split here; any other text goes whole to
 # the library.  Their classes (letter, digit, other) and their case and normal

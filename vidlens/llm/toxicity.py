@@ -13,11 +13,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidlens.llm.common import id_remainder, stored
+from vidlens.llm.common import id_remainder, small_batches, stored
 
 WORD = re.compile(r"[^\W_]+")
 #: Matches remembered by a Python worker, and states of the automaton.
-CACHED_WORDS, CACHED_STATES = 500_000, 50_000
+CACHED_WORDS, CACHED_STATES = 150_000, 25_000
 # Words that report speech, and signs that open and close a quotation.
 REPORTING = frozenset("said says say saying called calls wrote writes quoted quote quotes term word words slur "
                       "dit disait appelle mot écrit sagte sagt nennt wort schrieb dijo dice llama palabra escribió".split())
@@ -294,6 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: Toxicity = Toxicity(), id_co
     """
     p = params
     spark = docs.sparkSession
+    small_batches(spark)
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
              .where(id_remainder(F.col(id_col), p.modulus) != p.held)
              .groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic"))
